@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def create_zone(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_zone(spark: SparkSession, database: str, location: str | None = None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
 
 def read_table(spark: SparkSession, name: str, fmt: str | None = None) -> DataFrame:
