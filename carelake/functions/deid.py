@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,16 +40,17 @@ def shift_days(person: Column, salt: str = "") -> Column:
     """Stable shift between -30 and +30 days of a person; null without a person.
 
     This is the 256-bit SHA-256 number modulo 61. No Spark type holds 256 bits, so
-    the remainder is carried over eight 32-bit words of the digest. The words are
-    written out, not folded with a lambda, so that generated code hashes once.
+    the remainder is a sum over words of 13 hex digits: 52 bits each, times a weight
+    below 2^6, which a long holds for all five of them.
     """
     digest = _sha256_hex(person, salt)
-    word_base = 2**32 % SHIFT_SPAN_DAYS
-    remainder = F.lit(0).cast("bigint")
-    for start in range(1, 65, 8):
-        word = F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
-        remainder = (remainder * word_base + word) % SHIFT_SPAN_DAYS
-    return (remainder + SHIFT_MIN_DAYS).cast("int")
+    word_digits = 13
+    parts = []
+    for start in range(0, 64, word_digits):
+        digits = min(word_digits, 64 - start)
+        weight = pow(16, 64 - start - digits, SHIFT_SPAN_DAYS)
+        parts.append(F.conv(F.substring(digest, start + 1, digits), 16, 10).cast("bigint") * weight)
+    return (reduce(add, parts) % SHIFT_SPAN_DAYS + SHIFT_MIN_DAYS).cast("int")
 
 
 def shifted_date(value: Column, person: Column, salt: str = "") -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from carelake.session import materialize
@@ -25,13 +25,15 @@ def _hang(directed: DataFrame, only_above: bool) -> DataFrame:
     return tied.filter(F.col("left") > F.col("right")).distinct()
 
 
-def _fingerprint(edges: DataFrame) -> tuple[int, int, int]:
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("left", "right").cast("decimal(38,0)")).alias("h"),
-        F.bit_xor(F.xxhash64("left", "right")).alias("x"),
-    ).first()
-    return row["n"], row["h"], row["x"]
+def _kept(edges: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """The edges written to the shared folder, and their fingerprint, taken by the write."""
+    code = F.xxhash64("left", "right")
+    seen = Observation()
+    watched = edges.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.sum(code.cast("decimal(38,0)")).alias("sum"),
+        F.bit_xor(code).alias("xor"),
+    )
+    return materialize(watched, "components"), seen.get
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -44,15 +46,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     current = edges.filter(F.col("left") != F.col("right")).select(
         F.greatest("left", "right").alias("left"), F.least("left", "right").alias("right")
     ).distinct()
-    current = materialize(current, "components")
-    before = _fingerprint(current)
+    current, before = _kept(current)
     for _ in range(max_rounds):
         down = current.select(F.col("left").alias("a"), F.col("right").alias("b"))
         up = current.select(F.col("right").alias("a"), F.col("left").alias("b"))
         large = _hang(down.unionByName(up), only_above=True)
         small = _hang(large.select(F.col("left").alias("a"), F.col("right").alias("b")), only_above=False)
-        current = materialize(small, "components")
-        after = _fingerprint(current)
+        current, after = _kept(small)
         if after == before:
             break
         before = after

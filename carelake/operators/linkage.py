@@ -17,7 +17,9 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from itertools import combinations, product
+from functools import reduce
+from itertools import combinations_with_replacement, product
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,7 +113,7 @@ def _group_pairs(records: DataFrame, settings: LinkSettings) -> DataFrame:
         )
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    filled = sum((F.when(F.col(n).isNotNull(), bit).otherwise(0) for n, bit in zip(names, _bits(names))), F.lit(0))
+    filled = reduce(add, [F.when(F.col(n).isNotNull(), bit).otherwise(0) for n, bit in zip(names, _bits(names))])
     # A block column always agrees; sets without it are never asked for.
     fixed = sum(bit for c, bit in zip(settings.compare, _bits(names)) if _is_block_column(settings, c))
     subsets = [s for s in range(1 << k) if s & fixed == fixed]
@@ -124,10 +126,12 @@ def _group_pairs(records: DataFrame, settings: LinkSettings) -> DataFrame:
         F.when(F.col("agree").bitwiseAND(F.lit(bit)) != 0, F.col(n)).alias(n)
         for n, bit in zip(names, _bits(names))
     ]
-    groups = sets.select(*blocks, "agree", *in_set, "have", "copies").groupBy(*blocks, "agree", *names).agg(*[
-        F.sum(F.when(F.col("have").bitwiseAND(F.lit(f)) == f, F.col("copies")).otherwise(0)).alias(f"n{f}")
-        for f in subsets
-    ])
+    groups = sets.select(*blocks, "agree", *in_set, "have", "copies").groupBy(*blocks, "agree", *names).agg(
+        F.sum("copies").alias("members"), *[
+            F.sum(F.when(F.col("have").bitwiseAND(F.lit(f)) == f, F.col("copies")).otherwise(0)).alias(f"n{f}")
+            for f in subsets
+        ]
+    ).filter(F.col("members") > 1)
     pairs = F.explode(F.array(*[
         F.struct(F.lit(f).alias("filled"), _pairs_of(f"n{f}").alias("n")) for f in subsets
     ])).alias("p")
@@ -470,38 +474,40 @@ def _link_keys(
     patterns = _predicted(settings, model, threshold)
     if not patterns:
         return None
+    # Which keys a record holds follows from its filled columns alone, so the table
+    # has a bounded number of rows and may be broadcast.
+    held = records.sparkSession.createDataFrame(
+        _held_keys(patterns, len(settings.compare)), "have int, link int, shared int, side int, sides int"
+    )
+    bits = list(zip(settings.compare, _bits(settings.compare)))
+    have = reduce(add, [F.when(F.col(c).isNotNull(), bit).otherwise(0) for c, bit in bits])
+    content = F.struct(
+        "link", *[F.col(c).cast("string").alias(f"b{i}") for i, c in enumerate(settings.block)],
+        *[
+            F.when(F.col("shared").bitwiseAND(F.lit(bit)) != 0, F.col(c)).cast("string").alias(f"c{bit}")
+            for c, bit in bits
+        ],
+    )
+    return records.withColumn("have", have).join(F.broadcast(held), "have").select(
+        F.sha2(F.to_json(content), 256).alias("key"), F.col(settings.unique_id).alias("id"), "side", "sides"
+    )
+
+
+def _held_keys(patterns: Sequence[Pattern], k: int) -> list[tuple[int, int, int, int, int]]:
+    """Rows (filled set, link, columns whose values the key holds, side, sides)."""
     rank = {DIFFER: 0, MISSING: 1, AGREE: 2}
 
     def below(p: Pattern, q: Pattern) -> bool:
         return p != q and all(rank[a] <= rank[b] for a, b in zip(p, q))
 
-    needs = [p for p in patterns if not any(below(q, p) for q in patterns)]
-    out = None
-    for number, need in enumerate(sorted(needs)):
-        agreed = [c for c, g in zip(settings.compare, need) if g == AGREE]
-        loose = [c for c, g in zip(settings.compare, need) if g == MISSING]
-        sets = [tuple(s) for n in range(len(loose) + 1) for s in combinations(loose, n)]
-        mine = F.array(*[F.col(c).isNotNull() for c in loose]) if loose else None
-        keys = []
-        for a, b in ((a, b) for i, a in enumerate(sets) for b in sets[i:]):
-            shared = [c for c in loose if c in a and c in b]
-            text = F.to_json(F.struct(
-                F.lit(f"{number}:{'+'.join(a)}|{'+'.join(b)}").alias("need"),
-                *[F.col(c).cast("string").alias(f"b{i}") for i, c in enumerate(settings.block)],
-                *[F.col(c).cast("string").alias(f"v{i}") for i, c in enumerate([*agreed, *shared])],
-            ))
-            for side, own in enumerate([a] if a == b else [a, b]):
-                entry = F.struct(
-                    F.sha2(text, 256).alias("key"), F.lit(side).alias("side"),
-                    F.lit(1 if a == b else 2).alias("sides"),
-                )
-                if mine is None:
-                    keys.append(entry)
-                else:
-                    keys.append(F.when(mine == F.array(*[F.lit(c in own) for c in loose]), entry))
-        branch = records.dropna(subset=agreed) if agreed else records
-        branch = branch.select(
-            F.col(settings.unique_id).alias("id"), F.explode(F.array_compact(F.array(*keys))).alias("k")
-        ).select("id", "k.key", "k.side", "k.sides")
-        out = branch if out is None else out.unionByName(branch)
-    return out
+    rows, link = [], 0
+    for need in (p for p in patterns if not any(below(q, p) for q in patterns)):
+        agreed, loose = _mask(need, (AGREE,)), _mask(need, (MISSING,))
+        free = (1 << k) - 1 & ~agreed & ~loose
+        own = sorted(_submasks(loose))
+        for a, b in combinations_with_replacement(own, 2):
+            link += 1
+            for side, filled in enumerate([a] if a == b else [a, b]):
+                for extra in _submasks(free):
+                    rows.append((agreed | filled | extra, link, agreed | a & b, side, 1 if a == b else 2))
+    return rows

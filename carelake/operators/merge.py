@@ -89,36 +89,27 @@ def _merge_keyed(
     target: DataFrame, source: DataFrame, key: str, time: str, op: str, tombstones: bool
 ) -> DataFrame:
     columns = target.columns
-
-    def packed(df: DataFrame, side: str) -> DataFrame:
-        row = F.struct(*[F.col(c) for c in df.columns]).alias(side)
-        return df.select(F.col(key).alias(f"{side}_key"), row)
-
-    t, s = F.col("t"), F.col("s")
-    both = t.isNotNull() & s.isNotNull()
-    newer = F.coalesce(s[time] > t[time], F.lit(False))
-    updates = (s[op] == "u") | s[op].isNull()
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in columns], F.lit(True).alias("in_t"))
+    s = source.select(*[F.col(c).alias(f"s_{c}") for c in columns], F.lit(True).alias("in_s"))
+    s_op, t_op = F.col(f"s_{op}"), F.col(f"t_{op}")
+    both = F.col("in_t") & F.col("in_s")
+    newer = both & (F.col(f"s_{time}") > F.col(f"t_{time}"))
+    updates = (s_op == "u") | s_op.isNull()
+    deletes = s_op == "d"
     if tombstones:
-        revives = (t[op] == "d") & (s[op] == "c")
-        takes_source = both & newer & ((s[op] == "d") | updates | F.coalesce(revives, F.lit(False)))
-        merged = (
-            F.when(takes_source, s).when(t.isNotNull(), t)
-            .when(_inserts(s[op]) | (s[op] == "d"), s)
-        )
+        revives = (t_op == "d") & (s_op == "c")
+        takes = F.when(newer & (deletes | updates | revives), True)
+        inserts = _inserts(s_op) | deletes
     else:
-        merged = (
-            F.when(both & newer & (s[op] == "d"), F.lit(None))
-            .when(both & newer & updates, s)
-            .when(t.isNotNull(), t)
-            .when(_inserts(s[op]), s)
-        )
-    joined = packed(target, "t").join(
-        packed(source, "s"), F.col("t_key") == F.col("s_key"), "full_outer"
-    )
-    return (
-        joined.select(merged.alias("m")).filter(F.col("m").isNotNull())
-        .select(*[F.col(f"m.{c}").alias(c) for c in columns])
-    )
+        takes = F.when(newer & deletes, F.lit(None)).when(newer & updates, True)
+        inserts = _inserts(s_op)
+    # True takes the change, false keeps the row, null leaves the key out.
+    takes = takes.when(F.col("in_t"), False).when(inserts, True)
+    joined = t.join(s, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer")
+    chosen = joined.withColumn("takes", takes).filter(F.col("takes").isNotNull())
+    return chosen.select(*[
+        F.when(F.col("takes"), F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in columns
+    ])
 
 
 def live_rows(table: DataFrame, op: str = OP) -> DataFrame:

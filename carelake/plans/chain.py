@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -66,9 +66,16 @@ class Chain:
 def chain(
     bronze: DataFrame, settings: ChainSettings, target: DataFrame | None = None,
     vocabulary: DataFrame | None = None,
+    boundary: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Chain:
-    """The whole chain without a write, for a batch that is looked at and not kept."""
-    conditions = to_conditions(bronze, settings, vocabulary)
+    """The whole chain for a batch.
+
+    `boundary` is applied to the raw Silver rows, which routing and merge both read.
+    By default it is nothing and no write happens, but then every reader parses and
+    hashes the payloads again: pass a function that writes the rows and reads them
+    back, such as `materialize`, for anything large.
+    """
+    conditions = boundary(to_conditions(bronze, settings, vocabulary))
     valid = quality.valid_rows(conditions, settings.rules)
     if target is None:
         target = conditions.limit(0)

@@ -67,11 +67,11 @@ def readmission_pairs(
     """Inpatient stays with each readmission up to `days` days after the discharge.
 
     One row per stay and readmission, and one with a null readmission for a stay
-    without any. Readmissions are counted per person and day and packed into blocks
-    of `days` days, each block with the days of the next one; the window of a stay
-    lies in exactly one such block. So a stay meets one row of at most 2 x `days`
-    days, the join is on person and block, and a person with very many stays is
-    spread over the blocks.
+    without any. Readmissions are first counted per person and day. Days are cut into
+    blocks of `days` days, and each block is given the days of the next one too, so
+    the window of a stay lies in one block. The join is on person and block: a stay
+    meets at most 2 x `days` rows, and a person with very many stays is spread over
+    the blocks.
     """
     require_columns(
         conditions,
@@ -83,43 +83,35 @@ def readmission_pairs(
     def block(day: Column) -> Column:
         return F.floor(F.unix_date(day) / days)
 
+    start, end = F.col("condition_start_date").cast("date"), F.col("condition_end_date").cast("date")
     day_counts = (
-        stays.filter(F.col("person_id").isNotNull() & F.col("condition_start_date").isNotNull())
-        .groupBy("person_id", F.col("condition_start_date").cast("date").alias("day"))
+        stays.filter(F.col("person_id").isNotNull() & start.isNotNull())
+        .groupBy("person_id", start.alias("readmission_date"))
         .agg(F.count(F.lit(1)).alias("stays"))
     )
-    blocks = (
-        day_counts
-        .withColumn("block", F.explode(F.array(block(F.col("day")), block(F.col("day")) - 1)))
-        .groupBy("person_id", "block")
-        .agg(F.collect_list(F.struct("day", "stays")).alias("block_days"))
-    )
+    day_block = block(F.col("readmission_date"))
+    later = day_counts.withColumn("block", F.explode(F.array(day_block, day_block - 1))).alias("r")
     index = stays.select(
-        "person_id",
-        F.col("condition_start_date").cast("date").alias("admission_date"),
-        F.col("condition_end_date").cast("date").alias("discharge_date"),
-    ).withColumn("block", block(F.date_add("discharge_date", 1)))
-    discharge = F.col("discharge_date")
-    hits = F.filter(
-        F.col("block_days"),
-        lambda d: (d["day"] > discharge) & (d["day"] <= F.date_add(discharge, days)),
-    )
-    matched = index.join(blocks, ["person_id", "block"], "left").select(
-        "person_id", "admission_date", "discharge_date", F.explode_outer(hits).alias("hit")
-    )
-    # One row per readmission again. Chunks keep the arrays short when one day of a
-    # person holds very many stays.
-    stays_left = F.coalesce(F.col("hit.stays"), F.lit(1))
-    chunked = matched.withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), stays_left - 1, F.lit(_EXPANSION).cast("bigint")))
-    )
-    in_chunk = F.least(stays_left - F.col("chunk"), F.lit(_EXPANSION)).cast("int")
-    return chunked.select(
-        "person_id", "admission_date", "discharge_date",
-        F.explode(F.array_repeat(F.col("hit.day"), in_chunk)).alias("readmission_date"),
-    ).withColumn(
-        "is_readmitted_30_days",
-        F.when(F.col("readmission_date").isNotNull(), 1).otherwise(0),
+        "person_id", start.alias("admission_date"), end.alias("discharge_date"),
+        block(F.date_add(end, 1)).alias("block"),
+    ).alias("i")
+    discharge, day = F.col("discharge_date"), F.col("readmission_date")
+    on = [
+        F.col("i.person_id") == F.col("r.person_id"), F.col("i.block") == F.col("r.block"),
+        day > discharge, day <= F.date_add(discharge, days),
+    ]
+    matched = index.join(later, on, "left").select(
+        "i.person_id", "admission_date", "discharge_date", "readmission_date", "stays"
+    )
+    # Back to one row per readmission, in chunks that keep the arrays short when one
+    # day of a person holds very many stays.
+    number = F.coalesce(F.col("stays"), F.lit(1))
+    chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), number - 1, F.lit(_EXPANSION).cast("bigint")))
+    in_chunk = F.least(number - F.col("chunk"), F.lit(_EXPANSION)).cast("int")
+    flag = F.when(day.isNotNull(), 1).otherwise(0)
+    columns = ["person_id", "admission_date", "discharge_date", "readmission_date"]
+    return matched.withColumn("chunk", chunk).select(
+        *columns, F.explode(F.array_repeat(flag, in_chunk)).alias("is_readmitted_30_days")
     )
 
 

@@ -6,7 +6,7 @@ their own, so one expression serves a file scan, a table and a stream.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -95,16 +95,31 @@ def flatten_payload(
 ) -> DataFrame:
     """Bronze ids plus the typed fields of the raw JSON; the JSON itself is dropped.
 
-    `paths` names the JSON path of a field where it is not the field's own name at
-    the top level. A value that does not fit its type becomes null, never an error,
-    so that quality rules can route the row.
+    `paths` gives the dotted path of a field where it is not the field's own name at
+    the top level. The JSON is read once, as text, and each value is then cast: one
+    that does not fit its type becomes null, never an error, so that quality rules
+    can route the row.
     """
     require_columns(bronze, ["raw_payload_json"], "flatten_payload")
-    paths = dict(paths or {})
-    raw = F.col("raw_payload_json")
-    fields = [
-        F.get_json_object(raw, paths.get(f.name, f"$.{f.name}")).try_cast(f.dataType).alias(f.name)
-        for f in schema
-    ]
+    places = {f.name: dict(paths or {}).get(f.name, f.name).split(".") for f in schema}
+    parsed = F.from_json(F.col("raw_payload_json"), _text_schema(list(places.values())))
     kept = [c for c in bronze.columns if c != "raw_payload_json"]
-    return bronze.select(*kept, *fields)
+
+    def value(place: list[str]) -> Column:
+        column = F.col("_parsed")
+        for name in place:
+            column = column[name]
+        return column
+
+    return bronze.withColumn("_parsed", parsed).select(
+        *kept, *[value(places[f.name]).try_cast(f.dataType).alias(f.name) for f in schema]
+    )
+
+
+def _text_schema(places: Sequence[Sequence[str]]) -> T.StructType:
+    """A struct that holds the value at every place as text."""
+    fields = []
+    for name in dict.fromkeys(p[0] for p in places):
+        below = [p[1:] for p in places if p[0] == name and len(p) > 1]
+        fields.append(T.StructField(name, _text_schema(below) if below else T.StringType()))
+    return T.StructType(fields)

@@ -14,7 +14,7 @@ from carelake.operators import linkage, masking, merge, quality, silver
 from carelake.operators.deidentify import CLINICAL_POLICY, deidentify
 from carelake.plans import marts
 from carelake.plans.chain import Chain, ChainSettings, chain
-from carelake.session import workspace
+from carelake.session import materialize, workspace
 from carelake.sources import bronze, streams
 from carelake.sources.snapshots import read_snapshot
 from carelake.streaming import sinks
@@ -69,7 +69,7 @@ def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flatten_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.flatten_payload(
-        inputs.event_bronze(spark, sf_dir), FLAT_RECORD, {"patient_id": "$.user", "k": "$.props.k"}
+        inputs.event_bronze(spark, sf_dir), FLAT_RECORD, {"patient_id": "user", "k": "props.k"}
     )
 
 
@@ -279,7 +279,10 @@ def link_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_chain(spark: SparkSession, sf_dir: str) -> Chain:
-    return chain(inputs.order_payloads(spark, sf_dir), ChainSettings(salt=SALT))
+    return chain(
+        inputs.order_payloads(spark, sf_dir), ChainSettings(salt=SALT),
+        boundary=lambda raw: materialize(raw, "silver-raw"),
+    )
 
 
 def chain_readmissions(spark: SparkSession, sf_dir: str) -> DataFrame:

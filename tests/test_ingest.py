@@ -94,7 +94,7 @@ def test_flatten_gives_null_for_what_does_not_fit(spark):
     ]
     nested = bronze.flatten_payload(
         spark.createDataFrame([("1", '{"who":{"id":"P9"}}')], "payload_id string, raw_payload_json string"),
-        T.StructType([T.StructField("pid", T.StringType())]), {"pid": "$.who.id"},
+        T.StructType([T.StructField("pid", T.StringType())]), {"pid": "who.id"},
     )
     assert rows(nested) == [("1", "P9")]
 

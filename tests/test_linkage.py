@@ -56,8 +56,7 @@ def components(nodes, edges):
     return sorted(label.items())
 
 
-@pytest.mark.parametrize("settings", [SETTINGS, FREE])
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("settings, seed", [(SETTINGS, 1), (FREE, 2)])
 def test_pattern_counts(spark, settings, seed):
     data = people(seed)
     df = spark.createDataFrame(data, SCHEMA)
@@ -94,8 +93,7 @@ def test_sampled_rates_keep_to_the_number_of_pairs(spark):
     assert k.agreement_rates(df, SETTINGS, max_pairs=1000, seed=5).collect() == got
 
 
-@pytest.mark.parametrize("settings", [SETTINGS, FREE])
-@pytest.mark.parametrize("threshold", [0.3, 0.8, 0.97])
+@pytest.mark.parametrize("settings, threshold", [(FREE, 0.3), (SETTINGS, 0.8), (FREE, 0.97)])
 def test_predictions_partners_and_clusters(spark, settings, threshold):
     data = people(4)
     df = spark.createDataFrame(data, SCHEMA)
@@ -127,7 +125,7 @@ def test_predictions_partners_and_clusters(spark, settings, threshold):
     assert sorted(map(tuple, k.clusters(df, settings, MODEL, threshold).collect())) == expected
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_clusters_with_missing_values_that_decide(spark, seed):
     """City decides: a pair is a match if it agrees or is missing, not if it differs."""
     settings = k.LinkSettings(compare=("first_name", "last_name", "city"))
@@ -188,7 +186,7 @@ def test_no_pair_is_formed_in_a_block(spark):
     assert got.count() == 100_000
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_connected_components(spark, seed):
     rng = random.Random(seed)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]
