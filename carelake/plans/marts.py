@@ -62,16 +62,21 @@ def hedis(
 
 
 def readmission_pairs(
-    conditions: DataFrame, concept: int = INPATIENT_VISIT, days: int = READMISSION_DAYS
+    conditions: DataFrame, concept: int = INPATIENT_VISIT, days: int = READMISSION_DAYS,
+    per_day: bool = False,
 ) -> DataFrame:
     """Inpatient stays with each readmission up to `days` days after the discharge.
 
     One row per stay and readmission, and one with a null readmission for a stay
-    without any. Readmissions are first counted per person and day. Days are cut into
-    blocks of `days` days, and each block is given the days of the next one too, so
-    the window of a stay lies in one block. The join is on person and block: a stay
-    meets at most 2 x `days` rows, and a person with very many stays is spread over
-    the blocks.
+    without any. That is a row per pair, which for a person with very many stays a day
+    is far more than there are stays: `per_day` gives a row per stay and day of
+    readmission instead, at most `days` of them, with the number of readmissions as
+    `n_readmissions`.
+
+    Readmissions are first counted per person and day. Days are cut into blocks of
+    `days` days, and each block is given the days of the next one too, so the window
+    of a stay lies in one block. The join is on person and block: a stay meets at most
+    2 x `days` rows, and a person with very many stays is spread over the blocks.
     """
     require_columns(
         conditions,
@@ -103,13 +108,18 @@ def readmission_pairs(
     matched = index.join(later, on, "left").select(
         "i.person_id", "admission_date", "discharge_date", "readmission_date", "stays"
     )
+    flag = F.when(day.isNotNull(), 1).otherwise(0)
+    columns = ["person_id", "admission_date", "discharge_date", "readmission_date"]
+    if per_day:
+        return matched.select(
+            *columns, flag.alias("is_readmitted_30_days"),
+            F.coalesce(F.col("stays"), F.lit(0)).alias("n_readmissions"),
+        )
     # Back to one row per readmission, in chunks that keep the arrays short when one
     # day of a person holds very many stays.
     number = F.coalesce(F.col("stays"), F.lit(1))
     chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), number - 1, F.lit(_EXPANSION).cast("bigint")))
     in_chunk = F.least(number - F.col("chunk"), F.lit(_EXPANSION)).cast("int")
-    flag = F.when(day.isNotNull(), 1).otherwise(0)
-    columns = ["person_id", "admission_date", "discharge_date", "readmission_date"]
     return matched.withColumn("chunk", chunk).select(
         *columns, F.explode(F.array_repeat(flag, in_chunk)).alias("is_readmitted_30_days")
     )

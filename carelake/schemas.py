@@ -14,8 +14,6 @@ BRONZE_PAYLOADS = T.StructType([
     T.StructField("ingestion_timestamp", T.TimestampType()),
 ])
 
-# Only the fields that are read are declared: from_json prunes top-level fields
-# but not nested ones, so a declared and unused map would still be built per row.
 _STRING_MAP = T.MapType(T.StringType(), T.StringType())
 CHANGE_ENVELOPE = T.StructType([
     T.StructField("payload", T.StructType([
@@ -26,6 +24,12 @@ CHANGE_ENVELOPE = T.StructType([
     ])),
 ])
 
+# The change code alone: from_json builds every nested field that is declared, so
+# looking for the code with this schema is cheaper than with the whole envelope.
+CHANGE_CODE = T.StructType([
+    T.StructField("payload", T.StructType([T.StructField("op", T.StringType())])),
+])
+
 RESOURCE_ENVELOPE = T.StructType([
     T.StructField("resourceType", T.StringType()),
     T.StructField("id", T.StringType()),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,18 +26,24 @@ def local_session(cpus: int | str = "*", app: str = "carelake", **conf: str) ->
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="carelake-")
+
+
 def workspace(spark: SparkSession, purpose: str) -> str:
     """A new path below the shared folder of `spark.checkpoint.dir`.
 
     Every executor must see it, so a machine-local folder is only made up for a
-    local master without that setting.
+    local master without that setting. What is written there is not removed; clean
+    the folder as any checkpoint folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="carelake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own_folder(context.applicationId)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

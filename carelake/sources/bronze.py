@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.functions.payload import content_id
-from carelake.schemas import CHANGE_ENVELOPE, RESOURCE_ENVELOPE, require_columns
+from carelake.schemas import CHANGE_CODE, CHANGE_ENVELOPE, RESOURCE_ENVELOPE, require_columns
 
 # The source name of claim files, and the change codes that are kept.
 CLAIM_SOURCE = "EDI_X12_BATCH"
@@ -47,12 +47,13 @@ def land_text(lines: DataFrame, source: str = CLAIM_SOURCE, at: datetime | None
     ).withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
 
 
-def _changes(lines: DataFrame) -> DataFrame:
-    require_columns(lines, ["value"], "cdc_extract")
-    text = F.col("value").cast("string")
-    return lines.select(
-        text.alias("raw_payload_json"), F.from_json(text, CHANGE_ENVELOPE)["payload"].alias("change")
-    )
+def _change_text(lines: DataFrame, operator: str) -> DataFrame:
+    require_columns(lines, ["value"], operator)
+    return lines.select(F.col("value").cast("string").alias("raw_payload_json"))
+
+
+def _change_code() -> Column:
+    return F.from_json(F.col("raw_payload_json"), CHANGE_CODE)["payload"]["op"]
 
 
 def cdc_extract(lines: DataFrame, at: datetime | None = None, strict_after: bool = False) -> DataFrame:
@@ -61,9 +62,11 @@ def cdc_extract(lines: DataFrame, at: datetime | None = None, strict_after: bool
     A delete has no `after` image; its id is taken from `before`, unless
     `strict_after` asks for the image after the change only.
     """
+    kept = _change_text(lines, "cdc_extract").filter(_change_code().isin(*KEPT_CHANGES))
     after_id = F.col("change.after")["id"]
     row_id = after_id if strict_after else F.coalesce(after_id, F.col("change.before")["id"])
-    return _changes(lines).filter(F.col("change.op").isin(*KEPT_CHANGES)).select(
+    change = F.from_json(F.col("raw_payload_json"), CHANGE_ENVELOPE)["payload"]
+    return kept.withColumn("change", change).select(
         row_id.alias("payload_id"),
         F.col("change.source")["db"].alias("source_system_id"),
         "raw_payload_json",
@@ -73,7 +76,7 @@ def cdc_extract(lines: DataFrame, at: datetime | None = None, strict_after: bool
 
 def cdc_rejects(lines: DataFrame) -> DataFrame:
     """Change-log lines without a readable change code, which `cdc_extract` leaves out."""
-    return _changes(lines).filter(F.col("change.op").isNull()).select("raw_payload_json")
+    return _change_text(lines, "cdc_rejects").filter(_change_code().isNull())
 
 
 def stream_extract(lines: DataFrame, at: datetime | None = None) -> DataFrame:

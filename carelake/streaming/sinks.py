@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from carelake.operators.merge import merge_snapshot
+from carelake.operators.merge import merge_into, merge_snapshot
 
 INGEST_TRIGGER = "1 minute"
 SILVER_TRIGGER = "5 minutes"
@@ -75,7 +75,8 @@ def start_merge(
 ) -> StreamingQuery:
     """Merge every batch of changes into the snapshots below `path`.
 
-    A batch that runs twice changes nothing the second time, because a change must be
+    Each batch writes the table again, so keep batches few and large, or use
+    `start_merge_into`. A batch that runs twice changes nothing the second time, because a change must be
     newer than the row it meets. A key that a batch deletes is an exception: its
     older update, should it come again, inserts it, unless `tombstones=True`.
     """
@@ -84,3 +85,14 @@ def start_merge(
         merge_snapshot(batch.sparkSession, path, batch, **options)
 
     return _started(stream.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
+def start_merge_into(
+    stream: DataFrame, table: str, checkpoint: str, trigger: str | None = SILVER_TRIGGER
+) -> StreamingQuery:
+    """Merge every batch into a catalog table whose format rewrites single rows."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        merge_into(batch, table)
+
+    return _started(stream.writeStream.foreachBatch(write), checkpoint, trigger)

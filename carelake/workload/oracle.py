@@ -336,6 +336,17 @@ ORACLE: dict[str, str] = {
         FROM stays i LEFT JOIN stays s
           ON i.person_id = s.person_id AND s.condition_start_date > i.condition_end_date
          AND s.condition_start_date <= i.condition_end_date + 30""",
+    "readmission_days": f"""WITH {CONDITIONS},
+        stays AS (SELECT * FROM conditions WHERE condition_concept_id = 9201)
+        SELECT i.person_id, i.condition_start_date AS admission_date, i.condition_end_date AS discharge_date,
+               s.condition_start_date AS readmission_date,
+               CASE WHEN s.condition_start_date IS NOT NULL THEN 1 ELSE 0 END AS is_readmitted_30_days,
+               count(s.condition_start_date) AS n_readmissions
+        FROM stays i LEFT JOIN stays s
+          ON i.person_id = s.person_id AND s.condition_start_date > i.condition_end_date
+         AND s.condition_start_date <= i.condition_end_date + 30
+        GROUP BY i.condition_occurrence_id, i.person_id, i.condition_start_date, i.condition_end_date,
+                 s.condition_start_date""",
     "readmission_30d": f"WITH {CONDITIONS} {_readmissions('conditions')}",
     "readmission_30d_any_ids": f"""WITH {CONDITIONS},
         repeated AS (SELECT * REPLACE (condition_occurrence_id // 2 AS condition_occurrence_id) FROM conditions)

@@ -182,6 +182,10 @@ def readmission_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.readmission_pairs(inputs.conditions(spark, sf_dir))
 
 
+def readmission_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.readmission_pairs(inputs.conditions(spark, sf_dir), per_day=True)
+
+
 def readmission_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.readmission_30d(inputs.conditions(spark, sf_dir), unique_ids=True)
 
@@ -302,7 +306,7 @@ QUERIES: dict[str, Query] = {
         deid_token, deid_dateshift, redact_text, redact_documents, deid_drop,
         condition_map, concept_lookup, dq_metrics, dq_report, dq_valid, dq_dlq,
         merge_upsert, merge_latest, merge_repeated, merge_tombstones, merge_stream,
-        hedis, hedis_latest, readmission_pairs, readmission_30d, readmission_30d_any_ids,
+        hedis, hedis_latest, readmission_pairs, readmission_days, readmission_30d, readmission_30d_any_ids,
         readmission_30d_all, readmission_30d_join, admission_count, repeat_admissions,
         admission_count_stream, mask_engineer, mask_analyst,
         link_pairs, link_rates, link_predict, link_partners, link_em, link_clusters,

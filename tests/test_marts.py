@@ -6,8 +6,10 @@ import random
 import duckdb
 import pytest
 from conftest import plan, rows
+from pyspark.sql import functions as F
 
 from carelake.plans import marts
+from carelake.schemas import MEASUREMENT
 
 D = dt.date
 
@@ -175,3 +177,23 @@ def test_a_hot_person_is_reduced_to_days_before_the_window(spark, tmp_path):
     assert got["hot"] == df.filter("person_id = 'hot'").count() - last_day
     text = plan(marts.readmission_30d(df, unique_ids=True))
     assert "Join" not in text and "Python" not in text
+
+
+def test_concept_filters_and_columns_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "conditions")
+    spark.createDataFrame(random_conditions(6, None), SCHEMA).withColumn("unused", F.lit(1)).write.parquet(path)
+    df = spark.read.parquet(path)
+    measurements = spark.createDataFrame([], MEASUREMENT)
+    for mart, concept in ((marts.hedis(df, measurements), 201820), (marts.readmission_pairs(df), 9201)):
+        text = plan(mart)
+        assert f"EqualTo(condition_concept_id,{concept})" in text
+        assert "unused" not in text
+
+
+def test_pairs_per_day_stand_for_the_pairs(spark):
+    df = spark.createDataFrame(random_conditions(8, None), SCHEMA)
+    listed = marts.readmission_pairs(df).filter("is_readmitted_30_days = 1")
+    per_day = marts.readmission_pairs(df, per_day=True)
+    total = per_day.agg(F.sum("n_readmissions")).first()[0]
+    assert total == listed.count() > 0
+    assert per_day.filter("is_readmitted_30_days = 0").agg(F.sum("n_readmissions")).first()[0] == 0
