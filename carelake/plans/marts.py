@@ -164,8 +164,8 @@ def readmission_30d(
     Pairs are never formed. A window over the person's days tells which ids lie
     within reach of a day: an occurrence has a follower if the smallest or the
     largest id in reach is not its own. `unique_ids` says that no id repeats, as
-    after a merge; a count per day then replaces the ids, and the rows are shuffled
-    once instead of four times.
+    after a merge; a count per day and its neighbouring days then suffice, and the
+    rows are shuffled once instead of four times.
     """
     starts = _starts(conditions)
     totals = _totals_of_unique(starts, days) if unique_ids else _totals_of_any(starts, days)
@@ -174,16 +174,17 @@ def readmission_30d(
 
 
 def _totals_of_unique(starts: DataFrame, days: int) -> DataFrame:
-    after, before = _around(days)
+    """The nearest other days decide: any further one is out of reach if they are."""
     per_day = starts.groupBy("person_id", "day").agg(F.count(F.lit(1)).alias("n"))
+    by_day = Window.partitionBy("person_id").orderBy("day")
     seen = per_day.select(
         "person_id", "n",
-        F.when(F.count(F.lit(1)).over(after) > 0, F.col("n")).otherwise(0).alias("index_n"),
-        F.when(F.count(F.lit(1)).over(before) > 0, F.col("n")).otherwise(0).alias("again_n"),
+        (F.date_diff(F.lead("day").over(by_day), "day") <= days).alias("followed"),
+        (F.date_diff("day", F.lag("day").over(by_day)) <= days).alias("follows"),
     )
     return seen.groupBy("person_id").agg(
-        F.sum("index_n").alias("total_index_admissions"),
-        F.sum("again_n").alias("total_30_day_readmissions"),
+        F.sum(F.when(F.col("followed"), F.col("n")).otherwise(0)).alias("total_index_admissions"),
+        F.sum(F.when(F.col("follows"), F.col("n")).otherwise(0)).alias("total_30_day_readmissions"),
     ).filter(F.col("total_index_admissions") > 0)
 
 

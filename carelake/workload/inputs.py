@@ -17,6 +17,9 @@ SALT = "workload-salt"
 # Key of a change that meets no row: beyond every key of the tables.
 NEW_KEY_OFFSET = 10**12
 
+# A fixed number of rounds, so that the SQL can state it.
+EM_ITERATIONS = 12
+
 LINK = LinkSettings(unique_id="unique_id", block=("nation",), compare=("name", "segment", "balance"))
 LINK_MODEL = LinkModel(
     m={"name": 0.9, "segment": 0.85, "balance": 0.8},

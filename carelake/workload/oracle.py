@@ -6,7 +6,7 @@ by the way the Spark operators reach it.
 
 from __future__ import annotations
 
-from carelake.workload.inputs import LINK_MODEL, NEW_KEY_OFFSET, SALT
+from carelake.workload.inputs import EM_ITERATIONS, LINK_MODEL, NEW_KEY_OFFSET, SALT
 
 
 def _token(value: str, salt: str = SALT) -> str:
@@ -201,6 +201,37 @@ _RATES = " UNION ALL ".join(
     for c in COMPARED
 )
 
+def _odds() -> str:
+    parts = ["prior / (1 - prior)"]
+    for c in COMPARED:
+        parts.append(f"CASE gamma_{c} WHEN 1 THEN m_{c} / u_{c} WHEN 0 THEN (1 - m_{c}) / (1 - u_{c}) ELSE 1 END")
+    return " * ".join(parts)
+
+
+_NEXT_M = ", ".join(
+    f"sum(share) FILTER (gamma_{c} = 1) / sum(share) FILTER (gamma_{c} <> -1) AS m_{c}" for c in COMPARED
+)
+_U = ", ".join(f"max(u) FILTER (column_name = '{c}') AS u_{c}" for c in COMPARED)
+_MODEL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(m_{c}, 6) AS m, round(u_{c}, 6) AS u, round(prior, 6) AS prior FROM last"
+    for c in COMPARED
+)
+
+EM = f"""rates AS (SELECT column_name, CAST(agree AS DOUBLE) / pairs AS u FROM ({_RATES})),
+    u AS (SELECT {_U} FROM rates),
+    patterns AS (
+        SELECT {_GAMMAS}, CAST(count(*) AS DOUBLE) AS n
+        FROM persons l JOIN persons r ON l.nation = r.nation AND l.unique_id < r.unique_id
+        GROUP BY ALL),
+    em AS (
+        SELECT 0 AS round, 0.01::DOUBLE AS prior, {", ".join(f"0.9::DOUBLE AS m_{c}" for c in COMPARED)}
+        UNION ALL
+        SELECT round + 1 AS round, sum(share) / sum(n) AS prior, {_NEXT_M}
+        FROM (SELECT *, n * odds / (1 + odds) AS share
+              FROM (SELECT *, {_odds()} AS odds FROM em, patterns, u WHERE round < {EM_ITERATIONS}))
+        GROUP BY round),
+    last AS (SELECT * FROM em, u WHERE round = {EM_ITERATIONS})"""
+
 CHAIN = f"""payloads AS (
     SELECT CAST(o_orderkey AS VARCHAR) AS condition_occurrence_id,
            CASE WHEN o_orderkey % 50 <> 0 THEN {_token("'MRN' || CAST(o_custkey AS VARCHAR)")} END AS person_id,
@@ -288,11 +319,11 @@ ORACLE: dict[str, str] = {
                round(metric, 9) AS metric, CASE WHEN NOT passed THEN message END AS message
         FROM lines""",
     "dq_valid": f"""WITH {FLAWED}
-        SELECT * FROM flawed
+        SELECT * REPLACE (CAST(condition_concept_id AS VARCHAR) AS condition_concept_id) FROM flawed
         WHERE person_id IS NOT NULL AND condition_occurrence_id IS NOT NULL
           AND coalesce(condition_concept_id >= 0, true)""",
     "dq_dlq": f"""WITH {FLAWED}
-        SELECT *, concat_ws(',',
+        SELECT * REPLACE (CAST(condition_concept_id AS VARCHAR) AS condition_concept_id), concat_ws(',',
                    CASE WHEN person_id IS NULL THEN 'complete(person_id)' END,
                    CASE WHEN condition_occurrence_id IS NULL THEN 'complete(condition_occurrence_id)' END,
                    CASE WHEN condition_concept_id < 0 THEN 'non_negative(condition_concept_id)' END) AS reasons
@@ -400,13 +431,14 @@ ORACLE: dict[str, str] = {
                {_GAMMA_NAMES}, round(match_weight, 9) AS match_weight,
                round(match_probability, 9) AS match_probability
         FROM scored""",
+    "link_em": f"WITH RECURSIVE {PERSONS}, {EM} {_MODEL}",
     "link_clusters": f"""WITH RECURSIVE {PERSONS}, {_scored('persons', 'persons', 'l.unique_id <> r.unique_id')},
         reach AS (
             SELECT unique_id AS node, unique_id AS origin FROM persons
             UNION
             SELECT s.unique_id_r, reach.origin FROM reach JOIN scored s ON s.unique_id_l = reach.node)
         SELECT node AS unique_id, min(origin) AS cluster_id FROM reach GROUP BY node""",
-    "chain_readmissions": f"""WITH {CHAIN}, valid AS (SELECT * FROM payloads WHERE person_id IS NOT NULL)
+    "chain_e2e": f"""WITH {CHAIN}, valid AS (SELECT * FROM payloads WHERE person_id IS NOT NULL)
         {_readmissions('valid')}""",
     "chain_dead_letters": f"""WITH {CHAIN}
         SELECT *, 'complete(person_id)' AS reasons FROM payloads WHERE person_id IS NULL""",

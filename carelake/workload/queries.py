@@ -130,13 +130,18 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _concept_as_text(routed: DataFrame) -> DataFrame:
+    """Null concepts are compared as text, since some clients show a null integer as a float."""
+    return routed.withColumn("condition_concept_id", F.col("condition_concept_id").cast("string"))
+
+
 def dq_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.valid_rows(inputs.flawed_conditions(spark, sf_dir))
+    return _concept_as_text(quality.valid_rows(inputs.flawed_conditions(spark, sf_dir)))
 
 
 def dq_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
     dead = quality.dead_letters(inputs.flawed_conditions(spark, sf_dir))
-    return dead.withColumn("reasons", F.array_join("reasons", ","))
+    return _concept_as_text(dead).withColumn("reasons", F.array_join("reasons", ","))
 
 
 def _dated(merged: DataFrame) -> DataFrame:
@@ -275,7 +280,10 @@ def link_partners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_em(spark: SparkSession, sf_dir: str) -> DataFrame:
     persons = inputs.persons(spark, sf_dir)
-    return linkage.model_frame(persons, LINK, linkage.estimate(persons, LINK))
+    model = linkage.estimate(persons, LINK, max_iterations=inputs.EM_ITERATIONS, tolerance=0.0)
+    return linkage.model_frame(persons, LINK, model).select(
+        "column_name", *[F.round(c, 6).alias(c) for c in ("m", "u", "prior")]
+    )
 
 
 def link_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,7 +297,7 @@ def _order_chain(spark: SparkSession, sf_dir: str) -> Chain:
     )
 
 
-def chain_readmissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def chain_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_chain(spark, sf_dir).readmissions
 
 
@@ -310,6 +318,6 @@ QUERIES: dict[str, Query] = {
         readmission_30d_all, readmission_30d_join, admission_count, repeat_admissions,
         admission_count_stream, mask_engineer, mask_analyst,
         link_pairs, link_rates, link_predict, link_partners, link_em, link_clusters,
-        chain_readmissions, chain_dead_letters,
+        chain_e2e, chain_dead_letters,
     )
 }

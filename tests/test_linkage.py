@@ -195,3 +195,8 @@ def test_connected_components(spark, seed):
     nodes = {n for a, b in edges if a != b for n in (a, b)}
     got = connected_components(spark.createDataFrame(edges, "left int, right int"))
     assert sorted(map(tuple, got.collect())) == components(nodes, [e for e in edges if e[0] != e[1]])
+
+
+def test_no_edges_have_no_components(spark):
+    assert connected_components(spark.createDataFrame([], "left int, right int")).count() == 0
+    assert connected_components(spark.createDataFrame([(1, 1)], "left int, right int")).count() == 0
