@@ -375,54 +375,34 @@ def partners(
 ) -> DataFrame:
     """The records that match the `wanted` ones, one scored row per pair.
 
-    The result has a row per partner, so ask for the records of interest. The join is
-    on the block and on columns that every predicted pair of its branch agrees on,
-    not on the block alone.
+    The result has a row per partner, so ask for the records of interest. Records meet
+    on the keys of `clusters`, which only matching ones share, so no pair is formed
+    that is not in the result.
     """
     _check(wanted, settings, "partners")
-    patterns = _predicted(settings, model, threshold)
-    l, r = _blocked(wanted, settings).alias("l"), _blocked(records, settings).alias("r")
-    levels = [gamma(F.col(f"l.{c}"), F.col(f"r.{c}")) for c in settings.compare]
-    weight = F.lit(math.log2(model.prior / (1 - model.prior)))
-    for c, level in zip(settings.compare, levels):
-        agree, differ = model.weights(c)[AGREE], model.weights(c)[DIFFER]
-        weight = weight + F.when(level == AGREE, agree).when(level == DIFFER, differ).otherwise(0.0)
-    same_block = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in settings.block]
-    branches = []
-    earlier: list[Column] = []
-    for mask in _minimal({_mask(p, (AGREE,)) for p in patterns}):
-        agreed = [c for c, bit in zip(settings.compare, _bits(settings.compare)) if mask & bit]
-        on = [*same_block, *[F.col(f"l.{c}") == F.col(f"r.{c}") for c in agreed]]
-        pairs = l.join(r, on + [F.col(f"l.{settings.unique_id}") != F.col(f"r.{settings.unique_id}")])
-        for condition in earlier:
-            pairs = pairs.filter(~condition)
-        hit = F.lit(True)
-        for c in agreed:
-            hit = hit & F.coalesce(F.col(f"l.{c}") == F.col(f"r.{c}"), F.lit(False))
-        earlier.append(hit)
-        branches.append(pairs.select(
-            F.col(f"l.{settings.unique_id}").alias("unique_id_l"),
-            F.col(f"r.{settings.unique_id}").alias("unique_id_r"),
-            *[F.col(f"{s}.{c}").alias(f"{c}_{s}") for c in settings.compare for s in ("l", "r")],
-            *[level.alias(f"gamma_{c}") for c, level in zip(settings.compare, levels)],
-            weight.alias("match_weight"),
-        ))
-    if not branches:
+    found = [_link_keys(_blocked(df, settings), settings, model, threshold) for df in (wanted, records)]
+    if found[0] is None:
         raise ValueError("partners: no comparison pattern reaches the threshold")
-    out = branches[0]
-    for branch in branches[1:]:
-        out = out.unionByName(branch)
+    l, r = (df.alias(side) for df, side in zip(found, ("l", "r")))
+    meet = [
+        F.col("l.key") == F.col("r.key"),
+        (F.col("l.sides") == 1) | (F.col("l.side") != F.col("r.side")),
+        F.col("l.id") != F.col("r.id"),
+    ]
+    sides = [
+        F.col(f"{s}.v{i}").alias(f"{c}_{s}") for i, c in enumerate(settings.compare) for s in ("l", "r")
+    ]
+    # A pair that meets several requirements shares several keys.
+    pairs = l.join(r, meet).select(
+        F.col("l.id").alias("unique_id_l"), F.col("r.id").alias("unique_id_r"), *sides
+    ).distinct()
+    weight = F.lit(math.log2(model.prior / (1 - model.prior)))
+    for c in settings.compare:
+        level, weights = F.col(f"gamma_{c}"), model.weights(c)
+        weight = weight + F.when(level == AGREE, weights[AGREE]).when(level == DIFFER, weights[DIFFER]).otherwise(0.0)
+    levels = {f"gamma_{c}": gamma(F.col(f"{c}_l"), F.col(f"{c}_r")) for c in settings.compare}
     chance = F.lit(1.0) / (F.lit(1.0) + F.pow(F.lit(2.0), -F.col("match_weight")))
-    return out.withColumn("match_probability", chance).filter(_pattern_in(settings, patterns))
-
-
-def _pattern_in(settings: LinkSettings, patterns: Sequence[Pattern]) -> Column:
-    code = F.concat_ws(",", *[F.col(f"gamma_{c}").cast("string") for c in settings.compare])
-    return code.isin([",".join(map(str, p)) for p in patterns])
-
-
-def _minimal(masks: set[int]) -> list[int]:
-    return sorted(m for m in masks if not any(o != m and o & m == o for o in masks))
+    return pairs.withColumns(levels).withColumn("match_weight", weight).withColumn("match_probability", chance)
 
 
 def clusters(
@@ -459,18 +439,18 @@ def clusters(
 def _link_keys(
     records: DataFrame, settings: LinkSettings, model: LinkModel, threshold: float
 ) -> DataFrame | None:
-    """Keys whose holders are all connected: `key`, `id`, `side`, `sides`.
+    """Keys whose holders all match: `key`, `id`, `side`, `sides`, and the compared values.
 
     A requirement is a least set of columns that must agree, and of columns that must
     not differ. Take two records with given sets of filled columns: they meet the
     requirement if and only if they share the values of what both have. So records
     with filled sets a and b hold the key of the unordered pair {a, b} and those
-    values; it connects all its holders if both sides occur. For a = b there is one
-    side, and its holders match each other.
+    values; those of different sides match. For a = b there is one side, and all its
+    holders match each other. No two other records share a key so.
     """
     for c in settings.compare:
         if model.m[c] < model.u[c]:
-            raise ValueError(f"clusters: agreement on {c} lowers the score; leave it out")
+            raise ValueError(f"linkage: agreement on {c} lowers the score; leave it out")
     patterns = _predicted(settings, model, threshold)
     if not patterns:
         return None
@@ -489,7 +469,8 @@ def _link_keys(
         ],
     )
     return records.withColumn("have", have).join(F.broadcast(held), "have").select(
-        F.sha2(F.to_json(content), 256).alias("key"), F.col(settings.unique_id).alias("id"), "side", "sides"
+        F.sha2(F.to_json(content), 256).alias("key"), F.col(settings.unique_id).alias("id"), "side", "sides",
+        *[F.col(c).alias(f"v{i}") for i, c in enumerate(settings.compare)],
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +16,14 @@ from carelake.operators.merge import merge_frames, merge_snapshot
 from carelake.operators.silver import RECORD_COLUMNS, concept_lookup, condition_map
 from carelake.plans import marts
 from carelake.schemas import CLINICAL_RECORD
-from carelake.sources.bronze import flatten_payload, land_text, text_lines
+from carelake.sources.bronze import flatten_payload
 from carelake.sources.snapshots import read_snapshot
 from carelake.sources.tables import replace_files
 
 
+BRONZE_PARTITION = ("feed", "ingestion_date")
+
+
 @dataclass(frozen=True)
 class ChainSettings:
     """How payloads of one source become conditions."""
@@ -28,7 +31,7 @@ class ChainSettings:
     salt: str
     policy: DeidPolicy = CLINICAL_POLICY
     record: T.StructType = CLINICAL_RECORD
-    paths: Mapping[str, str] | None = None
+    paths: Mapping[str, str | Sequence[str]] | None = None
     columns: Mapping[str, str] | None = None
     rules: Sequence[quality.Rule] = quality.CONDITION_RULES
     on_fail: str = "route"
@@ -86,40 +89,46 @@ def chain(
     )
 
 
-def run_daily(
-    spark: SparkSession, input_path: str, root: str, run_at: datetime, settings: ChainSettings,
+def land(bronze: DataFrame, root: str, feed: str) -> None:
+    """Write Bronze rows of a feed, replacing that feed's rows of the same days.
+
+    A stream lands with `start_append` in the same folder, partitioned alike.
+    """
+    dated = bronze.withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
+    replace_files(dated.withColumn("feed", F.lit(feed)), f"{root}/bronze", BRONZE_PARTITION)
+
+
+def run_day(
+    spark: SparkSession, root: str, feed: str, day: date, settings: ChainSettings,
     vocabulary: DataFrame | None = None, measurements: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Land the files of a day and carry them through all zones below `root`.
+    """Carry what a feed landed on a day through the zones below `root`; the metrics.
 
-    Each zone is written once: a day's Bronze, raw Silver and dead letters replace
-    that day's partition, the merge is by key and the marts are rebuilt, so a run that
-    failed or ran twice is simply run again. Quality is measured while raw Silver is
-    written. With `on_fail="raise"` a broken rule stops the run before the merge.
+    Each zone is written once: raw Silver and dead letters replace the day's
+    partition, the merge is by key and the marts are rebuilt, so a run that failed or
+    ran twice is simply run again. Quality is measured while raw Silver is written.
+    With `on_fail="raise"` a broken rule stops the run before the merge.
     """
-    day = run_at.date()
-    replace_files(land_text(text_lines(spark, input_path), at=run_at), f"{root}/bronze", ["ingestion_date"])
-    bronze = _day(spark, f"{root}/bronze", "ingestion_date", day)
+    here = (F.col("feed") == feed) & (F.col("ingestion_date") == F.lit(day))
+    bronze = spark.read.parquet(f"{root}/bronze").filter(here)
     conditions, seen = quality.observed(
-        to_conditions(bronze, settings, vocabulary), settings.rules, name=f"quality-{day}"
+        to_conditions(bronze, settings, vocabulary), settings.rules, name=f"quality-{feed}-{day}"
     )
-    replace_files(conditions.withColumn("run_date", F.lit(day)), f"{root}/silver_raw", ["run_date"])
+    place = {"feed": F.lit(feed), "ingestion_date": F.lit(day)}
+    replace_files(conditions.withColumns(place), f"{root}/silver_raw", BRONZE_PARTITION)
     measured = {k: int(v) for k, v in seen.get.items()}
-    raw = _day(spark, f"{root}/silver_raw", "run_date", day)
+    raw = spark.read.schema(conditions.withColumns(place).schema).parquet(f"{root}/silver_raw").filter(here)
+    raw = raw.drop(*place)
     dead = quality.dead_letters(raw, settings.rules)
-    replace_files(dead.withColumn("run_date", F.lit(day)), f"{root}/dead_letters", ["run_date"])
+    replace_files(dead.withColumns(place), f"{root}/dead_letters", BRONZE_PARTITION)
     broken = {k: n for k, n in measured.items() if k != "size" and n}
     if settings.on_fail == "raise" and (broken or not measured["size"]):
-        raise quality.QualityBreach(f"{day}: {broken or 'no rows'}")
+        raise quality.QualityBreach(f"{feed} {day}: {broken or 'no rows'}")
     merge_snapshot(spark, f"{root}/condition_occurrence", quality.valid_rows(raw, settings.rules))
     build_marts(read_snapshot(spark, f"{root}/condition_occurrence"), root, measurements)
     return measured
 
 
-def _day(spark: SparkSession, path: str, column: str, day: date) -> DataFrame:
-    return spark.read.parquet(path).filter(F.col(column) == F.lit(day)).drop(column)
-
-
 def build_marts(conditions: DataFrame, root: str, measurements: DataFrame | None = None) -> None:
     """Write the Gold marts over the merged conditions, replacing the last build."""
     built = {

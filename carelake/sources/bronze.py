@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,29 +95,34 @@ def stream_extract(lines: DataFrame, at: datetime | None = None) -> DataFrame:
 
 
 def flatten_payload(
-    bronze: DataFrame, schema: T.StructType, paths: Mapping[str, str] | None = None
+    bronze: DataFrame, schema: T.StructType, paths: Mapping[str, str | Sequence[str]] | None = None
 ) -> DataFrame:
     """Bronze ids plus the typed fields of the raw JSON; the JSON itself is dropped.
 
     `paths` gives the dotted path of a field where it is not the field's own name at
-    the top level. The JSON is read once, as text, and each value is then cast: one
-    that does not fit its type becomes null, never an error, so that quality rules
-    can route the row.
+    the top level, or several paths, of which the first with a value counts: a change
+    log holds a deleted row under `payload.before` only. The JSON is read once, as
+    text, and each value is then cast: one that does not fit its type becomes null,
+    never an error, so that quality rules can route the row.
     """
     require_columns(bronze, ["raw_payload_json"], "flatten_payload")
-    places = {f.name: dict(paths or {}).get(f.name, f.name).split(".") for f in schema}
-    parsed = F.from_json(F.col("raw_payload_json"), _text_schema(list(places.values())))
+    given = dict(paths or {})
+    places: dict[str, list[list[str]]] = {}
+    for f in schema:
+        path = given.get(f.name, f.name)
+        places[f.name] = [p.split(".") for p in ([path] if isinstance(path, str) else path)]
+    parsed = F.from_json(
+        F.col("raw_payload_json"), _text_schema([place for options in places.values() for place in options])
+    )
     kept = [c for c in bronze.columns if c != "raw_payload_json"]
 
     def value(place: list[str]) -> Column:
-        column = F.col("_parsed")
-        for name in place:
-            column = column[name]
-        return column
+        return reduce(lambda column, name: column[name], place, F.col("_parsed"))
 
-    return bronze.withColumn("_parsed", parsed).select(
-        *kept, *[value(places[f.name]).try_cast(f.dataType).alias(f.name) for f in schema]
-    )
+    return bronze.withColumn("_parsed", parsed).select(*kept, *[
+        F.coalesce(*[value(place) for place in places[f.name]]).try_cast(f.dataType).alias(f.name)
+        for f in schema
+    ])
 
 
 def _text_schema(places: Sequence[Sequence[str]]) -> T.StructType:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import json
 
 import pytest
 from conftest import rows
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 
 from carelake.operators.deidentify import DeidPolicy
 from carelake.operators.quality import QualityBreach
-from carelake.plans.chain import ChainSettings, chain, run_daily
+from carelake.plans.chain import ChainSettings, chain, land, run_day
 from carelake.sources import bronze
 from carelake.sources.snapshots import read_snapshot
 
@@ -48,7 +49,9 @@ def test_lazy_chain(spark):
 
 
 def daily(spark, tmp_path, at, settings=SETTINGS):
-    return run_daily(spark, str(tmp_path / "in"), str(tmp_path / "lake"), at, settings)
+    lake = str(tmp_path / "lake")
+    land(bronze.land_text(bronze.text_lines(spark, str(tmp_path / "in")), at=at), lake, "messages")
+    return run_day(spark, lake, "messages", at.date(), settings)
 
 
 def test_daily_run_is_replay_safe(spark, tmp_path):
@@ -72,6 +75,59 @@ def test_daily_run_is_replay_safe(spark, tmp_path):
     assert rows(spark.read.parquet(f"{lake}/gold/admission_count")) == [("PAT-999", 3)]
 
 
+def change(op, at, before=None, after=None):
+    images = {k: v for k, v in (("before", before), ("after", after)) if v}
+    return json.dumps({"payload": {**images, "source": {"db": "pg"}, "op": op, "at": at}})
+
+
+CHANGE_SETTINGS = ChainSettings(
+    salt=SALT,
+    record=T.StructType([
+        *[T.StructField(n, T.StringType()) for n in ("mrn", "pid", "admit_date", "cdc_op")],
+        T.StructField("updated_at", T.TimestampType()),
+    ]),
+    paths={
+        **{n: (f"payload.after.{n}", f"payload.before.{n}") for n in ("mrn", "pid", "admit_date")},
+        "cdc_op": "payload.op", "updated_at": "payload.at",
+    },
+    policy=DeidPolicy(tokens={"mrn": "person"}, shifts={"admitted": ("admit_date", "pid")}),
+    columns={
+        "condition_occurrence_id": "payload_id", "person_id": "person", "condition_start_date": "admitted",
+        "condition_source_value": "source_system_id",
+    },
+)
+
+
+def test_changes_of_two_days_reach_silver(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    row = lambda i, day: {"id": i, "mrn": "M1", "pid": "P1", "admit_date": day}
+    days = [
+        [change("c", "2024-01-01 08:00:00", after=row("a", "2023-01-01")),
+         change("c", "2024-01-01 08:00:00", after=row("b", "2023-01-10")),
+         change("c", "2024-01-01 08:00:00", after=row("c", "2023-06-01")),
+         change("r", "2024-01-01 08:00:00", after=row("snapshot", "2023-06-01")), "broken"],
+        [change("u", "2024-01-02 08:00:00", before=row("c", "2023-06-01"), after=row("c", "2023-01-20")),
+         change("d", "2024-01-02 08:00:00", before=row("b", "2023-01-10"))],
+    ]
+    expected = [([("a",), ("b",), ("c",)], (1, 1)), ([("a",), ("c",)], (1, 1))]
+    for number, (lines, (ids, totals)) in enumerate(zip(days, expected)):
+        at = AT + dt.timedelta(days=number)
+        landed = bronze.cdc_extract(spark.createDataFrame([(v,) for v in lines], "value string"), at=at)
+        land(landed, lake, "changes")
+        assert run_day(spark, lake, "changes", at.date(), CHANGE_SETTINGS)["size"] == len(lines) - 2 * (number == 0)
+        assert rows(read_snapshot(spark, f"{lake}/condition_occurrence"), "condition_occurrence_id") == ids
+        gold = spark.read.parquet(f"{lake}/gold/readmissions_30_day")
+        assert rows(gold, "total_index_admissions", "total_30_day_readmissions") == [totals]
+
+
+def test_feeds_do_not_replace_each_other(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    lines = spark.createDataFrame([("x",)], "value string")
+    for feed in ("one", "two", "one"):
+        land(bronze.land_text(lines, at=AT), lake, feed)
+    assert rows(spark.read.parquet(f"{lake}/bronze"), "feed") == [("one",), ("two",)]
+
+
 def test_the_circuit_breaks_before_the_merge(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("\n".join(MESSAGES) + "\n")
