@@ -23,7 +23,6 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from carelake.operators.components import connected_components
 from carelake.schemas import require_columns
@@ -32,6 +31,8 @@ from carelake.schemas import require_columns
 MAX_COMPARED = 6
 
 AGREE, DIFFER, MISSING = 1, 0, -1
+
+_KEY = ("key_0", "key_1")
 Pattern = tuple[int, ...]
 
 
@@ -380,12 +381,14 @@ def partners(
     that is not in the result.
     """
     _check(wanted, settings, "partners")
+    types = {c: records.schema[c].dataType for c in (*settings.block, *settings.compare)}
+    wanted = wanted.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
     found = [_link_keys(_blocked(df, settings), settings, model, threshold) for df in (wanted, records)]
     if found[0] is None:
         raise ValueError("partners: no comparison pattern reaches the threshold")
     l, r = (df.alias(side) for df, side in zip(found, ("l", "r")))
     meet = [
-        F.col("l.key") == F.col("r.key"),
+        *[F.col(f"l.{key}") == F.col(f"r.{key}") for key in _KEY],
         (F.col("l.sides") == 1) | (F.col("l.side") != F.col("r.side")),
         F.col("l.id") != F.col("r.id"),
     ]
@@ -420,11 +423,11 @@ def clusters(
     keys = _link_keys(_blocked(records, settings), settings, model, threshold)
     links = None
     if keys is not None:
-        heads = keys.groupBy("key").agg(
+        heads = keys.groupBy(*_KEY).agg(
             F.min("id").alias("head"), F.min("side").alias("first"), F.max("side").alias("last"),
             F.max("sides").alias("sides"),
         ).filter((F.col("sides") == 1) | (F.col("first") != F.col("last")))
-        links = keys.select("key", "id").join(heads.select("key", "head"), "key").select(
+        links = keys.select(*_KEY, "id").join(heads.select(*_KEY, "head"), list(_KEY)).select(
             F.col("id").alias("left"), F.col("head").alias("right")
         ).filter(F.col("left") != F.col("right")).distinct()
     ids = records.select(F.col(record_id).alias("id"))
@@ -439,7 +442,7 @@ def clusters(
 def _link_keys(
     records: DataFrame, settings: LinkSettings, model: LinkModel, threshold: float
 ) -> DataFrame | None:
-    """Keys whose holders all match: `key`, `id`, `side`, `sides`, and the compared values.
+    """Keys whose holders all match: `key_0`, `key_1`, `id`, `side`, `sides`, and the values.
 
     A requirement is a least set of columns that must agree, and of columns that must
     not differ. Take two records with given sets of filled columns: they meet the
@@ -461,15 +464,17 @@ def _link_keys(
     )
     bits = list(zip(settings.compare, _bits(settings.compare)))
     have = reduce(add, [F.when(F.col(c).isNotNull(), bit).otherwise(0) for c, bit in bits])
-    content = F.struct(
-        "link", *[F.col(c).cast("string").alias(f"b{i}") for i, c in enumerate(settings.block)],
-        *[
-            F.when(F.col("shared").bitwiseAND(F.lit(bit)) != 0, F.col(c)).cast("string").alias(f"c{bit}")
-            for c, bit in bits
-        ],
-    )
+    # The link says which columns the key holds, and these are not null, so leaving the
+    # other columns out of the hash makes no two contents alike. Two hashes of 64 bits
+    # with their own seeds stand for the content: narrow rows to shuffle, and by chance
+    # one false match in 10^15 runs over 10^12 keys.
+    content = [
+        F.col("link"), *[F.col(c) for c in settings.block],
+        *[F.when(F.col("shared").bitwiseAND(F.lit(bit)) != 0, F.col(c)) for c, bit in bits],
+    ]
     return records.withColumn("have", have).join(F.broadcast(held), "have").select(
-        F.sha2(F.to_json(content), 256).alias("key"), F.col(settings.unique_id).alias("id"), "side", "sides",
+        *[F.xxhash64(F.lit(seed), *content).alias(key) for seed, key in enumerate(_KEY)],
+        F.col(settings.unique_id).alias("id"), "side", "sides",
         *[F.col(c).alias(f"v{i}") for i, c in enumerate(settings.compare)],
     )
 

@@ -134,7 +134,7 @@ def merge_into(changes: DataFrame, table: str, key: str = KEY, time: str = TIME,
 
 def merge_snapshot(
     spark: SparkSession, path: str, changes: DataFrame, key: str = KEY, time: str = TIME,
-    op: str = OP, **options: object,
+    op: str = OP, keep: int | None = None, **options: object,
 ) -> int:
     """Merge into the newest snapshot below `path` and write the next one; its number.
 
@@ -145,4 +145,4 @@ def merge_snapshot(
     target = read_snapshot(spark, path)
     if target is None:
         target = spark.createDataFrame([], changes.schema)
-    return write_snapshot(merge_frames(target, changes, key, time, op, **options), path)
+    return write_snapshot(merge_frames(target, changes, key, time, op, **options), path, keep)

@@ -16,12 +16,12 @@ from carelake.operators.merge import merge_frames, merge_snapshot
 from carelake.operators.silver import RECORD_COLUMNS, concept_lookup, condition_map
 from carelake.plans import marts
 from carelake.schemas import CLINICAL_RECORD
-from carelake.sources.bronze import flatten_payload
+from carelake.sources.bronze import flatten_payload, landed
 from carelake.sources.snapshots import read_snapshot
 from carelake.sources.tables import replace_files
 
 
-BRONZE_PARTITION = ("feed", "ingestion_date")
+DAY_PARTITION = ("feed", "ingestion_date")
 
 
 @dataclass(frozen=True)
@@ -89,15 +89,6 @@ def chain(
     )
 
 
-def land(bronze: DataFrame, root: str, feed: str) -> None:
-    """Write Bronze rows of a feed, replacing that feed's rows of the same days.
-
-    A stream lands with `start_append` in the same folder, partitioned alike.
-    """
-    dated = bronze.withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
-    replace_files(dated.withColumn("feed", F.lit(feed)), f"{root}/bronze", BRONZE_PARTITION)
-
-
 def run_day(
     spark: SparkSession, root: str, feed: str, day: date, settings: ChainSettings,
     vocabulary: DataFrame | None = None, measurements: DataFrame | None = None,
@@ -110,17 +101,17 @@ def run_day(
     With `on_fail="raise"` a broken rule stops the run before the merge.
     """
     here = (F.col("feed") == feed) & (F.col("ingestion_date") == F.lit(day))
-    bronze = spark.read.parquet(f"{root}/bronze").filter(here)
+    bronze = landed(spark, root).filter(here)
     conditions, seen = quality.observed(
         to_conditions(bronze, settings, vocabulary), settings.rules, name=f"quality-{feed}-{day}"
     )
     place = {"feed": F.lit(feed), "ingestion_date": F.lit(day)}
-    replace_files(conditions.withColumns(place), f"{root}/silver_raw", BRONZE_PARTITION)
+    replace_files(conditions.withColumns(place), f"{root}/silver_raw", DAY_PARTITION)
     measured = {k: int(v) for k, v in seen.get.items()}
     raw = spark.read.schema(conditions.withColumns(place).schema).parquet(f"{root}/silver_raw").filter(here)
     raw = raw.drop(*place)
     dead = quality.dead_letters(raw, settings.rules)
-    replace_files(dead.withColumns(place), f"{root}/dead_letters", BRONZE_PARTITION)
+    replace_files(dead.withColumns(place), f"{root}/dead_letters", DAY_PARTITION)
     broken = {k: n for k, n in measured.items() if k != "size" and n}
     if settings.on_fail == "raise" and (broken or not measured["size"]):
         raise quality.QualityBreach(f"{feed} {day}: {broken or 'no rows'}")

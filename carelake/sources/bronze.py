@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.functions.payload import content_id
-from carelake.schemas import CHANGE_CODE, CHANGE_ENVELOPE, RESOURCE_ENVELOPE, require_columns
+from carelake.schemas import (
+    BRONZE_PAYLOADS, CHANGE_CODE, CHANGE_ENVELOPE, RESOURCE_ENVELOPE, conform, require_columns,
+)
+from carelake.sources.tables import replace_files
 
 # The source name of claim files, and the change codes that are kept.
 CLAIM_SOURCE = "EDI_X12_BATCH"
@@ -94,6 +97,29 @@ def stream_extract(lines: DataFrame, at: datetime | None = None) -> DataFrame:
     )
 
 
+def land(bronze: DataFrame, root: str, feed: str, batch: int = 0) -> None:
+    """Write Bronze rows of a feed below `root`, partitioned by feed, day and batch.
+
+    What the feed landed on the same days under the same batch number is replaced, so
+    landing again adds nothing.
+    """
+    dated = conform(bronze, BRONZE_PAYLOADS, "land").withColumns({
+        "feed": F.lit(feed),
+        "ingestion_date": F.to_date("ingestion_timestamp"),
+        "batch": F.lit(batch).cast("bigint"),
+    })
+    replace_files(dated, f"{root}/bronze", ["feed", "ingestion_date", "batch"])
+
+
+def landed(spark: SparkSession, root: str) -> DataFrame:
+    """All Bronze rows below `root` with their feed and day."""
+    schema = T.StructType([
+        *BRONZE_PAYLOADS, T.StructField("feed", T.StringType()),
+        T.StructField("ingestion_date", T.DateType()), T.StructField("batch", T.LongType()),
+    ])
+    return spark.read.schema(schema).parquet(f"{root}/bronze").drop("batch")
+
+
 def flatten_payload(
     bronze: DataFrame, schema: T.StructType, paths: Mapping[str, str | Sequence[str]] | None = None
 ) -> DataFrame:

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from carelake.operators.merge import merge_into, merge_snapshot
+from carelake.sources.bronze import land
+from carelake.sources.snapshots import read_snapshot, write_snapshot
 
 INGEST_TRIGGER = "1 minute"
 SILVER_TRIGGER = "5 minutes"
@@ -31,11 +33,29 @@ def start_append(
     stream: DataFrame, path: str, checkpoint: str, trigger: str | None = INGEST_TRIGGER,
     fmt: str = "parquet", partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Append every batch to files, exactly once."""
+    """Append every batch to files, exactly once.
+
+    The stream logs its files in the folder, and readers of the folder see only these:
+    let no one else write there. See `start_landing` for a shared folder.
+    """
     writer = stream.writeStream.format(fmt).outputMode("append").option("path", path)
     return _started(writer.partitionBy(*partition_by) if partition_by else writer, checkpoint, trigger)
 
 
+def start_landing(
+    stream: DataFrame, root: str, feed: str, checkpoint: str, trigger: str | None = INGEST_TRIGGER
+) -> StreamingQuery:
+    """Land the Bronze rows of a stream beside those of other feeds.
+
+    A batch that runs twice has the same number and replaces its own rows.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        land(batch, root, feed, number)
+
+    return _started(stream.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
 def start_append_table(
     stream: DataFrame, table: str, checkpoint: str, trigger: str | None = INGEST_TRIGGER,
     fmt: str = "parquet",
@@ -48,27 +68,25 @@ def start_append_table(
 
 def start_counts(
     stream: DataFrame, path: str, checkpoint: str, key: str = "person_id",
-    counted: str = "condition_occurrence_id", trigger: str | None = GOLD_TRIGGER,
+    counted: str = "condition_occurrence_id", trigger: str | None = GOLD_TRIGGER, keep: int = 3,
 ) -> StreamingQuery:
-    """Keep the count per key up to date; `read_counts` gives the present state.
+    """Keep the count per key up to date in the snapshots below `path`.
 
-    The state store holds one number per key. A batch writes the new counts of the
-    keys it saw to a folder of its own number, so a batch that runs twice writes the
-    same folder again.
+    The state store holds one number per key. A batch brings the new counts of the
+    keys it saw; counts only grow, so the greater one is the newer, and a batch that
+    runs twice changes nothing.
     """
     counts = stream.groupBy(key).agg(F.count(counted).alias("admission_count"))
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        before = read_snapshot(batch.sparkSession, path)
+        known = batch if before is None else before.unionByName(batch)
+        newest = known.groupBy(key).agg(F.max("admission_count").alias("admission_count"))
+        write_snapshot(newest, path, keep)
 
     return _started(counts.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger)
 
 
-def read_counts(spark: SparkSession, path: str, key: str = "person_id") -> DataFrame:
-    """The newest count per key: counts only grow, so it is the greatest one."""
-    return spark.read.parquet(path).groupBy(key).agg(F.max("admission_count").alias("admission_count"))
-
-
 def start_merge(
     stream: DataFrame, path: str, checkpoint: str, trigger: str | None = SILVER_TRIGGER,
     **options: object,

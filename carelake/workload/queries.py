@@ -228,7 +228,7 @@ def admission_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = workspace(spark, "admission-count")
     sinks.start_counts(orders, f"{out}/counts", f"{out}/checkpoint", trigger=None).awaitTermination()
-    return sinks.read_counts(spark, f"{out}/counts")
+    return read_snapshot(spark, f"{out}/counts")
 
 
 def _sensitive(spark: SparkSession, sf_dir: str) -> DataFrame:

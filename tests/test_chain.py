@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from carelake.operators.deidentify import DeidPolicy
 from carelake.operators.quality import QualityBreach
-from carelake.plans.chain import ChainSettings, chain, land, run_day
+from carelake.plans.chain import ChainSettings, chain, run_day
 from carelake.sources import bronze
 from carelake.sources.snapshots import read_snapshot
 
@@ -50,7 +50,7 @@ def test_lazy_chain(spark):
 
 def daily(spark, tmp_path, at, settings=SETTINGS):
     lake = str(tmp_path / "lake")
-    land(bronze.land_text(bronze.text_lines(spark, str(tmp_path / "in")), at=at), lake, "messages")
+    bronze.land(bronze.land_text(bronze.text_lines(spark, str(tmp_path / "in")), at=at), lake, "messages")
     return run_day(spark, lake, "messages", at.date(), settings)
 
 
@@ -113,7 +113,7 @@ def test_changes_of_two_days_reach_silver(spark, tmp_path):
     for number, (lines, (ids, totals)) in enumerate(zip(days, expected)):
         at = AT + dt.timedelta(days=number)
         landed = bronze.cdc_extract(spark.createDataFrame([(v,) for v in lines], "value string"), at=at)
-        land(landed, lake, "changes")
+        bronze.land(landed, lake, "changes")
         assert run_day(spark, lake, "changes", at.date(), CHANGE_SETTINGS)["size"] == len(lines) - 2 * (number == 0)
         assert rows(read_snapshot(spark, f"{lake}/condition_occurrence"), "condition_occurrence_id") == ids
         gold = spark.read.parquet(f"{lake}/gold/readmissions_30_day")
@@ -124,7 +124,7 @@ def test_feeds_do_not_replace_each_other(spark, tmp_path):
     lake = str(tmp_path / "lake")
     lines = spark.createDataFrame([("x",)], "value string")
     for feed in ("one", "two", "one"):
-        land(bronze.land_text(lines, at=AT), lake, feed)
+        bronze.land(bronze.land_text(lines, at=AT), lake, feed)
     assert rows(spark.read.parquet(f"{lake}/bronze"), "feed") == [("one",), ("two",)]
 
 

@@ -1,11 +1,11 @@
 """Linkage against brute force over all pairs of small tables."""
 
 import random
-from collections import Counter, defaultdict
+from collections import Counter
 from itertools import combinations
 
 import pytest
-from conftest import plan, rows
+from conftest import plan
 
 from carelake.operators import linkage as k
 from carelake.operators.components import connected_components

@@ -119,6 +119,17 @@ def test_snapshots(spark, tmp_path):
     assert rows(read_snapshot(spark, path)) == TARGET
 
 
+def test_old_snapshots_are_removed_on_request(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for _ in range(3):
+        write_snapshot(frame(spark, TARGET), path)
+    assert write_snapshot(frame(spark, UPDATES), path, keep=2) == 4
+    assert sorted(p.name for p in (tmp_path / "table").iterdir()) == ["snapshot=3", "snapshot=4"]
+    assert rows(read_snapshot(spark, path)) == rows(frame(spark, UPDATES))
+    with pytest.raises(ValueError):
+        write_snapshot(frame(spark, TARGET), path, keep=0)
+
+
 def test_plain_files_refuse_a_row_level_merge(spark):
     frame(spark, TARGET).write.mode("overwrite").saveAsTable("plain_target")
     try:

@@ -78,7 +78,7 @@ def test_counts_follow_new_rows(spark, tmp_path):
             F.split("value", ",")[0].alias("condition_occurrence_id"), F.split("value", ",")[1].alias("person_id")
         )
         sinks.start_counts(stream, out, f"{out}-check", trigger=None).awaitTermination()
-        return rows(sinks.read_counts(spark, out).filter("admission_count > 1"))
+        return rows(read_snapshot(spark, out).filter("admission_count > 1"))
 
     assert run() == [("P123", 2)]
     put(inbox, "2.txt", "C004,P124")
@@ -107,6 +107,24 @@ def test_merge_of_a_stream_equals_the_batch_merges(spark, tmp_path):
     assert run() == expected
 
 
+def test_streams_and_batches_land_in_one_bronze(spark, tmp_path):
+    inbox, lake = tmp_path / "in", str(tmp_path / "lake")
+    put(inbox, "1.txt", *RESOURCES[:5])
+    bronze.land(bronze.land_text(bronze.text_lines(spark, str(inbox)), at=AT), lake, "files")
+
+    def run():
+        stream = bronze.stream_extract(streams.file_lines(spark, str(inbox), files_per_batch=1), at=AT)
+        sinks.start_landing(stream, lake, "stream", str(tmp_path / "check"), trigger=None).awaitTermination()
+        return rows(bronze.landed(spark, lake).groupBy("feed").count())
+
+    assert run() == [("files", 5), ("stream", 5)]
+    put(inbox, "2.txt", *RESOURCES[5:7])
+    assert run() == [("files", 5), ("stream", 7)]
+    bronze.land(bronze.land_text(bronze.text_lines(spark, str(inbox)), at=AT), lake, "files")
+    assert run() == [("files", 7), ("stream", 7)]
+    assert rows(bronze.landed(spark, lake), "ingestion_date")[0] == (AT.date(),)
+
+
 def test_a_folder_of_files_streams_like_one_file(spark, tmp_path):
     df = spark.range(100).selectExpr("id", "cast(id % 3 as string) p")
     df.repartition(4).write.parquet(str(tmp_path / "orders.parquet"))
