@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from public_tokenizers import path as vocabulary_path
 
-from carelake.llm import kdtree, packing, toxicity, url_filter
+from carelake.llm import chunked_bpe, kdtree, onebit, packing, toxicity, url_filter
 from carelake.llm.common import table
 
 #: Rules of the URL query.
@@ -41,8 +42,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunked_bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
+
+
+def op10_onebit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onebit.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op3_toxicity, op5_kd_sharding, op7_packing)
+    f.__name__: f for f in (op1_url_filter, op3_toxicity, op5_kd_sharding, op7_packing, op9_chunked_bpe, op10_onebit_search)
 }
 
 ORACLE: dict[str, str] = {}
