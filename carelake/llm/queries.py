@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as vocabulary_path
 
-from carelake.llm import chunked_bpe, kdtree, onebit, packing, toxicity, url_filter
+from carelake.llm import chunked_bpe, kdtree, lattice, onebit, packing, toxicity, url_filter
 from carelake.llm.common import table
 
 #: Rules of the URL query.
@@ -26,6 +26,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, model)
 
 
+def op2_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
@@ -51,7 +55,7 @@ def op10_onebit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op3_toxicity, op5_kd_sharding, op7_packing, op9_chunked_bpe, op10_onebit_search)
+    f.__name__: f for f in (op1_url_filter, op2_lattice_dedup, op3_toxicity, op5_kd_sharding, op7_packing, op9_chunked_bpe, op10_onebit_search)
 }
 
 ORACLE: dict[str, str] = {}
