@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,3 +50,68 @@ def numbered(df: DataFrame, group: str, key: str, rows: int, groups: int, name:
     return counted.join(firsts, [group, "_chunk"]).withColumn(
         name, (F.col("_first") + F.col("_row")).cast("long")
     ).drop("_chunk", "_first", "_row")
+
+
+def paired_blocks(df: DataFrame, row: str, rows: str, block: int) -> DataFrame:
+    """`df` with `block`, `first` and `second`, in place of the column `rows`, its group's size.
+
+    A group of more than `block` rows is dealt into blocks by a hash of `row`, and every
+    pair of blocks, named by the smaller number and the larger, becomes a group of its own.
+    """
+    blocks = F.ceil(F.col(rows) / block).cast("int")
+    dealt = df.withColumn("_blocks", blocks).withColumn("block", F.pmod(F.xxhash64(row), F.col("_blocks")).cast("int"))
+    met = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    return met.withColumns({
+        "first": F.least("block", "_other"), "second": F.greatest("block", "_other"),
+    }).drop("_blocks", "_other", rows)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], names: list[str], at_once: int) -> Iterator[pa.Table]:
+    """Tables of about `at_once` rows, no group of equal `names` parted; rows come in order of `names`."""
+    waiting: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        waiting.append(batch)
+        rows += len(batch)
+        if rows < at_once:
+            continue
+        table = pa.Table.from_batches(waiting)
+        same = np.logical_and.reduce([(c := table[n].to_numpy()) == c[-1] for n in names])
+        cut = int(np.argmax(same))  # the last group may go on
+        if cut:
+            yield table.slice(0, cut).combine_chunks()
+            waiting, rows = table.slice(cut).to_batches(), len(table) - cut
+    if rows:
+        yield pa.Table.from_batches(waiting).combine_chunks()
+
+
+def group_bounds(table: pa.Table, names: list[str]) -> list[tuple[int, int]]:
+    """Starts and ends of the groups of equal `names`."""
+    changes = np.logical_or.reduce([np.diff(table[n].to_numpy()) != 0 for n in names])
+    new = (np.flatnonzero(changes) + 1).tolist()
+    return list(zip([0, *new], [*new, len(table)]))
+
+
+def roots(a: np.ndarray, b: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """For each node the place of the node of least `rank` that the links (a, b) reach; a node is a place in `rank`."""
+    order = np.argsort(rank, kind="stable")
+    low = np.empty(len(rank), dtype=np.int64)
+    low[order] = np.arange(len(rank))
+    while True:
+        before = low.copy()
+        least = np.minimum(low[a], low[b])
+        np.minimum.at(low, a, least)
+        np.minimum.at(low, b, least)
+        low = np.minimum(low, low[order[low]])
+        if (low == before).all():
+            return order[low]
+
+
+def link_rows(ids: np.ndarray, weight: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """id, n_links and root of the ids that the links (a, b), places in `ids`, join: a row each."""
+    nodes, at = np.unique(np.concatenate([ids[a], ids[b]]), return_inverse=True)
+    left, right = at[: len(a)], at[len(a):]
+    n = np.bincount(left, weights=weight[b], minlength=len(nodes)) + np.bincount(right, weights=weight[a], minlength=len(nodes))
+    root = nodes[roots(left, right, nodes)] if len(nodes) else nodes
+    return pa.RecordBatch.from_arrays(
+        [pa.array(nodes), pa.array(n.astype(np.int64)), pa.array(root)], names=["id", "n_links", "root"])

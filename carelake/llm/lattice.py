@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import keep
+from carelake.llm.common import group_bounds, keep, link_rows, paired_blocks, whole_groups
 from carelake.llm.e8 import nearest_cells
 from carelake.llm.onebit import usable
 from carelake.operators.components import connected_components
@@ -19,6 +19,7 @@ from carelake.operators.components import connected_components
 BLOCK = 1024
 #: Rows that a task looks at together, about.
 AT_ONCE = 20_000
+GROUP = ["key", "first", "second"]
 
 
 @dataclass(frozen=True)
@@ -73,35 +74,17 @@ def _unit(values: pa.Array, dimension: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _roots(a: np.ndarray, b: np.ndarray, size: int, rank: np.ndarray) -> np.ndarray:
-    """For each of `size` nodes the node of least rank that the links (a, b) reach."""
-    order = np.argsort(rank, kind="stable")
-    place = np.empty(size, dtype=np.int64)
-    place[order] = np.arange(size)
-    low = place.copy()
-    while True:
-        before = low.copy()
-        least = np.minimum(low[a], low[b])
-        np.minimum.at(low, a, least)
-        np.minimum.at(low, b, least)
-        low = np.minimum(low, low[order[low]])
-        if (low == before).all():
-            return order[low]
-
-
 def _meetings(table: pa.Table, lattice: Lattice, threshold: float) -> pa.RecordBatch:
-    """vec_id, n_links and root of the links that count in the cells of `table`, whole and in order.
+    """id, n_links and root of the links that count in the cells of `table`, whole and in order.
 
     A pair may meet in several cells; it counts in the one of the smallest key.
     """
-    table = table.combine_chunks()
-    key, first, second, block = (table[c].to_numpy() for c in ("key", "first", "second", "block"))
+    key, first, second, block = (table[c].to_numpy() for c in (*GROUP, "block"))
     home = table["home"].to_numpy(zero_copy_only=False)
     ids, weight = table["vec_id"].to_numpy(), table["weight"].to_numpy()
     unit = _unit(table["v"].combine_chunks(), lattice.dimension)
-    new = np.flatnonzero((np.diff(key) != 0) | (np.diff(first) != 0) | (np.diff(second) != 0)) + 1
     left, right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    for start, stop in zip([0, *new.tolist()], [*new.tolist(), len(key)]):
+    for start, stop in group_bounds(table, GROUP):
         if stop - start < 2:
             continue
         rows = unit[start:stop]
@@ -124,17 +107,11 @@ def _meetings(table: pa.Table, lattice: Lattice, threshold: float) -> pa.RecordB
         for x, y in ((a_at, b_at), (b_at, a_at)):
             theirs = keys[y, t, 0]
             counts &= ~((theirs < key[a]) & (keys[x, t] == theirs[:, None]).any(axis=1))
-    a, b = a[counts], b[counts]
-    nodes, at = np.unique(np.concatenate([ids[a], ids[b]]), return_inverse=True)
-    a_at, b_at = at[: len(a)], at[len(a):]
-    links = np.bincount(a_at, weights=weight[b], minlength=len(nodes)) + np.bincount(b_at, weights=weight[a], minlength=len(nodes))
-    roots = nodes[_roots(a_at, b_at, len(nodes), nodes)] if len(nodes) else nodes
-    return pa.RecordBatch.from_arrays(
-        [pa.array(nodes), pa.array(links.astype(np.int64)), pa.array(roots)], names=["vec_id", "n_links", "root"])
+    return link_rows(ids, weight, a[counts], b[counts])
 
 
 def _linked(vectors: DataFrame, lattice: Lattice, threshold: float) -> DataFrame:
-    """vec_id, n_links and root: partial counts and edges of `vectors` (vec_id, weight, v)."""
+    """id, n_links and root: partial counts and edges of `vectors` (vec_id, weight, v)."""
     d, tables = lattice.dimension, lattice.tables
     visited = 1 + lattice.blocks * lattice.probes
 
@@ -151,34 +128,16 @@ def _linked(vectors: DataFrame, lattice: Lattice, threshold: float) -> DataFrame
     visits = keep(vectors.select("vec_id", "v").mapInArrow(cells, "vec_id long, key long, home boolean"), "lattice-visits")
     sizes = keep(visits.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.max("home").alias("home"),
-    ).filter(F.col("home") & (F.col("n") > 1)).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "lattice-cells")
-    met = visits.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-    # block b meets every block: the pair is named by the smaller, then the larger
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "vec_id", "key", "home", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
-    full = met.join(vectors, "vec_id").select("key", "first", "second", "block", "home", "vec_id", "weight", "v")
-    order = ["key", "first", "second"]
+    ).filter(F.col("home") & (F.col("n") > 1)).select("key", "n"), "lattice-cells")
+    met = paired_blocks(visits.join(sizes, "key"), "vec_id", "n", BLOCK)
+    full = met.join(vectors, "vec_id").select(*GROUP, "block", "home", "vec_id", "weight", "v")
     count = int(full.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[pa.RecordBatch] = []
-        for batch in batches:
-            waiting.append(batch)
-            if sum(len(b) for b in waiting) < AT_ONCE:
-                continue
-            table = pa.Table.from_batches(waiting)
-            last = tuple(table[c][len(table) - 1].as_py() for c in order)
-            names = [table[c].to_numpy() for c in order]
-            same = np.logical_and.reduce([x == y for x, y in zip(names, last)])
-            cut = int(np.argmax(same))  # the last group may go on
-            if cut:
-                yield _meetings(table.slice(0, cut), lattice, threshold)
-                waiting = table.slice(cut).to_batches()
-        if waiting:
-            yield _meetings(pa.Table.from_batches(waiting), lattice, threshold)
-
-    return full.repartition(count, *order).sortWithinPartitions(*order).mapInArrow(
-        compare, "vec_id long, n_links long, root long")
+        for table in whole_groups(batches, GROUP, AT_ONCE):
+            yield _meetings(table, lattice, threshold)
+
+    return full.repartition(count, *GROUP).sortWithinPartitions(*GROUP).mapInArrow(compare, "id long, n_links long, root long")
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -209,8 +168,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
     for part in parts[1:]:
         found = found.unionByName(part)
     found = keep(found, "lattice-links")
-    counts = found.groupBy("vec_id").agg(F.sum("n_links").alias("linked"))
-    components = connected_components(found.select(F.col("vec_id").alias("left"), F.col("root").alias("right")))
+    counts = found.groupBy(F.col("id").alias("vec_id")).agg(F.sum("n_links").alias("linked"))
+    components = connected_components(found.select(F.col("id").alias("left"), F.col("root").alias("right")))
     classes = same.join(counts, "vec_id", "left").join(
         components.withColumnRenamed("id", "vec_id"), "vec_id", "left",
     ).select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as vocabulary_path
 
-from carelake.llm import chunked_bpe, kdtree, lattice, onebit, packing, toxicity, url_filter
+from carelake.llm import chosen_path, chunked_bpe, kdtree, lattice, onebit, packing, pseudo_likelihood, toxicity, url_filter
 from carelake.llm.common import table
 
 #: Rules of the URL query.
@@ -42,10 +42,18 @@ def op5_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.score(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.similar(table(spark, sf_dir, "documents"))
+
+
 def op9_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunked_bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
 
@@ -55,7 +63,7 @@ def op10_onebit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_lattice_dedup, op3_toxicity, op5_kd_sharding, op7_packing, op9_chunked_bpe, op10_onebit_search)
+    f.__name__: f for f in (op1_url_filter, op2_lattice_dedup, op3_toxicity, op5_kd_sharding, op6_pseudo_likelihood, op7_packing, op8_chosen_path_join, op9_chunked_bpe, op10_onebit_search)
 }
 
 ORACLE: dict[str, str] = {}
