@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as vocabulary_path
 
-from carelake.llm import chosen_path, chunked_bpe, kdtree, lattice, onebit, packing, pseudo_likelihood, toxicity, url_filter
+from carelake.llm import chosen_path, chunked_bpe, kdtree, lattice, onebit, packing, pseudo_likelihood, suffix_dedup, toxicity, url_filter
 from carelake.llm.common import table
 
 #: Rules of the URL query.
@@ -35,6 +35,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op5_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.shard(table(spark, sf_dir, "documents"), SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"), "slot",
@@ -63,7 +67,7 @@ def op10_onebit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_lattice_dedup, op3_toxicity, op5_kd_sharding, op6_pseudo_likelihood, op7_packing, op8_chosen_path_join, op9_chunked_bpe, op10_onebit_search)
+    f.__name__: f for f in (op1_url_filter, op2_lattice_dedup, op3_toxicity, op4_suffix_dedup, op5_kd_sharding, op6_pseudo_likelihood, op7_packing, op8_chosen_path_join, op9_chunked_bpe, op10_onebit_search)
 }
 
 ORACLE: dict[str, str] = {}
