@@ -65,7 +65,7 @@ def _sketch_rows(values: pa.Array) -> np.ndarray:
 
 
 def sketched(documents: DataFrame) -> DataFrame:
-    """doc_id, node, n and sketch of each row: `node` names the set, equal for equal sets; null without words."""
+    """doc_id, same, node and sketch of each row: `node` names the set, equal for equal sets; null without words."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,11 +79,12 @@ def sketched(documents: DataFrame) -> DataFrame:
                 for i, row in zip(some, sketches([sets[i] for i in some])):
                     sketch[i] = row.tobytes()
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([node_of(s) if len(s) else None for s in sets], type=pa.int64()),
-                pa.array([len(s) for s in sets], type=pa.int64()), pa.array(sketch, type=pa.binary()),
-            ], names=["doc_id", "node", "n", "sketch"])
+                batch.column("doc_id"), batch.column("same"), pa.array([node_of(s) if len(s) else None for s in sets], type=pa.int64()),
+                pa.array(sketch, type=pa.binary()),
+            ], names=["doc_id", "same", "node", "sketch"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node long, n long, sketch binary")
+    same = F.xxhash64(F.coalesce("text", F.lit(""))).alias("same")
+    return documents.select("doc_id", "text", same).mapInArrow(run, f"doc_id {kind}, same long, node long, sketch binary")
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -263,15 +264,27 @@ def _grouped(df: DataFrame) -> DataFrame:
     return df.repartition(count, *GROUP).sortWithinPartitions(*GROUP)
 
 
+def one_of_each(documents: DataFrame, paths: Paths = Paths()) -> DataFrame:
+    """The rows of `documents` that are their class's own document, with all their columns.
+
+    Of rows repeated under one doc_id with one text a single one stays; rows without an id stay.
+    """
+    chosen = similar(documents, paths).filter("kept").select("doc_id", "same").distinct()
+    marked = documents.withColumn("same", F.xxhash64(F.coalesce("text", F.lit(""))))
+    named = marked.filter(F.col("doc_id").isNotNull()).join(chosen, ["doc_id", "same"], "left_semi").dropDuplicates(["doc_id", "same"])
+    return named.unionByName(marked.filter(F.col("doc_id").isNull())).select(*documents.columns)
+
+
 def similar(documents: DataFrame, paths: Paths = Paths()) -> DataFrame:
-    """doc_id, class_id, n_links and kept for every row of `documents` (doc_id, text).
+    """doc_id, class_id, n_links, kept and same for every row of `documents` (doc_id, text).
 
     Two documents are linked if the Jaccard similarity of their sets of five-word shingles
     reaches the threshold; words are parted by white space, and a text of fewer words is
     one shingle. class_id is the smallest doc_id reachable by links, n_links the number of
     documents linked directly, kept marks the class's own document. Null and blank texts
     have no words and link with nothing; a null doc_id keeps a null class. Rows repeated
-    under one doc_id are documents of their own in the counts. Other columns are not read.
+    under one doc_id are documents of their own in the counts. `same` is a hash of the
+    text. Other columns are not read.
 
     Documents of equal sets are one class from the start. Classes are split by chosen
     paths until buckets are small or all alike; a pair counts in the bucket of the
@@ -296,8 +309,8 @@ def similar(documents: DataFrame, paths: Paths = Paths()) -> DataFrame:
     smallest = reached.groupBy("component").agg(F.min("doc_id").alias("class_id"))
     numbers = keep(reached.join(smallest, "component").select(
         "node", "class_id", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "path-numbers")
-    named = rows.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
+    named = rows.select("doc_id", "same", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
     return named.join(numbers, "node", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce(F.coalesce("class_id", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
+        F.coalesce(F.coalesce("class_id", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"), "same",
     )

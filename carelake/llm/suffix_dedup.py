@@ -26,11 +26,12 @@ LARGE = 20_000
 AT_ONCE = 8_192
 
 
-def _rows(documents: DataFrame) -> DataFrame:
-    """doc_id, same and data: the bytes of the texts. Rows of one id and text are alike."""
+def _rows(documents: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, same, data and rest: the bytes of the texts, and other columns. Rows of one id and text are alike."""
     data = F.coalesce("text", F.lit("")).cast("binary")
-    return documents.select("doc_id", F.xxhash64(data).alias("same"), data.alias("data")).withColumn(
-        "doc_id", F.col("doc_id").cast("long"))
+    return documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(data).alias("same"), data.alias("data"),
+        F.struct(*columns, F.col("text").isNull().alias("_null")).alias("rest"))
 
 
 def _packed(rows: DataFrame) -> DataFrame:
@@ -41,9 +42,10 @@ def _packed(rows: DataFrame) -> DataFrame:
         for batch in batches:
             data = [press.compress(d.as_buffer()) for d in batch.column("data")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("same"), pa.array(data, type=pa.binary())], names=["doc_id", "same", "data"])
+                [batch.column("doc_id"), batch.column("same"), pa.array(data, type=pa.binary()), batch.column("rest")],
+                names=["doc_id", "same", "data", "rest"])
 
-    return rows.mapInArrow(run, "doc_id long, same long, data binary")
+    return rows.mapInArrow(run, rows.schema)
 
 
 def _frequent(rows: DataFrame, documents: int, length: int) -> np.ndarray:
@@ -129,7 +131,7 @@ def _repeated(rows: DataFrame, buckets: int, frequent: np.ndarray, length: int)
                         pa.array(ids[some]), pa.array(same[some]), pa.array(np.full(len(some), bucket)),
                         pa.array(parts[k:k + 10_000], type=pa.binary())], names=["doc_id", "same", "bucket", "names"])
 
-    packed = rows.filter(F.col("doc_id").isNotNull()).mapInArrow(
+    packed = rows.filter(F.col("doc_id").isNotNull()).drop("rest").mapInArrow(
         emit, "bucket long, ids binary, same binary, n binary, names binary")
     found = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
         find, "doc_id long, same long, bucket long, names binary")
@@ -166,7 +168,7 @@ def _contexts(rows: DataFrame, repeated: DataFrame, buckets: int, frequent: np.n
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=t) for c, t in zip(columns, kinds)], names=["doc_id", "same", "start", "n", "context", "offset"])
 
-    texts = _packed(rows.filter(F.col("doc_id").isNotNull()))
+    texts = _packed(rows.filter(F.col("doc_id").isNotNull()).withColumn("rest", F.lit(0)))
     return texts.join(repeated, ["doc_id", "same"], "left").select("doc_id", "same", "data", "grams").mapInArrow(
         run, "doc_id long, same long, start int, n int, context binary, offset int")
 
@@ -244,19 +246,30 @@ def _earlier(distinct: DataFrame, length: int) -> DataFrame:
     return masks.groupBy("context_id").agg(F.bit_or("mask").alias("mask"))
 
 
-def deduplicated(documents: DataFrame, length: int = 50, texts: bool = False) -> DataFrame:
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> str:
+    """The characters that are not removed whole."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    if not len(lead):
+        return ""
+    whole = np.logical_and.reduceat(gone, lead)
+    return data[~np.repeat(whole, np.diff(np.concatenate([lead, [len(data)]])))].tobytes().decode("utf-8")
+
+
+def deduplicated(documents: DataFrame, length: int = 50, texts: bool = False, columns: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row of `documents` (doc_id, text).
 
     A byte is removed if a string of `length` bytes that covers it also starts in a
     document with a smaller doc_id, judged on the input. Texts are their UTF-8 bytes;
-    null counts as empty. n_spans counts the maximal removed runs. `texts` adds `kept`,
-    the remaining bytes. A row with a null doc_id keeps all and removes nothing from
-    others; rows of one doc_id do not match each other. Other columns are not read.
+    null counts as empty. n_spans counts the maximal removed runs. A row with a null
+    doc_id keeps all and removes nothing from others; rows of one doc_id do not match
+    each other. `texts` adds `text`, what remains of it in whole characters: one that a
+    run's end parts is kept; null stays null. `columns` of `documents` follow unchanged;
+    others are not read.
 
     Suffixes meet at anchors that equal strings have in common. A first pass finds the
     anchors that repeat; only their contexts are sorted, each distinct one once.
     """
-    rows = _rows(documents)
+    rows = _rows(documents, columns)
     total = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("data")).alias("bytes")).first()
     expected = 2 * (total["bytes"] or 0) // (length - GRAM + 2)
     buckets = max(LEAST_BUCKETS, expected // ANCHORS + 1)
@@ -279,30 +292,30 @@ def deduplicated(documents: DataFrame, length: int = 50, texts: bool = False) ->
         expand = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            spans = batch.column("spans")
+            spans, rest = batch.column("spans"), batch.column("rest")
+            absent = rest.field("_null").to_pylist()
             for i, d in enumerate(batch.column("data")):
-                data = expand.decompress(d.as_buffer())
-                size = len(data)
+                data = np.frombuffer(expand.decompress(d.as_buffer()), dtype=np.uint8)
+                gone = np.zeros(len(data), dtype=bool)
                 own = spans[i].values
-                if own is None or not len(own):
-                    out.append((size, 0, 0, hashlib.sha256(data).hexdigest(), data))
-                    continue
-                start, mask = own.field("start").to_numpy(), own.field("mask").to_numpy()
-                row, bit = np.nonzero((mask[:, None] >> np.arange(length - GRAM + 1)) & 1)
-                covered = np.zeros(size + 1, dtype=np.int64)
-                strings = np.unique(start[row] + bit)
-                np.add.at(covered, strings, 1)
-                np.add.at(covered, strings + length, -1)
-                gone = np.cumsum(covered[:size]) > 0
-                edges = np.diff(np.concatenate([[0], gone.astype(np.int8)]))
-                rest = np.frombuffer(data, dtype=np.uint8)[~gone].tobytes()
-                out.append((size, int(gone.sum()), int((edges == 1).sum()), hashlib.sha256(rest).hexdigest(), rest))
-            columns = list(zip(*out)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-            take = 5 if texts else 4
+                if own is not None and len(own):
+                    start, mask = own.field("start").to_numpy(), own.field("mask").to_numpy()
+                    row, bit = np.nonzero((mask[:, None] >> np.arange(length - GRAM + 1)) & 1)
+                    strings = np.unique(start[row] + bit)
+                    covered = np.zeros(len(data) + 1, dtype=np.int64)
+                    covered[strings] += 1
+                    covered[strings + length] -= 1
+                    gone = np.cumsum(covered[:-1]) > 0
+                starts = int((np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1).sum())
+                text = _whole_characters(data, gone) if texts and not absent[i] else None
+                out.append((len(data), int(gone.sum()), starts, hashlib.sha256(data[~gone].tobytes()).hexdigest(), text))
+            found = list(zip(*out)) or [[]] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            arrays = [pa.array(c, type=t) for c, t in zip(found, kinds)][: len(names) - 1]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array(c, type=t) for c, t in list(zip(columns, kinds))[:take]]], names=["doc_id", *names[:take]])
+                [batch.column("doc_id"), *arrays, *[rest.field(c) for c in columns]], names=[*names, *columns])
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if texts else "")
-    return _packed(rows).join(spans, ["doc_id", "same"], "left").select("doc_id", "data", "spans").mapInArrow(run, schema)
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["text"] if texts else [])]
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", text string" if texts else "")
+    schema += "".join(f", `{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
+    return _packed(rows).join(spans, ["doc_id", "same"], "left").select("doc_id", "data", "rest", "spans").mapInArrow(run, schema)

@@ -35,6 +35,8 @@ FIT_ROWS = 20_000
 #: Entries of the learned lexicon, at most.
 LEXICON = 2_000
 PREFIXES = (4, 5, 6)
+#: Folds of the calibration.
+FOLDS = 4
 NEAR = 6
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -226,27 +228,41 @@ def learned_lexicon(sample: DataFrame, size: int = LEXICON) -> dict[str, float]:
 def fit(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> ToxicityModel:
     """A model from the labelled documents outside the held-out fold.
 
-    `rows` bounds the labelled sample, which a hash of doc_id chooses: half of it gives
-    the lexicon, a third the trees and a sixth the calibration, so that none is fitted
-    on what another has seen. The driver gets the features of that sample only.
+    `rows` bounds the labelled sample, which a hash of doc_id chooses. Half of it gives the
+    lexicon, the other half the trees, which so have not seen their lexicon's texts. The
+    calibration uses margins of trees fitted without the row's own fold. The driver gets
+    the features of that sample only.
     """
     known = labels.select("doc_id", "toxic").filter(F.col("toxic").isin(0, 1) & (fold() != 2)).groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("toxic"))
     n = known.count()
     share = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fit")), F.lit(1_000_000)) < int(1_000_000 * min(1.0, rows / max(1, n)))
-    part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("part")), F.lit(6))
+    part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("part")), F.lit(2 * FOLDS)).cast("int")
     chosen = F.broadcast(known.filter(share).withColumn("part", part))  # about `rows` rows
     sample = documents.select("doc_id", "text").join(chosen, "doc_id").select(
         F.coalesce("text", F.lit("")).alias("text"), "toxic", "part")
-    lexicon = learned_lexicon(sample.filter(F.col("part") < 3))
-    table = _feature_rows(sample.filter(F.col("part") >= 3), lexicon, ["toxic", "part"]).toArrow()
-    y, fold_of = table["toxic"].to_numpy().astype(float), table["part"].to_numpy()
+    lexicon = learned_lexicon(sample.filter(F.col("part") < FOLDS))
+    table = _feature_rows(sample.filter(F.col("part") >= FOLDS), lexicon, ["toxic", "part"]).toArrow()
+    y, part_of = table["toxic"].to_numpy().astype(float), table["part"].to_numpy()
     x = np.array(table["x"].to_pylist(), dtype=float).reshape(-1, len(FEATURES))
-    order = np.lexsort([*x.T, y, fold_of])  # the same model whatever order rows come in
-    x, y, fold_of = x[order], y[order], fold_of[order]
-    trees = boost(x[fold_of < 5], y[fold_of < 5])
-    held = fold_of == 5
-    return ToxicityModel(lexicon, trees, *isotonic(trees.margin(x[held]), y[held]))
+    order = np.lexsort([*x.T, y, part_of])  # the same model whatever order rows come in
+    x, y, part_of = x[order], y[order], part_of[order]
+    margin = np.zeros(len(y))
+    for k in range(FOLDS, 2 * FOLDS):
+        own = part_of == k
+        margin[own] = boost(x[~own], y[~own]).margin(x[own])
+    return ToxicityModel(lexicon, boost(x, y), *isotonic(margin, y))
+
+
+def accepted(documents: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> DataFrame:
+    """The rows of `documents` whose score is below `threshold`, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([features(t.as_py() or "", model.lexicon) for t in batch.column("text")]).reshape(-1, len(FEATURES))
+            yield batch.filter(pa.array(model.probability(x) < threshold))
+
+    return documents.mapInArrow(run, documents.schema)
 
 
 def score(documents: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> DataFrame:
