@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from carelake.session import materialize
+from carelake.session import materialize, workspace
 
 #: Rows that one task numbers at most, about.
 ROWS_PER_CHUNK = 100_000
@@ -26,6 +26,14 @@ def keep(df: DataFrame, purpose: str) -> DataFrame:
     return materialize(df, purpose)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """`df` checkpointed to the shared folder, which keeps its partitioning, so joins on it need no shuffle."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(workspace(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
+
+
 def text_bytes(text: str = "text") -> Column:
     """Bytes of the text in UTF-8; null has none."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")

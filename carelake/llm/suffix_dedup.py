@@ -11,7 +11,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import keep, whole_groups
+from carelake.llm.common import checkpointed, keep, whole_groups
+from carelake.llm.shingles import mixed
 from carelake.llm.suffixes import Anchors, multikey_order, words
 
 #: Bytes of an anchor's own string, by which suffixes meet.
@@ -20,6 +21,8 @@ GRAM = 20
 ANCHORS, LEAST_BUCKETS = 4_000_000, 16
 #: Documents of the sample that shows very frequent grams, about, and the share of them that makes one frequent.
 SAMPLE, FREQUENT = 2_000, 0.05
+#: Bytes of texts in a partition, at most, about.
+PARTITION = 128 << 20
 #: Contexts of one group that are sorted as they are; a larger group is split.
 LARGE = 20_000
 #: Contexts that are sorted together.
@@ -138,39 +141,145 @@ def _repeated(rows: DataFrame, buckets: int, frequent: np.ndarray, length: int)
     return found.groupBy("doc_id", "same").agg(F.collect_list(F.struct("bucket", "names")).alias("grams"))
 
 
-def _contexts(rows: DataFrame, repeated: DataFrame, buckets: int, frequent: np.ndarray, length: int) -> DataFrame:
-    """doc_id, same, start, n, context, offset: the strings that stand behind each repeated anchor.
+def _members(texts: DataFrame, repeated: DataFrame, buckets: int, frequent: np.ndarray, salts: int, length: int) -> DataFrame:
+    """doc_id, same, whole and open: each document's repeated anchors, after they have met.
 
-    `context` holds the n strings of `length` bytes that share the anchor, which is at `offset`.
+    An anchor stands for n strings that start one after the other; their bytes are its
+    context. `whole` has (start, n) of contexts that a document with a smaller id has too:
+    they go as a whole. `open` has (start, n, offset, context_id) of the others whose gram
+    stands in another context as well: their bytes must be compared. Both are packed.
+
+    Anchors meet by their gram; those of frequent grams meet by context and one of `salts`,
+    so that none gathers in one task, and stay open where they are the first of their salt.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, expand = Anchors(length, GRAM), zstandard.ZstdDecompressor()
         for batch in batches:
-            out: list[tuple] = []
-            ids, same = batch.column("doc_id").to_pylist(), batch.column("same").to_pylist()
-            for doc, own, d, grams in zip(ids, same, batch.column("data"), batch.column("grams").to_pylist()):
-                data = expand.decompress(d.as_buffer()) if len(d.as_buffer()) else b""
+            found: list[tuple] = []
+            ids, same = batch.column("doc_id").to_numpy(), batch.column("same").to_numpy()
+            for i, (d, grams) in enumerate(zip(batch.column("data"), batch.column("grams").to_pylist())):
+                data = expand.decompress(d.as_buffer())
                 gram, at, start, n = anchors(data)
+                if not len(gram):
+                    continue
                 bucket, name = _dealt(gram, buckets)
-                wanted = [
+                wanted = [np.zeros(0, dtype=np.uint64)] + [
                     (np.frombuffer(g["names"], dtype=np.uint32).astype(np.uint64) | (np.uint64(g["bucket"]) << np.uint64(32)))
                     for g in grams or ()
                 ]
-                chosen = np.isin(gram, frequent)
-                if wanted:
-                    chosen |= np.isin(name.astype(np.uint64) | (bucket.astype(np.uint64) << np.uint64(32)), np.concatenate(wanted))
-                for i in np.flatnonzero(chosen).tolist():
-                    s, k = int(start[i]), int(n[i])
-                    out.append((doc, own, s, k, data[s:s + k - 1 + length], int(at[i]) - s))
-            columns = list(zip(*out)) or [[]] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32())
+                often = np.isin(gram, frequent)
+                chosen = np.flatnonzero(often | np.isin(
+                    name.astype(np.uint64) | (bucket.astype(np.uint64) << np.uint64(32)), np.concatenate(wanted)))
+                if not len(chosen):
+                    continue
+                gram, at, start, n, often = gram[chosen], at[chosen], start[chosen], n[chosen], often[chosen]
+                context = anchors.context_ids(data, at, start, n)
+                salted = mixed(context.view(np.uint64) + np.uint64(int(ids[i]) % salts))
+                bucket = np.where(often, (salted >> np.uint64(32)) % np.uint64(buckets), bucket[chosen]).astype(np.int64)
+                found.append((
+                    bucket, np.full(len(chosen), i), np.where(often, 0, name[chosen]).astype(np.uint32), context,
+                    start.astype(np.uint32), n.astype(np.uint8), (at - start).astype(np.uint8)))
+            if not found:
+                continue
+            bucket, doc, *rest = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            out = []
+            for b in range(buckets):
+                own = order[ends[b]:ends[b + 1]]
+                if len(own):
+                    docs, count = np.unique(doc[own], return_counts=True)
+                    out.append((b, ids[docs].tobytes(), same[docs].tobytes(), count.astype(np.uint32).tobytes(),
+                                *[x[own].tobytes() for x in rest]))
+            columns = list(zip(*out))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], type=pa.int64())] + [pa.array(c, type=pa.binary()) for c in columns[1:]], names=names)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["bucket"], 1):
+            for b in np.unique(table["bucket"].to_numpy()):
+                own = table.filter(pa.array(table["bucket"].to_numpy() == b))
+
+                def line(column: str, kind: type, own: pa.Table = own) -> np.ndarray:
+                    return np.frombuffer(b"".join(own[column].to_pylist()), dtype=kind)
+
+                ids, same, count = line("ids", np.int64), line("same", np.int64), line("n", np.uint32)
+                name, context = line("names", np.uint32), line("contexts", np.int64)
+                start, n, offset = line("starts", np.uint32), line("strings", np.uint8), line("offsets", np.uint8)
+                doc = np.repeat(np.arange(len(ids), dtype=np.int64), count)
+                order = np.lexsort((ids[doc], context, name))
+                first = np.concatenate([[True], (np.diff(name[order]) != 0) | (np.diff(context[order]) != 0)])
+                low = ids[doc[order]][np.flatnonzero(first)]  # the first document of each context
+                lowest = np.empty(len(order), dtype=np.int64)
+                lowest[order] = low[np.cumsum(first) - 1]
+                whole = ids[doc] > lowest
+                begin = np.flatnonzero(np.concatenate([[True], np.diff(name[order][first]) != 0]))
+                several = np.minimum.reduceat(low, begin) < np.maximum.reduceat(low, begin)
+                alone = np.repeat(~several, np.diff(np.concatenate([begin, [len(low)]])))  # of each context
+                useless = np.empty(len(order), dtype=bool)
+                useless[order] = alone[np.cumsum(first) - 1]
+                useless &= name != 0  # of frequent grams nothing is known here
+                for k in range(0, len(ids), 20_000):
+                    a, z = np.searchsorted(doc, [k, k + 20_000])
+                    parts = []
+                    for chosen, fields in ((whole[a:z], (start, n)), (~whole[a:z] & ~useless[a:z], (start, n, offset, context))):
+                        places = np.flatnonzero(chosen) + a
+                        cuts = np.searchsorted(doc[places], np.arange(k, min(k + 20_000, len(ids)) + 1))
+                        parts.append([b"".join(f[places[x:y]].tobytes() for f in fields) for x, y in zip(cuts, cuts[1:])])
+                    full = [i for i, (w, o) in enumerate(zip(*parts)) if w or o]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(ids[k:k + 20_000][full]), pa.array(same[k:k + 20_000][full]),
+                        pa.array([parts[0][i] for i in full], type=pa.binary()), pa.array([parts[1][i] for i in full], type=pa.binary()),
+                    ], names=["doc_id", "same", "whole", "open"])
+
+    names = ["bucket", "ids", "same", "n", "names", "contexts", "starts", "strings", "offsets"]
+    packed = texts.join(repeated, ["doc_id", "same"], "left").select("doc_id", "same", "data", "grams").mapInArrow(
+        emit, "bucket long, " + ", ".join(f"{c} binary" for c in names[1:]))
+    found = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        meet, "doc_id long, same long, whole binary, open binary")
+    return found.groupBy("doc_id", "same").agg(F.collect_list("whole").alias("whole"), F.collect_list("open").alias("open"))
+
+
+_WHOLE = (np.uint32, np.uint8)
+_OPEN = (np.uint32, np.uint8, np.uint8, np.int64)
+
+
+def _unpacked(parts: list[bytes] | None, kinds: tuple[type, ...]) -> list[np.ndarray]:
+    """The columns of `kinds` that _members packed one after the other into each of `parts`."""
+    width = sum(np.dtype(k).itemsize for k in kinds)
+    columns: list[list[np.ndarray]] = [[np.zeros(0, dtype=k)] for k in kinds]
+    for part in parts or ():
+        n, at = len(part) // width, 0
+        for column, kind in zip(columns, kinds):
+            column.append(np.frombuffer(part, dtype=kind, count=n, offset=at))
+            at += n * np.dtype(kind).itemsize
+    return [np.concatenate(c).astype(np.int64) for c in columns]
+
+
+def _contexts(texts: DataFrame, members: DataFrame, length: int) -> DataFrame:
+    """doc_id, same, start, n, context_id, context, offset: the open contexts with their bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor()
+        for batch in batches:
+            columns: list[list] = [[] for _ in range(7)]
+            for doc, same, d, packed in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "same", "data", "open"))):
+                start, n, offset, context = (x.tolist() for x in _unpacked(packed, _OPEN))
+                if not start:
+                    continue
+                data = expand.decompress(d)
+                texts_of = [data[s:s + k - 1 + length] for s, k in zip(start, n)]
+                for column, values in zip(columns, ([doc] * len(start), [same] * len(start), start, n, context, texts_of, offset)):
+                    column.extend(values)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(columns, kinds)], names=["doc_id", "same", "start", "n", "context", "offset"])
+                [pa.array(c, type=t) for c, t in zip(columns, kinds)],
+                names=["doc_id", "same", "start", "n", "context_id", "context", "offset"])
 
-    texts = _packed(rows.filter(F.col("doc_id").isNotNull()).withColumn("rest", F.lit(0)))
-    return texts.join(repeated, ["doc_id", "same"], "left").select("doc_id", "same", "data", "grams").mapInArrow(
-        run, "doc_id long, same long, start int, n int, context binary, offset int")
+    return texts.join(members.select("doc_id", "same", "open"), ["doc_id", "same"]).select(
+        "doc_id", "same", "data", "open").mapInArrow(
+        run, "doc_id long, same long, start int, n int, context_id long, context binary, offset int")
 
 
 def _core(low: str, high: str, length: int) -> F.Column:
@@ -271,12 +380,17 @@ def deduplicated(documents: DataFrame, length: int = 50, texts: bool = False, co
     """
     rows = _rows(documents, columns)
     total = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("data")).alias("bytes")).first()
-    expected = 2 * (total["bytes"] or 0) // (length - GRAM + 2)
-    buckets = max(LEAST_BUCKETS, expected // ANCHORS + 1)
+    size = total["bytes"] or 0
+    buckets = max(LEAST_BUCKETS, 2 * size // (length - GRAM + 2) // ANCHORS + 1)
+    count = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // PARTITION)
     frequent = _frequent(rows, total["rows"], length)
     repeated = _repeated(rows, buckets, frequent, length)
-    found = _contexts(rows, repeated, buckets, frequent, length).withColumn("context_id", F.xxhash64("context", "offset"))
-    contexts = keep(found, "suffix-contexts")
+    # all later steps join on this partitioning, so the texts are shuffled once
+    packed = checkpointed(_packed(rows).repartition(count, "doc_id", "same"))
+    known_texts = packed.filter(F.col("doc_id").isNotNull())
+    salts = max(LEAST_BUCKETS, total["rows"] // 1_000_000)
+    members = keep(_members(known_texts, repeated, buckets, frequent, salts, length), "suffix-members")
+    contexts = keep(_contexts(known_texts, members, length), "suffix-contexts")
     distinct = keep(contexts.groupBy("context_id").agg(
         F.min("doc_id").alias("doc"), F.min("context").alias("context"), F.min("offset").alias("offset"), F.min("n").alias("n"),
     ), "suffix-distinct")
@@ -286,26 +400,28 @@ def deduplicated(documents: DataFrame, length: int = 50, texts: bool = False, co
     held = contexts.select("doc_id", "same", "start", "n", "context_id").join(known, "context_id").select(
         "doc_id", "same", "start", F.when(F.col("doc_id") > F.col("doc"), every).otherwise(F.coalesce("mask", F.lit(0))).alias("mask"),
     ).filter("mask != 0")
-    spans = held.groupBy("doc_id", "same").agg(F.collect_list(F.struct("start", "mask")).alias("spans"))
+    spans = held.groupBy("doc_id", "same").agg(F.collect_list(F.struct("start", "mask")).alias("spans")).join(
+        members.select("doc_id", "same", "whole"), ["doc_id", "same"], "full")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            spans, rest = batch.column("spans"), batch.column("rest")
+            spans, whole, rest = batch.column("spans"), batch.column("whole"), batch.column("rest")
             absent = rest.field("_null").to_pylist()
             for i, d in enumerate(batch.column("data")):
                 data = np.frombuffer(expand.decompress(d.as_buffer()), dtype=np.uint8)
-                gone = np.zeros(len(data), dtype=bool)
+                covered = np.zeros(len(data) + 1, dtype=np.int64)
+                start, n = _unpacked(whole[i].as_py(), _WHOLE)
+                np.add.at(covered, start, 1)
+                np.add.at(covered, start + n - 1 + length, -1)
                 own = spans[i].values
                 if own is not None and len(own):
                     start, mask = own.field("start").to_numpy(), own.field("mask").to_numpy()
                     row, bit = np.nonzero((mask[:, None] >> np.arange(length - GRAM + 1)) & 1)
-                    strings = np.unique(start[row] + bit)
-                    covered = np.zeros(len(data) + 1, dtype=np.int64)
-                    covered[strings] += 1
-                    covered[strings + length] -= 1
-                    gone = np.cumsum(covered[:-1]) > 0
+                    np.add.at(covered, start[row] + bit, 1)
+                    np.add.at(covered, start[row] + bit + length, -1)
+                gone = np.cumsum(covered[:-1]) > 0
                 starts = int((np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1).sum())
                 text = _whole_characters(data, gone) if texts and not absent[i] else None
                 out.append((len(data), int(gone.sum()), starts, hashlib.sha256(data[~gone].tobytes()).hexdigest(), text))
@@ -318,4 +434,4 @@ def deduplicated(documents: DataFrame, length: int = 50, texts: bool = False, co
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["text"] if texts else [])]
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", text string" if texts else "")
     schema += "".join(f", `{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
-    return _packed(rows).join(spans, ["doc_id", "same"], "left").select("doc_id", "data", "rest", "spans").mapInArrow(run, schema)
+    return packed.join(spans, ["doc_id", "same"], "left").select("doc_id", "data", "rest", "spans", "whole").mapInArrow(run, schema)

@@ -33,19 +33,26 @@ class Anchors:
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(_BYTE[np.frombuffer(data, dtype=np.uint8)] * self.up[:n], out=sums[1:])
         h = mixed((sums[k:] - sums[:-k]) * self.down[: n - k + 1])
-        least, place, width = h, np.arange(len(h)), 1
+        # high half of the hash, then the place: the least is the leftmost of the least hashed
+        least, width = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64), 1
         window = self.length - k + 1
         while width < window:  # the least of a window is the lesser of two windows that cover it
             step = min(width, window - width)
-            a, b = least[:-step], least[step:]
-            first = a <= b
-            least, place = np.where(first, a, b), np.where(first, place[:-step], place[step:])
+            least = np.minimum(least[:-step], least[step:])
             width += step
-        new = np.flatnonzero(np.diff(place)) + 1
-        start = np.concatenate([[0], new])
+        place = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        start = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1])
         at = place[start]
         return h[at], at, start, np.diff(np.concatenate([start, [len(place)]]))
 
+    def context_ids(self, data: bytes, at: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """64 bits for the bytes of the `n` strings from `start`, and the place of the anchor `at` in them."""
+        size = len(data)
+        sums = np.zeros(size + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[np.frombuffer(data, dtype=np.uint8)] * self.up[:size], out=sums[1:])
+        ranges = (sums[start + n - 1 + self.length] - sums[start]) * self.down[start]
+        return mixed(mixed(ranges) + (at - start).astype(np.uint64) * np.uint64(64) + n.astype(np.uint64)).view(np.int64)
+
 
 def words(buffer: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """The strings of `length` bytes at `starts`, as big-endian 64-bit words that sort as they do."""
