@@ -14,14 +14,14 @@ from carelake.llm.common import group_bounds, keep, link_rows, paired_blocks, wh
 from carelake.llm.shingles import SKETCH, Shingler, mixed, sketches
 from carelake.operators.components import connected_components
 
-#: Sets of a bucket that is compared as it is; a larger one is split again.
-SMALL = 64
+#: Sets of a bucket that is compared as it is, in one piece; a larger one is split again.
+SMALL = 512
 #: Levels of the tree at most.
 LEVELS = 4
-#: A large bucket is not split further if this share of it resembles one of its sets.
-DENSE = 0.5
+#: A large bucket is not split further if this share of it resembles one of PIVOTS of its sets.
+DENSE, PIVOTS = 0.5, 4
 #: Sets of a bucket that meet at once.
-BLOCK = 512
+BLOCK = SMALL
 #: Rows of sketches, and of sets, that a task looks at together.
 SKETCHES_AT_ONCE, SETS_AT_ONCE = 8_192, 1_024
 #: Distinct shingles that a task compares at once.
@@ -116,16 +116,20 @@ def _next_level(rows: DataFrame, paths: Paths) -> DataFrame:
 
 
 def _resembling(rows: DataFrame, paths: Paths) -> DataFrame:
-    """key and share: how many sets of each bucket are candidates with its first set."""
+    """key and share: how many sets of each bucket are candidates with one of PIVOTS sets of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same = (_sketch_rows(batch.column("sketch")) == _sketch_rows(batch.column("pivot"))).sum(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array((same >= paths.least_agreement).astype(np.float64))], names=["key", "like"])
-
-    pivots = rows.groupBy("key").agg(F.min(F.struct("node", "sketch"))["sketch"].alias("pivot"))
-    return rows.join(pivots, "key").select("key", "sketch", "pivot").mapInArrow(run, "key long, like double").groupBy("key").agg(
+            own, like = _sketch_rows(batch.column("sketch")), np.zeros(len(batch), dtype=bool)
+            for p in pivots:
+                like |= (own == _sketch_rows(batch.column(p))).sum(axis=1) >= paths.least_agreement
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(like.astype(np.float64))], names=["key", "like"])
+
+    pivots = [f"pivot{i}" for i in range(PIVOTS)]
+    # of each key the set whose hash is the least, once for each of PIVOTS hashes
+    chosen = rows.groupBy("key").agg(*[
+        F.min(F.struct(F.xxhash64("node", F.lit(i)), "sketch"))["sketch"].alias(p) for i, p in enumerate(pivots)])
+    return rows.join(chosen, "key").select("key", "sketch", *pivots).mapInArrow(run, "key long, like double").groupBy("key").agg(
         F.avg("like").alias("share"))
 
 
