@@ -123,10 +123,11 @@ def ngrams(text: Column, mark: str, sizes: tuple[int, ...]) -> Column:
     characters = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
 
     def of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(characters) - (n - 1), F.lit(1)))
-        found = F.transform(
-            starts, lambda i: F.concat(F.lit(mark), *[F.try_element_at(characters, i + F.lit(k)) for k in range(n)]))
-        return F.when(F.size(characters) >= n, found).otherwise(F.array().cast("array<string>"))
+        # zipped with its own tails, so that the time grows with the length only
+        grams = F.transform(characters, lambda c: F.concat(F.lit(mark), c))
+        for k in range(1, n):
+            grams = F.zip_with(grams, F.slice(characters, k + 1, F.greatest(F.size(characters), F.lit(1))), lambda a, b: F.concat(a, b))
+        return grams
 
     return F.filter(F.concat(*[of(n) for n in sizes]), lambda g: g.isNotNull())
 
