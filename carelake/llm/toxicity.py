@@ -119,6 +119,8 @@ class Trees:
 
 def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32) -> Trees:
     """Gradient boosting of the logistic loss on histograms of quantile bins."""
+    if not len(y):
+        return Trees(float(np.log(1e-3)), np.zeros((0, 1), dtype=np.int64), np.zeros((0, 1)), np.zeros((0, 2)))
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
     code = np.stack([np.searchsorted(e, x[:, f], side="left") for f, e in enumerate(edges)], axis=1)
     mean = np.clip(y.mean() if len(y) else 0.0, 1e-3, 1 - 1e-3)
