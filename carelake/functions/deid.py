@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 # They decide the published tokens, shifts and masks.
 TOKEN_PREFIX = "DEID-"
-TOKEN_HEX_DIGITS = 10
+TOKEN_HEX_DIGITS = 64
 SHIFT_SPAN_DAYS = 61
 SHIFT_MIN_DAYS = -30
 SSN_RULE = (r"\d{3}-\d{2}-\d{4}", "[REDACTED_SSN]")
@@ -26,8 +26,8 @@ def _sha256_hex(value: Column, salt: str) -> Column:
 def token(value: Column, salt: str, hex_digits: int = TOKEN_HEX_DIGITS) -> Column:
     """Salted one-way token of a value; null and empty text give null.
 
-    Ten hex digits are 40 bits, so about 45 of 10 million values collide: pass a
-    larger `hex_digits` (up to 64) where tokens serve as keys of that many values.
+    The whole digest by default, as tokens serve as keys. Fewer `hex_digits` make values
+    collide: with ten, 40 bits, about 45 pairs of 10 million values.
     """
     if not salt:
         raise ValueError("token: a salt is required")

@@ -233,21 +233,14 @@ def pattern_counts(records: DataFrame, settings: LinkSettings, by_block: bool =
 
 
 def agreement_rates(
-    records: DataFrame, settings: LinkSettings, max_pairs: int | None = None, seed: int = 0
+    records: DataFrame, settings: LinkSettings
 ) -> DataFrame:
     """u of every compared column: the share of all pairs, blocked or not, that agree.
 
     Pairs with a missing value are left out. Columns: `column_name`, `n_agree`,
-    `n_pairs`, `u`. Value counts give the rates over all pairs exactly. `max_pairs`
-    takes them over the pairs of a seeded random sample of that many pairs at most,
-    as a quick estimate.
+    `n_pairs`, `u`. Value counts give the rates over all pairs exactly.
     """
     _check(records, settings, "agreement_rates")
-    if max_pairs is not None:
-        size = int((1 + math.sqrt(1 + 8 * max_pairs)) / 2)
-        records = records.orderBy(
-            F.xxhash64(F.lit(seed), F.col(settings.unique_id)), F.col(settings.unique_id)
-        ).limit(size)
     values = records.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
         for c in settings.compare
@@ -271,7 +264,6 @@ def agreement_rates(
 def estimate(
     records: DataFrame, settings: LinkSettings, fixed_m: Mapping[str, float] | None = None,
     start_m: float = 0.9, prior: float = 0.01, max_iterations: int = 100, tolerance: float = 1e-6,
-    max_pairs: int | None = None, seed: int = 0,
 ) -> LinkModel:
     """Estimate the model: u from all pairs, then m and the prior by expectation-maximisation.
 
@@ -281,7 +273,7 @@ def estimate(
     """
     fixed = {c: start_m for c in settings.compare if _is_block_column(settings, c)}
     fixed.update(fixed_m or {})
-    rates = agreement_rates(records, settings, max_pairs, seed).collect()
+    rates = agreement_rates(records, settings).collect()
     tiny = 1e-12
     u = {c: tiny for c in settings.compare}
     u.update({r["column_name"]: min(max(r["u"] or 0.0, tiny), 1 - tiny) for r in rates})

@@ -58,10 +58,34 @@ class Satisfies:
         return ~F.coalesce(F.expr(self.predicate), F.lit(True))
 
 
-Rule = Complete | NonNegative | Satisfies
+@dataclass(frozen=True)
+class Unless:
+    """Another rule, which rows that satisfy `predicate` need not keep."""
+
+    rule: Complete | NonNegative
+    predicate: str
+
+    @property
+    def name(self) -> str:
+        return self.rule.name
+
+    @property
+    def column(self) -> str:
+        return self.rule.column
+
+    def broken(self) -> Column:
+        return self.rule.broken() & ~F.coalesce(F.expr(self.predicate), F.lit(False))
+
+
+Rule = Complete | NonNegative | Satisfies | Unless
 
 KEY_RULES: tuple[Rule, ...] = (Complete("person_id"), Complete("condition_occurrence_id"))
 CONDITION_RULES: tuple[Rule, ...] = (*KEY_RULES, NonNegative("condition_concept_id"))
+# The image before a delete may hold the key only.
+CHANGE_RULES: tuple[Rule, ...] = (
+    Unless(Complete("person_id"), "cdc_op = 'd'"), Complete("condition_occurrence_id"),
+    Unless(NonNegative("condition_concept_id"), "cdc_op = 'd'"),
+)
 NOT_IN_FUTURE = Satisfies("start_not_in_future", "condition_start_date <= current_date()")
 
 

@@ -12,16 +12,13 @@ from pyspark.sql import types as T
 
 from carelake.operators import quality
 from carelake.operators.deidentify import CLINICAL_POLICY, DeidPolicy, deidentify
-from carelake.operators.merge import merge_frames, merge_snapshot
+from carelake.operators.merge import live_rows, merge_frames, merge_snapshot
 from carelake.operators.silver import RECORD_COLUMNS, concept_lookup, condition_map
 from carelake.plans import marts
 from carelake.schemas import CLINICAL_RECORD
 from carelake.sources.bronze import flatten_payload, landed
 from carelake.sources.snapshots import read_snapshot
-from carelake.sources.tables import replace_files
-
-
-DAY_PARTITION = ("feed", "ingestion_date")
+from carelake.sources.tables import replace_partition
 
 
 @dataclass(frozen=True)
@@ -33,7 +30,7 @@ class ChainSettings:
     record: T.StructType = CLINICAL_RECORD
     paths: Mapping[str, str | Sequence[str]] | None = None
     columns: Mapping[str, str] | None = None
-    rules: Sequence[quality.Rule] = quality.CONDITION_RULES
+    rules: Sequence[quality.Rule] = quality.CHANGE_RULES
     on_fail: str = "route"
 
 
@@ -97,8 +94,10 @@ def run_day(
 
     Each zone is written once: raw Silver and dead letters replace the day's
     partition, the merge is by key and the marts are rebuilt, so a run that failed or
-    ran twice is simply run again. Quality is measured while raw Silver is written.
-    With `on_fail="raise"` a broken rule stops the run before the merge.
+    ran twice is simply run again, also after later days: deleted keys stay in Silver
+    with code `d` (see `live_rows`), so an older day does not revive them. Quality is
+    measured while raw Silver is written. With `on_fail="raise"` a broken rule stops the
+    run before the merge.
     """
     here = (F.col("feed") == feed) & (F.col("ingestion_date") == F.lit(day))
     bronze = landed(spark, root).filter(here)
@@ -106,17 +105,18 @@ def run_day(
         to_conditions(bronze, settings, vocabulary), settings.rules, name=f"quality-{feed}-{day}"
     )
     place = {"feed": F.lit(feed), "ingestion_date": F.lit(day)}
-    replace_files(conditions.withColumns(place), f"{root}/silver_raw", DAY_PARTITION)
+    replace_partition(conditions, f"{root}/silver_raw", {"feed": feed, "ingestion_date": day})
     measured = {k: int(v) for k, v in seen.get.items()}
     raw = spark.read.schema(conditions.withColumns(place).schema).parquet(f"{root}/silver_raw").filter(here)
     raw = raw.drop(*place)
     dead = quality.dead_letters(raw, settings.rules)
-    replace_files(dead.withColumns(place), f"{root}/dead_letters", DAY_PARTITION)
+    replace_partition(dead, f"{root}/dead_letters", {"feed": feed, "ingestion_date": day})
     broken = {k: n for k, n in measured.items() if k != "size" and n}
     if settings.on_fail == "raise" and (broken or not measured["size"]):
         raise quality.QualityBreach(f"{feed} {day}: {broken or 'no rows'}")
-    merge_snapshot(spark, f"{root}/condition_occurrence", quality.valid_rows(raw, settings.rules))
-    build_marts(read_snapshot(spark, f"{root}/condition_occurrence"), root, measurements)
+    silver = f"{root}/condition_occurrence"
+    merge_snapshot(spark, silver, quality.valid_rows(raw, settings.rules), tombstones=True)
+    build_marts(live_rows(read_snapshot(spark, silver)), root, measurements)
     return measured
 
 

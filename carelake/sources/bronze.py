@@ -97,11 +97,12 @@ def stream_extract(lines: DataFrame, at: datetime | None = None) -> DataFrame:
     )
 
 
-def land(bronze: DataFrame, root: str, feed: str, batch: int = 0) -> None:
+def land(bronze: DataFrame, root: str, feed: str, batch: int) -> None:
     """Write Bronze rows of a feed below `root`, partitioned by feed, day and batch.
 
     What the feed landed on the same days under the same batch number is replaced, so
-    landing again adds nothing.
+    landing one batch again adds nothing. Every file or offset range needs a number of
+    its own: another one under a used number would replace the earlier rows.
     """
     dated = conform(bronze, BRONZE_PAYLOADS, "land").withColumns({
         "feed": F.lit(feed),

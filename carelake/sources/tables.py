@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -51,3 +52,13 @@ def replace_files(df: DataFrame, path: str, partition_by: Sequence[str] = (), fm
     """Overwrite the partitions that `df` holds and leave the others as they are."""
     writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).save(path)
+
+
+def replace_partition(df: DataFrame, path: str, partition: Mapping[str, object], fmt: str = "parquet") -> None:
+    """Overwrite one named partition with `df`, which does not hold its columns; with no rows it becomes empty.
+
+    An overwrite of the partitions that a frame holds would leave the old rows of one
+    that has no rows any more.
+    """
+    place = "/".join(f"{quote(k, safe='')}={quote(str(v), safe='')}" for k, v in partition.items())
+    df.write.format(fmt).mode("overwrite").save(f"{path}/{place}")

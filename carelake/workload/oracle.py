@@ -9,8 +9,8 @@ from __future__ import annotations
 from carelake.workload.inputs import EM_ITERATIONS, LINK_MODEL, NEW_KEY_OFFSET, SALT
 
 
-def _token(value: str, salt: str = SALT) -> str:
-    return f"'DEID-' || substr(sha256({value} || '{salt}'), 1, 10)"
+def _token(value: str, salt: str = SALT, digits: int = 64) -> str:
+    return f"'DEID-' || substr(sha256({value} || '{salt}'), 1, {digits})"
 
 
 def _shift_days(person: str) -> str:
@@ -257,7 +257,7 @@ ORACLE: dict[str, str] = {
                CASE WHEN event_id % 25 <> 0 THEN CAST(ts AS DATE) END AS day,
                TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
         FROM events""",
-    "deid_token": f"SELECT c_custkey, {_token('c_name')} AS c_name_deid FROM customer",
+    "deid_token": f"SELECT c_custkey, {_token('c_name', digits=10)} AS c_name_deid FROM customer",
     "deid_dateshift": f"""
         SELECT o_orderkey,
                CAST(o_orderdate AS DATE) + {_shift_days('CAST(o_custkey AS VARCHAR)')} AS o_orderdate_shifted
@@ -267,7 +267,7 @@ ORACLE: dict[str, str] = {
     "redact_documents": rf"""
         SELECT doc_id,
                regexp_replace(regexp_replace(regexp_replace(text, {_SSN_RULE}),
-                   '[A-Za-z0-9._-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}', '[REDACTED_EMAIL]', 'g'),
+                   '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}', '[REDACTED_EMAIL]', 'g'),
                    '\d{{3}}-\d{{3}}-\d{{4}}', '[REDACTED_PHONE]', 'g') AS text_redacted
         FROM documents""",
     "deid_drop": f"""WITH {RECORDS}

@@ -27,7 +27,8 @@ INGESTED = datetime(2024, 1, 1)
 ROUND = 9
 
 # Patterns the document query redacts besides the default one.
-EMAIL_RULE = (r"[A-Za-z0-9._-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[REDACTED_EMAIL]")
+# A run of letters without an @ is looked at once: a match begins where a run or the last match ends.
+EMAIL_RULE = (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[REDACTED_EMAIL]")
 PHONE_RULE = (r"\d{3}-\d{3}-\d{4}", "[REDACTED_PHONE]")
 
 FLAT_RECORD = T.StructType([
@@ -75,7 +76,7 @@ def flatten_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deid_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
-        "c_custkey", deid.token(F.col("c_name"), SALT).alias("c_name_deid")
+        "c_custkey", deid.token(F.col("c_name"), SALT, hex_digits=10).alias("c_name_deid")
     )
 
 

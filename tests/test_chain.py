@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from carelake.operators.deidentify import DeidPolicy
 from carelake.operators.quality import QualityBreach
+from carelake.operators.merge import live_rows
 from carelake.plans.chain import ChainSettings, chain, run_day
 from carelake.sources import bronze
 from carelake.sources.snapshots import read_snapshot
@@ -31,7 +32,7 @@ MESSAGES = [
     '{"msg_id":"MSG-002","pid":"PAT-999","ssn":"999-99-9999","admit_date":"2023-10-15"}',
     '{"msg_id":"MSG-003","pid":null,"ssn":"1","admit_date":"2023-11-01"}',
 ]
-TOKEN = "DEID-" + hashlib.sha256(f"999-99-9999{SALT}".encode()).hexdigest()[:10]
+TOKEN = "DEID-" + hashlib.sha256(f"999-99-9999{SALT}".encode()).hexdigest()
 AT = dt.datetime(2024, 1, 1, 6)
 
 
@@ -50,7 +51,7 @@ def test_lazy_chain(spark):
 
 def daily(spark, tmp_path, at, settings=SETTINGS):
     lake = str(tmp_path / "lake")
-    bronze.land(bronze.land_text(bronze.text_lines(spark, str(tmp_path / "in")), at=at), lake, "messages")
+    bronze.land(bronze.land_text(bronze.text_lines(spark, str(tmp_path / "in")), at=at), lake, "messages", batch=0)
     return run_day(spark, lake, "messages", at.date(), settings)
 
 
@@ -110,21 +111,56 @@ def test_changes_of_two_days_reach_silver(spark, tmp_path):
          change("d", "2024-01-02 08:00:00", before=row("b", "2023-01-10"))],
     ]
     expected = [([("a",), ("b",), ("c",)], (1, 1)), ([("a",), ("c",)], (1, 1))]
+    live = lambda: live_rows(read_snapshot(spark, f"{lake}/condition_occurrence"))
     for number, (lines, (ids, totals)) in enumerate(zip(days, expected)):
         at = AT + dt.timedelta(days=number)
         landed = bronze.cdc_extract(spark.createDataFrame([(v,) for v in lines], "value string"), at=at)
-        bronze.land(landed, lake, "changes")
+        bronze.land(landed, lake, "changes", batch=0)
         assert run_day(spark, lake, "changes", at.date(), CHANGE_SETTINGS)["size"] == len(lines) - 2 * (number == 0)
-        assert rows(read_snapshot(spark, f"{lake}/condition_occurrence"), "condition_occurrence_id") == ids
+        assert rows(live(), "condition_occurrence_id") == ids
         gold = spark.read.parquet(f"{lake}/gold/readmissions_30_day")
         assert rows(gold, "total_index_admissions", "total_30_day_readmissions") == [totals]
+    # the first day again revives nothing
+    run_day(spark, lake, "changes", AT.date(), CHANGE_SETTINGS)
+    assert rows(live(), "condition_occurrence_id") == [("a",), ("c",)]
+
+
+def test_a_delete_needs_its_key_only(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    row = {"id": "a", "mrn": "M1", "pid": "P1", "admit_date": "2023-01-01"}
+    for number, line in enumerate([change("c", "2024-01-01 08:00:00", after=row), change("d", "2024-01-02 08:00:00", before={"id": "a"})]):
+        at = AT + dt.timedelta(days=number)
+        landed = bronze.cdc_extract(spark.createDataFrame([(line,)], "value string"), at=at)
+        bronze.land(landed, lake, "changes", batch=0)
+        run_day(spark, lake, "changes", at.date(), CHANGE_SETTINGS)
+    assert rows(live_rows(read_snapshot(spark, f"{lake}/condition_occurrence"))) == []
+    assert spark.read.parquet(f"{lake}/dead_letters").count() == 0
+
+
+def test_a_corrected_row_leaves_the_dead_letters(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    dead = lambda: spark.read.parquet(f"{tmp_path}/lake/dead_letters").count()
+    (inbox / "a.txt").write_text(MESSAGES[2] + "\n")
+    daily(spark, tmp_path, AT)
+    assert dead() == 1
+    (inbox / "a.txt").write_text(MESSAGES[2].replace("null", '"PAT-1"') + "\n")
+    daily(spark, tmp_path, AT)
+    assert dead() == 0
+
+
+def test_files_under_their_own_numbers_stay(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    for number, line in enumerate("ab"):
+        bronze.land(bronze.land_text(spark.createDataFrame([(line,)], "value string"), at=AT), lake, "one", batch=number)
+    assert rows(spark.read.parquet(f"{lake}/bronze"), "raw_payload_json") == [("a",), ("b",)]
 
 
 def test_feeds_do_not_replace_each_other(spark, tmp_path):
     lake = str(tmp_path / "lake")
     lines = spark.createDataFrame([("x",)], "value string")
     for feed in ("one", "two", "one"):
-        bronze.land(bronze.land_text(lines, at=AT), lake, feed)
+        bronze.land(bronze.land_text(lines, at=AT), lake, feed, batch=0)
     assert rows(spark.read.parquet(f"{lake}/bronze"), "feed") == [("one",), ("two",)]
 
 

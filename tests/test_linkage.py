@@ -86,13 +86,6 @@ def test_agreement_rates(spark):
         assert got[c]["u"] == pytest.approx(agree / len(pairs))
 
 
-def test_sampled_rates_keep_to_the_number_of_pairs(spark):
-    df = spark.createDataFrame(people(3, n=400, nulls=0), SCHEMA)
-    got = k.agreement_rates(df, SETTINGS, max_pairs=1000, seed=5).collect()
-    assert {int(r["n_pairs"]) for r in got} == {45 * 44 // 2}
-    assert k.agreement_rates(df, SETTINGS, max_pairs=1000, seed=5).collect() == got
-
-
 @pytest.mark.parametrize("settings, threshold", [(FREE, 0.3), (SETTINGS, 0.8), (FREE, 0.97)])
 def test_predictions_partners_and_clusters(spark, settings, threshold):
     data = people(4)

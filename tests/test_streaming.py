@@ -110,7 +110,7 @@ def test_merge_of_a_stream_equals_the_batch_merges(spark, tmp_path):
 def test_streams_and_batches_land_in_one_bronze(spark, tmp_path):
     inbox, lake = tmp_path / "in", str(tmp_path / "lake")
     put(inbox, "1.txt", *RESOURCES[:5])
-    bronze.land(bronze.land_text(bronze.text_lines(spark, str(inbox)), at=AT), lake, "files")
+    bronze.land(bronze.land_text(bronze.text_lines(spark, str(inbox)), at=AT), lake, "files", batch=0)
 
     def run():
         stream = bronze.stream_extract(streams.file_lines(spark, str(inbox), files_per_batch=1), at=AT)
@@ -120,7 +120,7 @@ def test_streams_and_batches_land_in_one_bronze(spark, tmp_path):
     assert run() == [("files", 5), ("stream", 5)]
     put(inbox, "2.txt", *RESOURCES[5:7])
     assert run() == [("files", 5), ("stream", 7)]
-    bronze.land(bronze.land_text(bronze.text_lines(spark, str(inbox)), at=AT), lake, "files")
+    bronze.land(bronze.land_text(bronze.text_lines(spark, str(inbox)), at=AT), lake, "files", batch=0)
     assert run() == [("files", 7), ("stream", 7)]
     assert rows(bronze.landed(spark, lake), "ingestion_date")[0] == (AT.date(),)
 
