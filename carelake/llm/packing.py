@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import numbered
+from carelake.llm.common import keep, numbered
 
 #: Lengths up to this are bins of their own; each doubling beyond is dealt into as many bins.
 EXACT = 1024
@@ -105,7 +105,7 @@ def pack(documents: DataFrame, buckets: int = 16, budget: int = 65_536) -> DataF
     slots within a batch from 0; a hash of doc_id deals the order. An empty table gives
     no rows. Other columns are not read.
     """
-    lengths = documents.select("doc_id", word_count().cast("long").alias("n_tokens"))
+    lengths = keep(documents.select("doc_id", word_count().cast("long").alias("n_tokens")), "packing-lengths")
     chosen = fit(lengths, buckets)
     tops = chosen.lengths or (0,)
     bucket = F.lit(len(tops) - 1)
