@@ -17,19 +17,23 @@ class DeidPolicy:
     """What happens to which column.
 
     tokens: source -> output; shifts: output -> (date, person); redactions:
-    source -> output; drop: columns removed in any case.
+    source -> output; ages: source -> output, top-coded; drop: columns removed in any
+    case, names among them. `salted_shifts` salts the date shift too: without it anyone
+    who knows a patient id can undo the shift.
     """
 
     tokens: Mapping[str, str] = field(default_factory=dict)
     shifts: Mapping[str, tuple[str, str]] = field(default_factory=dict)
     redactions: Mapping[str, str] = field(default_factory=dict)
+    ages: Mapping[str, str] = field(default_factory=dict)
     drop: Sequence[str] = ()
+    salted_shifts: bool = False
     rules: Sequence[tuple[str, str]] = (deid.SSN_RULE,)
     token_hex_digits: int = deid.TOKEN_HEX_DIGITS
 
     def sources(self) -> list[str]:
         shifted = [c for pair in self.shifts.values() for c in pair]
-        return list(dict.fromkeys([*self.tokens, *shifted, *self.redactions]))
+        return list(dict.fromkeys([*self.tokens, *shifted, *self.redactions, *self.ages]))
 
 
 CLINICAL_POLICY = DeidPolicy(
@@ -57,12 +61,13 @@ def deidentify(
         for c, out in policy.tokens.items() if c in have
     ]
     added += [
-        deid.shifted_date(F.col(date), F.col(person)).alias(out)
+        deid.shifted_date(F.col(date), F.col(person), salt if policy.salted_shifts else "").alias(out)
         for out, (date, person) in policy.shifts.items() if {date, person} <= have
     ]
     added += [
         deid.redacted(F.col(c), policy.rules).alias(out)
         for c, out in policy.redactions.items() if c in have
     ]
+    added += [deid.top_coded_age(F.col(c)).alias(out) for c, out in policy.ages.items() if c in have]
     dropped = set(policy.drop) | (set(policy.sources()) if drop_source else set())
     return df.select(*[c for c in df.columns if c not in dropped], *added)

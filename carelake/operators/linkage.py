@@ -263,13 +263,14 @@ def agreement_rates(
 
 def estimate(
     records: DataFrame, settings: LinkSettings, fixed_m: Mapping[str, float] | None = None,
-    start_m: float = 0.9, prior: float = 0.01, max_iterations: int = 100, tolerance: float = 1e-6,
+    start_m: float = 0.9, prior: float = 0.01, max_iterations: int = 10_000, tolerance: float = 1e-6,
 ) -> LinkModel:
     """Estimate the model: u from all pairs, then m and the prior by expectation-maximisation.
 
     EM (Dempster, Laird & Rubin 1977) runs on the pattern counts, at most 3^k rows,
     which is all that reaches the driver. A block column agrees on every candidate
-    pair, so nothing can be learnt for it: its m is `fixed_m`'s or `start_m`.
+    pair, so nothing can be learnt for it: its m is `fixed_m`'s or `start_m`. EM that
+    has not settled to `tolerance` after `max_iterations` rounds is an error.
     """
     fixed = {c: start_m for c in settings.compare if _is_block_column(settings, c)}
     fixed.update(fixed_m or {})
@@ -313,6 +314,8 @@ def estimate(
         history.append(change)
         if change < tolerance:
             break
+    else:
+        raise ValueError(f"estimate: not settled after {max_iterations} rounds, last change {history[-1:]}")
     return LinkModel(m, u, prior, tuple(history))
 
 

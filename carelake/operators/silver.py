@@ -55,23 +55,30 @@ def condition_map(
 def concept_lookup(
     df: DataFrame, vocabulary: DataFrame, code: str = "condition_source_value",
     concept: str = "condition_concept_id", vocabulary_code: str = "source_code",
-    vocabulary_concept: str = "concept_id",
+    vocabulary_concept: str = "concept_id", on: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Set `concept` to the vocabulary's id of `code`; an unknown or null code gives 0.
 
-    The vocabulary is cut to one id per code first, so rows are never multiplied.
+    `on` names further columns that must agree, as column of `df` -> column of the
+    vocabulary: one code may stand for different things in different vocabularies. A
+    code that a row uses and that has two concepts all the same fails the job. The
+    vocabulary is cut to one id per code first, so rows are never multiplied.
     No broadcast is forced: Spark takes one where the size it knows allows that, and
     otherwise splits the partitions of a frequent code while it runs.
     """
-    require_columns(df, [code], "concept_lookup")
-    require_columns(vocabulary, [vocabulary_code, vocabulary_concept], "concept_lookup vocabulary")
+    keys = {code: vocabulary_code, **(on or {})}
+    require_columns(df, list(keys), "concept_lookup")
+    require_columns(vocabulary, [*keys.values(), vocabulary_concept], "concept_lookup vocabulary")
+    number = F.col(vocabulary_concept).cast("int")
     ids = (
-        vocabulary.filter(F.col(vocabulary_code).isNotNull())
-        .groupBy(F.col(vocabulary_code).alias("_code"))
-        .agg(F.min(F.col(vocabulary_concept).cast("int")).alias("_concept"))
+        vocabulary.dropna(subset=list(keys.values()))
+        .groupBy(*[F.col(v).alias(f"_key{i}") for i, v in enumerate(keys.values())])
+        .agg(F.min(number).alias("_concept"), F.max(number).alias("_other"))
     )
-    joined = df.join(ids, df[code] == ids["_code"], "left")
-    found = F.coalesce(F.col("_concept"), F.lit(UNMAPPED_CONCEPT)).alias(concept)
+    joined = df.join(ids, [df[c] == ids[f"_key{i}"] for i, c in enumerate(keys)], "left")
+    message = F.concat(F.lit("concept_lookup: more than one concept for code "), df[code].cast("string"))
+    single = F.when(F.col("_concept") < F.col("_other"), F.raise_error(message).cast("int")).otherwise(F.col("_concept"))
+    found = F.coalesce(single, F.lit(UNMAPPED_CONCEPT)).alias(concept)
     if concept in df.columns:
         return joined.select(*[found if c == concept else df[c] for c in df.columns])
     return joined.select(*[df[c] for c in df.columns], found)

@@ -12,12 +12,12 @@ from pyspark.sql import types as T
 
 from carelake.operators import quality
 from carelake.operators.deidentify import CLINICAL_POLICY, DeidPolicy, deidentify
-from carelake.operators.merge import live_rows, merge_frames, merge_snapshot
+from carelake.operators.merge import KEY, live_rows, merge_frames, merge_snapshot
 from carelake.operators.silver import RECORD_COLUMNS, concept_lookup, condition_map
 from carelake.plans import marts
 from carelake.schemas import CLINICAL_RECORD
 from carelake.sources.bronze import flatten_payload, landed
-from carelake.sources.snapshots import read_snapshot
+from carelake.sources.snapshots import read_snapshot, write_snapshot
 from carelake.sources.tables import replace_partition
 
 
@@ -35,20 +35,28 @@ class ChainSettings:
 
 
 def to_conditions(
-    bronze: DataFrame, settings: ChainSettings, vocabulary: DataFrame | None = None
+    bronze: DataFrame, settings: ChainSettings, vocabulary: DataFrame | None = None, feed: str | None = None
 ) -> DataFrame:
     """Bronze payloads to condition rows with change columns, as one lazy projection.
 
     The time of a change is its `updated_at` where the payload has one, else the time
-    it was ingested. With a vocabulary the source code gets its concept.
+    it was ingested. With a vocabulary the source code gets its concept. With a feed,
+    ids read `feed/source system/id`, as two sources may give one id to different rows.
     """
+    if feed is not None and "/" in feed:
+        raise ValueError("to_conditions: no / in the name of a feed")
     flat = flatten_payload(bronze, settings.record, settings.paths)
     if "updated_at" not in flat.columns:
         flat = flat.withColumn("updated_at", F.col("ingestion_timestamp"))
     if "cdc_op" not in flat.columns:
         flat = flat.withColumn("cdc_op", F.lit(None).cast("string"))
     safe = deidentify(flat, settings.policy, settings.salt)
-    mapped = condition_map(safe, settings.columns or RECORD_COLUMNS)
+    columns = settings.columns or RECORD_COLUMNS
+    if feed is not None:
+        system = F.coalesce(F.replace("source_system_id", F.lit("/"), F.lit("%2F")), F.lit(""))
+        whole = F.concat(F.lit(f"{feed}/"), system, F.lit("/"), F.col(columns[KEY]).cast("string"))
+        safe, columns = safe.withColumn("_whole_id", whole), {**columns, KEY: "_whole_id"}
+    mapped = condition_map(safe, columns)
     return mapped if vocabulary is None else concept_lookup(mapped, vocabulary)
 
 
@@ -97,12 +105,12 @@ def run_day(
     ran twice is simply run again, also after later days: deleted keys stay in Silver
     with code `d` (see `live_rows`), so an older day does not revive them. Quality is
     measured while raw Silver is written. With `on_fail="raise"` a broken rule stops the
-    run before the merge.
+    run before the merge. Runs over one `root` follow each other: all feeds share Silver.
     """
     here = (F.col("feed") == feed) & (F.col("ingestion_date") == F.lit(day))
     bronze = landed(spark, root).filter(here)
     conditions, seen = quality.observed(
-        to_conditions(bronze, settings, vocabulary), settings.rules, name=f"quality-{feed}-{day}"
+        to_conditions(bronze, settings, vocabulary, feed), settings.rules, name=f"quality-{feed}-{day}"
     )
     place = {"feed": F.lit(feed), "ingestion_date": F.lit(day)}
     replace_partition(conditions, f"{root}/silver_raw", {"feed": feed, "ingestion_date": day})
@@ -121,13 +129,22 @@ def run_day(
 
 
 def build_marts(conditions: DataFrame, root: str, measurements: DataFrame | None = None) -> None:
-    """Write the Gold marts over the merged conditions, replacing the last build."""
+    """Write the Gold marts over the merged conditions; `read_mart` reads the newest finished build.
+
+    Readmissions are kept per stay and day: a row per pair of stays grows with the
+    square of a person's stays (`marts.readmission_pairs` gives it where it is wanted).
+    """
     built = {
         "readmissions_30_day": marts.readmission_30d(conditions, unique_ids=True),
-        "readmission": marts.readmission_pairs(conditions),
+        "readmission_days": marts.readmission_pairs(conditions, per_day=True),
         "admission_count": marts.admission_count(conditions),
     }
     if measurements is not None:
         built["hedis"] = marts.hedis(conditions, measurements)
     for name, mart in built.items():
-        mart.write.mode("overwrite").parquet(f"{root}/gold/{name}")
+        write_snapshot(mart, f"{root}/gold/{name}", keep=2)
+
+
+def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The last finished build of a Gold mart below `root`, or None before the first."""
+    return read_snapshot(spark, f"{root}/gold/{name}")

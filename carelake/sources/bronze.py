@@ -20,7 +20,7 @@ from carelake.schemas import (
 )
 from carelake.sources.tables import replace_files
 
-# The source name of claim files, and the change codes that are kept.
+# The source name of claim files, and the change codes that are kept by default.
 CLAIM_SOURCE = "EDI_X12_BATCH"
 KEPT_CHANGES = ("c", "u", "d")
 
@@ -60,17 +60,22 @@ def _change_code() -> Column:
     return F.from_json(F.col("raw_payload_json"), CHANGE_CODE)["payload"]["op"]
 
 
-def cdc_extract(lines: DataFrame, at: datetime | None = None, strict_after: bool = False) -> DataFrame:
-    """Bronze rows of change-log lines with a create, update or delete code.
+def cdc_extract(
+    lines: DataFrame, at: datetime | None = None, strict_after: bool = False,
+    kept: Sequence[str] = KEPT_CHANGES,
+) -> DataFrame:
+    """Bronze rows of change-log lines with one of the `kept` codes.
 
+    By default these are create, update and delete. An initial load writes code `r`
+    only: add it where such lines should land. What is left out is in `cdc_rejects`.
     A delete has no `after` image; its id is taken from `before`, unless
     `strict_after` asks for the image after the change only.
     """
-    kept = _change_text(lines, "cdc_extract").filter(_change_code().isin(*KEPT_CHANGES))
+    changes = _change_text(lines, "cdc_extract").filter(_change_code().isin(*kept))
     after_id = F.col("change.after")["id"]
     row_id = after_id if strict_after else F.coalesce(after_id, F.col("change.before")["id"])
     change = F.from_json(F.col("raw_payload_json"), CHANGE_ENVELOPE)["payload"]
-    return kept.withColumn("change", change).select(
+    return changes.withColumn("change", change).select(
         row_id.alias("payload_id"),
         F.col("change.source")["db"].alias("source_system_id"),
         "raw_payload_json",
@@ -78,9 +83,10 @@ def cdc_extract(lines: DataFrame, at: datetime | None = None, strict_after: bool
     )
 
 
-def cdc_rejects(lines: DataFrame) -> DataFrame:
-    """Change-log lines without a readable change code, which `cdc_extract` leaves out."""
-    return _change_text(lines, "cdc_rejects").filter(_change_code().isNull())
+def cdc_rejects(lines: DataFrame, kept: Sequence[str] = KEPT_CHANGES) -> DataFrame:
+    """Change-log lines that `cdc_extract` leaves out: no readable change code, or another one."""
+    left_out = ~F.coalesce(_change_code().isin(*kept), F.lit(False))
+    return _change_text(lines, "cdc_rejects").filter(left_out)
 
 
 def stream_extract(lines: DataFrame, at: datetime | None = None) -> DataFrame:

@@ -17,8 +17,8 @@ SALT = "workload-salt"
 # Key of a change that meets no row: beyond every key of the tables.
 NEW_KEY_OFFSET = 10**12
 
-# A fixed number of rounds, so that the SQL can state it.
-EM_ITERATIONS = 12
+# EM settles to this before six digits are compared; the SQL stops at the same tolerance.
+EM_TOLERANCE = 1e-12
 
 LINK = LinkSettings(unique_id="unique_id", block=("nation",), compare=("name", "segment", "balance"))
 LINK_MODEL = LinkModel(
@@ -195,6 +195,37 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return original_persons(spark, sf_dir).unionByName(copied_persons(spark, sf_dir))
 
 
+def daily_payloads(spark: SparkSession, sf_dir: str, day: int, later: int = 0, corrected: bool = False) -> DataFrame:
+    """What the orders are as landed changes on one of two days.
+
+    Day 1 creates every order, some without a record number unless `corrected`. Day 2
+    deletes every fourth order by its key alone and moves another fourth by a week.
+    `later` moves all admissions by so many days.
+    """
+    key, person = F.col("o_orderkey"), F.col("o_custkey")
+    orders = table(spark, sf_dir, "orders")
+    if day == 2:
+        orders = orders.filter(key % 4 < 2)
+    whole = key % 4 != 0 if day == 2 else F.lit(True)
+    numbered = whole if corrected or day == 2 else key % 50 != 0
+    at = f"2024-01-0{day} 08:00:00"
+    record = F.struct(
+        F.when(whole, person.cast("string")).alias("patient_id"),
+        F.when(whole, ssn(person)).alias("patient_ssn"),
+        F.when(numbered, F.concat(F.lit("MRN"), person.cast("string"))).alias("patient_mrn"),
+        F.when(whole, F.date_add(order_day(), later + 7 * (day - 1)).cast("string")).alias("admission_date"),
+        F.when(whole, F.concat(F.lit("SSN "), ssn(person))).alias("clinical_notes"),
+        (F.lit("c") if day == 1 else F.when(whole, "u").otherwise("d")).alias("cdc_op"),
+        F.lit(at).alias("updated_at"),
+    )
+    return orders.select(
+        key.cast("string").alias("payload_id"),
+        F.lit("ORDERS").alias("source_system_id"),
+        F.to_json(record).alias("raw_payload_json"),
+        F.lit(at).cast("timestamp").alias("ingestion_timestamp"),
+    )
+
+
 def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as raw clinical JSON in Bronze; some lack the record number."""
     person = F.col("o_custkey")

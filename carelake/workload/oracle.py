@@ -6,7 +6,7 @@ by the way the Spark operators reach it.
 
 from __future__ import annotations
 
-from carelake.workload.inputs import EM_ITERATIONS, LINK_MODEL, NEW_KEY_OFFSET, SALT
+from carelake.workload.inputs import EM_TOLERANCE, LINK_MODEL, NEW_KEY_OFFSET, SALT
 
 
 def _token(value: str, salt: str = SALT, digits: int = 64) -> str:
@@ -211,6 +211,7 @@ def _odds() -> str:
 _NEXT_M = ", ".join(
     f"sum(share) FILTER (gamma_{c} = 1) / sum(share) FILTER (gamma_{c} <> -1) AS m_{c}" for c in COMPARED
 )
+_CHANGES = ", ".join(f"abs(m_{c} - was_{c})" for c in COMPARED)
 _U = ", ".join(f"max(u) FILTER (column_name = '{c}') AS u_{c}" for c in COMPARED)
 _MODEL = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, round(m_{c}, 6) AS m, round(u_{c}, 6) AS u, round(prior, 6) AS prior FROM last"
@@ -224,13 +225,15 @@ EM = f"""rates AS (SELECT column_name, CAST(agree AS DOUBLE) / pairs AS u FROM (
         FROM persons l JOIN persons r ON l.nation = r.nation AND l.unique_id < r.unique_id
         GROUP BY ALL),
     em AS (
-        SELECT 0 AS round, 0.01::DOUBLE AS prior, {", ".join(f"0.9::DOUBLE AS m_{c}" for c in COMPARED)}
+        SELECT 0 AS round, 1::DOUBLE AS change, 0.01::DOUBLE AS prior, {", ".join(f"0.9::DOUBLE AS m_{c}" for c in COMPARED)}
         UNION ALL
-        SELECT round + 1 AS round, sum(share) / sum(n) AS prior, {_NEXT_M}
-        FROM (SELECT *, n * odds / (1 + odds) AS share
-              FROM (SELECT *, {_odds()} AS odds FROM em, patterns, u WHERE round < {EM_ITERATIONS}))
-        GROUP BY round),
-    last AS (SELECT * FROM em, u WHERE round = {EM_ITERATIONS})"""
+        SELECT round + 1, greatest(abs(prior - was), {_CHANGES}), prior, {", ".join(f"m_{c}" for c in COMPARED)}
+        FROM (SELECT round, max(prior) AS was, {", ".join(f"max(m_{c}) AS was_{c}" for c in COMPARED)},
+                     sum(share) / sum(n) AS prior, {_NEXT_M}
+              FROM (SELECT *, n * odds / (1 + odds) AS share
+                    FROM (SELECT *, {_odds()} AS odds FROM em, patterns, u WHERE change >= {EM_TOLERANCE}))
+              GROUP BY round)),
+    last AS (SELECT * FROM em, u ORDER BY round DESC LIMIT 1)"""
 
 CHAIN = f"""payloads AS (
     SELECT CAST(o_orderkey AS VARCHAR) AS condition_occurrence_id,
@@ -238,6 +241,24 @@ CHAIN = f"""payloads AS (
            CAST(o_orderdate AS DATE) + {_shift_days('CAST(o_custkey AS VARCHAR)')} AS condition_start_date
     FROM orders)"""
 
+_MRN = _token("'MRN' || CAST(o_custkey AS VARCHAR)")
+_SHIFT = _shift_days("CAST(o_custkey AS VARCHAR)")
+
+# Feeds `orders` and `refills` after the first day, and after the changes, the rerun and the correction.
+FIRST_DAY = f"""landed AS (
+    SELECT feed || '/ORDERS/' || o_orderkey AS condition_occurrence_id,
+           CASE WHEN o_orderkey % 50 <> 0 THEN {_MRN} END AS person_id,
+           CAST(o_orderdate AS DATE) + later + {_SHIFT} AS condition_start_date
+    FROM orders, (VALUES ('orders', 0), ('refills', 1)) feeds(feed, later)),
+    zones AS (SELECT CASE WHEN person_id IS NULL THEN 'dead' ELSE 'silver' END AS zone, * FROM landed)"""
+CORRECTED = f"""changed AS (
+    SELECT 'silver' AS zone, 'orders/ORDERS/' || o_orderkey AS condition_occurrence_id, {_MRN} AS person_id,
+           CAST(o_orderdate AS DATE) + CASE WHEN o_orderkey % 4 = 1 THEN 7 ELSE 0 END + {_SHIFT} AS condition_start_date
+    FROM orders WHERE o_orderkey % 4 <> 0),
+    {FIRST_DAY},
+    corrected AS (
+        SELECT * FROM changed UNION ALL SELECT * FROM zones WHERE condition_occurrence_id LIKE 'refills/%')"""
+
 ORACLE: dict[str, str] = {
     "land_text": """
         SELECT sha256(concat_ws(chr(31), 'DOCUMENTS', coalesce(source, ''), coalesce(text, ''))) AS payload_id,
@@ -246,7 +267,9 @@ ORACLE: dict[str, str] = {
     "cdc_extract": f"""WITH {CHANGE_LINES}
         SELECT CAST(event_id AS VARCHAR) AS payload_id, 'events' AS source_system_id, line AS raw_payload_json
         FROM lines WHERE op <> 'r' AND event_id % 100 <> 0""",
-    "cdc_rejects": "SELECT 'not json ' || event_id AS raw_payload_json FROM events WHERE event_id % 100 = 0",
+    "cdc_rejects": f"""WITH {CHANGE_LINES}
+        SELECT CASE WHEN event_id % 100 = 0 THEN 'not json ' || event_id ELSE line END AS raw_payload_json
+        FROM lines WHERE op = 'r' OR event_id % 100 = 0""",
     "stream_extract": f"""
         SELECT CAST(event_id AS VARCHAR) AS payload_id, event_type AS source_system_id,
                '{{"resourceType":"' || event_type || '","id":"' || event_id || '","payload":"'
@@ -276,6 +299,10 @@ ORACLE: dict[str, str] = {
                admission_date + {_shift_days('patient_id')} AS admission_date_shifted,
                regexp_replace(clinical_notes, {_SSN_RULE}) AS clinical_notes_redacted
         FROM records""",
+    "deid_salted": f"""
+        SELECT o_orderkey, least(o_custkey % 110, 90) AS age_coded,
+               CAST(o_orderdate AS DATE) + {_shift_days(f"CAST(o_custkey AS VARCHAR) || '{SALT}'")} AS admitted_shifted
+        FROM orders""",
     "condition_map": f"""WITH {RECORDS},
         shifted AS (SELECT *, admission_date + {_shift_days('patient_id')} AS day FROM records)
         SELECT payload_id AS condition_occurrence_id, {_token('patient_mrn')} AS person_id,
@@ -442,4 +469,8 @@ ORACLE: dict[str, str] = {
         {_readmissions('valid')}""",
     "chain_dead_letters": f"""WITH {CHAIN}
         SELECT *, 'complete(person_id)' AS reasons FROM payloads WHERE person_id IS NULL""",
+    "pipeline_e2e": f"WITH {FIRST_DAY} SELECT * FROM zones",
+    "pipeline_rerun": f"WITH {CORRECTED} SELECT * FROM corrected",
+    "pipeline_marts": f"""WITH {CORRECTED}, valid AS (SELECT * FROM corrected WHERE zone = 'silver')
+        {_readmissions('valid')}""",
 }

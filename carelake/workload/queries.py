@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 
 from carelake.functions import deid
 from carelake.operators import linkage, masking, merge, quality, silver
-from carelake.operators.deidentify import CLINICAL_POLICY, deidentify
+from carelake.operators.deidentify import CLINICAL_POLICY, DeidPolicy, deidentify
 from carelake.plans import marts
-from carelake.plans.chain import Chain, ChainSettings, chain
+from carelake.plans.chain import Chain, ChainSettings, chain, read_mart, run_day
+from carelake.schemas import CHANGE_COLUMNS, CLINICAL_RECORD
 from carelake.session import materialize, workspace
 from carelake.sources import bronze, streams
 from carelake.sources.snapshots import read_snapshot
@@ -103,6 +104,19 @@ def deid_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deidentify(inputs.clinical_records(spark, sf_dir), CLINICAL_POLICY, SALT, drop_source=False)
 
 
+def deid_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Salted shift, top-coded age, and a name that is dropped."""
+    people = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("patient_id"), F.col("o_orderstatus").alias("name"),
+        (F.col("o_custkey") % 110).alias("age"), F.col("o_orderdate").alias("admitted"),
+    )
+    policy = DeidPolicy(
+        shifts={"admitted_shifted": ("admitted", "patient_id")}, ages={"age": "age_coded"},
+        drop=("name",), salted_shifts=True,
+    )
+    return deidentify(people, policy, SALT)
+
+
 def condition_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.condition_map(deidentify(inputs.clinical_records(spark, sf_dir), CLINICAL_POLICY, SALT))
 
@@ -281,7 +295,7 @@ def link_partners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_em(spark: SparkSession, sf_dir: str) -> DataFrame:
     persons = inputs.persons(spark, sf_dir)
-    model = linkage.estimate(persons, LINK, max_iterations=inputs.EM_ITERATIONS, tolerance=0.0)
+    model = linkage.estimate(persons, LINK, tolerance=inputs.EM_TOLERANCE)
     return linkage.model_frame(persons, LINK, model).select(
         "column_name", *[F.round(c, 6).alias(c) for c in ("m", "u", "prior")]
     )
@@ -309,16 +323,68 @@ def chain_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DAILY = ChainSettings(salt=SALT, record=T.StructType([*CLINICAL_RECORD, *CHANGE_COLUMNS]))
+
+
+def _land_first_day(spark: SparkSession, sf_dir: str, lake: str, corrected: bool) -> None:
+    """Feed `orders` in two batches."""
+    first = inputs.daily_payloads(spark, sf_dir, 1, corrected=corrected)
+    for batch in (0, 1):
+        bronze.land(first.filter(F.col("payload_id").cast("bigint") % 2 == batch), lake, "orders", batch)
+
+
+def _first_day(spark: SparkSession, sf_dir: str) -> str:
+    """A lake after the first day of two feeds that give the same ids to different rows."""
+    lake = workspace(spark, "lake")
+    _land_first_day(spark, sf_dir, lake, corrected=False)
+    bronze.land(inputs.daily_payloads(spark, sf_dir, 1, later=1), lake, "refills", 0)
+    for feed in ("orders", "refills"):
+        run_day(spark, lake, feed, date(2024, 1, 1), DAILY)
+    return lake
+
+
+def _corrected_lake(spark: SparkSession, sf_dir: str) -> str:
+    """The lake after a second day of changes, and the first day again with its bad rows corrected."""
+    lake = _first_day(spark, sf_dir)
+    bronze.land(inputs.daily_payloads(spark, sf_dir, 2), lake, "orders", 0)
+    run_day(spark, lake, "orders", date(2024, 1, 2), DAILY)
+    _land_first_day(spark, sf_dir, lake, corrected=True)
+    run_day(spark, lake, "orders", date(2024, 1, 1), DAILY)
+    return lake
+
+
+def _zones(spark: SparkSession, lake: str) -> DataFrame:
+    """The rows of Silver and of the dead letters."""
+    silver = merge.live_rows(read_snapshot(spark, f"{lake}/condition_occurrence"))
+    dead = spark.read.parquet(f"{lake}/dead_letters")
+    columns = ("condition_occurrence_id", "person_id", "condition_start_date")
+    return silver.select(F.lit("silver").alias("zone"), *columns).unionByName(
+        dead.select(F.lit("dead").alias("zone"), *columns)
+    )
+
+
+def pipeline_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _zones(spark, _first_day(spark, sf_dir))
+
+
+def pipeline_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _zones(spark, _corrected_lake(spark, sf_dir))
+
+
+def pipeline_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_mart(spark, _corrected_lake(spark, sf_dir), "readmissions_30_day")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         land_text, cdc_extract, cdc_rejects, stream_extract, flatten_payload,
-        deid_token, deid_dateshift, redact_text, redact_documents, deid_drop,
+        deid_token, deid_dateshift, redact_text, redact_documents, deid_drop, deid_salted,
         condition_map, concept_lookup, dq_metrics, dq_report, dq_valid, dq_dlq,
         merge_upsert, merge_latest, merge_repeated, merge_tombstones, merge_stream,
         hedis, hedis_latest, readmission_pairs, readmission_days, readmission_30d, readmission_30d_any_ids,
         readmission_30d_all, readmission_30d_join, admission_count, repeat_admissions,
         admission_count_stream, mask_engineer, mask_analyst,
         link_pairs, link_rates, link_predict, link_partners, link_em, link_clusters,
-        chain_e2e, chain_dead_letters,
+        chain_e2e, chain_dead_letters, pipeline_e2e, pipeline_rerun, pipeline_marts,
     )
 }

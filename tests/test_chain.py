@@ -11,40 +11,41 @@ from pyspark.sql import types as T
 from carelake.operators.deidentify import DeidPolicy
 from carelake.operators.quality import QualityBreach
 from carelake.operators.merge import live_rows
-from carelake.plans.chain import ChainSettings, chain, run_day
+from carelake.plans.chain import ChainSettings, chain, read_mart, run_day
 from carelake.sources import bronze
 from carelake.sources.snapshots import read_snapshot
 
 SALT = "chain_salt"
 RECORD = T.StructType([
-    T.StructField("msg_id", T.StringType()), T.StructField("pid", T.StringType()),
-    T.StructField("ssn", T.StringType()), T.StructField("admit_date", T.StringType()),
+    *[T.StructField(n, T.StringType()) for n in ("note_no", "who", "policy", "came_on")],
 ])
 SETTINGS = ChainSettings(
-    salt=SALT, record=RECORD, policy=DeidPolicy(tokens={"ssn": "ssn_deid"}),
+    salt=SALT, record=RECORD, policy=DeidPolicy(tokens={"policy": "policy_deid"}),
     columns={
-        "condition_occurrence_id": "msg_id", "person_id": "pid", "condition_start_date": "admit_date",
-        "condition_source_value": "ssn_deid",
+        "condition_occurrence_id": "note_no", "person_id": "who", "condition_start_date": "came_on",
+        "condition_source_value": "policy_deid",
     },
 )
 MESSAGES = [
-    '{"msg_id":"MSG-001","pid":"PAT-999","ssn":"999-99-9999","admit_date":"2023-10-01"}',
-    '{"msg_id":"MSG-002","pid":"PAT-999","ssn":"999-99-9999","admit_date":"2023-10-15"}',
-    '{"msg_id":"MSG-003","pid":null,"ssn":"1","admit_date":"2023-11-01"}',
+    '{"note_no":"n-31","who":"ida","policy":"K 4-77","came_on":"2021-05-04"}',
+    '{"note_no":"n-32","who":"ida","policy":"K 4-77","came_on":"2021-05-20"}',
+    '{"note_no":"n-33","policy":"K 9-02","came_on":"2021-05-21"}',
+    '{"note_no":"n-34","who":"otto","came_on":"2021-05-05"}',
 ]
-TOKEN = "DEID-" + hashlib.sha256(f"999-99-9999{SALT}".encode()).hexdigest()
+TOKEN = "DEID-" + hashlib.sha256(f"K 4-77{SALT}".encode()).hexdigest()
 AT = dt.datetime(2024, 1, 1, 6)
+MESSAGE_IDS = "messages/EDI_X12_BATCH/"
 
 
 def test_lazy_chain(spark):
     raw = bronze.land_text(spark.createDataFrame([(m,) for m in MESSAGES], "value string"), at=AT)
     run = chain(raw, SETTINGS)
     assert rows(run.valid, "condition_occurrence_id", "condition_source_value") == [
-        ("MSG-001", TOKEN), ("MSG-002", TOKEN),
+        ("n-31", TOKEN), ("n-32", TOKEN), ("n-34", None),
     ]
-    assert rows(run.dead_letters, "condition_occurrence_id") == [("MSG-003",)]
-    assert rows(run.readmissions) == [("PAT-999", 1, 1, 1.0)]
-    assert "ssn" not in run.conditions.columns and "raw_payload_json" not in run.conditions.columns
+    assert rows(run.dead_letters, "condition_occurrence_id") == [("n-33",)]
+    assert rows(run.readmissions) == [("ida", 1, 1, 1.0)]
+    assert "policy" not in run.conditions.columns and "raw_payload_json" not in run.conditions.columns
     again = chain(raw, SETTINGS, target=run.silver)
     assert rows(again.silver) == rows(run.silver)
 
@@ -62,18 +63,18 @@ def test_daily_run_is_replay_safe(spark, tmp_path):
     lake = str(tmp_path / "lake")
     for _ in range(2):
         measured = daily(spark, tmp_path, AT)
-        assert (measured["size"], measured["complete(person_id)"]) == (3, 1)
-        assert spark.read.parquet(f"{lake}/bronze").count() == 3
-        assert rows(spark.read.parquet(f"{lake}/dead_letters"), "condition_occurrence_id") == [("MSG-003",)]
+        assert (measured["size"], measured["complete(person_id)"]) == (4, 1)
+        assert spark.read.parquet(f"{lake}/bronze").count() == 4
+        assert rows(spark.read.parquet(f"{lake}/dead_letters"), "condition_occurrence_id") == [(f"{MESSAGE_IDS}n-33",)]
         assert rows(read_snapshot(spark, f"{lake}/condition_occurrence"), "condition_occurrence_id") == [
-            ("MSG-001",), ("MSG-002",),
+            (f"{MESSAGE_IDS}n-31",), (f"{MESSAGE_IDS}n-32",), (f"{MESSAGE_IDS}n-34",),
         ]
-        assert rows(spark.read.parquet(f"{lake}/gold/readmissions_30_day")) == [("PAT-999", 1, 1, 1.0)]
-    (inbox / "a.txt").write_text('{"msg_id":"MSG-004","pid":"PAT-999","ssn":"999-99-9999","admit_date":"2023-10-20"}\n')
+        assert rows(read_mart(spark, lake, "readmissions_30_day")) == [("ida", 1, 1, 1.0)]
+    (inbox / "a.txt").write_text('{"note_no":"n-35","who":"ida","came_on":"2021-05-29"}\n')
     daily(spark, tmp_path, AT + dt.timedelta(days=1))
-    assert spark.read.parquet(f"{lake}/bronze").count() == 4
-    assert rows(spark.read.parquet(f"{lake}/gold/readmissions_30_day")) == [("PAT-999", 2, 2, 1.0)]
-    assert rows(spark.read.parquet(f"{lake}/gold/admission_count")) == [("PAT-999", 3)]
+    assert spark.read.parquet(f"{lake}/bronze").count() == 5
+    assert rows(read_mart(spark, lake, "readmissions_30_day")) == [("ida", 2, 2, 1.0)]
+    assert rows(read_mart(spark, lake, "admission_count")) == [("ida", 3), ("otto", 1)]
 
 
 def change(op, at, before=None, after=None):
@@ -84,14 +85,14 @@ def change(op, at, before=None, after=None):
 CHANGE_SETTINGS = ChainSettings(
     salt=SALT,
     record=T.StructType([
-        *[T.StructField(n, T.StringType()) for n in ("mrn", "pid", "admit_date", "cdc_op")],
+        *[T.StructField(n, T.StringType()) for n in ("mrn", "who", "came_on", "cdc_op")],
         T.StructField("updated_at", T.TimestampType()),
     ]),
     paths={
-        **{n: (f"payload.after.{n}", f"payload.before.{n}") for n in ("mrn", "pid", "admit_date")},
+        **{n: (f"payload.after.{n}", f"payload.before.{n}") for n in ("mrn", "who", "came_on")},
         "cdc_op": "payload.op", "updated_at": "payload.at",
     },
-    policy=DeidPolicy(tokens={"mrn": "person"}, shifts={"admitted": ("admit_date", "pid")}),
+    policy=DeidPolicy(tokens={"mrn": "person"}, shifts={"admitted": ("came_on", "who")}),
     columns={
         "condition_occurrence_id": "payload_id", "person_id": "person", "condition_start_date": "admitted",
         "condition_source_value": "source_system_id",
@@ -101,7 +102,7 @@ CHANGE_SETTINGS = ChainSettings(
 
 def test_changes_of_two_days_reach_silver(spark, tmp_path):
     lake = str(tmp_path / "lake")
-    row = lambda i, day: {"id": i, "mrn": "M1", "pid": "P1", "admit_date": day}
+    row = lambda i, day: {"id": i, "mrn": "M1", "who": "P1", "came_on": day}
     days = [
         [change("c", "2024-01-01 08:00:00", after=row("a", "2023-01-01")),
          change("c", "2024-01-01 08:00:00", after=row("b", "2023-01-10")),
@@ -110,24 +111,25 @@ def test_changes_of_two_days_reach_silver(spark, tmp_path):
         [change("u", "2024-01-02 08:00:00", before=row("c", "2023-06-01"), after=row("c", "2023-01-20")),
          change("d", "2024-01-02 08:00:00", before=row("b", "2023-01-10"))],
     ]
-    expected = [([("a",), ("b",), ("c",)], (1, 1)), ([("a",), ("c",)], (1, 1))]
+    ids = lambda names: [(f"changes/pg/{n}",) for n in names]
+    expected = [(ids("abc"), (1, 1)), (ids("ac"), (1, 1))]
     live = lambda: live_rows(read_snapshot(spark, f"{lake}/condition_occurrence"))
-    for number, (lines, (ids, totals)) in enumerate(zip(days, expected)):
+    for number, (lines, (left, totals)) in enumerate(zip(days, expected)):
         at = AT + dt.timedelta(days=number)
         landed = bronze.cdc_extract(spark.createDataFrame([(v,) for v in lines], "value string"), at=at)
         bronze.land(landed, lake, "changes", batch=0)
         assert run_day(spark, lake, "changes", at.date(), CHANGE_SETTINGS)["size"] == len(lines) - 2 * (number == 0)
-        assert rows(live(), "condition_occurrence_id") == ids
-        gold = spark.read.parquet(f"{lake}/gold/readmissions_30_day")
+        assert rows(live(), "condition_occurrence_id") == left
+        gold = read_mart(spark, lake, "readmissions_30_day")
         assert rows(gold, "total_index_admissions", "total_30_day_readmissions") == [totals]
     # the first day again revives nothing
     run_day(spark, lake, "changes", AT.date(), CHANGE_SETTINGS)
-    assert rows(live(), "condition_occurrence_id") == [("a",), ("c",)]
+    assert rows(live(), "condition_occurrence_id") == ids("ac")
 
 
 def test_a_delete_needs_its_key_only(spark, tmp_path):
     lake = str(tmp_path / "lake")
-    row = {"id": "a", "mrn": "M1", "pid": "P1", "admit_date": "2023-01-01"}
+    row = {"id": "a", "mrn": "M1", "who": "P1", "came_on": "2023-01-01"}
     for number, line in enumerate([change("c", "2024-01-01 08:00:00", after=row), change("d", "2024-01-02 08:00:00", before={"id": "a"})]):
         at = AT + dt.timedelta(days=number)
         landed = bronze.cdc_extract(spark.createDataFrame([(line,)], "value string"), at=at)
@@ -144,7 +146,7 @@ def test_a_corrected_row_leaves_the_dead_letters(spark, tmp_path):
     (inbox / "a.txt").write_text(MESSAGES[2] + "\n")
     daily(spark, tmp_path, AT)
     assert dead() == 1
-    (inbox / "a.txt").write_text(MESSAGES[2].replace("null", '"PAT-1"') + "\n")
+    (inbox / "a.txt").write_text(MESSAGES[2].replace('"policy"', '"who":"uma","policy"') + "\n")
     daily(spark, tmp_path, AT)
     assert dead() == 0
 
@@ -177,4 +179,18 @@ def test_a_vocabulary_sets_the_concept(spark):
     raw = bronze.land_text(spark.createDataFrame([(m,) for m in MESSAGES], "value string"), at=AT)
     vocabulary = spark.createDataFrame([(TOKEN, 9201)], "source_code string, concept_id int")
     got = chain(raw, SETTINGS, vocabulary=vocabulary)
-    assert rows(got.valid, "condition_concept_id") == [(9201,), (9201,)]
+    assert rows(got.valid, "condition_concept_id") == [(0,), (9201,), (9201,)]
+
+
+def test_feeds_with_equal_ids_keep_their_rows(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    for feed, came in (("north", "2021-05-04"), ("south", "2021-06-11")):
+        line = change("c", "2024-01-01 08:00:00", after={"id": "a", "mrn": "M1", "who": "P1", "came_on": came})
+        landed = bronze.cdc_extract(spark.createDataFrame([(line,)], "value string"), at=AT)
+        bronze.land(landed, lake, feed, batch=0)
+        run_day(spark, lake, feed, AT.date(), CHANGE_SETTINGS)
+    assert rows(live_rows(read_snapshot(spark, f"{lake}/condition_occurrence")), "condition_occurrence_id") == [
+        ("north/pg/a",), ("south/pg/a",),
+    ]
+    with pytest.raises(ValueError, match="feed"):
+        run_day(spark, lake, "a/b", AT.date(), CHANGE_SETTINGS)

@@ -68,12 +68,14 @@ def test_pattern_counts(spark, settings, seed):
     assert got == by_block
 
 
-def test_the_example_has_one_candidate(spark):
+def test_candidates_share_a_block(spark):
     df = spark.createDataFrame([
-        (1, "1980-01-01", "John", "Smith", "London"), (2, "1980-01-01", "Jon", "Smith", "London"),
-        (3, "1990-05-15", "Jane", "Doe", "Paris"),
+        (11, "1981-07-30", "Ida", None, "Graz"), (12, "1981-07-30", "Ida", "Moser", "Linz"),
+        (13, "1981-07-30", "Otto", "Moser", "Linz"), (14, "1962-02-11", "Otto", "Moser", "Linz"),
     ], SCHEMA)
-    assert [tuple(map(int, r)) for r in k.pattern_counts(df, SETTINGS).collect()] == [(0, 1, 1, 1, 1)]
+    assert sorted(tuple(map(int, r)) for r in k.pattern_counts(df, SETTINGS).collect()) == [
+        (0, -1, 1, 0, 1), (0, 1, 1, 1, 1), (1, -1, 1, 0, 1),
+    ]
 
 
 def test_agreement_rates(spark):
@@ -193,3 +195,8 @@ def test_connected_components(spark, seed):
 def test_no_edges_have_no_components(spark):
     assert connected_components(spark.createDataFrame([], "left int, right int")).count() == 0
     assert connected_components(spark.createDataFrame([(1, 1)], "left int, right int")).count() == 0
+
+
+def test_a_model_that_has_not_settled_is_an_error(spark):
+    with pytest.raises(ValueError, match="not settled"):
+        k.estimate(spark.createDataFrame(people(3), SCHEMA), SETTINGS, max_iterations=1, tolerance=0.0)

@@ -19,17 +19,18 @@ def starts(spark, data):
 
 
 EXAMPLE = [
-    ("C1", "P1", D(2023, 1, 1)), ("C2", "P1", D(2023, 1, 15)),
-    ("C3", "P2", D(2023, 2, 1)), ("C4", "P2", D(2023, 4, 1)),
+    ("s1", "ida", D(2020, 2, 20)), ("s2", "ida", D(2020, 3, 1)), ("s3", "ida", D(2020, 3, 21)),
+    ("s4", "ida", D(2020, 8, 1)), ("s5", "otto", D(2020, 5, 1)), ("s6", "otto", D(2020, 6, 1)),
+    ("s7", "uma", D(2020, 5, 5)),
 ]
 
 
 @pytest.mark.parametrize("unique_ids", [True, False])
 def test_30_day_readmission(spark, unique_ids):
     df = starts(spark, EXAMPLE)
-    assert rows(marts.readmission_30d(df, unique_ids=unique_ids)) == [("P1", 1, 1, 1.0)]
+    assert rows(marts.readmission_30d(df, unique_ids=unique_ids)) == [("ida", 2, 2, 1.0)]
     assert rows(marts.readmission_30d(df, unique_ids=unique_ids, include_all=True)) == [
-        ("P1", 1, 1, 1.0), ("P2", 0, 0, 0.0),
+        ("ida", 2, 2, 1.0), ("otto", 0, 0, 0.0), ("uma", 0, 0, 0.0),
     ]
 
 
@@ -157,10 +158,9 @@ def test_hedis(spark):
 
 
 def test_admission_counts(spark):
-    data = [("C001", "P123", D(2023, 1, 1)), ("C002", "P124", D(2023, 1, 5)), ("C003", "P123", D(2023, 1, 15))]
-    assert rows(marts.admission_count(starts(spark, data), min_count=2)) == [("P123", 2)]
-    data.append(("C004", "P124", D(2023, 1, 20)))
-    assert rows(marts.admission_count(starts(spark, data), min_count=2)) == [("P123", 2), ("P124", 2)]
+    data = [row for row in EXAMPLE if row[1] != "otto"] + [(None, "uma", D(2020, 5, 9))]
+    assert rows(marts.admission_count(starts(spark, data), min_count=2)) == [("ida", 4)]
+    assert rows(marts.admission_count(starts(spark, EXAMPLE), min_count=2)) == [("ida", 4), ("otto", 2)]
     assert rows(marts.admission_count(starts(spark, [(None, "P", None)]))) == [("P", 0)]
 
 

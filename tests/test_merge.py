@@ -11,12 +11,16 @@ from carelake.operators import merge as m
 from carelake.sources.snapshots import read_snapshot, write_snapshot
 
 SCHEMA = "condition_occurrence_id string, person_id string, condition_concept_id int, updated_at timestamp, cdc_op string"
-T1, T2, T3 = (dt.datetime(2023, 1, d, 10) for d in (1, 2, 3))
-TARGET = [("C001", "P123", 32020, T1, "c"), ("C002", "P124", 32020, T1, "c")]
+T1, T2, T3 = (dt.datetime(2019, 8, d, 7) for d in (4, 9, 30))
+TARGET = [
+    ("ward-1", "ida", 7, T1, "c"), ("ward-2", "ida", 7, T2, "u"), ("ward-3", "otto", 8, T1, "c"),
+    ("ward-4", "otto", 8, T3, "c"),
+]
 UPDATES = [
-    ("C001", "P123", 32021, T2, "u"), ("C002", "P124", 32020, T2, "d"), ("C003", "P125", 32020, T2, "c"),
+    ("ward-2", "uma", 9, T3, "u"), ("ward-3", "otto", 8, T3, "d"), ("ward-4", "otto", 1, T2, "u"),
+    ("ward-5", "pia", 4, T1, None),
 ]
-AFTER = [("C001", "P123", 32021, T2, "u"), ("C003", "P125", 32020, T2, "c")]
+AFTER = [TARGET[0], UPDATES[0], TARGET[3], UPDATES[3]]
 
 
 def frame(spark, data):
@@ -94,15 +98,17 @@ def test_latest_per_key(spark):
 
 
 def test_tombstones_stop_a_late_update(spark):
-    delete, late = [("C002", "P124", 32020, T3, "d")], [("C002", "P124", 1, T2, "u")]
+    delete, late = [("ward-3", "otto", 8, T3, "d")], [("ward-3", "otto", 1, T2, "u")]
     plain = m.merge_frames(m.merge_frames(frame(spark, TARGET), frame(spark, delete)), frame(spark, late))
-    assert "C002" in {r[0] for r in plain.collect()}
+    assert "ward-3" in {r[0] for r in plain.collect()}
     kept = m.merge_frames(frame(spark, TARGET), frame(spark, delete), tombstones=True)
     after = m.merge_frames(kept, frame(spark, late), tombstones=True)
-    assert rows(m.live_rows(after), "condition_occurrence_id") == [("C001",)]
-    again = [("C002", "P124", 5, T3 + dt.timedelta(days=1), "c")]
+    assert rows(m.live_rows(after), "condition_occurrence_id") == [("ward-1",), ("ward-2",), ("ward-4",)]
+    again = [("ward-3", "otto", 5, T3 + dt.timedelta(days=1), "c")]
     revived = m.live_rows(m.merge_frames(after, frame(spark, again), tombstones=True))
-    assert rows(revived, "condition_occurrence_id", "condition_concept_id") == [("C001", 32020), ("C002", 5)]
+    assert rows(revived, "condition_occurrence_id", "condition_concept_id") == [
+        ("ward-1", 7), ("ward-2", 7), ("ward-3", 5), ("ward-4", 8),
+    ]
 
 
 def test_snapshots(spark, tmp_path):

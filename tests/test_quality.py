@@ -6,7 +6,7 @@ from conftest import rows
 from carelake.operators import quality as q
 
 ROWS = [
-    ("C001", "P123", 32020), (None, "P124", 32020), ("C003", None, 32020), ("C004", "P126", -1),
+    ("q1", "ida", 0), ("q2", None, 410), ("q3", "uma", -7), (None, "pia", 0), ("q4", "otto", 3),
 ]
 SCHEMA = "condition_occurrence_id string, person_id string, condition_concept_id long"
 
@@ -14,10 +14,10 @@ SCHEMA = "condition_occurrence_id string, person_id string, condition_concept_id
 def test_report(spark):
     got = q.report(spark.createDataFrame(ROWS, SCHEMA))
     assert {r["constraint"]: (r["constraint_status"], r["metric"]) for r in got.collect()} == {
-        "size >= 1": ("Success", 4.0),
-        "complete(person_id)": ("Failure", 0.75),
-        "complete(condition_occurrence_id)": ("Failure", 0.75),
-        "non_negative(condition_concept_id)": ("Failure", 0.75),
+        "size >= 1": ("Success", 5.0),
+        "complete(person_id)": ("Failure", 0.8),
+        "complete(condition_occurrence_id)": ("Failure", 0.8),
+        "non_negative(condition_concept_id)": ("Failure", 0.8),
     }
     with pytest.raises(q.QualityBreach, match="person_id"):
         q.require_quality(got)
@@ -30,9 +30,9 @@ def test_report_of_an_empty_table(spark):
 
 
 def test_routing_is_an_exact_partition(spark):
-    df = spark.createDataFrame([*ROWS, ("C005", "P127", None), (None, None, -3)], SCHEMA)
-    assert rows(q.valid_rows(df), "person_id") == [("P123",), ("P127",)]
-    assert rows(q.valid_rows(df, q.KEY_RULES), "person_id") == [("P123",), ("P126",), ("P127",)]
+    df = spark.createDataFrame([*ROWS, ("q5", "rex", None), (None, None, -3)], SCHEMA)
+    assert rows(q.valid_rows(df), "person_id") == [("ida",), ("otto",), ("rex",)]
+    assert rows(q.valid_rows(df, q.KEY_RULES), "person_id") == [("ida",), ("otto",), ("rex",), ("uma",)]
     dead = {tuple(r)[:3]: r["reasons"] for r in q.dead_letters(df).collect()}
     assert dead[(None, None, -3)] == [
         "complete(person_id)", "complete(condition_occurrence_id)", "non_negative(condition_concept_id)",
@@ -51,6 +51,6 @@ def test_metrics_are_observed_by_the_write(spark, tmp_path):
     df, seen = q.observed(spark.createDataFrame(ROWS, SCHEMA))
     q.valid_rows(df).write.parquet(str(tmp_path / "valid"))
     assert seen.get == {
-        "size": 4, "complete(person_id)": 1, "complete(condition_occurrence_id)": 1,
+        "size": 5, "complete(person_id)": 1, "complete(condition_occurrence_id)": 1,
         "non_negative(condition_concept_id)": 1,
     }

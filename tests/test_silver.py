@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -9,9 +10,7 @@ from carelake.operators import masking, silver
 from carelake.schemas import CONDITION_OCCURRENCE
 
 PERSONS = [
-    ("1", "John", "Smith", "1980-01-01", "London"),
-    ("2", "Jon", "Smith", "1980-01-01", "London"),
-    ("3", "Jane", "Doe", "1990-05-15", "Paris"),
+    ("a7", "Ida", "1981-07-30", "Graz"), ("a8", "Otto", "1962-02-11", "Linz"), ("a9", None, "1962-02-11", "Linz"),
 ]
 COLUMNS = {
     "condition_occurrence_id": "unique_id", "person_id": "unique_id", "condition_start_date": "dob",
@@ -20,7 +19,7 @@ COLUMNS = {
 
 
 def persons(spark):
-    return spark.createDataFrame(PERSONS, "unique_id string, first_name string, last_name string, dob string, city string")
+    return spark.createDataFrame(PERSONS, "unique_id string, name string, dob string, city string")
 
 
 def test_twelve_columns(spark):
@@ -28,30 +27,41 @@ def test_twelve_columns(spark):
     assert mapped.schema.fieldNames() == CONDITION_OCCURRENCE.fieldNames()
     assert [f.dataType for f in mapped.schema] == [f.dataType for f in CONDITION_OCCURRENCE]
     assert rows(mapped)[0] == (
-        "1", "1", 0, dt.date(1980, 1, 1), dt.datetime(1980, 1, 1), None, None, 32020, "London", 0, None, 0,
+        "a7", "a7", 0, dt.date(1981, 7, 30), dt.datetime(1981, 7, 30), None, None, 32020, "Graz", 0, None, 0,
     )
 
 
 def test_change_columns_and_a_discharge_are_carried(spark):
     df = persons(spark).withColumns({
-        "left_on": F.lit("1980-01-05"), "updated_at": F.lit("2023-01-01 10:00:00"), "cdc_op": F.lit("u"),
+        "left_on": F.lit("1981-08-02"), "updated_at": F.lit("2023-01-01 10:00:00"), "cdc_op": F.lit("u"),
     })
     mapped = silver.condition_map(df, {**COLUMNS, "condition_end_date": "left_on"})
     assert rows(mapped, "condition_end_date", "updated_at", "cdc_op")[0] == (
-        dt.date(1980, 1, 5), dt.datetime(2023, 1, 1, 10), "u",
+        dt.date(1981, 8, 2), dt.datetime(2023, 1, 1, 10), "u",
     )
 
 
 def test_lookup_never_multiplies_rows(spark):
     mapped = silver.condition_map(persons(spark), COLUMNS)
-    vocabulary = spark.createDataFrame([("London", 9), ("London", 7), (None, 5)], "source_code string, concept_id int")
+    vocabulary = spark.createDataFrame([("Linz", 7), ("Linz", 7), (None, 5), ("Wien", 1), ("Wien", 2)], "source_code string, concept_id int")
     got = silver.concept_lookup(mapped, vocabulary)
     assert got.columns == mapped.columns
-    assert rows(got, "condition_occurrence_id", "condition_concept_id") == [("1", 7), ("2", 7), ("3", 0)]
+    assert rows(got, "condition_occurrence_id", "condition_concept_id") == [("a7", 0), ("a8", 7), ("a9", 7)]
     unknown = mapped.withColumn("condition_source_value", F.lit(None).cast("string"))
     assert set(rows(silver.concept_lookup(unknown, vocabulary), "condition_concept_id")) == {(0,)}
 
 
+def test_a_code_of_two_vocabularies(spark):
+    mapped = silver.condition_map(persons(spark), COLUMNS).withColumn("system", F.lit("towns"))
+    vocabulary = spark.createDataFrame(
+        [("Linz", 7, "towns"), ("Linz", 9, "ships"), ("Graz", 3, None)], "source_code string, concept_id int, kind string"
+    )
+    got = silver.concept_lookup(mapped, vocabulary, on={"system": "kind"})
+    assert rows(got, "condition_occurrence_id", "condition_concept_id") == [("a7", 0), ("a8", 7), ("a9", 7)]
+    with pytest.raises(Exception, match="more than one concept for code Linz"):
+        silver.concept_lookup(mapped, vocabulary).collect()
+
+
 def sensitive(spark):
     return spark.createDataFrame([("P1", "123-45-6789", "M1", 3)], "person_id string, ssn string, mrn string, n int")
 

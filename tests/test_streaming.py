@@ -70,7 +70,7 @@ def test_partitioned_append_and_table(spark, tmp_path):
 
 def test_counts_follow_new_rows(spark, tmp_path):
     inbox, out = tmp_path / "in", str(tmp_path / "counts")
-    put(inbox, "1.txt", "C001,P123", "C002,P124", "C003,P123")
+    put(inbox, "1.txt", "s1,ida", "s2,ida", "s3,ida", "s4,otto", "s5,uma")
 
     def run():
         lines = streams.file_lines(spark, str(inbox), files_per_batch=1)
@@ -80,10 +80,10 @@ def test_counts_follow_new_rows(spark, tmp_path):
         sinks.start_counts(stream, out, f"{out}-check", trigger=None).awaitTermination()
         return rows(read_snapshot(spark, out).filter("admission_count > 1"))
 
-    assert run() == [("P123", 2)]
-    put(inbox, "2.txt", "C004,P124")
-    assert run() == [("P123", 2), ("P124", 2)]
-    assert run() == [("P123", 2), ("P124", 2)]
+    assert run() == [("ida", 3)]
+    put(inbox, "2.txt", "s6,uma", "s7,ida")
+    assert run() == [("ida", 4), ("uma", 2)]
+    assert run() == [("ida", 4), ("uma", 2)]
 
 
 def test_merge_of_a_stream_equals_the_batch_merges(spark, tmp_path):
