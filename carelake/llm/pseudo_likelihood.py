@@ -26,8 +26,6 @@ WIDTH = 16
 #: Positions on either side that the network sees.
 OFFSETS = (-2, -1, 1, 2)
 EDGE = max(OFFSETS)
-#: Every STRIDE-th position of each text is trained on in a round.
-STRIDE = 16
 BATCH = 512
 #: Positions that are scored together.
 AT_ONCE = 32_768
@@ -174,7 +172,12 @@ def _near(line: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([line[at + o] for o in OFFSETS])
 
 
-def _trained(ids: DataFrame, start: Network, turn: int, rate: float) -> Network:
+def _positions(begins: np.ndarray, sizes: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Where round `turn` trains: in each text every position whose number leaves `turn` when divided by `rounds`."""
+    return np.concatenate([np.zeros(0, dtype=np.int64), *(np.arange(b + turn, b + s, rounds) for b, s in zip(begins, sizes))])
+
+
+def _trained(ids: DataFrame, start: Network, turn: int, rounds: int, rate: float) -> Network:
     """One round: each task learns on its rows from the same start; the mean, by positions, goes on.
 
     Means are taken in groups of tasks first, so neither a task nor the driver holds more
@@ -187,8 +190,7 @@ def _trained(ids: DataFrame, start: Network, turn: int, rate: float) -> Network:
         rng = np.random.default_rng(turn)
         for batch in batches:
             line, begins, sizes = _laid_out(batch)
-            positions = [np.arange(b + (k + turn) % STRIDE, b + s, STRIDE) for k, (b, s) in enumerate(zip(begins, sizes))]
-            at = rng.permutation(np.concatenate(positions)) if positions else np.zeros(0, dtype=np.int64)
+            at = rng.permutation(_positions(begins, sizes, turn, rounds))
             for k in range(0, len(at), BATCH):
                 own = at[k:k + BATCH]
                 network.learn(_near(line, own), line[own], state, rate)
@@ -218,10 +220,10 @@ def _trained(ids: DataFrame, start: Network, turn: int, rate: float) -> Network:
 
 
 def fit(ids: DataFrame, rounds: int = 3, rate: float = 0.1) -> Network:
-    """A network trained on every STRIDE-th position of every row of `ids`, another one each round."""
+    """A network trained on every position of every row of `ids`: each position in one of the rounds."""
     network = Network.new()
     for turn in range(rounds):
-        network = _trained(ids, network, turn * (STRIDE // rounds), rate)
+        network = _trained(ids, network, turn, rounds, rate)
     return network
 
 
@@ -246,7 +248,7 @@ def score(documents: DataFrame, rounds: int = 3) -> DataFrame:
     log_likelihood sums the log-probability of each token given EDGE tokens on both
     sides; per_token divides it by their number. Tokens are words of the lower-cased
     text; those beyond the vocabulary share hash buckets. Vocabulary and network are
-    learnt from all rows. Null and blank texts have no tokens, a sum of zero and a null
+    learnt from all positions of all rows. Null and blank texts have no tokens, a sum of zero and a null
     mean. Equal texts score equally, up to rounding; repeated rows are scored each. Other columns are
     not read. An empty table gives no rows.
     """

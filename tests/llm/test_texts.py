@@ -215,6 +215,36 @@ def test_training_helps_and_every_row_is_scored(spark):
     assert got[0]["log_likelihood"] == pytest.approx(got[1]["log_likelihood"])
 
 
+def test_every_position_is_trained_on_once(spark, monkeypatch):
+    seen = []
+    docs = documents(spark)
+    ids = pseudo_likelihood.encoded(docs, pseudo_likelihood.vocabulary(docs))
+    inner = pseudo_likelihood._trained
+
+    def noted(ids, start, *args):
+        seen.append(args)
+        return inner(ids, start, *args)
+
+    monkeypatch.setattr(pseudo_likelihood, "_trained", noted)
+    pseudo_likelihood.fit(ids.limit(3))
+    assert len(seen) == 3
+    for batch in ids.toArrow().to_batches():
+        line, begins, sizes = pseudo_likelihood._laid_out(batch)
+        trained = np.concatenate([pseudo_likelihood._positions(begins, sizes, turn, rounds) for turn, rounds, _ in seen])
+        inside = [k for b, s in zip(begins, sizes) for k in range(b, b + s)]
+        assert sorted(trained) == inside
+
+
+def test_a_text_of_one_word_is_learnt_wherever_it_lies(spark):
+    def first_biases(texts):
+        docs = documents(spark, list(enumerate(texts))).coalesce(1)
+        return pseudo_likelihood.fit(pseudo_likelihood.encoded(docs, {"alone": 1}), rounds=1).first_bias
+
+    untrained = pseudo_likelihood.Network.new().first_bias
+    assert not np.allclose(first_biases([""] * 3 + ["alone"]), untrained)
+    assert np.allclose(first_biases([""] * 3 + ["alone"]), first_biases(["alone"] + [""] * 3))
+
+
 def test_toxicity_learns_and_scores_every_row(spark):
     rng = random.Random(6)
     rows = [(i, prose(rng, 40) + (" you zogmar idiot " if i % 4 == 0 else " ") + prose(rng, 40)) for i in range(400)]
