@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 
 from carelake.llm.common import keep
 
-#: Token ids are pairs (a, b) of digits below SIDE, so that a softmax has SIDE outputs, twice.
+#: Token ids below SIDE * SIDE are pairs (a, b) of digits below SIDE, so that a softmax has SIDE outputs, twice.
 SIDE = 32
-#: Id 0 stands outside a text. The last RARE ids are hash buckets of words beyond the vocabulary.
+#: Id 0 stands outside a text. The last RARE pairs are groups of words: of those words beyond the COMMON most frequent
+#: whose ids are from SIDE * SIDE on, told apart by two more digits, and of the rest, told apart by their counts.
 RARE = 63
 COMMON = SIDE * SIDE - 1 - RARE
-#: Longer words are always rare.
-LONGEST = 32
 WIDTH = 16
 #: Positions on either side that the network sees.
 OFFSETS = (-2, -1, 1, 2)
@@ -29,45 +28,90 @@ EDGE = max(OFFSETS)
 BATCH = 512
 #: Positions that are scored together.
 AT_ONCE = 32_768
+#: Networks that a task takes the mean of, about.
+TOGETHER = 8
 
 
 def words(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def vocabulary(documents: DataFrame) -> dict[str, int]:
-    """Ids of the COMMON most frequent words, counted over every text."""
+def word_counts(documents: DataFrame) -> DataFrame:
+    """word and n: how often each word is in the texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter[str] = Counter()
             for t in batch.column("text"):
-                seen.update(w for w in words(t.as_py()) if len(w) <= LONGEST)
+                seen.update(words(t.as_py()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(seen), type=pa.string()), pa.array(list(seen.values()), type=pa.int64())], names=["word", "n"])
 
-    counts = documents.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(COMMON).collect()
-    return {r["word"]: i + 1 for i, r in enumerate(sorted(top, key=lambda r: (-r["n"], r["word"])))}
+    return documents.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def token_ids(text: str | None, known: dict[str, int]) -> np.ndarray:
-    def rare(word: str) -> int:
-        return COMMON + 1 + xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass")) % RARE
+def vocabulary(documents: DataFrame, counts: DataFrame | None = None) -> dict[str, int]:
+    """Ids of the words that the network knows, counted over every text.
+
+    These are the COMMON most frequent words and every word that occurs at least as often
+    as the cube root of the number of tokens. So the vocabulary grows with the corpus; it
+    has less words than the square of that root.
+    """
+    counts = word_counts(documents) if counts is None else counts
+    tokens = counts.agg(F.sum("n")).first()[0] or 0
+    least = math.ceil(tokens ** (1 / 3))
+    top = {r["word"]: r["n"] for df in (counts.orderBy(F.desc("n"), "word").limit(COMMON), counts.filter(F.col("n") >= least)) for r in df.collect()}
+    ranked = sorted(top, key=lambda w: (-top[w], w))
+    return {w: i + 1 if i < COMMON else SIDE * SIDE + i - COMMON for i, w in enumerate(ranked)}
+
+
+def ids_used(known: dict[str, int]) -> int:
+    return SIDE * SIDE + max(0, len(known) - COMMON)
 
-    return np.array([known.get(w) or rare(w) for w in words(text)], dtype=np.uint16)
+
+def rare_id(word: str) -> int:
+    return COMMON + 1 + xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass")) % RARE
+
+
+def token_ids(text: str | None, known: dict[str, int]) -> np.ndarray:
+    return np.array([known.get(w) or rare_id(w) for w in words(text)], dtype=np.uint32)
 
 
 def encoded(documents: DataFrame, known: dict[str, int]) -> DataFrame:
-    """doc_id and the token ids of each row, two bytes each."""
+    """doc_id and the token ids of each row, four bytes each; a number of the row and its words that are not known, with their counts."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [token_ids(t.as_py(), known).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, type=pa.binary())], names=["doc_id", "ids"])
+            texts = batch.column("text").to_pylist()
+            ids = [token_ids(t, known).tobytes() for t in texts]
+            rare = [Counter(w for w in words(t) if w not in known) for t in texts]
+            pairs = pa.StructArray.from_arrays(
+                [pa.array([w for c in rare for w in c], type=pa.string()), pa.array([n for c in rare for n in c.values()], type=pa.int32())],
+                names=["word", "times"])
+            ends = np.cumsum([0, *(len(c) for c in rare)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(ids, type=pa.binary()), batch.column("row"), pa.ListArray.from_arrays(pa.array(ends), pairs)],
+                names=["doc_id", "ids", "row", "rare"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary")
+    numbered = documents.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    return numbered.mapInArrow(run, f"doc_id {kind}, ids binary, row long, rare array<struct<word: string, times: int>>")
+
+
+def shares(counts: DataFrame, known: dict[str, int]) -> DataFrame:
+    """word and log_share of every word that is not known: of the tokens of such words in its group, how many are this word."""
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(w, n, rare_id(w)) for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()) if w not in known]
+            w, n, group = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(w, type=pa.string()), pa.array(n, type=pa.int64()), pa.array(group, type=pa.int32())], names=["word", "n", "group"])
+
+    rest = keep(counts.mapInArrow(grouped, "word string, n long, group int"), "lm-rare")
+    sums = {r["group"]: r["n"] for r in rest.groupBy("group").agg(F.sum("n").alias("n")).collect()}
+    total = F.element_at(F.array(*(F.lit(sums.get(COMMON + 1 + k, 1)) for k in range(RARE))), F.col("group") - COMMON)
+    return rest.select("word", F.log(F.col("n") / total).alias("log_share"))
 
 
 @dataclass
@@ -76,6 +120,8 @@ class Network:
 
     hidden = tanh(bias + sum of context[o][neighbour at o]); the first digit is predicted
     from hidden, the second from tanh(hidden + digit[a]) with a bias for each first digit.
+    A word in a group has two more digits below `side`, predicted likewise from the group,
+    and from the group with the third digit. Both are 0 for all words that have no id of their own.
     """
 
     context: np.ndarray  # offsets x ids x WIDTH
@@ -85,19 +131,36 @@ class Network:
     digit: np.ndarray  # SIDE x WIDTH
     second: np.ndarray
     second_bias: np.ndarray  # SIDE x SIDE
-
-    NAMES = ("context", "bias", "first", "first_bias", "digit", "second", "second_bias")
+    group: np.ndarray  # RARE x WIDTH
+    third: np.ndarray  # WIDTH x side
+    third_bias: np.ndarray  # RARE x side
+    member: np.ndarray  # RARE * side x WIDTH
+    fourth: np.ndarray  # WIDTH x side
+    fourth_bias: np.ndarray  # RARE * side x side
+
+    NAMES = (
+        "context", "bias", "first", "first_bias", "digit", "second", "second_bias",
+        "group", "third", "third_bias", "member", "fourth", "fourth_bias")
+    #: What each digit is predicted with: an embedding of the digits before, weights, biases.
+    LEVELS = ((None, "first", "first_bias"), ("digit", "second", "second_bias"), ("group", "third", "third_bias"), ("member", "fourth", "fourth_bias"))
 
     @classmethod
-    def new(cls, seed: int = 3) -> Network:
+    def new(cls, size: int = SIDE * SIDE, seed: int = 3) -> Network:
+        """For ids below `size`."""
         rng = np.random.default_rng(seed)
+        side = math.ceil(math.sqrt(1 + math.ceil((size - SIDE * SIDE) / RARE)))
 
         def weights(*shape: int) -> np.ndarray:
             return (rng.standard_normal(shape) * 0.1).astype(np.float32)
 
+        def zeros(*shape: int) -> np.ndarray:
+            return np.zeros(shape, np.float32)
+
         return cls(
-            weights(len(OFFSETS), SIDE * SIDE, WIDTH), np.zeros(WIDTH, np.float32), weights(WIDTH, SIDE),
-            np.zeros(SIDE, np.float32), weights(SIDE, WIDTH), weights(WIDTH, SIDE), np.zeros((SIDE, SIDE), np.float32))
+            weights(len(OFFSETS), size, WIDTH), zeros(WIDTH), weights(WIDTH, SIDE), zeros(SIDE),
+            weights(SIDE, WIDTH), weights(WIDTH, SIDE), zeros(SIDE, SIDE),
+            weights(RARE, WIDTH), weights(WIDTH, side), zeros(RARE, side),
+            weights(RARE * side, WIDTH), weights(WIDTH, side), zeros(RARE * side, side))
 
     def vector(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
@@ -110,46 +173,81 @@ class Network:
             at += old.size
         return Network(*parts)
 
-    def _forward(self, near: np.ndarray, token: np.ndarray):
-        a, b = token // SIDE, token % SIDE
+    def _digits(self, token: np.ndarray) -> list[tuple]:
+        """For each level: the tokens that have this digit, the row of the digits before, and the digit."""
+        own = token >= SIDE * SIDE
+        pair = np.where(own, COMMON + 1 + (token - SIDE * SIDE) % RARE, token)
+        a, b = pair // SIDE, pair % SIDE
+        side = self.third.shape[1]
+        deep = np.flatnonzero(pair > COMMON) if side > 1 else np.zeros(0, dtype=np.int64)
+        group = pair[deep] - COMMON - 1
+        c, d = np.divmod(np.where(own, 1 + (token - SIDE * SIDE) // RARE, 0)[deep], side)
+        return [(slice(None), None, a), (slice(None), a, b), (deep, group, c), (deep, group * side + c, d)]
+
+    def _forward(self, near: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
         hidden = self.context[0][near[0]]
         for o in range(1, len(OFFSETS)):
             hidden = hidden + self.context[o][near[o]]
         hidden = np.tanh(hidden + self.bias)
-        p = _log_softmax(hidden @ self.first + self.first_bias)
-        inner = np.tanh(hidden + self.digit[a])
-        q = _log_softmax(inner @ self.second + self.second_bias[a])
-        return a, b, hidden, inner, p, q
+        levels = []
+        for (before, weights, biases), (at, row, digit) in zip(self.LEVELS, self._digits(token)):
+            inner, bias = hidden, getattr(self, biases)
+            if before:
+                inner, bias = np.tanh(hidden[at] + getattr(self, before)[row]), bias[row]
+            levels.append((at, row, digit, inner, _log_softmax(inner @ getattr(self, weights) + bias)))
+        return hidden, levels
 
     def log_probability(self, near: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Of each `token` given its neighbours: `near` is offsets x positions."""
-        a, b, _, _, p, q = self._forward(near, token)
-        at = np.arange(len(token))
-        return p[at, a] + q[at, b]
-
-    def gradient(self, near: np.ndarray, token: np.ndarray) -> list[np.ndarray]:
-        """Of the mean negative log-probability, in the order of NAMES."""
-        a, b, hidden, inner, p, q = self._forward(near, token)
-        at, n = np.arange(len(token)), len(token)
-        dp, dq = np.exp(p), np.exp(q)
-        dp[at, a] -= 1
-        dq[at, b] -= 1
-        dp, dq = dp / n, dq / n
-        d_inner = (dq @ self.second.T) * (1 - inner**2)
-        d_hidden = (dp @ self.first.T + d_inner) * (1 - hidden**2)
-        context, digit, second_bias = np.zeros_like(self.context), np.zeros_like(self.digit), np.zeros_like(self.second_bias)
-        for o in range(len(OFFSETS)):
-            np.add.at(context[o], near[o], d_hidden)
-        np.add.at(digit, a, d_inner)
-        np.add.at(second_bias, a, dq)
-        return [context, d_hidden.sum(0), hidden.T @ dp, dp.sum(0), digit, inner.T @ dq, second_bias]
-
-    def learn(self, near: np.ndarray, token: np.ndarray, state: list[np.ndarray], rate: float) -> None:
+        out = np.zeros(len(token), dtype=np.float32)
+        for at, _, digit, _, p in self._forward(near, token)[1]:
+            out[at] += p[np.arange(len(digit)), digit]
+        return out
+
+    def gradient(self, near: np.ndarray, token: np.ndarray) -> Iterator[tuple[str, np.ndarray | None, np.ndarray]]:
+        """Of the mean negative log-probability: names, rows (None for all) and their gradients."""
+        hidden, levels = self._forward(near, token)
+        d_hidden = np.zeros_like(hidden)
+        for (before, weights, biases), (at, row, digit, inner, p) in zip(self.LEVELS, levels):
+            if not len(digit):
+                continue
+            d = np.exp(p)
+            d[np.arange(len(digit)), digit] -= 1
+            d /= len(token)
+            d_inner = d @ getattr(self, weights).T
+            yield weights, None, inner.T @ d
+            if before:
+                d_inner *= 1 - inner**2
+                yield before, *_summed(row, d_inner)
+                yield biases, *_summed(row, d)
+            else:
+                yield biases, None, d.sum(0)
+            d_hidden[at] += d_inner
+        d_hidden *= 1 - hidden**2
+        yield "bias", None, d_hidden.sum(0)
+        rows = near + np.arange(len(OFFSETS))[:, None] * self.context.shape[1]
+        yield "context", *_summed(rows.ravel(), np.tile(d_hidden, (len(OFFSETS), 1)))
+
+    def learn(self, near: np.ndarray, token: np.ndarray, state: dict[str, np.ndarray], rate: float) -> None:
         """One Adagrad step; `state` holds the sums of squares."""
-        for name, g, s in zip(self.NAMES, self.gradient(near, token), state):
-            s += g * g
-            w = getattr(self, name)
-            w -= rate * g / (np.sqrt(s) + 1e-4)
+        for name, rows, g in list(self.gradient(near, token)):
+            w, s = getattr(self, name), state[name]
+            if rows is None:
+                s += g * g
+                w -= rate * g / (np.sqrt(s) + 1e-4)
+            else:
+                w, s = w.reshape(-1, w.shape[-1]), s.reshape(-1, w.shape[-1])
+                new = s[rows] + g * g
+                s[rows] = new
+                w[rows] -= rate * g / (np.sqrt(new) + 1e-4)
+
+
+def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each of `rows` once, with the sum of its values."""
+    order = np.argsort(rows, kind="stable")
+    ordered = rows[order]
+    firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return ordered[firsts], np.add.reduceat(values[order], firsts, axis=0)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -159,7 +257,7 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
 
 def _laid_out(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts in one array with EDGE zeros around each, where each begins, and their lengths."""
-    texts = [np.frombuffer(x, dtype=np.uint16) for x in batch.column("ids").to_pylist()]
+    texts = [np.frombuffer(x, dtype=np.uint32) for x in batch.column("ids").to_pylist()]
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     begins = EDGE + np.concatenate([[0], np.cumsum(sizes + EDGE)[:-1]]) if len(texts) else np.zeros(0, dtype=np.int64)
     line = np.zeros(int(sizes.sum()) + EDGE * (len(texts) + 1), dtype=np.int64)
@@ -180,13 +278,13 @@ def _positions(begins: np.ndarray, sizes: np.ndarray, turn: int, rounds: int) ->
 def _trained(ids: DataFrame, start: Network, turn: int, rounds: int, rate: float) -> Network:
     """One round: each task learns on its rows from the same start; the mean, by positions, goes on.
 
-    Means are taken in groups of tasks first, so neither a task nor the driver holds more
-    than about the root of the number of tasks.
+    Means are taken of about TOGETHER networks at a time, until no more are left, so
+    neither a task nor the driver holds many.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, n = start.with_vector(start.vector()), 0
-        state = [np.zeros_like(getattr(network, x)) for x in network.NAMES]
+        state = {x: np.zeros_like(getattr(network, x)) for x in network.NAMES}
         rng = np.random.default_rng(turn)
         for batch in batches:
             line, begins, sizes = _laid_out(batch)
@@ -206,22 +304,24 @@ def _trained(ids: DataFrame, start: Network, turn: int, rounds: int, rate: float
             total, n = total + np.frombuffer(w.as_py(), dtype=np.float32).astype(np.float64) * k.as_py(), n + k.as_py()
         return pa.table({"weights": pa.array([(total / n).astype(np.float32).tobytes()], type=pa.binary()), "n": [n]})
 
-    learnt = keep(ids.mapInArrow(run, "weights binary, n long"), "lm-weights")
-    tasks = learnt.count()
-    if not tasks:
+    ids = ids.select("ids")
+    means, left = ids.mapInArrow(run, "weights binary, n long"), ids.rdd.getNumPartitions()
+    while left > TOGETHER:
+        left = math.ceil(left / TOGETHER)
+        dealt = means.withColumn("part", F.pmod(F.xxhash64("weights"), F.lit(left)))
+        means = dealt.groupBy("part").applyInArrow(mean, "weights binary, n long")
+    rows = means.collect()
+    if not rows:
         return start
-    groups = math.ceil(math.sqrt(tasks))
-    dealt = learnt.withColumn("part", F.pmod(F.xxhash64("weights"), F.lit(groups)))
-    rows = dealt.groupBy("part").applyInArrow(mean, "weights binary, n long").collect()
     rows.sort(key=lambda r: bytes(r["weights"]))
     total = sum(r["n"] for r in rows)
     flat = sum(np.frombuffer(bytes(r["weights"]), dtype=np.float32).astype(np.float64) * (r["n"] / total) for r in rows)
     return start.with_vector(flat)
 
 
-def fit(ids: DataFrame, rounds: int = 3, rate: float = 0.1) -> Network:
-    """A network trained on every position of every row of `ids`: each position in one of the rounds."""
-    network = Network.new()
+def fit(ids: DataFrame, rounds: int = 3, rate: float = 0.1, size: int = SIDE * SIDE) -> Network:
+    """A network trained on every position of every row of `ids` (below `size`): each position in one of the rounds."""
+    network = Network.new(size)
     for turn in range(rounds):
         network = _trained(ids, network, turn, rounds, rate)
     return network
@@ -247,20 +347,27 @@ def score(documents: DataFrame, rounds: int = 3) -> DataFrame:
 
     log_likelihood sums the log-probability of each token given EDGE tokens on both
     sides; per_token divides it by their number. Tokens are words of the lower-cased
-    text; those beyond the vocabulary share hash buckets. Vocabulary and network are
-    learnt from all positions of all rows. Null and blank texts have no tokens, a sum of zero and a null
+    text. Those that the network does not know share hash buckets, and a token's
+    probability is its bucket's times its word's share of the bucket's tokens in all
+    rows. Vocabulary and network are learnt from all positions of all rows. Null and blank texts have no tokens, a sum of zero and a null
     mean. Equal texts score equally, up to rounding; repeated rows are scored each. Other columns are
     not read. An empty table gives no rows.
     """
-    ids = keep(encoded(documents, vocabulary(documents)), "lm-ids")
-    network = fit(ids, rounds)
+    counts = keep(word_counts(documents), "lm-words")
+    known = vocabulary(documents, counts)
+    ids = keep(encoded(documents, known), "lm-ids")
+    network = fit(ids, rounds, size=ids_used(known))
     kind = ids.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, total = log_likelihoods(batch, network)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(total)], names=["doc_id", "n_tokens", "log_likelihood"])
-
-    scored = ids.mapInArrow(run, f"doc_id {kind}, n_tokens long, log_likelihood double")
-    return scored.withColumn("per_token", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
+                [batch.column("doc_id"), batch.column("row"), pa.array(n), pa.array(total)], names=["doc_id", "row", "n_tokens", "known"])
+
+    scored = ids.select("doc_id", "row", "ids").mapInArrow(run, f"doc_id {kind}, row long, n_tokens long, known double")
+    rare = ids.select("row", F.inline("rare")).join(shares(counts, known), "word")
+    rest = rare.groupBy("row").agg(F.sum(F.col("times") * F.col("log_share")).alias("rest"))
+    both = scored.join(rest, "row", "left").select(
+        "doc_id", "n_tokens", (F.col("known") + F.coalesce("rest", F.lit(0.0))).alias("log_likelihood"))
+    return both.withColumn("per_token", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))

@@ -215,6 +215,53 @@ def test_training_helps_and_every_row_is_scored(spark):
     assert got[0]["log_likelihood"] == pytest.approx(got[1]["log_likelihood"])
 
 
+def test_the_vocabulary_grows_and_rare_words_have_their_own_probability(spark):
+    rng = random.Random(4)
+    often = [f"w{k}" for k in range(1200)]
+    rows = [(i, " ".join(rng.sample(often, 300))) for i in range(200)]
+    rows += [(1000, "seldom seldom seldom"), (1001, "once"), (1002, "z" * 40), (1003, "w1"), (None, "seldom once")]
+    docs = documents(spark, rows)
+    known = pseudo_likelihood.vocabulary(docs)
+    least = sum(len(t.split()) for _, t in rows) ** (1 / 3)
+    assert {w for w, n in Counter(w for _, t in rows for w in t.split()).items() if n >= least} <= set(known)
+    assert len(known) > pseudo_likelihood.COMMON and len({*known.values()}) == len(known)
+    counts = pseudo_likelihood.word_counts(docs)
+    got = {r["word"]: r["log_share"] for r in pseudo_likelihood.shares(counts, known).collect()}
+    rest = Counter(w for _, t in rows for w in t.split() if w not in known)
+    assert set(got) == set(rest) and "z" * 40 in got and "seldom" in got
+    groups = Counter()
+    for w, n in rest.items():
+        groups[pseudo_likelihood.rare_id(w)] += n
+    assert all(got[w] == pytest.approx(np.log(n / groups[pseudo_likelihood.rare_id(w)])) for w, n in rest.items())
+
+    ids = pseudo_likelihood.encoded(docs, known)
+    network = pseudo_likelihood.fit(ids, size=pseudo_likelihood.ids_used(known))
+    near = np.zeros((4, pseudo_likelihood.ids_used(known)), dtype=np.int64)
+    each = np.exp(network.log_probability(near, np.arange(near.shape[1])))
+    assert each.sum() <= 1 + 1e-4 and len(set(each.tolist())) > 1100
+    of = {i: network.log_probability(near[:, :1], np.array([pseudo_likelihood.rare_id(w)]))[0] + got[w] for i, w in ((1001, "once"), (1002, "z" * 40))}
+    scores = {r["doc_id"]: r["log_likelihood"] for r in pseudo_likelihood.score(docs).collect()}
+    assert len(scores) == 205 and all(scores[i] == pytest.approx(of[i], abs=0.1) for i in of)
+
+
+def test_more_digits_learn_along_the_gradient():
+    rng = np.random.default_rng(1)
+    network = pseudo_likelihood.Network.new(pseudo_likelihood.SIDE**2 + 900)
+    network = network.with_vector(network.vector())
+    token = np.concatenate([rng.integers(0, pseudo_likelihood.SIDE**2 + 900, 60), [970, 1000, 1024, 1923]])
+    near = rng.integers(0, pseudo_likelihood.SIDE**2 + 900, (4, len(token)))
+    for name, rows, g in list(network.gradient(near, token)):
+        w = getattr(network, name)
+        w = w.reshape(-1, w.shape[-1]) if rows is not None else w
+        index = (0 if rows is None else rows[0], *[0] * (w.ndim - 1)) if w.ndim > 1 else (0,)
+        was, loss = w[index], []
+        for step in (1e-2, -1e-2):
+            w[index] = was + step
+            loss.append(-network.log_probability(near, token).astype(np.float64).mean())
+        w[index] = was
+        assert g[(0,) * g.ndim] == pytest.approx((loss[0] - loss[1]) / 2e-2, abs=2e-4), name
+
+
 def test_every_position_is_trained_on_once(spark, monkeypatch):
     seen = []
     docs = documents(spark)
