@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from carelake.llm.common import keep, numbered
 
-#: Lengths up to this are bins of their own; each doubling beyond is dealt into as many bins.
-EXACT = 1024
-
 
 def word_count(text: str = "text") -> Column:
     """Words parted by white space; null and blank texts have none."""
@@ -29,15 +26,8 @@ class Buckets:
     padding: int
 
 
-def length_bin(n: Column) -> Column:
-    """Bins of the histogram: exact up to EXACT, then of a width of 1/EXACT of the power of two below."""
-    power = F.floor(F.log2(F.greatest(n, F.lit(1)) / F.lit(EXACT)))
-    width = F.pow(F.lit(2.0), F.greatest(power, F.lit(0)))
-    return F.when(n < EXACT, n.cast("long")).otherwise((F.floor(n / width) * width).cast("long"))
-
-
 def boundaries(tops: np.ndarray, counts: np.ndarray, sums: np.ndarray, buckets: int) -> Buckets:
-    """The cut of ascending bins into at most `buckets` runs of least padding.
+    """The cut of ascending lengths into at most `buckets` runs of least padding.
 
     cost(i, j) = tops[j-1] * count(i..j-1) - sum(i..j-1). The best start of the last run
     never moves down as j moves up, so each layer is solved by divide and conquer.
@@ -83,16 +73,13 @@ def boundaries(tops: np.ndarray, counts: np.ndarray, sums: np.ndarray, buckets:
 def fit(lengths: DataFrame, buckets: int) -> Buckets:
     """Bucket lengths from the histogram of the column `n_tokens` over all rows.
 
-    The driver reads one row a bin: EXACT bins, and EXACT more for each doubling of the
-    longest length. A bin stands for its longest row.
+    The driver reads one row a distinct length. Different lengths add up, so they are fewer
+    than the root of twice the number of tokens.
     """
-    bins = lengths.groupBy(length_bin(F.col("n_tokens")).alias("bin")).agg(
-        F.max("n_tokens").alias("top"), F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("sum"),
-    ).collect()
-    bins.sort(key=lambda r: r["top"])
-    return boundaries(
-        np.array([r["top"] for r in bins], dtype=np.int64), np.array([r["n"] for r in bins], dtype=np.int64),
-        np.array([r["sum"] for r in bins], dtype=np.int64), buckets)
+    rows = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()
+    rows.sort(key=lambda r: r["n_tokens"])
+    tops, counts = (np.array([r[c] for r in rows], dtype=np.int64) for c in ("n_tokens", "n"))
+    return boundaries(tops, counts, tops * counts, buckets)
 
 
 def pack(documents: DataFrame, buckets: int = 16, budget: int = 65_536) -> DataFrame:

@@ -175,6 +175,14 @@ def test_buckets_are_optimal(seed):
         assert sum(found.counts) == len(lengths)
 
 
+def test_buckets_of_long_texts_are_optimal(spark):
+    rng = random.Random(2)
+    lengths = [rng.randint(8192, 8222) for _ in range(60)]
+    found = packing.fit(spark.createDataFrame([(n,) for n in lengths], "n_tokens long"), 4)
+    assert found.padding == least_padding(lengths, 4)
+    assert sum(min(x for x in found.lengths if x >= n) - n for n in lengths) == found.padding
+
+
 def test_batches_hold_the_budget(spark):
     got = packing.pack(documents(spark), buckets=4, budget=300).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in texts())
