@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,39 +133,58 @@ def ngrams(text: Column, mark: str, sizes: tuple[int, ...]) -> Column:
 
 @dataclass(frozen=True)
 class UrlModel:
-    features: HashingTF
-    regression: LogisticRegressionModel
+    """Weights of the hashed n-grams, one for each bucket, and the intercept.
+
+    Plain numbers, and no fitted object: a plan that holds one also holds the session
+    that it was fitted in, which cannot be sent to tasks.
+    """
+
+    weights: tuple[float, ...]
+    intercept: float
 
     def score(self, df: DataFrame) -> DataFrame:
         """`df`, which has host and path, with `score`: the probability of class 1."""
-        hashed = self.features.transform(df.withColumn("_grams", _grams()))
-        scored = self.regression.transform(hashed)
-        return scored.withColumn("score", vector_to_array("_probability")[1]).drop(
-            "_grams", "_features", "_raw", "_probability", "_prediction")
+        # parsed once, when the plan is made: a literal of text is far smaller than one of numbers
+        weights = F.split(F.lit(",".join(map(repr, self.weights))), ",").cast("array<double>")
+        total = F.aggregate(_buckets(len(self.weights)), F.lit(self.intercept), lambda s, b: s + F.get(weights, b))
+        return df.withColumn("score", 1.0 / (1.0 + F.exp(-total)))
 
 
 def _grams() -> Column:
     return F.concat(ngrams(F.col("host"), "h", (3, 4)), ngrams(F.col("path"), "p", (3,)))
 
 
+def _buckets(buckets: int) -> Column:
+    """The distinct buckets of a row's n-grams."""
+    return F.array_distinct(F.transform(_grams(), lambda g: F.pmod(F.xxhash64(g), F.lit(buckets)).cast("int")))
+
+
 def labelled_urls(spark: SparkSession, rows: tuple[tuple[str, int], ...] = LABELLED) -> DataFrame:
     """A small labelled table (url, label) from literals; nothing but the plan holds it."""
     entries = F.array(*[F.struct(F.lit(u).alias("url"), F.lit(float(y)).alias("label")) for u, y in rows])
     return spark.range(1, numPartitions=1).select(F.inline(entries))
 
 
-def fit(labelled: DataFrame, buckets: int = 1 << 14) -> UrlModel:
-    """A logistic regression on `labelled` (url, label): a small table, read in one partition."""
+def fit(labelled: DataFrame, buckets: int = 1 << 16) -> UrlModel:
+    """A logistic regression on `labelled` (url, label): a small table, whose n-grams the driver reads."""
     rows = labelled.select(
         F.coalesce(host(F.col("url")), F.lit("")).alias("host"),
         F.coalesce(path(F.col("url")), F.lit("")).alias("path"), "label",
     ).coalesce(1)
-    features = HashingTF(numFeatures=buckets, binary=True, inputCol="_grams", outputCol="_features")
-    regression = LogisticRegression(
-        featuresCol="_features", labelCol="label", rawPredictionCol="_raw", probabilityCol="_probability",
-        predictionCol="_prediction", regParam=0.01, maxIter=100, standardization=False,
-    )
-    return UrlModel(features, regression.fit(features.transform(rows.withColumn("_grams", _grams()))))
+    found = [(r["label"], r["buckets"]) for r in rows.select("label", _buckets(buckets).alias("buckets")).collect()]
+    used = sorted({b for _, hit in found for b in hit})  # the weight of any other bucket stays 0
+    entries = []
+    for label, hit in found:
+        ones = set(hit)
+        entries.append(F.struct(
+            F.lit(label).alias("label"), F.lit(",".join("1" if b in ones else "0" for b in used)).alias("ones")))
+    features = labelled.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*entries))).select(
+        "label", array_to_vector(F.split("ones", ",").cast("array<double>")).alias("features"))
+    fitted = LogisticRegression(regParam=0.01, maxIter=100, standardization=False).fit(features)
+    weights = [0.0] * buckets
+    for b, weight in zip(used, fitted.coefficients.toArray().tolist()):
+        weights[b] = weight
+    return UrlModel(tuple(weights), float(fitted.intercept))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...], model: UrlModel, threshold: float = 0.5) -> DataFrame:

@@ -5,6 +5,8 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 from samples import documents, prose
 
 from carelake.llm import e8, lattice, onebit, url_filter
@@ -42,6 +44,17 @@ def test_url_rules_and_model(spark):
     assert verdict[18] == "block" and verdict[19] == "allow"
 
 
+def test_url_model_after_an_observation(spark):
+    """A session that has used an Observation cannot be serialized; no plan may hold it."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    pages = spark.createDataFrame([(1, URLS[-2]), (2, URLS[-1])], "page_id long, url string")
+    model = url_filter.fit(url_filter.labelled_urls(spark))
+    for frame in (pages, pages.limit(0)):
+        url_filter.judge(frame, URL_RULES, model).write.format("noop").mode("overwrite").save()
+
+
 def test_url_model_holds_out(spark):
     """Half of the table is to be blocked, and most of its words stand in one url only."""
     rows = list(url_filter.LABELLED)
