@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as vocabulary_path
 
-from carelake.llm import chosen_path, chunked_bpe, kdtree, lattice, onebit, packing, pseudo_likelihood, suffix_dedup, toxicity, url_filter
+from carelake.llm import (
+    chosen_path, chunked_bpe, importance, kdtree, lattice, onebit, packing, pseudo_likelihood, seekable_warc, sharded_lloyd,
+    suffix_dedup, toxicity, url_filter,
+)
 from carelake.llm.common import table
+from carelake.llm.oracle import ORACLE  # noqa: F401
+from carelake.session import workspace
 
 #: Rules of the URL query.
 URL_RULES = (
@@ -66,8 +71,23 @@ def op10_onebit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onebit.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_lloyd_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded_lloyd.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dimensions=64, salt="3")
+
+
+def op12_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = seekable_warc.write(table(spark, sf_dir, "pages"), workspace(spark, "warc"), min_bytes=0)
+    return seekable_warc.read(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=1, buckets=10_000, percent=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_lattice_dedup, op3_toxicity, op4_suffix_dedup, op5_kd_sharding, op6_pseudo_likelihood, op7_packing, op8_chosen_path_join, op9_chunked_bpe, op10_onebit_search)
+    f.__name__: f for f in (
+        op1_url_filter, op2_lattice_dedup, op3_toxicity, op4_suffix_dedup, op5_kd_sharding, op6_pseudo_likelihood, op7_packing,
+        op8_chosen_path_join, op9_chunked_bpe, op10_onebit_search, op11_lloyd_clusters, op12_seekable_warc,
+        op13_importance_resampling,
+    )
 }
-
-ORACLE: dict[str, str] = {}

@@ -64,7 +64,7 @@ def test_round_trip(spark, min_bytes):
 
 def test_single_records_and_other_readers(spark):
     rows = sample()
-    archive = warc.write(frame(spark, rows), workspace(spark, "warc"), frame_bytes=4096, bundle_bytes=16384)
+    archive = warc.write(frame(spark, rows), workspace(spark, "warc"), frame_bytes=4096, bundle_bytes=1024)
     index = archive.index(spark).collect()
     assert len(index) == len(rows) and len({(r["bundle"], r["frame_start"]) for r in index}) > 5
     assert len({r["bundle"] for r in index}) > 2
