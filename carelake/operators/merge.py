@@ -8,10 +8,13 @@ change is inserted. Anything else, a null time included, changes nothing.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.schemas import require_columns
+from carelake.sources import parts as hash_parts
 from carelake.sources.snapshots import read_snapshot, write_snapshot
 
 KEY = "condition_occurrence_id"
@@ -146,3 +149,52 @@ def merge_snapshot(
     if target is None:
         target = spark.createDataFrame([], changes.schema)
     return write_snapshot(merge_frames(target, changes, key, time, op, **options), path, keep)
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A merge that is staged: the table's touched parts before and after, and the keys of the batch."""
+
+    before: DataFrame
+    after: DataFrame
+    keys: DataFrame
+
+    def moved(self, key: str, columns: list[str], op: str = OP) -> tuple[DataFrame, DataFrame]:
+        """Live rows that go out and that come in, in `columns`; rows that the merge left as they were are in neither."""
+        old, new = (
+            live_rows(side, op).join(self.keys, key, "left_semi").select(*columns) for side in (self.before, self.after)
+        )
+        return old.exceptAll(new), new.exceptAll(old)
+
+
+def stage_merge(
+    spark: SparkSession, path: str, changes: DataFrame, key: str = KEY, time: str = TIME, op: str = OP,
+    parts: int = hash_parts.PARTS, **options: object,
+) -> Staged:
+    """Merge `changes` into the hash parts of their keys and stage these; see `sources.parts`.
+
+    Reads and writes the parts that the batch has keys of, and no other.
+    """
+    touched = hash_parts.touched_parts(changes, key, parts)
+    before = hash_parts.read_parts(spark, path, key, touched)
+    if before is None:
+        before = spark.createDataFrame([], changes.schema)
+    merged = merge_frames(before, changes, key, time, op, **options)
+    after = hash_parts.stage(merged, path, key, touched, parts)
+    return Staged(before, after, changes.select(key).distinct())
+
+
+def merge_parts(
+    spark: SparkSession, root: str, path: str, changes: DataFrame, key: str = KEY, time: str = TIME, op: str = OP,
+    parts: int = hash_parts.PARTS, **options: object,
+) -> None:
+    """Merge `changes` into the table at `path` below `root`: untouched parts keep their files.
+
+    A merge that died is finished or forgotten first, and may simply be run again. Null keys
+    fail: they have no part.
+    """
+    if options.get("null_keys", "error") != "error":
+        raise ValueError("merge_parts: null keys have no part")
+    hash_parts.settle(spark, root)
+    stage_merge(spark, path, changes, key, time, op, parts, **options)
+    hash_parts.commit(spark, root, [path])

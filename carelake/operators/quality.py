@@ -86,6 +86,10 @@ CHANGE_RULES: tuple[Rule, ...] = (
     Unless(Complete("person_id"), "cdc_op = 'd'"), Complete("condition_occurrence_id"),
     Unless(NonNegative("condition_concept_id"), "cdc_op = 'd'"),
 )
+MEASUREMENT_RULES: tuple[Rule, ...] = (
+    Unless(Complete("person_id"), "cdc_op = 'd'"), Complete("measurement_id"),
+    Unless(Complete("measurement_date"), "cdc_op = 'd'"), Unless(NonNegative("measurement_concept_id"), "cdc_op = 'd'"),
+)
 NOT_IN_FUTURE = Satisfies("start_not_in_future", "condition_start_date <= current_date()")
 
 

@@ -6,8 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from carelake.schemas import CHANGE_COLUMNS, CONDITION_OCCURRENCE, require_columns
+from carelake.schemas import CHANGE_COLUMNS, CONDITION_OCCURRENCE, MEASUREMENT_OCCURRENCE, require_columns
 
 # Fixed values of the vocabulary.
 UNMAPPED_CONCEPT = 0
@@ -21,7 +22,16 @@ RECORD_COLUMNS = {
     "condition_start_datetime": "admission_date_shifted",
     "condition_source_value": "source_system_id",
 }
+# The same for a test.
+MEASUREMENT_COLUMNS = {
+    "measurement_id": "payload_id",
+    "person_id": "patient_mrn_deid",
+    "measurement_date": "taken_on_shifted",
+    "value_as_number": "result",
+    "measurement_source_value": "test_code",
+}
 CONSTANTS = {
+    "measurement_concept_id": UNMAPPED_CONCEPT,
     "condition_concept_id": UNMAPPED_CONCEPT,
     "condition_type_concept_id": EHR_CONDITION_TYPE,
     "condition_source_concept_id": UNMAPPED_CONCEPT,
@@ -37,14 +47,27 @@ def condition_map(
     `columns` may name a record column for any of the twelve, for example a
     discharge date for `condition_end_date`; the others are constant or null.
     """
-    require_columns(records, [*columns.values(), *carry], "condition_map")
+    return _mapped(records, CONDITION_OCCURRENCE, columns, carry, "condition_map")
+
+
+def measurement_map(
+    records: DataFrame, columns: Mapping[str, str] = MEASUREMENT_COLUMNS, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """The measurement columns, plus change columns and `carry` where present."""
+    return _mapped(records, MEASUREMENT_OCCURRENCE, columns, carry, "measurement_map")
+
+
+def _mapped(
+    records: DataFrame, schema: T.StructType, columns: Mapping[str, str], carry: tuple[str, ...], operator: str
+) -> DataFrame:
+    require_columns(records, [*columns.values(), *carry], operator)
 
     def source(name: str) -> Column:
         if name in columns:
             return F.col(columns[name])
         return F.lit(CONSTANTS.get(name))
 
-    mapped = [source(f.name).cast(f.dataType).alias(f.name) for f in CONDITION_OCCURRENCE]
+    mapped = [source(f.name).cast(f.dataType).alias(f.name) for f in schema]
     changes = [
         F.col(f.name).cast(f.dataType).alias(f.name)
         for f in CHANGE_COLUMNS if f.name in records.columns

@@ -6,18 +6,18 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.operators import quality
 from carelake.operators.deidentify import CLINICAL_POLICY, DeidPolicy, deidentify
-from carelake.operators.merge import KEY, live_rows, merge_frames, merge_snapshot
-from carelake.operators.silver import RECORD_COLUMNS, concept_lookup, condition_map
-from carelake.plans import marts
+from carelake.operators.merge import KEY, merge_frames, stage_merge
+from carelake.operators.silver import MEASUREMENT_COLUMNS, RECORD_COLUMNS, concept_lookup, condition_map, measurement_map
+from carelake.plans import gold, marts
 from carelake.schemas import CLINICAL_RECORD
 from carelake.sources.bronze import flatten_payload, landed
-from carelake.sources.snapshots import read_snapshot, write_snapshot
+from carelake.sources.parts import PARTS, commit, read_parts, settle
 from carelake.sources.tables import replace_partition
 
 
@@ -45,19 +45,43 @@ def to_conditions(
     """
     if feed is not None and "/" in feed:
         raise ValueError("to_conditions: no / in the name of a feed")
+    safe, columns = _safe_records(bronze, settings, feed, settings.columns or RECORD_COLUMNS, KEY)
+    mapped = condition_map(safe, columns)
+    return mapped if vocabulary is None else concept_lookup(mapped, vocabulary)
+
+
+def _safe_records(
+    bronze: DataFrame, settings: ChainSettings, feed: str | None, columns: Mapping[str, str], key: str
+) -> tuple[DataFrame, Mapping[str, str]]:
+    """De-identified records with change columns, and the columns of the mapping with the whole id as `key`."""
     flat = flatten_payload(bronze, settings.record, settings.paths)
     if "updated_at" not in flat.columns:
         flat = flat.withColumn("updated_at", F.col("ingestion_timestamp"))
     if "cdc_op" not in flat.columns:
         flat = flat.withColumn("cdc_op", F.lit(None).cast("string"))
     safe = deidentify(flat, settings.policy, settings.salt)
-    columns = settings.columns or RECORD_COLUMNS
-    if feed is not None:
-        system = F.coalesce(F.replace("source_system_id", F.lit("/"), F.lit("%2F")), F.lit(""))
-        whole = F.concat(F.lit(f"{feed}/"), system, F.lit("/"), F.col(columns[KEY]).cast("string"))
-        safe, columns = safe.withColumn("_whole_id", whole), {**columns, KEY: "_whole_id"}
-    mapped = condition_map(safe, columns)
-    return mapped if vocabulary is None else concept_lookup(mapped, vocabulary)
+    if feed is None:
+        return safe, columns
+    system = F.coalesce(F.replace("source_system_id", F.lit("/"), F.lit("%2F")), F.lit(""))
+    whole = F.concat(F.lit(f"{feed}/"), system, F.lit("/"), F.col(columns[key]).cast("string"))
+    return safe.withColumn("_whole_id", whole), {**columns, key: "_whole_id"}
+
+
+def to_measurements(
+    bronze: DataFrame, settings: ChainSettings, vocabulary: DataFrame | None = None, feed: str | None = None
+) -> DataFrame:
+    """Bronze payloads of tests to measurement rows with change columns; ids and times as in `to_conditions`.
+
+    Tokens and shifts are those of the conditions where salt, policy and patient are, so a
+    person's tests meet their conditions.
+    """
+    if feed is not None and "/" in feed:
+        raise ValueError("to_measurements: no / in the name of a feed")
+    safe, columns = _safe_records(bronze, settings, feed, settings.columns or MEASUREMENT_COLUMNS, gold.MEASUREMENT_KEY)
+    mapped = measurement_map(safe, columns)
+    if vocabulary is None:
+        return mapped
+    return concept_lookup(mapped, vocabulary, code="measurement_source_value", concept="measurement_concept_id")
 
 
 @dataclass(frozen=True)
@@ -96,55 +120,73 @@ def chain(
 
 def run_day(
     spark: SparkSession, root: str, feed: str, day: date, settings: ChainSettings,
-    vocabulary: DataFrame | None = None, measurements: DataFrame | None = None,
+    vocabulary: DataFrame | None = None, measurements: DataFrame | None = None, parts: int = PARTS,
 ) -> dict[str, int]:
     """Carry what a feed landed on a day through the zones below `root`; the metrics.
 
-    Each zone is written once: raw Silver and dead letters replace the day's
-    partition, the merge is by key and the marts are rebuilt, so a run that failed or
-    ran twice is simply run again, also after later days: deleted keys stay in Silver
-    with code `d` (see `live_rows`), so an older day does not revive them. Quality is
-    measured while raw Silver is written. With `on_fail="raise"` a broken rule stops the
-    run before the merge. Runs over one `root` follow each other: all feeds share Silver.
+    Each zone is written once: raw Silver and dead letters replace the day's partition,
+    the merge rewrites the hash parts that the day's keys fall into, and the marts change
+    for the persons whose rows it moved (see `gold`). Silver and Gold change together, so a
+    run that failed or ran twice is simply run again, also after later days: deleted keys
+    stay in Silver with code `d` (see `live_rows`), so an older day does not revive them.
+    Quality is measured while raw Silver is written. With `on_fail="raise"` a broken rule
+    stops the run before the merge. Runs over one `root` follow each other, as all feeds
+    share Silver, and name the same number of `parts`.
     """
-    here = (F.col("feed") == feed) & (F.col("ingestion_date") == F.lit(day))
-    bronze = landed(spark, root).filter(here)
-    conditions, seen = quality.observed(
-        to_conditions(bronze, settings, vocabulary, feed), settings.rules, name=f"quality-{feed}-{day}"
-    )
+    conditions = to_conditions(_of_day(spark, root, feed, day), settings, vocabulary, feed)
+    valid, measured = _routed(spark, root, "silver_raw", "dead_letters", conditions, feed, day, settings)
+    settle(spark, root)
+    merged = stage_merge(spark, f"{root}/{gold.SILVER}", valid, parts=parts, tombstones=True)
+    paths = gold.stage_conditions(spark, root, merged, measurements, parts)
+    commit(spark, root, [f"{root}/{gold.SILVER}", *paths])
+    return measured
+
+
+def run_measurements(
+    spark: SparkSession, root: str, feed: str, day: date, settings: ChainSettings,
+    vocabulary: DataFrame | None = None, parts: int = PARTS,
+) -> dict[str, int]:
+    """The same for a feed of tests: to the measurement table and the mart of tests."""
+    found = to_measurements(_of_day(spark, root, feed, day), settings, vocabulary, feed)
+    valid, measured = _routed(spark, root, "measurement_raw", "measurement_dead_letters", found, feed, day, settings)
+    settle(spark, root)
+    table = f"{root}/{gold.MEASUREMENTS}"
+    merged = stage_merge(spark, table, valid, gold.MEASUREMENT_KEY, parts=parts, tombstones=True)
+    commit(spark, root, [table, *gold.stage_measurements(spark, root, merged, parts)])
+    return measured
+
+
+def _here(feed: str, day: date) -> Column:
+    return (F.col("feed") == feed) & (F.col("ingestion_date") == F.lit(day))
+
+
+def _of_day(spark: SparkSession, root: str, feed: str, day: date) -> DataFrame:
+    return landed(spark, root).filter(_here(feed, day))
+
+
+def _routed(
+    spark: SparkSession, root: str, raw_zone: str, dead_zone: str, rows: DataFrame, feed: str, day: date, settings: ChainSettings
+) -> tuple[DataFrame, dict[str, int]]:
+    """Write the day's raw rows and dead letters; the valid rows and the metrics."""
+    watched, seen = quality.observed(rows, settings.rules, name=f"quality-{raw_zone}-{feed}-{day}")
     place = {"feed": F.lit(feed), "ingestion_date": F.lit(day)}
-    replace_partition(conditions, f"{root}/silver_raw", {"feed": feed, "ingestion_date": day})
+    replace_partition(watched, f"{root}/{raw_zone}", {"feed": feed, "ingestion_date": day})
     measured = {k: int(v) for k, v in seen.get.items()}
-    raw = spark.read.schema(conditions.withColumns(place).schema).parquet(f"{root}/silver_raw").filter(here)
+    raw = spark.read.schema(rows.withColumns(place).schema).parquet(f"{root}/{raw_zone}").filter(_here(feed, day))
     raw = raw.drop(*place)
     dead = quality.dead_letters(raw, settings.rules)
-    replace_partition(dead, f"{root}/dead_letters", {"feed": feed, "ingestion_date": day})
+    replace_partition(dead, f"{root}/{dead_zone}", {"feed": feed, "ingestion_date": day})
     broken = {k: n for k, n in measured.items() if k != "size" and n}
     if settings.on_fail == "raise" and (broken or not measured["size"]):
         raise quality.QualityBreach(f"{feed} {day}: {broken or 'no rows'}")
-    silver = f"{root}/condition_occurrence"
-    merge_snapshot(spark, silver, quality.valid_rows(raw, settings.rules), tombstones=True)
-    build_marts(live_rows(read_snapshot(spark, silver)), root, measurements)
-    return measured
-
+    return quality.valid_rows(raw, settings.rules), measured
 
-def build_marts(conditions: DataFrame, root: str, measurements: DataFrame | None = None) -> None:
-    """Write the Gold marts over the merged conditions; `read_mart` reads the newest finished build.
 
-    Readmissions are kept per stay and day: a row per pair of stays grows with the
-    square of a person's stays (`marts.readmission_pairs` gives it where it is wanted).
-    """
-    built = {
-        "readmissions_30_day": marts.readmission_30d(conditions, unique_ids=True),
-        "readmission_days": marts.readmission_pairs(conditions, per_day=True),
-        "admission_count": marts.admission_count(conditions),
-    }
-    if measurements is not None:
-        built["hedis"] = marts.hedis(conditions, measurements)
-    for name, mart in built.items():
-        write_snapshot(mart, f"{root}/gold/{name}", keep=2)
+def read_silver(spark: SparkSession, root: str) -> DataFrame | None:
+    """The merged conditions below `root`, deleted keys included (see `live_rows`); None before the first merge."""
+    return read_parts(spark, f"{root}/{gold.SILVER}", KEY)
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """The last finished build of a Gold mart below `root`, or None before the first."""
-    return read_snapshot(spark, f"{root}/gold/{name}")
+    """A Gold mart below `root`, or None before its first row."""
+    return read_parts(spark, gold.gold(root, name), gold.PERSON)

@@ -71,6 +71,12 @@ MEASUREMENT = T.StructType([
     T.StructField("value_as_number", T.DoubleType()),
 ])
 
+# A test with its id and source code, as the daily run keeps it.
+MEASUREMENT_OCCURRENCE = T.StructType([
+    T.StructField("measurement_id", T.StringType()), *MEASUREMENT,
+    T.StructField("measurement_source_value", T.StringType()),
+])
+
 
 class MissingColumns(ValueError):
     """An operator was given a table that lacks columns of its contract."""

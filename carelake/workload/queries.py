@@ -13,7 +13,7 @@ from carelake.functions import deid
 from carelake.operators import linkage, masking, merge, quality, silver
 from carelake.operators.deidentify import CLINICAL_POLICY, DeidPolicy, deidentify
 from carelake.plans import marts
-from carelake.plans.chain import Chain, ChainSettings, chain, read_mart, run_day
+from carelake.plans.chain import Chain, ChainSettings, chain, read_mart, read_silver, run_day, run_measurements
 from carelake.schemas import CHANGE_COLUMNS, CLINICAL_RECORD
 from carelake.session import materialize, workspace
 from carelake.sources import bronze, streams
@@ -355,7 +355,7 @@ def _corrected_lake(spark: SparkSession, sf_dir: str) -> str:
 
 def _zones(spark: SparkSession, lake: str) -> DataFrame:
     """The rows of Silver and of the dead letters."""
-    silver = merge.live_rows(read_snapshot(spark, f"{lake}/condition_occurrence"))
+    silver = merge.live_rows(read_silver(spark, lake))
     dead = spark.read.parquet(f"{lake}/dead_letters")
     columns = ("condition_occurrence_id", "person_id", "condition_start_date")
     return silver.select(F.lit("silver").alias("zone"), *columns).unionByName(

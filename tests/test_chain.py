@@ -11,9 +11,8 @@ from pyspark.sql import types as T
 from carelake.operators.deidentify import DeidPolicy
 from carelake.operators.quality import QualityBreach
 from carelake.operators.merge import live_rows
-from carelake.plans.chain import ChainSettings, chain, read_mart, run_day
+from carelake.plans.chain import ChainSettings, chain, read_mart, read_silver, run_day
 from carelake.sources import bronze
-from carelake.sources.snapshots import read_snapshot
 
 SALT = "chain_salt"
 RECORD = T.StructType([
@@ -53,7 +52,7 @@ def test_lazy_chain(spark):
 def daily(spark, tmp_path, at, settings=SETTINGS):
     lake = str(tmp_path / "lake")
     bronze.land(bronze.land_text(bronze.text_lines(spark, str(tmp_path / "in")), at=at), lake, "messages", batch=0)
-    return run_day(spark, lake, "messages", at.date(), settings)
+    return run_day(spark, lake, "messages", at.date(), settings, parts=4)
 
 
 def test_daily_run_is_replay_safe(spark, tmp_path):
@@ -66,7 +65,7 @@ def test_daily_run_is_replay_safe(spark, tmp_path):
         assert (measured["size"], measured["complete(person_id)"]) == (4, 1)
         assert spark.read.parquet(f"{lake}/bronze").count() == 4
         assert rows(spark.read.parquet(f"{lake}/dead_letters"), "condition_occurrence_id") == [(f"{MESSAGE_IDS}n-33",)]
-        assert rows(read_snapshot(spark, f"{lake}/condition_occurrence"), "condition_occurrence_id") == [
+        assert rows(read_silver(spark, lake), "condition_occurrence_id") == [
             (f"{MESSAGE_IDS}n-31",), (f"{MESSAGE_IDS}n-32",), (f"{MESSAGE_IDS}n-34",),
         ]
         assert rows(read_mart(spark, lake, "readmissions_30_day")) == [("ida", 1, 1, 1.0)]
@@ -113,17 +112,17 @@ def test_changes_of_two_days_reach_silver(spark, tmp_path):
     ]
     ids = lambda names: [(f"changes/pg/{n}",) for n in names]
     expected = [(ids("abc"), (1, 1)), (ids("ac"), (1, 1))]
-    live = lambda: live_rows(read_snapshot(spark, f"{lake}/condition_occurrence"))
+    live = lambda: live_rows(read_silver(spark, lake))
     for number, (lines, (left, totals)) in enumerate(zip(days, expected)):
         at = AT + dt.timedelta(days=number)
         landed = bronze.cdc_extract(spark.createDataFrame([(v,) for v in lines], "value string"), at=at)
         bronze.land(landed, lake, "changes", batch=0)
-        assert run_day(spark, lake, "changes", at.date(), CHANGE_SETTINGS)["size"] == len(lines) - 2 * (number == 0)
+        assert run_day(spark, lake, "changes", at.date(), CHANGE_SETTINGS, parts=4)["size"] == len(lines) - 2 * (number == 0)
         assert rows(live(), "condition_occurrence_id") == left
         gold = read_mart(spark, lake, "readmissions_30_day")
         assert rows(gold, "total_index_admissions", "total_30_day_readmissions") == [totals]
     # the first day again revives nothing
-    run_day(spark, lake, "changes", AT.date(), CHANGE_SETTINGS)
+    run_day(spark, lake, "changes", AT.date(), CHANGE_SETTINGS, parts=4)
     assert rows(live(), "condition_occurrence_id") == ids("ac")
 
 
@@ -134,8 +133,8 @@ def test_a_delete_needs_its_key_only(spark, tmp_path):
         at = AT + dt.timedelta(days=number)
         landed = bronze.cdc_extract(spark.createDataFrame([(line,)], "value string"), at=at)
         bronze.land(landed, lake, "changes", batch=0)
-        run_day(spark, lake, "changes", at.date(), CHANGE_SETTINGS)
-    assert rows(live_rows(read_snapshot(spark, f"{lake}/condition_occurrence"))) == []
+        run_day(spark, lake, "changes", at.date(), CHANGE_SETTINGS, parts=4)
+    assert rows(live_rows(read_silver(spark, lake))) == []
     assert spark.read.parquet(f"{lake}/dead_letters").count() == 0
 
 
@@ -172,7 +171,7 @@ def test_the_circuit_breaks_before_the_merge(spark, tmp_path):
     strict = ChainSettings(**{**SETTINGS.__dict__, "on_fail": "raise"})
     with pytest.raises(QualityBreach):
         daily(spark, tmp_path, AT, strict)
-    assert read_snapshot(spark, str(tmp_path / "lake" / "condition_occurrence")) is None
+    assert read_silver(spark, str(tmp_path / "lake")) is None
 
 
 def test_a_vocabulary_sets_the_concept(spark):
@@ -188,8 +187,8 @@ def test_feeds_with_equal_ids_keep_their_rows(spark, tmp_path):
         line = change("c", "2024-01-01 08:00:00", after={"id": "a", "mrn": "M1", "who": "P1", "came_on": came})
         landed = bronze.cdc_extract(spark.createDataFrame([(line,)], "value string"), at=AT)
         bronze.land(landed, lake, feed, batch=0)
-        run_day(spark, lake, feed, AT.date(), CHANGE_SETTINGS)
-    assert rows(live_rows(read_snapshot(spark, f"{lake}/condition_occurrence")), "condition_occurrence_id") == [
+        run_day(spark, lake, feed, AT.date(), CHANGE_SETTINGS, parts=4)
+    assert rows(live_rows(read_silver(spark, lake)), "condition_occurrence_id") == [
         ("north/pg/a",), ("south/pg/a",),
     ]
     with pytest.raises(ValueError, match="feed"):
