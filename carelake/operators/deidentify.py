@@ -43,6 +43,18 @@ CLINICAL_POLICY = DeidPolicy(
     drop=("patient_ssn", "patient_mrn", "admission_date"),
 )
 
+# Both move a patient's dates by the same days and give the patient the same token.
+STAY_POLICY = DeidPolicy(
+    tokens={"patient_mrn": "patient_mrn_deid"},
+    shifts={
+        "admission_date_shifted": ("admission_date", "patient_id"),
+        "discharge_date_shifted": ("discharge_date", "patient_id"),
+    },
+)
+TEST_POLICY = DeidPolicy(
+    tokens={"patient_mrn": "patient_mrn_deid"}, shifts={"taken_on_shifted": ("taken_on", "patient_id")},
+)
+
 
 def deidentify(
     df: DataFrame, policy: DeidPolicy, salt: str, drop_source: bool = True, strict: bool = True

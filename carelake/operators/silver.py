@@ -22,6 +22,13 @@ RECORD_COLUMNS = {
     "condition_start_datetime": "admission_date_shifted",
     "condition_source_value": "source_system_id",
 }
+# The same for a stay with its diagnosis and discharge.
+STAY_COLUMNS = {
+    **RECORD_COLUMNS,
+    "condition_end_date": "discharge_date_shifted",
+    "condition_end_datetime": "discharge_date_shifted",
+    "condition_source_value": "diagnosis_code",
+}
 # The same for a test.
 MEASUREMENT_COLUMNS = {
     "measurement_id": "payload_id",

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.operators import quality
-from carelake.operators.deidentify import CLINICAL_POLICY, DeidPolicy, deidentify
+from carelake.operators.deidentify import CLINICAL_POLICY, STAY_POLICY, TEST_POLICY, DeidPolicy, deidentify
 from carelake.operators.merge import KEY, merge_frames, stage_merge
-from carelake.operators.silver import MEASUREMENT_COLUMNS, RECORD_COLUMNS, concept_lookup, condition_map, measurement_map
+from carelake.operators.silver import (
+    MEASUREMENT_COLUMNS, RECORD_COLUMNS, STAY_COLUMNS, concept_lookup, condition_map, measurement_map,
+)
 from carelake.plans import gold, marts
-from carelake.schemas import CLINICAL_RECORD
+from carelake.schemas import CHANGE_COLUMNS, CLINICAL_RECORD, STAY_RECORD, TEST_RECORD
 from carelake.sources.bronze import flatten_payload, landed
 from carelake.sources.parts import PARTS, commit, read_parts, settle
 from carelake.sources.tables import replace_partition
@@ -34,6 +36,18 @@ class ChainSettings:
     on_fail: str = "route"
 
 
+def stay_settings(salt: str) -> ChainSettings:
+    """Stays with diagnosis and discharge, as changes with code and time."""
+    record = T.StructType([*STAY_RECORD, *CHANGE_COLUMNS])
+    return ChainSettings(salt, STAY_POLICY, record, columns=STAY_COLUMNS)
+
+
+def lab_settings(salt: str) -> ChainSettings:
+    """Tests, as changes with code and time; with the salt of the stays they meet the same persons."""
+    record = T.StructType([*TEST_RECORD, *CHANGE_COLUMNS])
+    return ChainSettings(salt, TEST_POLICY, record, columns=MEASUREMENT_COLUMNS, rules=quality.MEASUREMENT_RULES)
+
+
 def to_conditions(
     bronze: DataFrame, settings: ChainSettings, vocabulary: DataFrame | None = None, feed: str | None = None
 ) -> DataFrame:

@@ -9,6 +9,7 @@ rows of all other persons are carried over. Tables and marts change under one de
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from carelake.operators.merge import KEY, Staged
 from carelake.plans import marts
 from carelake.session import materialize
-from carelake.sources.parts import PARTS, read_parts, stage, touched_parts
+from carelake.sources.parts import PARTS, read_parts, stage, together, touched_parts
 
 PERSON = "person_id"
 MEASUREMENT_KEY = "measurement_id"
@@ -84,18 +85,22 @@ def stage_conditions(
     moved = Moved(spark, root, SILVER, merged, KEY, CONDITION_COLUMNS, parts)
     if not moved.touched and measurements is None:
         return []
-    paths = [moved.path]
     mine = moved.mine(moved.rows)
-    paths += [_stage_mart(spark, root, name, build(mine), moved, parts) for name, build in CONDITION_MARTS.items()]
+    built = {name: build(mine) for name, build in CONDITION_MARTS.items()}
+    tests = read_parts(spark, by_person(root, MEASUREMENTS), PERSON, moved.touched)
+    if measurements is None and tests is not None:
+        built[HEDIS] = marts.hedis(mine, moved.mine(tests))
+    jobs = [partial(_stage_mart, spark, root, name, mart, moved, parts) for name, mart in built.items()]
     if measurements is not None:
         others = read_parts(spark, moved.path, PERSON, [p for p in range(parts) if p not in moved.touched])
         everyone = moved.rows if others is None else moved.rows.unionByName(others)
-        stage(marts.hedis(everyone, measurements), gold(root, HEDIS), PERSON, range(parts), parts)
-        return [*paths, gold(root, HEDIS)]
-    tests = read_parts(spark, by_person(root, MEASUREMENTS), PERSON, moved.touched)
-    if tests is not None:
-        paths.append(_stage_mart(spark, root, HEDIS, marts.hedis(mine, moved.mine(tests)), moved, parts))
-    return paths
+        jobs.append(partial(_stage_whole, marts.hedis(everyone, measurements), gold(root, HEDIS), parts))
+    return [moved.path, *together(jobs)]
+
+
+def _stage_whole(mart: DataFrame, path: str, parts: int) -> str:
+    stage(mart, path, PERSON, range(parts), parts)
+    return path
 
 
 def stage_measurements(spark: SparkSession, root: str, merged: Staged, parts: int = PARTS) -> list[str]:

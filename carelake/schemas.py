@@ -44,6 +44,22 @@ CLINICAL_RECORD = T.StructType([
     T.StructField("clinical_notes", T.StringType()),
 ])
 
+# A stay with its diagnosis, and a test, as they arrive.
+STAY_RECORD = T.StructType([
+    T.StructField("patient_id", T.StringType()),
+    T.StructField("patient_mrn", T.StringType()),
+    T.StructField("diagnosis_code", T.StringType()),
+    T.StructField("admission_date", T.TimestampType()),
+    T.StructField("discharge_date", T.TimestampType()),
+])
+TEST_RECORD = T.StructType([
+    T.StructField("patient_id", T.StringType()),
+    T.StructField("patient_mrn", T.StringType()),
+    T.StructField("test_code", T.StringType()),
+    T.StructField("taken_on", T.TimestampType()),
+    T.StructField("result", T.DoubleType()),
+])
+
 CONDITION_OCCURRENCE = T.StructType([
     T.StructField("condition_occurrence_id", T.StringType()),
     T.StructField("person_id", T.StringType()),

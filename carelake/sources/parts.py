@@ -8,12 +8,18 @@ Several tables change under one declaration. One writer at a time.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 PART = "part"
 #: Parts of a table: its bytes divided by about a gigabyte, and the same as long as the table lives.
 PARTS = 64
@@ -81,16 +87,19 @@ def settle(spark: SparkSession, root: str) -> None:
     declared = [] if journal is None else [r["path"] for r in journal.collect()]
     if not declared:
         return
-    for path in declared:
+
+    def lay(path: str) -> None:
         staged = _opened(spark, _staged(path))
-        if staged is None:  # no part was touched
-            continue
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+        if staged is not None:  # else no part was touched
+            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+
+    together([partial(lay, path) for path in declared])
     spark.createDataFrame([], "path string").coalesce(1).write.mode("overwrite").parquet(f"{root}/journal")
 
 
-def replace(spark: SparkSession, root: str, changes: Mapping[str, tuple[DataFrame, str, Sequence[int]]], parts: int = PARTS) -> None:
-    """Stage the rows of the touched parts of several tables, `path: (rows, key, touched)`, and commit them together."""
-    for path, (rows, key, touched) in changes.items():
-        stage(rows, path, key, touched, parts)
-    commit(spark, root, list(changes))
+def together(jobs: Sequence[Callable[[], T]]) -> list[T]:
+    """The results of jobs that do not depend on each other, which share the cluster."""
+    if not jobs:
+        return []
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(job)) for job in jobs]]

@@ -242,3 +242,71 @@ def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(record).alias("raw_payload_json"),
         F.lit("2024-01-01").cast("timestamp").alias("ingestion_timestamp"),
     )
+
+
+def _change_time(day: int) -> str:
+    return f"2024-01-0{day} 08:00:00"
+
+
+def _landed_payload(rows: DataFrame, key: Column, system: str, record: Column, at: str) -> DataFrame:
+    return rows.select(
+        key.cast("string").alias("payload_id"), F.lit(system).alias("source_system_id"),
+        F.to_json(record).alias("raw_payload_json"), F.lit(at).cast("timestamp").alias("ingestion_timestamp"),
+    )
+
+
+def stay_payloads(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
+    """Orders as stays with diagnosis and discharge, landed as changes on one of three days.
+
+    Day 1 creates all. Day 2 deletes every fourth by its key alone and moves another fourth
+    by a week. Day 3 finds that every eighth was another patient's, the next one's.
+    """
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").filter([F.lit(True), key % 4 < 2, key % 8 == 2][day - 1])
+    whole = key % 4 != 0 if day == 2 else F.lit(True)
+    patient = F.col("o_custkey") + (1 if day == 3 else 0)
+    admitted = F.date_add(order_day(), 7 if day == 2 else 0)
+    at = _change_time(day)
+    record = F.struct(
+        F.when(whole, patient.cast("string")).alias("patient_id"),
+        F.when(whole, F.concat(F.lit("MRN"), patient.cast("string"))).alias("patient_mrn"),
+        F.when(whole, F.col("o_orderpriority")).alias("diagnosis_code"),
+        F.when(whole, admitted.cast("string")).alias("admission_date"),
+        F.when(whole, F.date_add(admitted, (key % 7).cast("int")).cast("string")).alias("discharge_date"),
+        (F.lit("c") if day == 1 else F.when(whole, "u").otherwise("d")).alias("cdc_op"),
+        F.lit(at).alias("updated_at"),
+    )
+    return _landed_payload(orders, key, "ORDERS", record, at)
+
+
+def lab_payloads(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
+    """Events as tests of their users: day 1 creates all, day 3 deletes every tenth by its key alone."""
+    key = F.col("event_id")
+    events = table(spark, sf_dir, "events")
+    if day == 3:
+        events = events.filter(key % 10 == 0)
+    whole = F.lit(day == 1)
+    at = _change_time(day)
+    record = F.struct(
+        F.when(whole, F.col("user_id").cast("string")).alias("patient_id"),
+        F.when(whole, F.concat(F.lit("MRN"), F.col("user_id").cast("string"))).alias("patient_mrn"),
+        F.when(whole, F.col("event_type")).alias("test_code"),
+        F.when(whole, F.col("ts").cast("date").cast("string")).alias("taken_on"),
+        F.when(whole, F.col("value")).alias("result"),
+        F.lit("c" if day == 1 else "d").alias("cdc_op"),
+        F.lit(at).alias("updated_at"),
+    )
+    return _landed_payload(events, key, "LAB", record, at)
+
+
+def diagnosis_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The priorities of orders as diagnosis codes."""
+    code = F.col("o_orderpriority")
+    return table(spark, sf_dir, "orders").select(code.alias("source_code")).distinct().withColumn(
+        "concept_id", F.when(F.col("source_code") == "1-URGENT", DIABETES).otherwise(INPATIENT_VISIT))
+
+
+def lab_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kinds of events as test codes, of which purchases are the test of the mart."""
+    return table(spark, sf_dir, "events").filter("event_type = 'purchase'").select(
+        F.col("event_type").alias("source_code"), F.lit(HBA1C).alias("concept_id")).distinct()

@@ -135,9 +135,27 @@ def _readmissions(source: str) -> str:
           GROUP BY a.person_id)"""
 
 
+def _readmission_days() -> str:
+    return """
+        SELECT i.person_id, i.condition_start_date AS admission_date, i.condition_end_date AS discharge_date,
+               s.condition_start_date AS readmission_date,
+               CASE WHEN s.condition_start_date IS NOT NULL THEN 1 ELSE 0 END AS is_readmitted_30_days,
+               count(s.condition_start_date) AS n_readmissions
+        FROM (SELECT * FROM conditions WHERE condition_concept_id = 9201) i
+        LEFT JOIN (SELECT * FROM conditions WHERE condition_concept_id = 9201) s
+          ON i.person_id = s.person_id AND s.condition_start_date > i.condition_end_date
+         AND s.condition_start_date <= i.condition_end_date + 30
+        GROUP BY i.condition_occurrence_id, i.person_id, i.condition_start_date, i.condition_end_date,
+                 s.condition_start_date"""
+
+
 def _hedis(value: str) -> str:
-    return f"""WITH {CONDITIONS}, {MEASUREMENTS},
-    persons AS (SELECT DISTINCT person_id FROM conditions WHERE condition_concept_id = 201820)
+    return f"WITH {CONDITIONS}, {MEASUREMENTS}, {_tests(value, 'persons')}"
+
+
+def _tests(value: str, first: str = "WITH persons") -> str:
+    """The mart of tests over `conditions` and `measurements`, after a WITH or as one."""
+    return f"""{first} AS (SELECT DISTINCT person_id FROM conditions WHERE condition_concept_id = 201820)
     SELECT p.person_id, CASE WHEN m.person_id IS NOT NULL THEN 1 ELSE 0 END AS had_hba1c_test,
            max(m.measurement_date) AS last_test_date, {value} AS last_test_value
     FROM persons p LEFT JOIN measurements m ON p.person_id = m.person_id
@@ -259,6 +277,37 @@ CORRECTED = f"""changed AS (
     corrected AS (
         SELECT * FROM changed UNION ALL SELECT * FROM zones WHERE condition_occurrence_id LIKE 'refills/%')"""
 
+# Stays and tests as they are after three days.
+_PATIENT = "CAST(o_custkey + CASE WHEN o_orderkey % 8 = 2 THEN 1 ELSE 0 END AS VARCHAR)"
+STAY_LAKE = f"""conditions AS (
+        SELECT o_orderkey AS condition_occurrence_id, {_token(f"'MRN' || {_PATIENT}")} AS person_id,
+               CASE WHEN o_orderpriority = '1-URGENT' THEN 201820 ELSE 9201 END AS condition_concept_id,
+               CAST(o_orderdate AS DATE) + CASE WHEN o_orderkey % 4 = 1 THEN 7 ELSE 0 END + {_shift_days(_PATIENT)} AS condition_start_date,
+               condition_start_date + CAST(o_orderkey % 7 AS INTEGER) AS condition_end_date
+        FROM orders WHERE o_orderkey % 4 <> 0),
+    measurements AS (
+        SELECT {_token("'MRN' || CAST(user_id AS VARCHAR)")} AS person_id,
+               CAST(ts AS DATE) + {_shift_days("CAST(user_id AS VARCHAR)")} AS measurement_date, value AS value_as_number
+        FROM events WHERE event_type = 'purchase' AND event_id % 10 <> 0)"""
+
+
+def _gold() -> str:
+    return f"""WITH {STAY_LAKE},
+    again AS ({_readmissions('conditions')}),
+    days AS ({_readmission_days()}),
+    tests AS ({_tests('max(m.value_as_number)')})
+    SELECT 'readmissions_30_day' AS mart, person_id, CAST(total_index_admissions AS VARCHAR) AS a,
+           CAST(total_30_day_readmissions AS VARCHAR) AS b, CAST(NULL AS VARCHAR) AS c FROM again
+    UNION ALL
+    SELECT 'admission_count', person_id, CAST(count(condition_occurrence_id) AS VARCHAR), NULL, NULL FROM conditions GROUP BY person_id
+    UNION ALL
+    SELECT 'readmission_days', person_id, admission_date || '/' || discharge_date, CAST(readmission_date AS VARCHAR),
+           CAST(n_readmissions AS VARCHAR) FROM days
+    UNION ALL
+    SELECT 'hedis', person_id, CAST(had_hba1c_test AS VARCHAR), CAST(last_test_date AS VARCHAR),
+           CAST(CAST(round(last_test_value, 9) AS DECIMAL(20, 4)) AS VARCHAR) FROM tests"""
+
+
 ORACLE: dict[str, str] = {
     "land_text": """
         SELECT sha256(concat_ws(chr(31), 'DOCUMENTS', coalesce(source, ''), coalesce(text, ''))) AS payload_id,
@@ -357,6 +406,9 @@ ORACLE: dict[str, str] = {
         FROM flawed
         WHERE person_id IS NULL OR condition_occurrence_id IS NULL OR condition_concept_id < 0""",
     "merge_upsert": f"WITH {TARGET}, {CHANGES} {_merged('changes')}",
+    "merge_touched": f"""WITH {TARGET}, {CHANGES}, small AS (
+        SELECT * FROM changes WHERE condition_occurrence_id % {NEW_KEY_OFFSET} % 97 = 1) {_merged("small")}""",
+    "pipeline_gold": _gold(),
     "merge_latest": f"WITH {CHANGES}, {REPEATED} SELECT * FROM latest",
     "merge_repeated": f"WITH {TARGET}, {CHANGES}, {REPEATED} {_merged('latest')}",
     "merge_tombstones": f"""WITH {TARGET}, {CHANGES}
@@ -394,17 +446,7 @@ ORACLE: dict[str, str] = {
         FROM stays i LEFT JOIN stays s
           ON i.person_id = s.person_id AND s.condition_start_date > i.condition_end_date
          AND s.condition_start_date <= i.condition_end_date + 30""",
-    "readmission_days": f"""WITH {CONDITIONS},
-        stays AS (SELECT * FROM conditions WHERE condition_concept_id = 9201)
-        SELECT i.person_id, i.condition_start_date AS admission_date, i.condition_end_date AS discharge_date,
-               s.condition_start_date AS readmission_date,
-               CASE WHEN s.condition_start_date IS NOT NULL THEN 1 ELSE 0 END AS is_readmitted_30_days,
-               count(s.condition_start_date) AS n_readmissions
-        FROM stays i LEFT JOIN stays s
-          ON i.person_id = s.person_id AND s.condition_start_date > i.condition_end_date
-         AND s.condition_start_date <= i.condition_end_date + 30
-        GROUP BY i.condition_occurrence_id, i.person_id, i.condition_start_date, i.condition_end_date,
-                 s.condition_start_date""",
+    "readmission_days": f"WITH {CONDITIONS} {_readmission_days()}",
     "readmission_30d": f"WITH {CONDITIONS} {_readmissions('conditions')}",
     "readmission_30d_any_ids": f"""WITH {CONDITIONS},
         repeated AS (SELECT * REPLACE (condition_occurrence_id // 2 AS condition_occurrence_id) FROM conditions)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,13 @@ from carelake.functions import deid
 from carelake.operators import linkage, masking, merge, quality, silver
 from carelake.operators.deidentify import CLINICAL_POLICY, DeidPolicy, deidentify
 from carelake.plans import marts
-from carelake.plans.chain import Chain, ChainSettings, chain, read_mart, read_silver, run_day, run_measurements
+from carelake.plans.chain import (
+    Chain, ChainSettings, chain, lab_settings, read_mart, read_silver, run_day, run_measurements, stay_settings,
+)
 from carelake.schemas import CHANGE_COLUMNS, CLINICAL_RECORD
 from carelake.session import materialize, workspace
 from carelake.sources import bronze, streams
+from carelake.sources.parts import read_parts
 from carelake.sources.snapshots import read_snapshot
 from carelake.streaming import sinks
 from carelake.workload import inputs
@@ -26,6 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 INGESTED = datetime(2024, 1, 1)
 ROUND = 9
+# Hash parts of the lakes here; their tables are small.
+LAKE_PARTS = 16
 
 # Patterns the document query redacts besides the default one.
 # A run of letters without an @ is looked at once: a match begins where a run or the last match ends.
@@ -339,7 +345,7 @@ def _first_day(spark: SparkSession, sf_dir: str) -> str:
     _land_first_day(spark, sf_dir, lake, corrected=False)
     bronze.land(inputs.daily_payloads(spark, sf_dir, 1, later=1), lake, "refills", 0)
     for feed in ("orders", "refills"):
-        run_day(spark, lake, feed, date(2024, 1, 1), DAILY)
+        run_day(spark, lake, feed, date(2024, 1, 1), DAILY, parts=LAKE_PARTS)
     return lake
 
 
@@ -347,9 +353,9 @@ def _corrected_lake(spark: SparkSession, sf_dir: str) -> str:
     """The lake after a second day of changes, and the first day again with its bad rows corrected."""
     lake = _first_day(spark, sf_dir)
     bronze.land(inputs.daily_payloads(spark, sf_dir, 2), lake, "orders", 0)
-    run_day(spark, lake, "orders", date(2024, 1, 2), DAILY)
+    run_day(spark, lake, "orders", date(2024, 1, 2), DAILY, parts=LAKE_PARTS)
     _land_first_day(spark, sf_dir, lake, corrected=True)
-    run_day(spark, lake, "orders", date(2024, 1, 1), DAILY)
+    run_day(spark, lake, "orders", date(2024, 1, 1), DAILY, parts=LAKE_PARTS)
     return lake
 
 
@@ -375,6 +381,50 @@ def pipeline_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mart(spark, _corrected_lake(spark, sf_dir), "readmissions_30_day")
 
 
+def stay_lake(spark: SparkSession, sf_dir: str) -> str:
+    """A lake after three days of stays and tests, with deletes, moved dates and another patient's stays."""
+    lake = workspace(spark, "stay-lake")
+    stays, labs = stay_settings(SALT), lab_settings(SALT)
+    diagnoses, tests = inputs.diagnosis_vocabulary(spark, sf_dir), inputs.lab_vocabulary(spark, sf_dir)
+    for day in (1, 2, 3):
+        bronze.land(inputs.stay_payloads(spark, sf_dir, day), lake, "stays", 0)
+        run_day(spark, lake, "stays", date(2024, 1, day), stays, diagnoses, parts=LAKE_PARTS)
+        if day != 2:
+            bronze.land(inputs.lab_payloads(spark, sf_dir, day), lake, "labs", 0)
+            run_measurements(spark, lake, "labs", date(2024, 1, day), labs, tests, parts=LAKE_PARTS)
+    return lake
+
+
+def gold_rows(read: Callable[[str], DataFrame]) -> DataFrame:
+    """The rows of all four marts in columns that they share, as text."""
+    columns = {
+        "readmissions_30_day": ("total_index_admissions", "total_30_day_readmissions", F.lit(None)),
+        "admission_count": ("admission_count", F.lit(None), F.lit(None)),
+        "readmission_days": (F.concat_ws("/", "admission_date", "discharge_date"), "readmission_date", "n_readmissions"),
+        "hedis": ("had_hba1c_test", "last_test_date", F.round("last_test_value", ROUND).cast("decimal(20,4)")),
+    }
+    found = []
+    for mart, values in columns.items():
+        texts = [(F.col(v) if isinstance(v, str) else v).cast("string").alias(n) for v, n in zip(values, "abc")]
+        found.append(read(mart).select(F.lit(mart).alias("mart"), "person_id", *texts))
+    return reduce(DataFrame.unionByName, found)
+
+
+def pipeline_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = stay_lake(spark, sf_dir)
+    return gold_rows(lambda mart: read_mart(spark, lake, mart))
+
+
+def merge_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in hash parts after a small second batch."""
+    lake = workspace(spark, "parted")
+    path = f"{lake}/table"
+    merge.merge_parts(spark, lake, path, inputs.merge_target(spark, sf_dir), parts=LAKE_PARTS)
+    small = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 97 == 1)
+    merge.merge_parts(spark, lake, path, inputs.order_changes(small), parts=LAKE_PARTS)
+    return _dated(read_parts(spark, path, merge.KEY))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         land_text, cdc_extract, cdc_rejects, stream_extract, flatten_payload,
@@ -385,6 +435,6 @@ QUERIES: dict[str, Query] = {
         readmission_30d_all, readmission_30d_join, admission_count, repeat_admissions,
         admission_count_stream, mask_engineer, mask_analyst,
         link_pairs, link_rates, link_predict, link_partners, link_em, link_clusters,
-        chain_e2e, chain_dead_letters, pipeline_e2e, pipeline_rerun, pipeline_marts,
+        chain_e2e, chain_dead_letters, pipeline_e2e, pipeline_rerun, pipeline_marts, pipeline_gold, merge_touched,
     )
 }
