@@ -9,13 +9,14 @@ A block may hold a third of all records, so its pairs cannot be listed. All the
 model needs is how many pairs show each pattern, and group sizes tell that exactly:
 records that share the values of some columns form C(n, 2) pairs agreeing at least on
 these columns, and inclusion-exclusion over the sets of columns turns "at least" into
-"exactly". Cost is 2^k rows per distinct record for k compared columns.
+"exactly". Cost is one row per distinct record and set of columns that the asked-for
+patterns need: at most 2^k - 1 for k compared columns.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import combinations_with_replacement, product
@@ -96,12 +97,15 @@ def _blocked(records: DataFrame, settings: LinkSettings) -> DataFrame:
     return records.dropna(subset=list(settings.block))
 
 
-def _group_pairs(records: DataFrame, settings: LinkSettings) -> DataFrame:
+def _group_pairs(records: DataFrame, settings: LinkSettings, asked: Collection[tuple[int, int]]) -> DataFrame:
     """Pairs that agree at least on a set of columns, per group of equal values.
 
     One row per block, `agree` (bit set of columns), the values of these columns and
     `filled` (bit set holding `agree`): `n` pairs of records that have all columns of
-    `filled` and share the values.
+    `filled` and share the values, for the pairs of sets that are `asked` for. A record is
+    copied once for each asked set `agree` that it has filled, but for the set of the block
+    columns alone, whose groups are whole blocks and are counted without copies; `filled`
+    sets are only formed for groups of more than one record.
     """
     k = len(settings.compare)
     names = [f"c{i}" for i in range(k)]
@@ -115,30 +119,37 @@ def _group_pairs(records: DataFrame, settings: LinkSettings) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("copies"))
     )
     filled = reduce(add, [F.when(F.col(n).isNotNull(), bit).otherwise(0) for n, bit in zip(names, _bits(names))])
+    copies = copies.withColumn("have", filled)
+    wanted: dict[int, list[int]] = {}
+    for agree, both in sorted(asked):
+        wanted.setdefault(agree, []).append(both)
     # A block column always agrees; sets without it are never asked for.
     fixed = sum(bit for c, bit in zip(settings.compare, _bits(names)) if _is_block_column(settings, c))
-    subsets = [s for s in range(1 << k) if s & fixed == fixed]
-    sets = copies.withColumn("have", filled).withColumn(
-        "agree", F.explode(F.filter(
-            F.array(*[F.lit(s) for s in subsets]), lambda s: s.bitwiseAND(F.col("have")) == s
-        ))
-    )
-    in_set = [
-        F.when(F.col("agree").bitwiseAND(F.lit(bit)) != 0, F.col(n)).alias(n)
-        for n, bit in zip(names, _bits(names))
-    ]
-    groups = sets.select(*blocks, "agree", *in_set, "have", "copies").groupBy(*blocks, "agree", *names).agg(
-        F.sum("copies").alias("members"), *[
-            F.sum(F.when(F.col("have").bitwiseAND(F.lit(f)) == f, F.col("copies")).otherwise(0)).alias(f"n{f}")
-            for f in subsets
+
+    def counted(rows: DataFrame, agree: Column) -> DataFrame:
+        in_set = [
+            F.when(F.col("agree").bitwiseAND(F.lit(bit)) != 0, F.col(n)).alias(n) for n, bit in zip(names, _bits(names))
         ]
-    ).filter(F.col("members") > 1)
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(f).alias("filled"), _pairs_of(f"n{f}").alias("n")) for f in subsets
-    ])).alias("p")
-    return groups.select(*blocks, "agree", *names, pairs).select(*blocks, "agree", *names, "p.filled", "p.n").filter(
-        (F.col("n") > 0) & (F.col("agree").bitwiseAND(F.col("filled")) == F.col("agree"))
-    )
+        return rows.withColumn("agree", agree).select(*blocks, "agree", *in_set, "have", "copies").groupBy(
+            *blocks, "agree", *names, "have").agg(F.sum("copies").alias("members"))
+
+    sides = []
+    explode = [s for s in wanted if s != fixed]
+    if explode:
+        held = F.filter(F.array(*[F.lit(s) for s in explode]), lambda s: s.bitwiseAND(F.col("have")) == s)
+        sides.append(counted(copies, F.explode(held)))
+    if fixed in wanted:
+        sides.append(counted(copies, F.lit(fixed)))
+    groups = reduce(DataFrame.unionByName, sides).groupBy(*blocks, "agree", *names).agg(
+        F.collect_list(F.struct("have", "members")).alias("held"), F.sum("members").alias("total")  # at most 2^k of them
+    ).filter(F.col("total") > 1)
+    sets = F.array(*[F.array(*[F.lit(f) for f in wanted.get(s, [-1])]) for s in range(1 << k)])
+    having = groups.withColumn("filled", F.explode(F.get(sets, F.col("agree"))))
+    members = F.aggregate(
+        F.filter("held", lambda h: h["have"].bitwiseAND(F.col("filled")) == F.col("filled")), F.lit(0).cast("bigint"),
+        lambda n, h: n + h["members"])
+    return having.withColumn("m", members).filter(F.col("m") > 1).select(
+        *blocks, "agree", *names, "filled", _pairs_of("m").alias("n"))
 
 
 def _pairs_of(name: str) -> Column:
@@ -153,10 +164,11 @@ def _pairs_of(name: str) -> Column:
     return left.cast("decimal(19,0)") * right.cast("decimal(19,0)")
 
 
-def _signs(records: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
+def _signs(patterns: Sequence[Pattern]) -> list[tuple[int, int, int, int, int]]:
     """Inclusion-exclusion: what a row of `_group_pairs` adds to each exact pattern.
 
-    At most 5 rows per column to the power of the columns, so it may be broadcast.
+    Rows (pattern, exact, agree, filled, sign): at most 5 to the power of the columns, so
+    their table may be broadcast.
     """
     rows = []
     for index, pattern in enumerate(patterns):
@@ -166,8 +178,7 @@ def _signs(records: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
             for more_filled in _submasks(missing):
                 sign = -1 if (more_agree.bit_count() + more_filled.bit_count()) % 2 else 1
                 rows.append((index, agree, agree | more_agree, both | more_filled, sign))
-    schema = "pattern int, exact int, agree int, filled int, sign int"
-    return records.sparkSession.createDataFrame(rows, schema)
+    return rows
 
 
 def _submasks(mask: int) -> list[int]:
@@ -187,10 +198,12 @@ def _exact(
     k = len(settings.compare)
     names = [f"c{i}" for i in range(k)]
     blocks = [f"b{i}" for i in range(len(settings.block))] if by_block else []
-    groups = _group_pairs(records, settings)
+    signs = _signs(patterns)
+    groups = _group_pairs(records, settings, {(agree, filled) for _, _, agree, filled, _ in signs})
     if not by_values:
         groups = groups.groupBy(*blocks, "agree", "filled").agg(F.sum("n").alias("n"))
-    joined = groups.join(F.broadcast(_signs(records, patterns)), ["agree", "filled"])
+    signed = records.sparkSession.createDataFrame(signs, "pattern int, exact int, agree int, filled int, sign int")
+    joined = groups.join(F.broadcast(signed), ["agree", "filled"])
     values = [
         F.when(F.col("exact").bitwiseAND(F.lit(bit)) != 0, F.col(n)).alias(n)
         for n, bit in zip(names, _bits(names))
@@ -378,7 +391,8 @@ def partners(
     _check(wanted, settings, "partners")
     types = {c: records.schema[c].dataType for c in (*settings.block, *settings.compare)}
     wanted = wanted.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
-    found = [_link_keys(_blocked(df, settings), settings, model, threshold) for df in (wanted, records)]
+    both = [_blocked(df, settings) for df in (wanted, records)]
+    found = [_link_keys(df, settings, model, threshold, both) for df in both]
     if found[0] is None:
         raise ValueError("partners: no comparison pattern reaches the threshold")
     l, r = (df.alias(side) for df, side in zip(found, ("l", "r")))
@@ -415,7 +429,8 @@ def clusters(
     """
     _check(records, settings, "clusters")
     record_id = settings.unique_id
-    keys = _link_keys(_blocked(records, settings), settings, model, threshold)
+    blocked = _blocked(records, settings)
+    keys = _link_keys(blocked, settings, model, threshold, [blocked])
     links = None
     if keys is not None:
         heads = keys.groupBy(*_KEY).agg(
@@ -435,7 +450,7 @@ def clusters(
 
 
 def _link_keys(
-    records: DataFrame, settings: LinkSettings, model: LinkModel, threshold: float
+    records: DataFrame, settings: LinkSettings, model: LinkModel, threshold: float, all_records: Sequence[DataFrame]
 ) -> DataFrame | None:
     """Keys whose holders all match: `key_0`, `key_1`, `id`, `side`, `sides`, and the values.
 
@@ -452,13 +467,16 @@ def _link_keys(
     patterns = _predicted(settings, model, threshold)
     if not patterns:
         return None
-    # Which keys a record holds follows from its filled columns alone, so the table
-    # has a bounded number of rows and may be broadcast.
-    held = records.sparkSession.createDataFrame(
-        _held_keys(patterns, len(settings.compare)), "have int, link int, shared int, side int, sides int"
-    )
     bits = list(zip(settings.compare, _bits(settings.compare)))
     have = reduce(add, [F.when(F.col(c).isNotNull(), bit).otherwise(0) for c, bit in bits])
+    # Which keys a record holds follows from its filled columns alone, so the table has a
+    # bounded number of rows and may be broadcast; keys that no two records of `all_records`
+    # can share are left out of it.
+    seen = reduce(DataFrame.union, [df.select(have.alias("have")).distinct() for df in all_records]).distinct()
+    held = records.sparkSession.createDataFrame(
+        _held_keys(patterns, len(settings.compare), {r["have"] for r in seen.collect()}),
+        "have int, link int, shared int, side int, sides int",
+    )
     # The link says which columns the key holds, and these are not null, so leaving the
     # other columns out of the hash makes no two contents alike. Two hashes of 64 bits
     # with their own seeds stand for the content: narrow rows to shuffle, and by chance
@@ -474,8 +492,8 @@ def _link_keys(
     )
 
 
-def _held_keys(patterns: Sequence[Pattern], k: int) -> list[tuple[int, int, int, int, int]]:
-    """Rows (filled set, link, columns whose values the key holds, side, sides)."""
+def _held_keys(patterns: Sequence[Pattern], k: int, seen: Collection[int]) -> list[tuple[int, int, int, int, int]]:
+    """Rows (filled set, link, columns whose values the key holds, side, sides) for the filled sets that are `seen`."""
     rank = {DIFFER: 0, MISSING: 1, AGREE: 2}
 
     def below(p: Pattern, q: Pattern) -> bool:
@@ -484,11 +502,13 @@ def _held_keys(patterns: Sequence[Pattern], k: int) -> list[tuple[int, int, int,
     rows, link = [], 0
     for need in (p for p in patterns if not any(below(q, p) for q in patterns)):
         agreed, loose = _mask(need, (AGREE,)), _mask(need, (MISSING,))
-        free = (1 << k) - 1 & ~agreed & ~loose
-        own = sorted(_submasks(loose))
-        for a, b in combinations_with_replacement(own, 2):
+        # the filled sets that meet the need, by what they have of its loose columns
+        by_loose: dict[int, list[int]] = {}
+        for have in sorted(seen):
+            if have & agreed == agreed:
+                by_loose.setdefault(have & loose, []).append(have)
+        for a, b in combinations_with_replacement(sorted(by_loose), 2):
             link += 1
-            for side, filled in enumerate([a] if a == b else [a, b]):
-                for extra in _submasks(free):
-                    rows.append((agreed | filled | extra, link, agreed | a & b, side, 1 if a == b else 2))
+            for side, own in enumerate([a] if a == b else [a, b]):
+                rows += [(have, link, agreed | a & b, side, 1 if a == b else 2) for have in by_loose[own]]
     return rows

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,8 +26,20 @@ KEPT_CHANGES = ("c", "u", "d")
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per line of the text files at `path`, with the file it came from."""
-    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("origin"))
+    """One row per line of the text files at `path`, with its file and its position in it, from 0.
+
+    Lines are numbered inside the split that they are read in, and a split's first number is
+    the running sum of the counts of the file's earlier splits; so no file meets in one task,
+    and what is joined is one row a split. The splits of a session do not show in the result.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("origin"), F.col("_metadata.file_block_start").alias("_split")
+    ).withColumn("_row", F.monotonically_increasing_id())  # a split's lines follow each other in one task
+    splits = lines.groupBy("origin", "_split").agg(F.count(F.lit(1)).alias("_lines"), F.min("_row").alias("_first"))
+    earlier = Window.partitionBy("origin").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("origin", "_split", "_first", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"))
+    return lines.join(starts, ["origin", "_split"]).select(
+        "value", "origin", (F.col("_before") + F.col("_row") - F.col("_first")).alias("position"))
 
 
 def _ingested(at: datetime | None) -> Column:
@@ -37,14 +49,15 @@ def _ingested(at: datetime | None) -> Column:
 def land_text(lines: DataFrame, source: str = CLAIM_SOURCE, at: datetime | None = None) -> DataFrame:
     """Bronze rows of raw text lines, unchanged.
 
-    The id is a hash of source, file and line, so landing a file twice gives the
-    same ids; equal lines of one file share an id. `ingestion_date` is the storage
-    partition.
+    The id is a hash of source, file, line and the line's position where there is one (see
+    `text_lines`), so landing a file twice gives the same ids and equal lines of it have
+    their own; without positions they share one. `ingestion_date` is the storage partition.
     """
     require_columns(lines, ["value"], "land_text")
     origin = F.col("origin") if "origin" in lines.columns else F.lit("")
+    position = [F.col("position")] if "position" in lines.columns else []
     return lines.select(
-        content_id(F.lit(source), origin, F.col("value")).alias("payload_id"),
+        content_id(F.lit(source), origin, F.col("value"), *position).alias("payload_id"),
         F.lit(source).alias("source_system_id"),
         F.col("value").alias("raw_payload_json"),
         _ingested(at).alias("ingestion_timestamp"),

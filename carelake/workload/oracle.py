@@ -313,6 +313,10 @@ ORACLE: dict[str, str] = {
         SELECT sha256(concat_ws(chr(31), 'DOCUMENTS', coalesce(source, ''), coalesce(text, ''))) AS payload_id,
                'DOCUMENTS' AS source_system_id, text AS raw_payload_json, DATE '2024-01-01' AS ingestion_date
         FROM documents""",
+    "land_lines": r"""
+        SELECT line, count(*) AS n_rows, count(*) AS n_ids
+        FROM (SELECT unnest(string_split(replace(text, chr(13), ' '), chr(10))) AS line FROM documents)
+        GROUP BY line""",
     "cdc_extract": f"""WITH {CHANGE_LINES}
         SELECT CAST(event_id AS VARCHAR) AS payload_id, 'events' AS source_system_id, line AS raw_payload_json
         FROM lines WHERE op <> 'r' AND event_id % 100 <> 0""",

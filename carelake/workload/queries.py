@@ -53,6 +53,16 @@ def land_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.land_text(lines, source="DOCUMENTS", at=INGESTED).drop("ingestion_timestamp")
 
 
+def land_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as text files, landed twice: how many rows and ids each line has."""
+    out = workspace(spark, "lines")
+    table(spark, sf_dir, "documents").select(F.regexp_replace("text", r"\r", " ").alias("value")).write.text(f"{out}/in")
+    for _ in range(2):
+        bronze.land(bronze.land_text(bronze.text_lines(spark, f"{out}/in"), at=INGESTED), out, "claims", batch=0)
+    return bronze.landed(spark, out).groupBy(F.col("raw_payload_json").alias("line")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("payload_id").alias("n_ids"))
+
+
 def cdc_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.cdc_extract(inputs.change_lines(spark, sf_dir)).drop("ingestion_timestamp")
 
@@ -427,7 +437,7 @@ def merge_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        land_text, cdc_extract, cdc_rejects, stream_extract, flatten_payload,
+        land_text, land_lines, cdc_extract, cdc_rejects, stream_extract, flatten_payload,
         deid_token, deid_dateshift, redact_text, redact_documents, deid_drop, deid_salted,
         condition_map, concept_lookup, dq_metrics, dq_report, dq_valid, dq_dlq,
         merge_upsert, merge_latest, merge_repeated, merge_tombstones, merge_stream,

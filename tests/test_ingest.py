@@ -131,3 +131,26 @@ def test_replace_files_keeps_other_partitions(spark, tmp_path):
     assert rows(spark.read.parquet(path), "v", "p") == [(1, "a"), (3, "b")]
     tables.append_files(first, path, ["p"])
     assert spark.read.parquet(path).count() == 4
+
+
+def test_equal_lines_of_a_file_have_their_own_ids(spark, tmp_path):
+    """Whatever the splits; landing again gives the same ids, and a merge by id keeps all lines."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    lines = [f"claim {i % 7}" for i in range(400)]
+    (inbox / "a.txt").write_text("\n".join(lines) + "\n")
+    (inbox / "b.txt").write_text("\n".join(lines[:9]))
+    (inbox / "empty.txt").write_text("")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    found = []
+    try:
+        for size in ("128m", "500b", "73b"):
+            spark.conf.set(key, size)
+            numbered = bronze.text_lines(spark, str(inbox))
+            got = [(r["origin"].rsplit("/", 1)[1], r["position"], r["value"]) for r in numbered.collect()]
+            assert sorted(got) == sorted([("a.txt", i, v) for i, v in enumerate(lines)] + [("b.txt", i, v) for i, v in enumerate(lines[:9])])
+            found.append(rows(bronze.land_text(numbered), "payload_id"))
+    finally:
+        spark.conf.set(key, before)
+    assert found[0] == found[1] == found[2] and len(set(found[0])) == 409

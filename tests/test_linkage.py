@@ -200,3 +200,35 @@ def test_no_edges_have_no_components(spark):
 def test_a_model_that_has_not_settled_is_an_error(spark):
     with pytest.raises(ValueError, match="not settled"):
         k.estimate(spark.createDataFrame(people(3), SCHEMA), SETTINGS, max_iterations=1, tolerance=0.0)
+
+
+def test_six_columns_with_few_rows_per_record(spark):
+    """Equal to the pairs themselves; a record is copied for the asked sets only, and holds few keys."""
+    rng = random.Random(6)
+    columns = [f"v{i}" for i in range(6)]
+    six = k.LinkSettings(unique_id="unique_id", block=("b",), compare=tuple(columns))
+    people = [
+        (i, rng.choice("xy"), *[None if c == 5 and rng.random() < 0.3 else rng.choice("pqr"[: 2 + c % 2]) for c in range(6)])
+        for i in range(60)
+    ]
+    frame = spark.createDataFrame(people, "unique_id int, b string, " + ", ".join(f"{c} string" for c in columns))
+    model = k.LinkModel(m={c: 0.9 for c in columns}, u={c: 0.1 for c in columns}, prior=0.01)
+
+    def level(a, b):
+        return -1 if a is None or b is None else int(a == b)
+
+    plain = Counter(
+        tuple(level(a, b) for a, b in zip(p[2:], q[2:])) for p, q in combinations(people, 2) if p[1] == q[1])
+    got = {tuple(r[f"gamma_{c}"] for c in columns): int(r["n_pairs"]) for r in k.pattern_counts(frame, six).collect()}
+    assert got == plain
+    matches = {p: n for p, n in plain.items() if model.probability(columns, p) >= 0.8}
+    found = Counter()
+    for r in k.predict(frame, six, model).collect():
+        found[tuple(r[f"gamma_{c}"] for c in columns)] += int(r["n_pairs"])
+    assert found == matches
+    patterns = k._predicted(six, model, 0.8)
+    asked = {agree for _, _, agree, _, _ in k._signs(patterns)}
+    assert 0 not in asked and len(asked) <= 42  # sets of three columns and more: 63 without pruning
+    seen = {0b111111, 0b011111}
+    per_record = Counter(have for have, *_ in k._held_keys(patterns, 6, seen))
+    assert set(per_record) == seen and max(per_record.values()) <= 65  # 792 without pruning
