@@ -33,7 +33,7 @@ MAX_COMPARED = 6
 
 AGREE, DIFFER, MISSING = 1, 0, -1
 
-_KEY = ("key_0", "key_1")
+KEY = ("key_0", "key_1")
 Pattern = tuple[int, ...]
 
 
@@ -397,7 +397,7 @@ def partners(
         raise ValueError("partners: no comparison pattern reaches the threshold")
     l, r = (df.alias(side) for df, side in zip(found, ("l", "r")))
     meet = [
-        *[F.col(f"l.{key}") == F.col(f"r.{key}") for key in _KEY],
+        *[F.col(f"l.{key}") == F.col(f"r.{key}") for key in KEY],
         (F.col("l.sides") == 1) | (F.col("l.side") != F.col("r.side")),
         F.col("l.id") != F.col("r.id"),
     ]
@@ -433,11 +433,11 @@ def clusters(
     keys = _link_keys(blocked, settings, model, threshold, [blocked])
     links = None
     if keys is not None:
-        heads = keys.groupBy(*_KEY).agg(
+        heads = keys.groupBy(*KEY).agg(
             F.min("id").alias("head"), F.min("side").alias("first"), F.max("side").alias("last"),
             F.max("sides").alias("sides"),
         ).filter((F.col("sides") == 1) | (F.col("first") != F.col("last")))
-        links = keys.select(*_KEY, "id").join(heads.select(*_KEY, "head"), list(_KEY)).select(
+        links = keys.select(*KEY, "id").join(heads.select(*KEY, "head"), list(KEY)).select(
             F.col("id").alias("left"), F.col("head").alias("right")
         ).filter(F.col("left") != F.col("right")).distinct()
     ids = records.select(F.col(record_id).alias("id"))
@@ -449,8 +449,14 @@ def clusters(
     )
 
 
+def link_keys(records: DataFrame, settings: LinkSettings, model: LinkModel, threshold: float) -> DataFrame | None:
+    """The keys that records hold whatever others there are; see `_link_keys`. None where no pattern reaches the threshold."""
+    _check(records, settings, "link_keys")
+    return _link_keys(_blocked(records, settings), settings, model, threshold, None)
+
+
 def _link_keys(
-    records: DataFrame, settings: LinkSettings, model: LinkModel, threshold: float, all_records: Sequence[DataFrame]
+    records: DataFrame, settings: LinkSettings, model: LinkModel, threshold: float, all_records: Sequence[DataFrame] | None
 ) -> DataFrame | None:
     """Keys whose holders all match: `key_0`, `key_1`, `id`, `side`, `sides`, and the values.
 
@@ -472,9 +478,12 @@ def _link_keys(
     # Which keys a record holds follows from its filled columns alone, so the table has a
     # bounded number of rows and may be broadcast; keys that no two records of `all_records`
     # can share are left out of it.
-    seen = reduce(DataFrame.union, [df.select(have.alias("have")).distinct() for df in all_records]).distinct()
+    seen: Collection[int] = range(1 << len(settings.compare))
+    if all_records is not None:
+        found = reduce(DataFrame.union, [df.select(have.alias("have")).distinct() for df in all_records]).distinct()
+        seen = {r["have"] for r in found.collect()}
     held = records.sparkSession.createDataFrame(
-        _held_keys(patterns, len(settings.compare), {r["have"] for r in seen.collect()}),
+        _held_keys(patterns, len(settings.compare), seen),
         "have int, link int, shared int, side int, sides int",
     )
     # The link says which columns the key holds, and these are not null, so leaving the
@@ -486,7 +495,7 @@ def _link_keys(
         *[F.when(F.col("shared").bitwiseAND(F.lit(bit)) != 0, F.col(c)) for c, bit in bits],
     ]
     return records.withColumn("have", have).join(F.broadcast(held), "have").select(
-        *[F.xxhash64(F.lit(seed), *content).alias(key) for seed, key in enumerate(_KEY)],
+        *[F.xxhash64(F.lit(seed), *content).alias(key) for seed, key in enumerate(KEY)],
         F.col(settings.unique_id).alias("id"), "side", "sides",
         *[F.col(c).alias(f"v{i}") for i, c in enumerate(settings.compare)],
     )
