@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from carelake.operators import quality
 from carelake.operators.deidentify import CLINICAL_POLICY, STAY_POLICY, TEST_POLICY, DeidPolicy, deidentify
+from carelake.operators.growing import stage_records
+from carelake.operators.linkage import LinkModel, LinkSettings
 from carelake.operators.merge import KEY, merge_frames, stage_merge
 from carelake.operators.silver import (
     MEASUREMENT_COLUMNS, RECORD_COLUMNS, STAY_COLUMNS, concept_lookup, condition_map, measurement_map,
@@ -170,6 +172,24 @@ def run_measurements(
     return measured
 
 
+def run_persons(
+    spark: SparkSession, root: str, records: DataFrame, settings: LinkSettings, model: LinkModel,
+    threshold: float = 0.8, parts: int = PARTS,
+) -> None:
+    """Let a batch of person records join the linked persons, and the rows of joined persons move in Gold.
+
+    The records' unique id is the token that conditions and tests have as `person_id`. Links and
+    Gold change together, so a batch that failed or came before is simply run again.
+    """
+    settle(spark, root)
+    grown = stage_records(spark, f"{root}/{gold.PERSONS}", records, settings, model, threshold, parts)
+    renamed = grown.moved.select(
+        F.col("id").cast("string").alias(gold.SOURCE), F.coalesce("old", "id").cast("string").alias("old"),
+        F.col("new").cast("string").alias("new"),
+    ).filter("old <> new")
+    commit(spark, root, [*grown.paths, *gold.stage_links(spark, root, renamed, parts)])
+
+
 def _here(feed: str, day: date) -> Column:
     return (F.col("feed") == feed) & (F.col("ingestion_date") == F.lit(day))
 

@@ -4,6 +4,9 @@ A merge gives the live rows that go out and come in. They are applied to a copy
 live rows in hash parts of the person, where all rows of a person are found without
 reading the history of the others; the marts of these persons are built from it, and the
 rows of all other persons are carried over. Tables and marts change under one declaration.
+
+Silver names persons as the sources do. The copies and the marts name the linked person, as
+the batches of person records say so far; where a batch joins two persons, their rows move.
 """
 
 from __future__ import annotations
@@ -14,12 +17,15 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.operators import growing
 from carelake.operators.merge import KEY, Staged
 from carelake.plans import marts
+from carelake.schemas import MEASUREMENT
 from carelake.session import materialize
 from carelake.sources.parts import PARTS, read_parts, stage, together, touched_parts
 
-PERSON = "person_id"
+PERSON, SOURCE = "person_id", "source_person"
+PERSONS = "persons"
 MEASUREMENT_KEY = "measurement_id"
 SILVER, MEASUREMENTS = "condition_occurrence", "measurement"
 #: What the marts read of a condition and of a measurement.
@@ -44,28 +50,60 @@ def by_person(root: str, table: str) -> str:
     return f"{root}/{table}_by_person"
 
 
+def linked(spark: SparkSession, root: str, rows: DataFrame, parts: int) -> DataFrame:
+    """`rows` with the linked person as `person_id`, and the person that the source names as `source_person`.
+
+    A source person that no batch of person records has named stands for itself.
+    """
+    renamed = rows.withColumn(SOURCE, F.col(PERSON))
+    names = read_parts(spark, f"{root}/{PERSONS}/{growing.BY_ID}", "id", touched_parts(rows, PERSON, parts))
+    if names is None:
+        return renamed
+    names = names.select(F.col("id").cast("string").alias(SOURCE), F.col("cluster_id").cast("string").alias("_linked"))
+    found = renamed.join(names, SOURCE, "left").withColumn(PERSON, F.coalesce("_linked", PERSON))
+    return found.select(*rows.columns, SOURCE)
+
+
 class Moved:
-    """The rows that a staged merge moves, as a change of the copy by person."""
+    """Rows that go out and that come in, `delta`, as a change of a table's copy by person.
 
-    def __init__(self, spark: SparkSession, root: str, table: str, staged: Staged, key: str, columns: list[str], parts: int):
-        out, new = staged.moved(key, columns)
-        delta = materialize(
-            out.withColumn("comes", F.lit(False)).unionByName(new.withColumn("comes", F.lit(True))), f"moved-{table}")
-        self.persons = delta.select(PERSON).filter(F.col(PERSON).isNotNull()).distinct()
-        self.touched = touched_parts(delta, PERSON, parts)
+    `delta` has the copy's columns and `comes`; `persons` are those whose marts are built anew.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, table: str, delta: DataFrame, persons: DataFrame, key: str, columns: list[str], parts: int
+    ):
+        self.persons = persons
+        self.touched = touched_parts(persons, PERSON, parts)
         self.path = by_person(root, table)
-        coming = delta.filter("comes").select(*columns)
+        coming = delta.filter("comes").select(*columns, SOURCE)
         held = read_parts(spark, self.path, PERSON, self.touched)
         if held is not None:
             gone = delta.filter("not comes").select(key)
             coming = held.join(gone, key, "left_anti").unionByName(coming)
         self.rows = stage(coming.filter(F.col(PERSON).isNotNull()), self.path, PERSON, self.touched, parts)
 
+    @classmethod
+    def by_merge(cls, spark: SparkSession, root: str, table: str, staged: Staged, key: str, columns: list[str], parts: int) -> Moved:
+        out, new = staged.moved(key, columns)
+        both = materialize(
+            out.withColumn("comes", F.lit(False)).unionByName(new.withColumn("comes", F.lit(True))), f"merged-{table}")
+        delta = materialize(linked(spark, root, both, parts), f"moved-{table}")
+        return cls(spark, root, table, delta, _persons(delta), key, columns, parts)
+
     def mine(self, rows: DataFrame) -> DataFrame:
         """The rows of the persons whose marts are built anew."""
         return rows.join(self.persons, PERSON, "left_semi")
 
 
+def _persons(delta: DataFrame) -> DataFrame:
+    return delta.select(PERSON).filter(F.col(PERSON).isNotNull()).distinct()
+
+
+def _no_tests(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], MEASUREMENT)
+
+
 def _stage_mart(spark: SparkSession, root: str, name: str, mart: DataFrame, moved: Moved, parts: int) -> str:
     path = gold(root, name)
     held = read_parts(spark, path, PERSON, moved.touched)
@@ -82,14 +120,14 @@ def stage_conditions(
     `measurements` is a table that is kept elsewhere: the whole mart of tests is then built
     anew, since it is not known what changed there.
     """
-    moved = Moved(spark, root, SILVER, merged, KEY, CONDITION_COLUMNS, parts)
+    moved = Moved.by_merge(spark, root, SILVER, merged, KEY, CONDITION_COLUMNS, parts)
     if not moved.touched and measurements is None:
         return []
     mine = moved.mine(moved.rows)
     built = {name: build(mine) for name, build in CONDITION_MARTS.items()}
     tests = read_parts(spark, by_person(root, MEASUREMENTS), PERSON, moved.touched)
-    if measurements is None and tests is not None:
-        built[HEDIS] = marts.hedis(mine, moved.mine(tests))
+    if measurements is None:
+        built[HEDIS] = marts.hedis(mine, _no_tests(spark) if tests is None else moved.mine(tests))
     jobs = [partial(_stage_mart, spark, root, name, mart, moved, parts) for name, mart in built.items()]
     if measurements is not None:
         others = read_parts(spark, moved.path, PERSON, [p for p in range(parts) if p not in moved.touched])
@@ -105,7 +143,7 @@ def _stage_whole(mart: DataFrame, path: str, parts: int) -> str:
 
 def stage_measurements(spark: SparkSession, root: str, merged: Staged, parts: int = PARTS) -> list[str]:
     """Stage what a staged merge of measurements changes in Gold; the paths to commit with it."""
-    moved = Moved(spark, root, MEASUREMENTS, merged, MEASUREMENT_KEY, MEASUREMENT_COLUMNS, parts)
+    moved = Moved.by_merge(spark, root, MEASUREMENTS, merged, MEASUREMENT_KEY, MEASUREMENT_COLUMNS, parts)
     if not moved.touched:
         return []
     conditions = read_parts(spark, by_person(root, SILVER), PERSON, moved.touched)
@@ -113,3 +151,28 @@ def stage_measurements(spark: SparkSession, root: str, merged: Staged, parts: in
         return [moved.path]
     mart = marts.hedis(moved.mine(conditions), moved.mine(moved.rows))
     return [moved.path, _stage_mart(spark, root, HEDIS, mart, moved, parts)]
+
+
+def stage_links(spark: SparkSession, root: str, renamed: DataFrame, parts: int = PARTS) -> list[str]:
+    """Stage what other linked persons, `renamed` (source_person, old, new), change in Gold; the paths to commit."""
+    both = renamed.select(F.col("old").alias(PERSON)).union(renamed.select("new"))
+    persons = materialize(both.distinct(), "renamed-persons")
+    touched = touched_parts(renamed, "old", parts)
+    moved = {}
+    for table, key, columns in ((SILVER, KEY, CONDITION_COLUMNS), (MEASUREMENTS, MEASUREMENT_KEY, MEASUREMENT_COLUMNS)):
+        held = read_parts(spark, by_person(root, table), PERSON, touched)
+        if held is None or not touched:
+            continue
+        leaving = held.join(renamed.select(SOURCE, "new"), SOURCE)
+        out = leaving.withColumn("comes", F.lit(False)).drop("new")
+        delta = out.unionByName(leaving.withColumns({PERSON: F.col("new"), "comes": F.lit(True)}).drop("new"))
+        moved[table] = Moved(spark, root, table, materialize(delta, f"renamed-{table}"), persons, key, columns, parts)
+    if SILVER not in moved:
+        return [m.path for m in moved.values()]
+    conditions = moved[SILVER]
+    mine = conditions.mine(conditions.rows)
+    built = {name: build(mine) for name, build in CONDITION_MARTS.items()}
+    tests = moved[MEASUREMENTS].rows if MEASUREMENTS in moved else _no_tests(spark)
+    built[HEDIS] = marts.hedis(mine, conditions.mine(tests))
+    jobs = [partial(_stage_mart, spark, root, name, mart, conditions, parts) for name, mart in built.items()]
+    return [*[m.path for m in moved.values()], *together(jobs)]

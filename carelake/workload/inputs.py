@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.functions import deid
 from carelake.operators.linkage import LinkModel, LinkSettings
 from carelake.plans.marts import DIABETES, HBA1C, INPATIENT_VISIT
 
@@ -310,3 +311,18 @@ def lab_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The kinds of events as test codes, of which purchases are the test of the mart."""
     return table(spark, sf_dir, "events").filter("event_type = 'purchase'").select(
         F.col("event_type").alias("source_code"), F.lit(HBA1C).alias("concept_id")).distinct()
+
+
+LINKED = LinkSettings(unique_id="token", block=("born",), compare=("name", "city"))
+LINKED_MODEL = LinkModel(m={"name": 0.95, "city": 0.9}, u={"name": 0.001, "city": 0.2}, prior=0.01)
+
+
+def person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as person records of which two neighbours each, 2n and 2n + 1, are one person."""
+    key = F.col("c_custkey")
+    first = key - key % 2
+    return table(spark, sf_dir, "customer").select(
+        key.alias("customer"), deid.token(F.concat(F.lit("MRN"), key.cast("string")), SALT).alias("token"),
+        F.date_add(F.lit("1950-01-01").cast("date"), (first % 20_000).cast("int")).alias("born"),
+        F.concat(F.lit("person "), first.cast("string")).alias("name"), (first % 5).alias("city"),
+    )

@@ -308,6 +308,14 @@ def _gold() -> str:
            CAST(CAST(round(last_test_value, 9) AS DECIMAL(20, 4)) AS VARCHAR) FROM tests"""
 
 
+LINKED_LAKE = f"""people AS (
+        SELECT c_custkey, min({_token("'MRN' || CAST(c_custkey AS VARCHAR)")}) OVER (PARTITION BY c_custkey - c_custkey % 2) AS person_id
+        FROM customer),
+    conditions AS (
+        SELECT o_orderkey AS condition_occurrence_id, person_id,
+               CAST(o_orderdate AS DATE) + CASE WHEN o_orderkey % 4 = 1 THEN 7 ELSE 0 END + {_SHIFT} AS condition_start_date
+        FROM orders JOIN people ON c_custkey = o_custkey WHERE o_orderkey % 4 <> 0)"""
+
 ORACLE: dict[str, str] = {
     "land_text": """
         SELECT sha256(concat_ws(chr(31), 'DOCUMENTS', coalesce(source, ''), coalesce(text, ''))) AS payload_id,
@@ -413,6 +421,10 @@ ORACLE: dict[str, str] = {
     "merge_touched": f"""WITH {TARGET}, {CHANGES}, small AS (
         SELECT * FROM changes WHERE condition_occurrence_id % {NEW_KEY_OFFSET} % 97 = 1) {_merged("small")}""",
     "pipeline_gold": _gold(),
+    "pipeline_linked": f"""WITH {LINKED_LAKE}, again AS ({_readmissions('conditions')}),
+        counts AS (SELECT person_id, count(*) AS admission_count FROM conditions GROUP BY person_id)
+        SELECT counts.person_id, admission_count, total_index_admissions, total_30_day_readmissions, readmission_rate
+        FROM counts LEFT JOIN again USING (person_id)""",
     "merge_latest": f"WITH {CHANGES}, {REPEATED} SELECT * FROM latest",
     "merge_repeated": f"WITH {TARGET}, {CHANGES}, {REPEATED} {_merged('latest')}",
     "merge_tombstones": f"""WITH {TARGET}, {CHANGES}

@@ -15,7 +15,8 @@ from carelake.operators import linkage, masking, merge, quality, silver
 from carelake.operators.deidentify import CLINICAL_POLICY, DeidPolicy, deidentify
 from carelake.plans import marts
 from carelake.plans.chain import (
-    Chain, ChainSettings, chain, lab_settings, read_mart, read_silver, run_day, run_measurements, stay_settings,
+    Chain, ChainSettings, chain, lab_settings, read_mart, read_silver, run_day, run_measurements, run_persons,
+    stay_settings,
 )
 from carelake.schemas import CHANGE_COLUMNS, CLINICAL_RECORD
 from carelake.session import materialize, workspace
@@ -425,6 +426,28 @@ def pipeline_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_rows(lambda mart: read_mart(spark, lake, mart))
 
 
+def pipeline_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marts by linked person, of which a third are joined after their stays have landed."""
+    lake = workspace(spark, "linked-lake")
+    people = inputs.person_records(spark, sf_dir)
+    late = F.col("customer") % 6 == 5
+    diagnoses = inputs.diagnosis_vocabulary(spark, sf_dir)
+
+    def persons(batch: DataFrame) -> None:
+        run_persons(spark, lake, batch, inputs.LINKED, inputs.LINKED_MODEL, parts=LAKE_PARTS)
+
+    def stays(day: int) -> None:
+        bronze.land(inputs.stay_payloads(spark, sf_dir, day), lake, "stays", 0)
+        run_day(spark, lake, "stays", date(2024, 1, day), stay_settings(SALT), diagnoses, parts=LAKE_PARTS)
+
+    persons(people.filter(~late))
+    stays(1)
+    persons(people.filter(late))
+    stays(2)
+    counts = read_mart(spark, lake, "admission_count")
+    return read_mart(spark, lake, "readmissions_30_day").join(counts, "person_id", "right")
+
+
 def merge_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table in hash parts after a small second batch."""
     lake = workspace(spark, "parted")
@@ -445,6 +468,6 @@ QUERIES: dict[str, Query] = {
         readmission_30d_all, readmission_30d_join, admission_count, repeat_admissions,
         admission_count_stream, mask_engineer, mask_analyst,
         link_pairs, link_rates, link_predict, link_partners, link_em, link_clusters,
-        chain_e2e, chain_dead_letters, pipeline_e2e, pipeline_rerun, pipeline_marts, pipeline_gold, merge_touched,
+        chain_e2e, chain_dead_letters, pipeline_e2e, pipeline_rerun, pipeline_marts, pipeline_gold, pipeline_linked, merge_touched,
     )
 }
