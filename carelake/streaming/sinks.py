@@ -1,4 +1,4 @@
-"""Streaming writes: append, running counts and merge.
+"""Streaming writes: append, routing by quality, running counts and merge.
 
 The checkpoint folder holds offsets and state and must be shared by the cluster. A
 restart with the same folder goes on where the last batch ended. `trigger` is a
@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from carelake.operators.merge import merge_into, merge_snapshot
+from carelake.operators import quality
+from carelake.operators.merge import KEY, merge_into, merge_parts
+from carelake.session import materialize
 from carelake.sources.bronze import land
-from carelake.sources.snapshots import read_snapshot, write_snapshot
+from carelake.sources.parts import PARTS, commit, read_parts, settle, stage, touched_parts
+from carelake.sources.tables import replace_partition
 
 INGEST_TRIGGER = "1 minute"
 SILVER_TRIGGER = "5 minutes"
@@ -68,39 +71,72 @@ def start_append_table(
 
 def start_counts(
     stream: DataFrame, path: str, checkpoint: str, key: str = "person_id",
-    counted: str = "condition_occurrence_id", trigger: str | None = GOLD_TRIGGER, keep: int = 3,
+    counted: str = "condition_occurrence_id", trigger: str | None = GOLD_TRIGGER, parts: int = PARTS,
 ) -> StreamingQuery:
-    """Keep the count per key up to date in the snapshots below `path`.
+    """Keep the count per key up to date in the hash parts at `path` (see `read_parts`).
 
-    The state store holds one number per key. A batch brings the new counts of the
-    keys it saw; counts only grow, so the greater one is the newer, and a batch that
-    runs twice changes nothing.
+    The state store holds one number per key. A batch brings the new counts of the keys it
+    saw, and the parts of these keys only are rewritten; counts only grow, so the greater one
+    is the newer, and a batch that runs twice changes nothing. A null key is not counted.
     """
-    counts = stream.groupBy(key).agg(F.count(counted).alias("admission_count"))
+    counts = stream.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(counted).alias("admission_count"))
 
     def write(batch: DataFrame, number: int) -> None:
-        before = read_snapshot(batch.sparkSession, path)
-        known = batch if before is None else before.unionByName(batch)
+        settle(batch.sparkSession, _journal(path))
+        changed = materialize(batch, "changed-counts")  # the state is read once
+        touched = touched_parts(changed, key, parts)
+        before = read_parts(batch.sparkSession, path, key, touched)
+        known = changed if before is None else before.unionByName(changed)
         newest = known.groupBy(key).agg(F.max("admission_count").alias("admission_count"))
-        write_snapshot(newest, path, keep)
+        stage(newest, path, key, touched, parts)
+        commit(batch.sparkSession, _journal(path), [path])
 
     return _started(counts.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger)
 
 
+def _journal(path: str) -> str:
+    return f"{path}.log"
+
+
 def start_merge(
-    stream: DataFrame, path: str, checkpoint: str, trigger: str | None = SILVER_TRIGGER,
-    **options: object,
+    stream: DataFrame, path: str, checkpoint: str, trigger: str | None = SILVER_TRIGGER, key: str = KEY,
+    parts: int = PARTS, **options: object,
+) -> StreamingQuery:
+    """Merge every batch of changes into the hash parts at `path` (see `read_parts`), of which it rewrites those it touches.
+
+    A batch that runs twice changes nothing the second time, because a change must be newer
+    than the row it meets. A key that a batch deletes is an exception: its older update,
+    should it come again, inserts it, unless `tombstones=True`. A null key fails the batch.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        merge_parts(batch.sparkSession, _journal(path), path, batch, key, parts=parts, **options)
+
+    return _started(stream.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
+def start_routing(
+    stream: DataFrame, root: str, checkpoint: str, rules: Sequence[quality.Rule] = quality.CONDITION_RULES,
+    on_fail: str = "route", trigger: str | None = SILVER_TRIGGER,
 ) -> StreamingQuery:
-    """Merge every batch of changes into the snapshots below `path`.
+    """Valid rows of every batch to `valid` below `root`, the others with their reasons to `dead_letters`.
 
-    Each batch writes the table again, so keep batches few and large, or use
-    `start_merge_into`. A batch that runs twice changes nothing the second time, because a change must be
-    newer than the row it meets. A key that a batch deletes is an exception: its
-    older update, should it come again, inserts it, unless `tombstones=True`.
+    Both are partitioned by batch, and a batch that runs twice replaces its own. The metrics
+    are observed while the batch is read, once; with `on_fail="raise"` a broken rule stops the
+    query before either is written, and the batch comes again when it is started anew.
     """
+    if on_fail not in ("route", "raise"):
+        raise ValueError("start_routing: on_fail is 'route' or 'raise'")
 
     def write(batch: DataFrame, number: int) -> None:
-        merge_snapshot(batch.sparkSession, path, batch, **options)
+        watched, seen = quality.observed(quality.tagged(batch, rules), rules, name=f"batch-{number}")
+        checked = materialize(watched, "checked-batch")
+        broken = {k: n for k, n in seen.get.items() if k != "size" and n}
+        if on_fail == "raise" and broken:
+            raise quality.QualityBreach(f"batch {number}: {broken}")
+        bad = F.size("reasons") > 0
+        replace_partition(checked.filter(~bad).drop("reasons"), f"{root}/valid", {"batch": number})
+        replace_partition(checked.filter(bad), f"{root}/dead_letters", {"batch": number})
 
     return _started(stream.writeStream.foreachBatch(write), checkpoint, trigger)
 

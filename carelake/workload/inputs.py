@@ -61,8 +61,13 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flawed_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conditions with missing persons, ids and concepts, and negative concepts."""
+    return flawed(table(spark, sf_dir, "orders"))
+
+
+def flawed(orders: DataFrame) -> DataFrame:
+    """The same of a table or a stream of orders."""
     key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         key.alias("row_key"),
         F.when(key % 70 != 0, key.cast("string")).alias("condition_occurrence_id"),
         F.when(key % 50 != 0, F.col("o_custkey").cast("string")).alias("person_id"),

@@ -48,6 +48,11 @@ FLAWED = """flawed AS (
            CASE WHEN o_orderkey % 30 = 0 THEN -1 WHEN o_orderkey % 11 <> 0 THEN 32020 END AS condition_concept_id
     FROM orders)"""
 
+_REASONS = """concat_ws(',',
+                   CASE WHEN person_id IS NULL THEN 'complete(person_id)' END,
+                   CASE WHEN condition_occurrence_id IS NULL THEN 'complete(condition_occurrence_id)' END,
+                   CASE WHEN condition_concept_id < 0 THEN 'non_negative(condition_concept_id)' END)"""
+
 RECORDS = f"""records AS (
     SELECT CAST(o_orderkey AS VARCHAR) AS payload_id, o_orderpriority AS source_system_id,
            CAST(o_custkey AS VARCHAR) AS patient_id, {_ssn('o_custkey')} AS patient_ssn,
@@ -411,12 +416,24 @@ ORACLE: dict[str, str] = {
         WHERE person_id IS NOT NULL AND condition_occurrence_id IS NOT NULL
           AND coalesce(condition_concept_id >= 0, true)""",
     "dq_dlq": f"""WITH {FLAWED}
-        SELECT * REPLACE (CAST(condition_concept_id AS VARCHAR) AS condition_concept_id), concat_ws(',',
-                   CASE WHEN person_id IS NULL THEN 'complete(person_id)' END,
-                   CASE WHEN condition_occurrence_id IS NULL THEN 'complete(condition_occurrence_id)' END,
-                   CASE WHEN condition_concept_id < 0 THEN 'non_negative(condition_concept_id)' END) AS reasons
+        SELECT * REPLACE (CAST(condition_concept_id AS VARCHAR) AS condition_concept_id), {_REASONS} AS reasons
         FROM flawed
         WHERE person_id IS NULL OR condition_occurrence_id IS NULL OR condition_concept_id < 0""",
+    "dq_stream": f"""WITH {FLAWED}
+        SELECT * REPLACE (CAST(condition_concept_id AS VARCHAR) AS condition_concept_id), {_REASONS} AS reasons FROM flawed""",
+    "dq_satisfies": f"""WITH {FLAWED}
+        SELECT count(*) AS size, count(*) FILTER (condition_concept_id NOT IN (0, 32020)) AS n_broken FROM flawed""",
+    "dq_breaker": f"""WITH {FLAWED},
+        broken(name, n) AS (
+            SELECT 'complete(person_id)', count(*) FILTER (person_id IS NULL) FROM flawed UNION ALL
+            SELECT 'complete(condition_occurrence_id)', count(*) FILTER (condition_occurrence_id IS NULL) FROM flawed UNION ALL
+            SELECT 'non_negative(condition_concept_id)', count(*) FILTER (condition_concept_id < 0) FROM flawed)
+        SELECT 'flawed' AS checked, name || ': ' || n || ' rows break the rule' AS said FROM broken WHERE n > 0
+        UNION ALL SELECT 'valid', 'passed'""",
+    "landed_now": """
+        SELECT 'DOCUMENTS' AS source_system_id, count(*) AS n_rows, count(*) AS n_in_time, CAST(1 AS BIGINT) AS n_times
+        FROM documents""",
+    "append_batches": f"WITH {CONDITIONS} SELECT * FROM conditions",
     "merge_upsert": f"WITH {TARGET}, {CHANGES} {_merged('changes')}",
     "merge_touched": f"""WITH {TARGET}, {CHANGES}, small AS (
         SELECT * FROM changes WHERE condition_occurrence_id % {NEW_KEY_OFFSET} % 97 = 1) {_merged("small")}""",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +20,8 @@ from carelake.plans.chain import (
 )
 from carelake.schemas import CHANGE_COLUMNS, CLINICAL_RECORD
 from carelake.session import materialize, workspace
-from carelake.sources import bronze, streams
+from carelake.sources import bronze, streams, tables
 from carelake.sources.parts import read_parts
-from carelake.sources.snapshots import read_snapshot
 from carelake.streaming import sinks
 from carelake.workload import inputs
 from carelake.workload.inputs import LINK, LINK_MODEL, SALT, table
@@ -176,6 +175,55 @@ def dq_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _concept_as_text(dead).withColumn("reasons", F.array_join("reasons", ","))
 
 
+def dq_satisfies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A predicate of the caller's own; null counts as satisfied."""
+    rule = quality.Satisfies("concept_is_known", "condition_concept_id IN (0, 32020)")
+    return quality.metrics(inputs.flawed_conditions(spark, sf_dir), (rule,)).toDF("size", "n_broken")
+
+
+def dq_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the circuit breaker says of the flawed conditions, a row for each failed check, and of the valid ones."""
+    flawed = inputs.flawed_conditions(spark, sf_dir)
+    said = []
+    for name, checked in (("flawed", flawed), ("valid", quality.valid_rows(flawed))):
+        try:
+            quality.require_quality(quality.report(checked))
+            said.append((name, "passed"))
+        except quality.QualityBreach as breach:
+            said += [(name, line) for line in str(breach).split("; ")]
+    return spark.createDataFrame(said, "checked string, said string")
+
+
+def dq_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flawed conditions as a stream, routed in its batches."""
+    out = workspace(spark, "dq-stream")
+    flawed = inputs.flawed(_stream(spark, sf_dir, "orders"))
+    sinks.start_routing(flawed, out, f"{out}/checkpoint", trigger=None).awaitTermination()
+    valid = spark.read.parquet(f"{out}/valid").withColumn("reasons", F.lit(""))
+    dead = spark.read.parquet(f"{out}/dead_letters").withColumn("reasons", F.array_join("reasons", ","))
+    return _concept_as_text(valid.unionByName(dead).drop("batch"))
+
+
+def landed_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that carry the time of their landing, which lies within the run."""
+    started = datetime.now(timezone.utc).replace(microsecond=0)
+    lines = table(spark, sf_dir, "documents").select(F.col("text").alias("value"), F.col("source").alias("origin"))
+    landed = materialize(bronze.land_text(lines, source="DOCUMENTS"), "landed-now")
+    in_time = F.col("ingestion_timestamp").between(F.lit(started), F.current_timestamp())
+    return landed.groupBy("source_system_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(in_time).alias("n_in_time"),
+        F.count_distinct("ingestion_timestamp").alias("n_times"))
+
+
+def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditions appended in two batches, partitioned by concept."""
+    path = workspace(spark, "appended")
+    conditions = inputs.conditions(spark, sf_dir)
+    for half in (0, 1):
+        tables.append_files(conditions.filter(F.col("condition_occurrence_id") % 2 == half), path, ["condition_concept_id"])
+    return spark.read.parquet(path)
+
+
 def _dated(merged: DataFrame) -> DataFrame:
     return merged.withColumn("updated_at", F.col("updated_at").cast("date"))
 
@@ -203,8 +251,8 @@ def merge_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = inputs.order_changes(_stream(spark, sf_dir, "orders"))
     out = workspace(spark, "merge-stream")
-    sinks.start_merge(changes, f"{out}/table", f"{out}/checkpoint", trigger=None).awaitTermination()
-    return _dated(read_snapshot(spark, f"{out}/table"))
+    sinks.start_merge(changes, f"{out}/table", f"{out}/checkpoint", trigger=None, parts=LAKE_PARTS).awaitTermination()
+    return _dated(read_parts(spark, f"{out}/table", merge.KEY))
 
 
 def hedis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,8 +307,8 @@ def admission_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("person_id"), F.col("o_orderkey").alias("condition_occurrence_id")
     )
     out = workspace(spark, "admission-count")
-    sinks.start_counts(orders, f"{out}/counts", f"{out}/checkpoint", trigger=None).awaitTermination()
-    return read_snapshot(spark, f"{out}/counts")
+    sinks.start_counts(orders, f"{out}/counts", f"{out}/checkpoint", trigger=None, parts=LAKE_PARTS).awaitTermination()
+    return read_parts(spark, f"{out}/counts", "person_id")
 
 
 def _sensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -463,6 +511,7 @@ QUERIES: dict[str, Query] = {
         land_text, land_lines, cdc_extract, cdc_rejects, stream_extract, flatten_payload,
         deid_token, deid_dateshift, redact_text, redact_documents, deid_drop, deid_salted,
         condition_map, concept_lookup, dq_metrics, dq_report, dq_valid, dq_dlq,
+        dq_satisfies, dq_breaker, dq_stream, landed_now, append_batches,
         merge_upsert, merge_latest, merge_repeated, merge_tombstones, merge_stream,
         hedis, hedis_latest, readmission_pairs, readmission_days, readmission_30d, readmission_30d_any_ids,
         readmission_30d_all, readmission_30d_join, admission_count, repeat_admissions,

@@ -6,9 +6,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from carelake.operators.merge import latest_per_key, merge_frames
+from carelake.operators.merge import KEY, latest_per_key, merge_frames
 from carelake.sources import bronze, streams
-from carelake.sources.snapshots import read_snapshot
+from carelake.sources.parts import read_parts
 from carelake.streaming import sinks
 
 AT = dt.datetime(2024, 1, 1)
@@ -77,8 +77,8 @@ def test_counts_follow_new_rows(spark, tmp_path):
         stream = lines.select(
             F.split("value", ",")[0].alias("condition_occurrence_id"), F.split("value", ",")[1].alias("person_id")
         )
-        sinks.start_counts(stream, out, f"{out}-check", trigger=None).awaitTermination()
-        return rows(read_snapshot(spark, out).filter("admission_count > 1"))
+        sinks.start_counts(stream, out, f"{out}-check", trigger=None, parts=4).awaitTermination()
+        return rows(read_parts(spark, out, "person_id").filter("admission_count > 1"))
 
     assert run() == [("ida", 3)]
     put(inbox, "2.txt", "s6,uma", "s7,ida")
@@ -95,8 +95,8 @@ def test_merge_of_a_stream_equals_the_batch_merges(spark, tmp_path):
 
     def run():
         stream = streams.file_rows(spark, inbox, first.schema, files_per_batch=1)
-        sinks.start_merge(stream, table, checkpoint, trigger=None).awaitTermination()
-        return rows(read_snapshot(spark, table))
+        sinks.start_merge(stream, table, checkpoint, trigger=None, parts=4).awaitTermination()
+        return rows(read_parts(spark, table, KEY))
 
     first.coalesce(1).write.mode("append").parquet(inbox)
     after_first = rows(merge_frames(first.limit(0), first))
@@ -147,3 +147,30 @@ def test_simulated_payloads_have_the_bronze_columns(spark):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         streams.kafka_lines(spark, "nowhere:9092", "topic")
+
+
+def test_routing_in_batches_and_a_stopped_query(spark, tmp_path):
+    schema = "condition_occurrence_id string, person_id string, condition_concept_id int"
+    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
+    good, bad = [("a", "p", 1), ("b", "p", None)], [("c", None, 1), (None, "p", 1), ("d", "p", -1)]
+
+    def run(on_fail):
+        stream = streams.file_rows(spark, inbox, spark.createDataFrame([], schema).schema, files_per_batch=1)
+        sinks.start_routing(stream, out, f"{out}-check", on_fail=on_fail, trigger=None).awaitTermination()
+
+    spark.createDataFrame(good, schema).coalesce(1).write.mode("append").parquet(inbox)
+    run("raise")
+    assert rows(spark.read.parquet(f"{out}/valid"), "condition_occurrence_id") == [("a",), ("b",)]
+    spark.createDataFrame(bad + [("e", "p", 5)], schema).coalesce(1).write.mode("append").parquet(inbox)
+    for _ in range(2):
+        with pytest.raises(Exception, match="QualityBreach"):
+            run("raise")
+        assert spark.read.parquet(f"{out}/valid").count() == 2
+    run("route")  # the batch comes again
+    run("route")
+    assert rows(spark.read.parquet(f"{out}/valid"), "condition_occurrence_id") == [("a",), ("b",), ("e",)]
+    dead = spark.read.parquet(f"{out}/dead_letters")
+    assert rows(dead, "condition_occurrence_id", F.array_join("reasons", ",")) == [
+        ("c", "complete(person_id)"), ("d", "non_negative(condition_concept_id)"), (None, "complete(condition_occurrence_id)")]
+    with pytest.raises(ValueError, match="on_fail"):
+        run("stop")
