@@ -54,5 +54,5 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     planner sees their size.
     """
     path = workspace(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # written once and read a few times
     return df.sparkSession.read.schema(df.schema).parquet(path)
