@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,6 +21,8 @@ SMALL = 512
 LEVELS = 4
 #: A large bucket is not split further if this share of it resembles one of PIVOTS of its sets.
 DENSE, PIVOTS = 0.5, 4
+#: Runs at most: a recall that takes more asks for more branches.
+MOST_RUNS = 64
 #: Sets of a bucket that meet at once.
 BLOCK = SMALL
 #: Rows of sketches, and of sets, that a task looks at together.
@@ -34,29 +37,57 @@ class Paths:
     """How often to split and repeat.
 
     At each node a set goes to a child for each token that the node's hash samples, in the
-    mean `branches` / `threshold` of its SKETCH tokens. Two sets of that similarity share
-    `branches` of them in the mean and at least one with a chance of 1 - exp(-branches)
-    or more. `runs` repeats from other seeds: with 2 branches, 6 runs miss a pair that parts
-    at the first level with a chance of 1e-5, one that needs three levels with about 1e-3.
+    mean `branches` / `threshold` of its SKETCH tokens; two sets of that similarity share
+    `branches` of these children in the mean. Runs from other seeds repeat until a pair at
+    the threshold is found with a chance of `recall` or more, pairs above it more surely.
+    What is lost is at most half the rest for too few equal min-hashes (`least_agreement`)
+    and the whole rest for that and for paths that part in every run (`loss`).
     """
 
     threshold: float = 0.8
     branches: float = 2.0
-    runs: int = 6
+    recall: float = 0.9997
+
+    @property
+    def chance(self) -> float:
+        """That a node samples a token."""
+        return min(1.0, self.branches / (self.threshold * SKETCH))
 
     @property
     def least_agreement(self) -> int:
-        """Equal min-hashes that make a candidate: four standard errors below the threshold."""
-        error = np.sqrt(self.threshold * (1 - self.threshold) / SKETCH)
-        return int(np.ceil((self.threshold - 4 * error) * SKETCH))
+        """Equal min-hashes that make a candidate: the most that half of the allowed loss permits."""
+        least = 0
+        while self._agreement_below(least + 1) <= (1 - self.recall) / 2:
+            least += 1
+        return least
+
+    @property
+    def runs(self) -> int:
+        """Runs that reach the recall."""
+        return next(n for n in range(1, MOST_RUNS + 1) if n == MOST_RUNS or self.loss(n) <= 1 - self.recall)
+
+    def _agreeing(self, equal: int) -> float:
+        return math.comb(SKETCH, equal) * self.threshold**equal * (1 - self.threshold) ** (SKETCH - equal)
+
+    def _agreement_below(self, least: int) -> float:
+        return sum(self._agreeing(a) for a in range(least))
+
+    def loss(self, runs: int) -> float:
+        """The chance that a pair at the threshold is not found in so many runs of LEVELS levels."""
+        lost = self._agreement_below(self.least_agreement)
+        for equal in range(self.least_agreement, SKETCH + 1):
+            parted = 0.0  # that no path is shared down to a level, from the last level up
+            for _ in range(LEVELS):
+                parted = (1 - self.chance + self.chance * parted) ** equal
+            lost += self._agreeing(equal) * parted**runs
+        return lost
 
     def children(self, sketch: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, child) for each child of the node `nodes[row]` that the set of the row goes to."""
         place = (np.arange(SKETCH, dtype=np.uint64) + np.uint64(1)) << np.uint64(32)
         token = mixed(sketch.astype(np.uint64) | place)
         child = mixed(token ^ nodes[:, None])
-        chance = min(1.0, self.branches / (self.threshold * SKETCH))
-        row, column = np.nonzero(mixed(child) < np.uint64(int(chance * (2**64 - 1))))
+        row, column = np.nonzero(mixed(child) < np.uint64(int(self.chance * (2**64 - 1))))
         return row, child[row, column]
 
 
@@ -94,10 +125,12 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def _first_level(classes: DataFrame, paths: Paths) -> DataFrame:
+    runs = paths.runs
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sketch, node = _sketch_rows(batch.column("sketch")), batch.column("node").to_numpy()
-            for r in range(paths.runs):
+            for r in range(runs):
                 root = mixed(np.full(len(node), r + 1, dtype=np.uint64))
                 row, child = paths.children(sketch, root)
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(node[row])], names=["key", "node"])

@@ -32,8 +32,6 @@ FEATURES = (
 )
 #: Labelled rows that the model is fitted on, at most (chosen by a hash, so about).
 FIT_ROWS = 20_000
-#: Entries of the learned lexicon, at most.
-LEXICON = 2_000
 PREFIXES = (4, 5, 6)
 #: Folds of the calibration.
 FOLDS = 4
@@ -200,11 +198,12 @@ def _feature_rows(df: DataFrame, lexicon: dict[str, float], keep: list[str]) ->
     return df.select(*keep, "text").mapInArrow(run, schema)
 
 
-def learned_lexicon(sample: DataFrame, size: int = LEXICON) -> dict[str, float]:
+def learned_lexicon(sample: DataFrame) -> dict[str, float]:
     """Words, and beginnings of words, that mark toxic texts of `sample` (text, toxic).
 
     A term's weight is its smoothed log odds ratio between the labels by document counts;
-    those at least three standard errors above zero are kept, the `size` surest at most.
+    all that are at least three standard errors above zero are kept, so the bound on the
+    sample's rows is the only one.
     """
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))
 
@@ -223,7 +222,7 @@ def learned_lexicon(sample: DataFrame, size: int = LEXICON) -> dict[str, float]:
     odds = F.log((F.col("b") + 0.5) / (bad - F.col("b") + 0.5)) - F.log((F.col("g") + 0.5) / (good - F.col("g") + 0.5))
     error = F.sqrt(1 / (F.col("b") + 0.5) + 1 / (F.col("g") + 0.5))
     surest = found.filter(F.col("b") >= 2).select("term", odds.alias("odds"), (odds / error).alias("z")).filter(
-        (F.col("z") >= 3) & (F.col("odds") >= 2)).orderBy(F.desc("z"), "term").limit(size)
+        (F.col("z") >= 3) & (F.col("odds") >= 2)).orderBy(F.desc("z"), "term")
     return {r["term"]: round(float(r["odds"]), 6) for r in surest.collect()}
 
 

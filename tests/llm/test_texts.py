@@ -336,3 +336,28 @@ def test_isotonic_rates_rise():
 ])
 def test_empty_tables_give_no_rows(spark, run):
     assert run(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("recall", [0.9, 0.99, 0.9997])
+def test_chosen_paths_reach_their_recall(recall):
+    """Sketches of pairs at the threshold, by the real splits of all runs and levels."""
+    paths = chosen_path.Paths(recall=recall)
+    assert paths.loss(paths.runs) <= 1 - recall < paths.loss(paths.runs - 1) or paths.runs == 1
+    rng = np.random.default_rng(int(recall * 1e4))
+    n = 4000
+    a = rng.integers(1 << 32, size=(n, chosen_path.SKETCH), dtype=np.uint64).astype(np.uint32)
+    b = np.where(rng.random(a.shape) < paths.threshold, a, rng.integers(1 << 32, size=a.shape, dtype=np.uint64).astype(np.uint32))
+    agreed = (a == b).sum(axis=1) >= paths.least_agreement
+    met = np.zeros(n, dtype=bool)
+    for r in range(paths.runs):
+        here = np.arange(n)
+        node = chosen_path.mixed(np.full(n, r + 1, dtype=np.uint64))
+        for _ in range(chosen_path.LEVELS):
+            left, right = paths.children(a[here], node), paths.children(b[here], node)
+            pairs = [dict.fromkeys(zip(here[row].tolist(), child.tolist())) for row, child in (left, right)]
+            shared = [p for p in pairs[0] if p in pairs[1]]
+            here = np.array([i for i, _ in shared], dtype=np.int64)
+            node = np.array([c for _, c in shared], dtype=np.uint64)
+        met[here] = True
+    found = (met & agreed).mean()
+    assert found >= recall - 3 * np.sqrt(recall * (1 - recall) / n) - 1e-9
