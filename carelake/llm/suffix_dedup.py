@@ -19,8 +19,10 @@ from carelake.llm.suffixes import Anchors, multikey_order, words
 GRAM = 20
 #: Anchors that one task looks through for repeats, about, and such tasks at least.
 ANCHORS, LEAST_BUCKETS = 4_000_000, 16
-#: Documents of the sample that shows very frequent grams, about, and the share of them that makes one frequent.
+#: Documents of the sample that shows very frequent grams, at least, and the share of them that makes one frequent.
 SAMPLE, FREQUENT = 2_000, 0.05
+#: Documents that make a gram frequent whatever their share, about, and how many of these the sample has to hold.
+HOT, SEEN = ANCHORS // 8, 8
 #: Bytes of texts in a partition, at most, about.
 PARTITION = 128 << 20
 #: Contexts of one group that are sorted as they are; a larger group is split.
@@ -54,10 +56,12 @@ def _packed(rows: DataFrame) -> DataFrame:
 def _frequent(rows: DataFrame, documents: int, length: int) -> np.ndarray:
     """Hashes of grams that many documents of a sample have.
 
-    They are known to repeat, so their places need not be sought. At most as many as a
-    document has anchors, divided by FREQUENT. The sample decides the way only, not the result.
+    They are known to repeat, so their places need not be sought. A gram is one of them in
+    FREQUENT of the documents or in HOT of them, so other buckets stay near ANCHORS at any
+    size; there are at most as many as all anchors divided by the smaller of the two. The
+    sample decides the way only, not the result.
     """
-    share = max(1, documents // SAMPLE)
+    share = max(1, min(documents // SAMPLE, HOT // SEEN))
     some = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(share)) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,7 +73,7 @@ def _frequent(rows: DataFrame, documents: int, length: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
     counts = some.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    least = max(8, int(FREQUENT * documents / share))
+    least = max(SEEN, int(min(FREQUENT * documents, HOT) / share))
     return np.array([r["gram"] for r in counts.filter(F.col("n") >= least).select("gram").collect()], dtype=np.int64).view(np.uint64)
 
 
@@ -178,7 +182,7 @@ def _members(texts: DataFrame, repeated: DataFrame, buckets: int, frequent: np.n
                 salted = mixed(context.view(np.uint64) + np.uint64(int(ids[i]) % salts))
                 bucket = np.where(often, (salted >> np.uint64(32)) % np.uint64(buckets), bucket[chosen]).astype(np.int64)
                 found.append((
-                    bucket, np.full(len(chosen), i), np.where(often, 0, name[chosen]).astype(np.uint32), context,
+                    bucket, np.full(len(chosen), i), name[chosen], context,
                     start.astype(np.uint32), n.astype(np.uint8), (at - start).astype(np.uint8)))
             if not found:
                 continue
@@ -196,6 +200,8 @@ def _members(texts: DataFrame, repeated: DataFrame, buckets: int, frequent: np.n
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], type=pa.int64())] + [pa.array(c, type=pa.binary()) for c in columns[1:]], names=names)
 
+    known = frequent.astype(np.uint32)
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["bucket"], 1):
             for b in np.unique(table["bucket"].to_numpy()):
@@ -219,7 +225,7 @@ def _members(texts: DataFrame, repeated: DataFrame, buckets: int, frequent: np.n
                 alone = np.repeat(~several, np.diff(np.concatenate([begin, [len(low)]])))  # of each context
                 useless = np.empty(len(order), dtype=bool)
                 useless[order] = alone[np.cumsum(first) - 1]
-                useless &= name != 0  # of frequent grams nothing is known here
+                useless &= ~np.isin(name, known)  # of frequent grams nothing is known here
                 for k in range(0, len(ids), 20_000):
                     a, z = np.searchsorted(doc, [k, k + 20_000])
                     parts = []
@@ -258,7 +264,10 @@ def _unpacked(parts: list[bytes] | None, kinds: tuple[type, ...]) -> list[np.nda
 
 
 def _contexts(texts: DataFrame, members: DataFrame, length: int) -> DataFrame:
-    """doc_id, same, start, n, context_id, context, offset: the open contexts with their bytes."""
+    """doc_id, same, start, n, context_id, context, offset, check: the open contexts with their bytes.
+
+    Two hashes of 64 bits, made in different ways, name a context: its id, and `check`.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
@@ -279,7 +288,15 @@ def _contexts(texts: DataFrame, members: DataFrame, length: int) -> DataFrame:
 
     return texts.join(members.select("doc_id", "same", "open"), ["doc_id", "same"]).select(
         "doc_id", "same", "data", "open").mapInArrow(
-        run, "doc_id long, same long, start int, n int, context_id long, context binary, offset int")
+        run, "doc_id long, same long, start int, n int, context_id long, context binary, offset int").withColumn(
+        "check", F.xxhash64("context", "offset", "n"))
+
+
+def _distinct(contexts: DataFrame) -> DataFrame:
+    """context_id, check, doc, context, offset, n: each context once, with its first document."""
+    same = F.struct("context", "offset", "n")
+    return contexts.groupBy("context_id", "check").agg(F.min("doc_id").alias("doc"), F.min(same).alias("c")).select(
+        "context_id", "check", "doc", "c.context", "c.offset", "c.n")
 
 
 def _core(low: str, high: str, length: int) -> F.Column:
@@ -288,7 +305,7 @@ def _core(low: str, high: str, length: int) -> F.Column:
 
 
 def _earlier(distinct: DataFrame, length: int) -> DataFrame:
-    """context_id and mask: which strings of a distinct context another context of an earlier document holds too.
+    """context_id, check and mask: which strings of a distinct context another context of an earlier document holds too.
 
     Contexts are range-partitioned by the leading bytes of their suffixes at splitters
     that Spark samples; equal suffixes share these bytes, so no splitter parts them. A
@@ -315,13 +332,13 @@ def _earlier(distinct: DataFrame, length: int) -> DataFrame:
             "high": F.when(F.col("side") == 0, half).otherwise(F.col("high")),
         }).drop("side").filter((F.col("offset") >= F.col("low")) & (F.col("offset") - F.col("n") + 1 <= F.col("high")))
         rows = keep(more.withColumn("core", _core("low", "high", length)).select(*rows.columns), "suffix-split")
-    columns = ["core", "low", "high", "context_id", "context", "offset", "n", "doc"]
+    columns = ["core", "low", "high", "context_id", "check", "context", "offset", "n", "doc"]
     grouped = parts[0].select(*columns)
     single = None
     for k, part in enumerate(parts[1:], 1):
         if k % 2:  # strings alike
             bit = F.expr("shiftleft(1L, offset - low)").alias("mask")
-            own = part.select("context_id", bit)
+            own = part.select("context_id", "check", bit)
             single = own if single is None else single.unionByName(own)
         else:
             grouped = grouped.unionByName(part.select(*columns))
@@ -344,15 +361,15 @@ def _earlier(distinct: DataFrame, length: int) -> DataFrame:
             later = least < doc[row]
             mask = np.bincount(row[later], weights=2.0 ** string[later], minlength=len(data)).astype(np.int64)
             found = np.flatnonzero(mask)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(table["context_id"].to_numpy()[found]), pa.array(mask[found])], names=["context_id", "mask"])
+            names = [pa.array(table[c].to_numpy()[found]) for c in ("context_id", "check")]
+            yield pa.RecordBatch.from_arrays([*names, pa.array(mask[found])], names=["context_id", "check", "mask"])
 
     count = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = grouped.withColumn("group", F.xxhash64("core", "low", "high")).repartitionByRange(count, "core")
-    masks = dealt.sortWithinPartitions("core", "group").mapInArrow(run, "context_id long, mask long")
+    masks = dealt.sortWithinPartitions("core", "group").mapInArrow(run, "context_id long, check long, mask long")
     if single is not None:
         masks = masks.unionByName(single)
-    return masks.groupBy("context_id").agg(F.bit_or("mask").alias("mask"))
+    return masks.groupBy("context_id", "check").agg(F.bit_or("mask").alias("mask"))
 
 
 def _whole_characters(data: np.ndarray, gone: np.ndarray) -> str:
@@ -391,13 +408,11 @@ def deduplicated(documents: DataFrame, length: int = 50, texts: bool = False, co
     salts = max(LEAST_BUCKETS, total["rows"] // 1_000_000)
     members = keep(_members(known_texts, repeated, buckets, frequent, salts, length), "suffix-members")
     contexts = keep(_contexts(known_texts, members, length), "suffix-contexts")
-    distinct = keep(contexts.groupBy("context_id").agg(
-        F.min("doc_id").alias("doc"), F.min("context").alias("context"), F.min("offset").alias("offset"), F.min("n").alias("n"),
-    ), "suffix-distinct")
+    distinct = keep(_distinct(contexts), "suffix-distinct")
     masks = keep(_earlier(distinct, length), "suffix-masks")
-    known = distinct.select("context_id", "doc").join(masks, "context_id", "left")
+    known = distinct.select("context_id", "check", "doc").join(masks, ["context_id", "check"], "left")
     every = F.expr("shiftleft(1L, n) - 1")
-    held = contexts.select("doc_id", "same", "start", "n", "context_id").join(known, "context_id").select(
+    held = contexts.select("doc_id", "same", "start", "n", "context_id", "check").join(known, ["context_id", "check"]).select(
         "doc_id", "same", "start", F.when(F.col("doc_id") > F.col("doc"), every).otherwise(F.coalesce("mask", F.lit(0))).alias("mask"),
     ).filter("mask != 0")
     spans = held.groupBy("doc_id", "same").agg(F.collect_list(F.struct("start", "mask")).alias("spans")).join(
