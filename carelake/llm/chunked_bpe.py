@@ -20,8 +20,10 @@ from tokenizers import Tokenizer
 MASK_BITS = 9
 #: Bytes that the rolling hash covers, a power of two.
 WINDOW = 16
-#: Shared chunks whose encodings every task gets, at most: 8,192 of 512 bytes are about 4 MB.
-DICTIONARY_CHUNKS = 8_192
+#: Bytes of a chunk, at most: a longer one is cut this far from its start, so equal chunks still are.
+LONGEST = 4_096
+#: Bytes of the shared chunks whose encodings every task gets, at most, and their number.
+DICTIONARY_BYTES, DICTIONARY_CHUNKS = 4 << 20, 8_192
 #: Encodings that a task remembers, at most.
 PIECES, CHUNKS = 600_000, 5_000
 #: Characters of texts that are encoded together.
@@ -36,7 +38,8 @@ def chunk_ends(data: bytes) -> list[int]:
     """Ends of the content-defined chunks of UTF-8 `data`, its length last.
 
     The rolling hash of the last WINDOW bytes decides, so equal passages are cut alike
-    wherever they stand. No cut falls inside a character.
+    wherever they stand; after LONGEST bytes without such a place there is a cut too. No
+    cut falls inside a character.
     """
     if not data:
         return []
@@ -48,8 +51,19 @@ def chunk_ends(data: bytes) -> list[int]:
         width *= 2
     mask = np.uint32((1 << MASK_BITS) - 1) << np.uint32(WINDOW - MASK_BITS)
     ends = np.flatnonzero((h[WINDOW - 1:-1] & mask) == mask) + WINDOW
-    ends = ends[(b[ends] & 0xC0) != 0x80]
-    return [*ends.tolist(), len(data)]
+    ends = [*ends[(b[ends] & 0xC0) != 0x80].tolist(), len(data)]
+    starts = [0, *ends[:-1]]
+    if max(map(int.__sub__, ends, starts)) <= LONGEST:
+        return ends
+    out = []
+    for start, end in zip(starts, ends):
+        while end - start > LONGEST:
+            start += LONGEST
+            while (data[start] & 0xC0) == 0x80:
+                start -= 1
+            out.append(start)
+        out.append(end)
+    return out
 
 
 def chunks(text: str) -> list[str]:
@@ -61,6 +75,22 @@ def chunks(text: str) -> list[str]:
     return out
 
 
+def parts_at_spaces(tokenizer: Tokenizer) -> bool:
+    """Whether ids do not change where a text is parted at white space, tried on pieces of all kinds.
+
+    Added tokens must not hold white space or take it from beside them.
+    """
+    added = tokenizer.get_added_tokens_decoder().values()
+    if any(t.lstrip or t.rstrip or _SPACE.search(t.content) for t in added):
+        return False
+    pieces = ["", "a", "The", "ab's", "'s", "7", "1984", "-", "...", "é", "e\u0301", "\u0301", "\u4e2d\u6587", "\U0001f642", "\u00a0",
+              *[t.content for t in added][:8]]
+    alone = {x: tokenizer.encode(x, add_special_tokens=False).ids for x in pieces}
+    whole = [(x, y, x + space + y) for x in pieces for y in pieces for space in (" ", "\t", "\r\n", "  ")]
+    found = tokenizer.encode_batch_fast([t for _, _, t in whole], add_special_tokens=False)
+    return all(e.ids == alone[x] + alone[y] for (x, y, _), e in zip(whole, found))
+
+
 @dataclass(frozen=True, slots=True)
 class Chunk:
     """A chunk parted at its first and last white space; without any, all is head."""
@@ -81,6 +111,8 @@ class Encoder:
         self.pieces: dict[str, bytes] = {}  # ids of pieces between white space
         if self.tokenizer.decoder is not None:
             raise ValueError("only tokenizers that decode to their tokens, joined by spaces")
+        if not parts_at_spaces(self.tokenizer):
+            raise ValueError("only tokenizers that drop white space and encode what it parts on its own")
         known = range(self.tokenizer.get_vocab_size())
         self.decimals = [str(i) for i in known]
         self.tokens = self.tokenizer.decode_batch([[i] for i in known], skip_special_tokens=False)
@@ -160,18 +192,19 @@ def _hash(chunk: str) -> int:
     return xxhash.xxh64_intdigest(chunk.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def shared_chunks(documents: DataFrame, vocabulary: str, size: int = DICTIONARY_CHUNKS) -> dict[str, tuple]:
+def shared_chunks(documents: DataFrame, vocabulary: str, size: int = DICTIONARY_BYTES) -> dict[str, tuple]:
     """The chunks that repeat most, by the bytes their reuse saves, each encoded once: its
     text, then head, ids between and tail.
 
     Counts cover every chunk of every text and leave a task as one row a chunk and batch.
-    `size` bounds what is sent to the tasks; chunks beyond it are encoded where they are.
+    `size` bytes of chunks, and DICTIONARY_CHUNKS of them, bound what the driver reads and
+    sends to the tasks; chunks beyond that are encoded where they are.
     """
     texts = documents.select("text").filter(F.col("text").isNotNull())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [(_hash(c), len(c)) for t in batch.column("text") for c in chunks(t.as_py())]
+            own = [(_hash(c), len(c.encode("utf-8", "surrogatepass"))) for t in batch.column("text") for c in chunks(t.as_py())]
             if own:
                 pairs = np.array(own, dtype=np.int64)
                 keys, first, n = np.unique(pairs[:, 0], return_index=True, return_counts=True)
@@ -181,7 +214,11 @@ def shared_chunks(documents: DataFrame, vocabulary: str, size: int = DICTIONARY_
     repeated = texts.mapInArrow(count, "chunk long, length long, n long").groupBy("chunk").agg(
         F.sum("n").alias("n"), F.max("length").alias("length")).filter(F.col("n") > 1)
     saved = ((F.col("n") - 1) * F.col("length")).alias("saved")
-    wanted = {r["chunk"] for r in repeated.select("chunk", saved).orderBy(F.desc("saved"), "chunk").limit(size).collect()}
+    wanted, room = set(), size
+    for r in repeated.select("chunk", "length", saved).orderBy(F.desc("saved"), "chunk").limit(DICTIONARY_CHUNKS).collect():
+        if r["length"] <= room:
+            wanted.add(r["chunk"])
+            room -= r["length"]
     if not wanted:
         return {}
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from public_tokenizers import path as vocabulary_path
+from pyspark.sql import functions as F
 from samples import documents, prose, texts
 from tokenizers import Tokenizer
 
@@ -53,6 +54,34 @@ def test_frequent_passages_go_too(spark):
     assert ordered(suffix_dedup.deduplicated(documents(spark, rows)).collect()) == ordered(repeats(rows))
 
 
+def test_contexts_of_one_id_stay_apart(spark):
+    """Two contexts whose ids are equal by chance: neither takes the other's bytes, document or mask."""
+    rng = np.random.default_rng(2)
+    a, b = (bytes(rng.integers(97, 123, 60, dtype=np.uint8)) for _ in range(2))
+    rows = [(1, a, 12), (2, a, 12), (1, b, 14), (3, a[:55] + b[55:], 12)]
+    contexts = spark.createDataFrame(
+        [(d, 0, 7, c, o, 11) for d, c, o in rows], "doc_id long, start int, context_id long, context binary, offset int, n int"
+    ).withColumn("check", F.xxhash64("context", "offset", "n"))
+    distinct = suffix_dedup._distinct(contexts)
+    assert {(r["doc"], bytes(r["context"]), r["offset"]) for r in distinct.collect()} == {(1, a, 12), (1, b, 14), (3, rows[3][1], 12)}
+    masks = suffix_dedup._earlier(distinct, 50).join(distinct, ["context_id", "check"]).collect()
+    # of document 3 the first 6 strings end within the 55 bytes that document 1 has too
+    assert [(r["doc"], r["mask"]) for r in masks] == [(3, 0b111111)]
+
+
+@pytest.mark.parametrize("hot", [16, 4_000_000])
+def test_grams_of_few_percent_of_the_documents_are_split(spark, monkeypatch, hot):
+    """A passage in 4 % of the documents is frequent once that is many documents; the result is the same."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rng = random.Random(8)
+    passage = prose(rng, 30)
+    rows = [(i, prose(rng, 25) + (" " + passage if i % 25 == 3 else "") + " " + prose(rng, 5)) for i in range(600)]
+    table = documents(spark, rows)
+    frequent = suffix_dedup._frequent(suffix_dedup._rows(table), len(rows), 50)
+    assert (len(frequent) > 0) == (hot == 16)
+    assert ordered(suffix_dedup.deduplicated(table).collect()) == ordered(repeats(rows))
+
+
 def test_remaining_text_keeps_whole_characters(spark):
     got = suffix_dedup.deduplicated(documents(spark), texts=True, columns=("lang", "slot")).collect()
     assert {r["text"] for r in got if r["doc_id"] == 401} == {None}
@@ -134,6 +163,28 @@ def test_chunks_join_to_the_text():
         assert "".join(chunked_bpe.chunks(t)) == t
 
 
+def test_chunks_have_a_longest_length(spark):
+    rng = np.random.default_rng(4)
+    letters = "".join(rng.choice(list("abcdefgh "), 30_000))
+    for t in ("a" * 50_000, "é" * 20_000, "\U0001f642" * 9_000, letters, letters + "a" * 10_000 + letters):
+        own = chunked_bpe.chunks(t)
+        assert "".join(own) == t and max(len(c.encode()) for c in own) <= chunked_bpe.LONGEST
+    rows = [(i, "a" * 50_000 + " b" * 3_000) for i in range(3)] + [(3, "é" * 20_000), (4, " " * 9_000 + "x")]
+    shared = chunked_bpe.shared_chunks(documents(spark, rows), vocabulary_path("word_bpe_49k.json"), 6_000)
+    assert sum(len(c.encode()) for c in shared) <= 6_000
+    got = chunked_bpe.encode(documents(spark, rows), vocabulary_path("word_bpe_49k.json"), full=True).collect()
+    tokenizer = Tokenizer.from_file(vocabulary_path("word_bpe_49k.json"))
+    for r in got:
+        assert r["ids"] == " ".join(map(str, tokenizer.encode(rows[r["doc_id"]][1], add_special_tokens=False).ids))
+
+
+def test_tokenizers_that_keep_white_space_are_refused():
+    with pytest.raises(ValueError):
+        chunked_bpe.Encoder(vocabulary_path("byte_bpe_50k.json"))
+    assert not chunked_bpe.parts_at_spaces(Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json")))
+    assert chunked_bpe.parts_at_spaces(Tokenizer.from_file(vocabulary_path("word_bpe_49k.json")))
+
+
 def test_shards_have_near_equal_bytes(spark):
     rng = random.Random(4)
     rows = [(i, prose(rng, rng.randint(20, 60))) for i in range(800)] + [(2000 + i, "same text " * 20) for i in range(400)]
