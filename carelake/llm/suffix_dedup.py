@@ -264,10 +264,7 @@ def _unpacked(parts: list[bytes] | None, kinds: tuple[type, ...]) -> list[np.nda
 
 
 def _contexts(texts: DataFrame, members: DataFrame, length: int) -> DataFrame:
-    """doc_id, same, start, n, context_id, context, offset, check: the open contexts with their bytes.
-
-    Two hashes of 64 bits, made in different ways, name a context: its id, and `check`.
-    """
+    """doc_id, same, start, n, context_id, context, offset: the open contexts with their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
@@ -288,15 +285,17 @@ def _contexts(texts: DataFrame, members: DataFrame, length: int) -> DataFrame:
 
     return texts.join(members.select("doc_id", "same", "open"), ["doc_id", "same"]).select(
         "doc_id", "same", "data", "open").mapInArrow(
-        run, "doc_id long, same long, start int, n int, context_id long, context binary, offset int").withColumn(
-        "check", F.xxhash64("context", "offset", "n"))
+        run, "doc_id long, same long, start int, n int, context_id long, context binary, offset int")
+
+
+def _check() -> F.Column:
+    """32 more bits for a context beside its id, hashed in another way; made where the bytes are, to save disk."""
+    return F.hash("context", "offset", "n").alias("check")
 
 
 def _distinct(contexts: DataFrame) -> DataFrame:
-    """context_id, check, doc, context, offset, n: each context once, with its first document."""
-    same = F.struct("context", "offset", "n")
-    return contexts.groupBy("context_id", "check").agg(F.min("doc_id").alias("doc"), F.min(same).alias("c")).select(
-        "context_id", "check", "doc", "c.context", "c.offset", "c.n")
+    """context_id, context, offset, n and doc: each context once, by all its bytes, with its first document."""
+    return contexts.groupBy("context_id", "context", "offset", "n").agg(F.min("doc_id").alias("doc"))
 
 
 def _core(low: str, high: str, length: int) -> F.Column:
@@ -332,13 +331,13 @@ def _earlier(distinct: DataFrame, length: int) -> DataFrame:
             "high": F.when(F.col("side") == 0, half).otherwise(F.col("high")),
         }).drop("side").filter((F.col("offset") >= F.col("low")) & (F.col("offset") - F.col("n") + 1 <= F.col("high")))
         rows = keep(more.withColumn("core", _core("low", "high", length)).select(*rows.columns), "suffix-split")
-    columns = ["core", "low", "high", "context_id", "check", "context", "offset", "n", "doc"]
+    columns = ["core", "low", "high", "context_id", "context", "offset", "n", "doc"]
     grouped = parts[0].select(*columns)
     single = None
     for k, part in enumerate(parts[1:], 1):
         if k % 2:  # strings alike
             bit = F.expr("shiftleft(1L, offset - low)").alias("mask")
-            own = part.select("context_id", "check", bit)
+            own = part.select("context_id", _check(), bit)
             single = own if single is None else single.unionByName(own)
         else:
             grouped = grouped.unionByName(part.select(*columns))
@@ -366,7 +365,8 @@ def _earlier(distinct: DataFrame, length: int) -> DataFrame:
 
     count = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = grouped.withColumn("group", F.xxhash64("core", "low", "high")).repartitionByRange(count, "core")
-    masks = dealt.sortWithinPartitions("core", "group").mapInArrow(run, "context_id long, check long, mask long")
+    masks = dealt.sortWithinPartitions("core", "group").select("*", _check()).mapInArrow(
+        run, "context_id long, check int, mask long")
     if single is not None:
         masks = masks.unionByName(single)
     return masks.groupBy("context_id", "check").agg(F.bit_or("mask").alias("mask"))
@@ -410,9 +410,9 @@ def deduplicated(documents: DataFrame, length: int = 50, texts: bool = False, co
     contexts = keep(_contexts(known_texts, members, length), "suffix-contexts")
     distinct = keep(_distinct(contexts), "suffix-distinct")
     masks = keep(_earlier(distinct, length), "suffix-masks")
-    known = distinct.select("context_id", "check", "doc").join(masks, ["context_id", "check"], "left")
+    known = distinct.select("context_id", _check(), "doc").join(masks, ["context_id", "check"], "left")
     every = F.expr("shiftleft(1L, n) - 1")
-    held = contexts.select("doc_id", "same", "start", "n", "context_id", "check").join(known, ["context_id", "check"]).select(
+    held = contexts.select("doc_id", "same", "start", "n", "context_id", _check()).join(known, ["context_id", "check"]).select(
         "doc_id", "same", "start", F.when(F.col("doc_id") > F.col("doc"), every).otherwise(F.coalesce("mask", F.lit(0))).alias("mask"),
     ).filter("mask != 0")
     spans = held.groupBy("doc_id", "same").agg(F.collect_list(F.struct("start", "mask")).alias("spans")).join(
