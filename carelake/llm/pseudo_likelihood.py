@@ -3,31 +3,33 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.llm.common import keep
 
-#: Token ids below SIDE * SIDE are pairs (a, b) of digits below SIDE, so that a softmax has SIDE outputs, twice.
-SIDE = 32
-#: Id 0 stands outside a text. The last RARE pairs are groups of words: of those words beyond the COMMON most frequent
-#: whose ids are from SIDE * SIDE on, told apart by two more digits, and of the rest, told apart by their counts.
-RARE = 63
-COMMON = SIDE * SIDE - 1 - RARE
+#: Token ids are pairs (a, b) of digits below SIDE, so that a softmax has SIDE outputs, twice.
+SIDE = 48
+SIZE = SIDE * SIDE
+#: Id 0 stands outside a text, the next COMMON ids are the most frequent words; all others share the last RARE ids by a hash.
+RARE = 1024
+COMMON = SIZE - 1 - RARE
+#: The most frequent words, of at most LONGEST characters, whose counts every task holds. Other words' counts are joined.
+KNOWN, LONGEST = 65_536, 256
 WIDTH = 16
 #: Positions on either side that the network sees.
 OFFSETS = (-2, -1, 1, 2)
 EDGE = max(OFFSETS)
-BATCH = 512
+BATCH = 2048
 #: Positions that are scored together.
-AT_ONCE = 32_768
+AT_ONCE = 2048
 #: Networks that a task takes the mean of, about.
 TOGETHER = 8
 
@@ -50,68 +52,66 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return documents.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(documents: DataFrame, counts: DataFrame | None = None) -> dict[str, int]:
-    """Ids of the words that the network knows, counted over every text.
-
-    These are the COMMON most frequent words and every word that occurs at least as often
-    as the cube root of the number of tokens. So the vocabulary grows with the corpus; it
-    has less words than the square of that root.
-    """
-    counts = word_counts(documents) if counts is None else counts
-    tokens = counts.agg(F.sum("n")).first()[0] or 0
-    least = math.ceil(tokens ** (1 / 3))
-    top = {r["word"]: r["n"] for df in (counts.orderBy(F.desc("n"), "word").limit(COMMON), counts.filter(F.col("n") >= least)) for r in df.collect()}
-    ranked = sorted(top, key=lambda w: (-top[w], w))
-    return {w: i + 1 if i < COMMON else SIDE * SIDE + i - COMMON for i, w in enumerate(ranked)}
-
-
-def ids_used(known: dict[str, int]) -> int:
-    return SIDE * SIDE + max(0, len(known) - COMMON)
-
-
-def rare_id(word: str) -> int:
-    return COMMON + 1 + xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass")) % RARE
-
-
-def token_ids(text: str | None, known: dict[str, int]) -> np.ndarray:
-    return np.array([known.get(w) or rare_id(w) for w in words(text)], dtype=np.uint32)
-
-
-def encoded(documents: DataFrame, known: dict[str, int]) -> DataFrame:
-    """doc_id and the token ids of each row, four bytes each; a number of the row and its words that are not known, with their counts."""
+@dataclass
+class Vocabulary:
+    """The words that every task holds, at most KNOWN, and how many tokens each group of words has."""
+
+    place: dict[str, int]
+    ids: np.ndarray
+    log_share: np.ndarray  # of the tokens of a word's id, how many are this word
+    log_total: np.ndarray  # tokens of each group
+    common: int
+
+    def group(self, word: str) -> int:
+        return zlib.crc32(word.encode()) % len(self.log_total)
+
+
+def vocabulary(counts: DataFrame, common: int = COMMON, groups: int = RARE, held: int = KNOWN) -> Vocabulary:
+    """From the counts of all words: `common` words with ids of their own, `groups` for all others, `held` words at hand."""
+    top = counts.filter(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(held).collect()
+    sums = counts.groupBy((F.crc32(F.col("word").cast("binary")) % groups).alias("group")).agg(F.sum("n").alias("n")).collect()
+    total = np.zeros(groups)
+    for r in sums:
+        total[r["group"]] = r["n"]
+    group = np.array([zlib.crc32(r["word"].encode()) % groups for r in top], dtype=np.int64)
+    n = np.array([r["n"] for r in top], dtype=np.float64)
+    np.subtract.at(total, group[:common], n[:common])
+    log_total = np.log(np.maximum(total, 1.0))
+    ids, share = common + 1 + group, np.log(n) - log_total[group]
+    ids[:common], share[:common] = np.arange(1, len(ids[:common]) + 1), 0.0
+    return Vocabulary({r["word"]: k for k, r in enumerate(top)}, ids.astype(np.uint16), share, log_total, common)
+
+
+def token_ids(text: str | None, known: Vocabulary) -> tuple[np.ndarray, float, Counter[str]]:
+    """Ids of the words, the sum of their log shares as far as `known` tells, and the words whose log count is still to be added."""
+    found = words(text)
+    place = np.array([known.place.get(w, -1) for w in found], dtype=np.int64)
+    ids, others = np.zeros(len(found), dtype=np.uint16), np.flatnonzero(place < 0)
+    inside = place[place >= 0]
+    ids[place >= 0] = known.ids[inside]
+    groups = np.array([known.group(found[k]) for k in others], dtype=np.int64)
+    ids[others] = known.common + 1 + groups
+    return ids, float(known.log_share[inside].sum() - known.log_total[groups].sum()), Counter(found[k] for k in others)
+
+
+def encoded(documents: DataFrame, known: Vocabulary) -> DataFrame:
+    """doc_id, a number of the row, and its `token_ids`: ids (two bytes each), share and rest (words with how often they occur)."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            ids = [token_ids(t, known).tobytes() for t in texts]
-            rare = [Counter(w for w in words(t) if w not in known) for t in texts]
+            rows = [token_ids(t.as_py(), known) for t in batch.column("text")]
             pairs = pa.StructArray.from_arrays(
-                [pa.array([w for c in rare for w in c], type=pa.string()), pa.array([n for c in rare for n in c.values()], type=pa.int32())],
+                [pa.array([w for r in rows for w in r[2]], type=pa.string()), pa.array([n for r in rows for n in r[2].values()], type=pa.int32())],
                 names=["word", "times"])
-            ends = np.cumsum([0, *(len(c) for c in rare)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, type=pa.binary()), batch.column("row"), pa.ListArray.from_arrays(pa.array(ends), pairs)],
-                names=["doc_id", "ids", "row", "rare"])
+            ends = np.cumsum([0, *(len(r[2]) for r in rows)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("row"), pa.array([r[0].tobytes() for r in rows], type=pa.binary()),
+                pa.array([r[1] for r in rows], type=pa.float64()), pa.ListArray.from_arrays(pa.array(ends), pairs),
+            ], names=["doc_id", "row", "ids", "share", "rest"])
 
     numbered = documents.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    return numbered.mapInArrow(run, f"doc_id {kind}, ids binary, row long, rare array<struct<word: string, times: int>>")
-
-
-def shares(counts: DataFrame, known: dict[str, int]) -> DataFrame:
-    """word and log_share of every word that is not known: of the tokens of such words in its group, how many are this word."""
-
-    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(w, n, rare_id(w)) for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()) if w not in known]
-            w, n, group = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(w, type=pa.string()), pa.array(n, type=pa.int64()), pa.array(group, type=pa.int32())], names=["word", "n", "group"])
-
-    rest = keep(counts.mapInArrow(grouped, "word string, n long, group int"), "lm-rare")
-    sums = {r["group"]: r["n"] for r in rest.groupBy("group").agg(F.sum("n").alias("n")).collect()}
-    total = F.element_at(F.array(*(F.lit(sums.get(COMMON + 1 + k, 1)) for k in range(RARE))), F.col("group") - COMMON)
-    return rest.select("word", F.log(F.col("n") / total).alias("log_share"))
+    return numbered.mapInArrow(run, f"doc_id {kind}, row long, ids binary, share double, rest array<struct<word: string, times: int>>")
 
 
 @dataclass
@@ -120,35 +120,21 @@ class Network:
 
     hidden = tanh(bias + sum of context[o][neighbour at o]); the first digit is predicted
     from hidden, the second from tanh(hidden + digit[a]) with a bias for each first digit.
-    A word in a group has two more digits below `side`, predicted likewise from the group,
-    and from the group with the third digit. Both are 0 for all words that have no id of their own.
     """
 
-    context: np.ndarray  # offsets x ids x WIDTH
+    context: np.ndarray  # offsets x SIZE x WIDTH
     bias: np.ndarray
     first: np.ndarray  # WIDTH x SIDE
     first_bias: np.ndarray
     digit: np.ndarray  # SIDE x WIDTH
     second: np.ndarray
     second_bias: np.ndarray  # SIDE x SIDE
-    group: np.ndarray  # RARE x WIDTH
-    third: np.ndarray  # WIDTH x side
-    third_bias: np.ndarray  # RARE x side
-    member: np.ndarray  # RARE * side x WIDTH
-    fourth: np.ndarray  # WIDTH x side
-    fourth_bias: np.ndarray  # RARE * side x side
-
-    NAMES = (
-        "context", "bias", "first", "first_bias", "digit", "second", "second_bias",
-        "group", "third", "third_bias", "member", "fourth", "fourth_bias")
-    #: What each digit is predicted with: an embedding of the digits before, weights, biases.
-    LEVELS = ((None, "first", "first_bias"), ("digit", "second", "second_bias"), ("group", "third", "third_bias"), ("member", "fourth", "fourth_bias"))
+
+    NAMES = ("context", "bias", "first", "first_bias", "digit", "second", "second_bias")
 
     @classmethod
-    def new(cls, size: int = SIDE * SIDE, seed: int = 3) -> Network:
-        """For ids below `size`."""
+    def new(cls, seed: int = 3) -> Network:
         rng = np.random.default_rng(seed)
-        side = math.ceil(math.sqrt(1 + math.ceil((size - SIDE * SIDE) / RARE)))
 
         def weights(*shape: int) -> np.ndarray:
             return (rng.standard_normal(shape) * 0.1).astype(np.float32)
@@ -157,10 +143,8 @@ class Network:
             return np.zeros(shape, np.float32)
 
         return cls(
-            weights(len(OFFSETS), size, WIDTH), zeros(WIDTH), weights(WIDTH, SIDE), zeros(SIDE),
-            weights(SIDE, WIDTH), weights(WIDTH, SIDE), zeros(SIDE, SIDE),
-            weights(RARE, WIDTH), weights(WIDTH, side), zeros(RARE, side),
-            weights(RARE * side, WIDTH), weights(WIDTH, side), zeros(RARE * side, side))
+            weights(len(OFFSETS), SIZE, WIDTH), zeros(WIDTH), weights(WIDTH, SIDE), zeros(SIDE),
+            weights(SIDE, WIDTH), weights(WIDTH, SIDE), zeros(SIDE, SIDE))
 
     def vector(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
@@ -173,59 +157,38 @@ class Network:
             at += old.size
         return Network(*parts)
 
-    def _digits(self, token: np.ndarray) -> list[tuple]:
-        """For each level: the tokens that have this digit, the row of the digits before, and the digit."""
-        own = token >= SIDE * SIDE
-        pair = np.where(own, COMMON + 1 + (token - SIDE * SIDE) % RARE, token)
-        a, b = pair // SIDE, pair % SIDE
-        side = self.third.shape[1]
-        deep = np.flatnonzero(pair > COMMON) if side > 1 else np.zeros(0, dtype=np.int64)
-        group = pair[deep] - COMMON - 1
-        c, d = np.divmod(np.where(own, 1 + (token - SIDE * SIDE) // RARE, 0)[deep], side)
-        return [(slice(None), None, a), (slice(None), a, b), (deep, group, c), (deep, group * side + c, d)]
-
-    def _forward(self, near: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
+    def _hidden(self, near: np.ndarray) -> np.ndarray:
         hidden = self.context[0][near[0]]
         for o in range(1, len(OFFSETS)):
-            hidden = hidden + self.context[o][near[o]]
-        hidden = np.tanh(hidden + self.bias)
-        levels = []
-        for (before, weights, biases), (at, row, digit) in zip(self.LEVELS, self._digits(token)):
-            inner, bias = hidden, getattr(self, biases)
-            if before:
-                inner, bias = np.tanh(hidden[at] + getattr(self, before)[row]), bias[row]
-            levels.append((at, row, digit, inner, _log_softmax(inner @ getattr(self, weights) + bias)))
-        return hidden, levels
+            hidden += self.context[o][near[o]]
+        hidden += self.bias
+        return np.tanh(hidden, out=hidden)
+
+    def _levels(self, hidden: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Both digits, the second level's inputs, and both levels' outputs."""
+        a, b = np.divmod(token, SIDE)
+        inner = np.tanh(hidden + self.digit[a])
+        return a, b, inner, hidden @ self.first + self.first_bias, inner @ self.second + self.second_bias[a]
 
     def log_probability(self, near: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Of each `token` given its neighbours: `near` is offsets x positions."""
-        out = np.zeros(len(token), dtype=np.float32)
-        for at, _, digit, _, p in self._forward(near, token)[1]:
-            out[at] += p[np.arange(len(digit)), digit]
-        return out
+        a, b, _, x, y = self._levels(self._hidden(near), token)
+        return _log_softmax_at(x, a) + _log_softmax_at(y, b)
 
     def gradient(self, near: np.ndarray, token: np.ndarray) -> Iterator[tuple[str, np.ndarray | None, np.ndarray]]:
         """Of the mean negative log-probability: names, rows (None for all) and their gradients."""
-        hidden, levels = self._forward(near, token)
-        d_hidden = np.zeros_like(hidden)
-        for (before, weights, biases), (at, row, digit, inner, p) in zip(self.LEVELS, levels):
-            if not len(digit):
-                continue
-            d = np.exp(p)
-            d[np.arange(len(digit)), digit] -= 1
-            d /= len(token)
-            d_inner = d @ getattr(self, weights).T
-            yield weights, None, inner.T @ d
-            if before:
-                d_inner *= 1 - inner**2
-                yield before, *_summed(row, d_inner)
-                yield biases, *_summed(row, d)
-            else:
-                yield biases, None, d.sum(0)
-            d_hidden[at] += d_inner
-        d_hidden *= 1 - hidden**2
+        hidden = self._hidden(near)
+        a, b, inner, x, y = self._levels(hidden, token)
+        dx, dy = _softmax_gradient(x, a), _softmax_gradient(y, b)
+        yield "first", None, hidden.T @ dx
+        yield "first_bias", None, dx.sum(0)
+        yield "second", None, inner.T @ dy
+        yield "second_bias", *_summed(a, dy)
+        d_inner = (dy @ self.second.T) * (1 - inner**2)
+        yield "digit", *_summed(a, d_inner)
+        d_hidden = (dx @ self.first.T + d_inner) * (1 - hidden**2)
         yield "bias", None, d_hidden.sum(0)
-        rows = near + np.arange(len(OFFSETS))[:, None] * self.context.shape[1]
+        rows = near + np.arange(len(OFFSETS))[:, None] * SIZE
         yield "context", *_summed(rows.ravel(), np.tile(d_hidden, (len(OFFSETS), 1)))
 
     def learn(self, near: np.ndarray, token: np.ndarray, state: dict[str, np.ndarray], rate: float) -> None:
@@ -243,21 +206,32 @@ class Network:
 
 
 def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each of `rows` once, with the sum of its values."""
-    order = np.argsort(rows, kind="stable")
+    """Each of `rows` (below 65,536, which sort fast) once, with the sum of its values."""
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
     ordered = rows[order]
     firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     return ordered[firsts], np.add.reduceat(values[order], firsts, axis=0)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log-probability of the output `at` in each row; `x` is overwritten."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(at)), at]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
+
+
+def _softmax_gradient(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of the mean negative log-probability of the outputs `at`; `x` is overwritten."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x *= 1 / (len(at) * x.sum(axis=1, keepdims=True))
+    x[np.arange(len(at)), at] -= 1 / len(at)
+    return x
 
 
 def _laid_out(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts in one array with EDGE zeros around each, where each begins, and their lengths."""
-    texts = [np.frombuffer(x, dtype=np.uint32) for x in batch.column("ids").to_pylist()]
+    texts = [np.frombuffer(x, dtype=np.uint16) for x in batch.column("ids").to_pylist()]
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     begins = EDGE + np.concatenate([[0], np.cumsum(sizes + EDGE)[:-1]]) if len(texts) else np.zeros(0, dtype=np.int64)
     line = np.zeros(int(sizes.sum()) + EDGE * (len(texts) + 1), dtype=np.int64)
@@ -319,9 +293,9 @@ def _trained(ids: DataFrame, start: Network, turn: int, rounds: int, rate: float
     return start.with_vector(flat)
 
 
-def fit(ids: DataFrame, rounds: int = 3, rate: float = 0.1, size: int = SIDE * SIDE) -> Network:
-    """A network trained on every position of every row of `ids` (below `size`): each position in one of the rounds."""
-    network = Network.new(size)
+def fit(ids: DataFrame, rounds: int = 3, rate: float = 0.1) -> Network:
+    """A network trained on every position of every row of `ids`: each position in one of the rounds."""
+    network = Network.new()
     for turn in range(rounds):
         network = _trained(ids, network, turn, rounds, rate)
     return network
@@ -347,27 +321,28 @@ def score(documents: DataFrame, rounds: int = 3) -> DataFrame:
 
     log_likelihood sums the log-probability of each token given EDGE tokens on both
     sides; per_token divides it by their number. Tokens are words of the lower-cased
-    text. Those that the network does not know share hash buckets, and a token's
-    probability is its bucket's times its word's share of the bucket's tokens in all
-    rows. Vocabulary and network are learnt from all positions of all rows. Null and blank texts have no tokens, a sum of zero and a null
-    mean. Equal texts score equally, up to rounding; repeated rows are scored each. Other columns are
-    not read. An empty table gives no rows.
+    text. Words beyond the COMMON most frequent share the ids of groups, and such a token's
+    probability is its group's times its word's share of the group's tokens in all rows:
+    a word that occurs less is less likely. The network's size is fixed; the counts grow
+    with the corpus and stay in Spark, but for those of KNOWN words. All positions of all
+    rows are trained on. Null and blank texts have no tokens, a sum of zero and a null
+    mean. Equal texts score equally, up to rounding; repeated rows are scored each. Other
+    columns are not read. An empty table gives no rows.
     """
     counts = keep(word_counts(documents), "lm-words")
-    known = vocabulary(documents, counts)
-    ids = keep(encoded(documents, known), "lm-ids")
-    network = fit(ids, rounds, size=ids_used(known))
+    ids = keep(encoded(documents, vocabulary(counts)), "lm-ids")
+    network = fit(ids, rounds)
     kind = ids.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, total = log_likelihoods(batch, network)
+            share = batch.column("share").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), pa.array(n), pa.array(total)], names=["doc_id", "row", "n_tokens", "known"])
+                [batch.column("doc_id"), batch.column("row"), pa.array(n), pa.array(total + share)], names=["doc_id", "row", "n_tokens", "known"])
 
-    scored = ids.select("doc_id", "row", "ids").mapInArrow(run, f"doc_id {kind}, row long, n_tokens long, known double")
-    rare = ids.select("row", F.inline("rare")).join(shares(counts, known), "word")
-    rest = rare.groupBy("row").agg(F.sum(F.col("times") * F.col("log_share")).alias("rest"))
+    scored = ids.select("doc_id", "row", "ids", "share").mapInArrow(run, f"doc_id {kind}, row long, n_tokens long, known double")
+    rest = ids.select("row", F.inline("rest")).join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("rest"))
     both = scored.join(rest, "row", "left").select(
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("rest", F.lit(0.0))).alias("log_likelihood"))
     return both.withColumn("per_token", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))

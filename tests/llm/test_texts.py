@@ -249,11 +249,11 @@ def test_batches_hold_the_budget(spark):
 
 def test_scores_sum_conditional_log_probabilities(spark):
     docs = documents(spark)
-    known = pseudo_likelihood.vocabulary(docs)
+    known = pseudo_likelihood.vocabulary(pseudo_likelihood.word_counts(docs))
     ids = pseudo_likelihood.encoded(docs.filter("doc_id = 3"), known)
     network = pseudo_likelihood.fit(ids, rounds=1)
     (n,), (total,) = pseudo_likelihood.log_likelihoods(ids.toArrow().to_batches()[0], network)
-    line = [0, 0, *pseudo_likelihood.token_ids(dict(texts())[3], known).tolist(), 0, 0]
+    line = [0, 0, *pseudo_likelihood.token_ids(dict(texts())[3], known)[0].tolist(), 0, 0]
     plain = 0.0
     for k in range(2, len(line) - 2):
         h = np.tanh(sum(network.context[o][line[k + d]] for o, d in enumerate((-2, -1, 1, 2))) + network.bias)
@@ -274,41 +274,56 @@ def test_training_helps_and_every_row_is_scored(spark):
     assert got[0]["log_likelihood"] == pytest.approx(got[1]["log_likelihood"])
 
 
-def test_the_vocabulary_grows_and_rare_words_have_their_own_probability(spark):
+@pytest.mark.parametrize("held", [20, 65_536])
+def test_every_word_has_its_own_probability(spark, monkeypatch, held):
     rng = random.Random(4)
-    often = [f"w{k}" for k in range(1200)]
-    rows = [(i, " ".join(rng.sample(often, 300))) for i in range(200)]
-    rows += [(1000, "seldom seldom seldom"), (1001, "once"), (1002, "z" * 40), (1003, "w1"), (None, "seldom once")]
+    often = [f"w{k}" for k in range(300)]
+    rows = [(i, " ".join(rng.sample(often, 100))) for i in range(60)]
+    rows += [(1000, "seldom seldom seldom"), (1001, "once"), (1002, "z" * 300), (1003, "w1"), (1004, "É é w1 \u2003 w2"), (None, "seldom once")]
     docs = documents(spark, rows)
-    known = pseudo_likelihood.vocabulary(docs)
-    least = sum(len(t.split()) for _, t in rows) ** (1 / 3)
-    assert {w for w, n in Counter(w for _, t in rows for w in t.split()).items() if n >= least} <= set(known)
-    assert len(known) > pseudo_likelihood.COMMON and len({*known.values()}) == len(known)
     counts = pseudo_likelihood.word_counts(docs)
-    got = {r["word"]: r["log_share"] for r in pseudo_likelihood.shares(counts, known).collect()}
-    rest = Counter(w for _, t in rows for w in t.split() if w not in known)
-    assert set(got) == set(rest) and "z" * 40 in got and "seldom" in got
-    groups = Counter()
-    for w, n in rest.items():
-        groups[pseudo_likelihood.rare_id(w)] += n
-    assert all(got[w] == pytest.approx(np.log(n / groups[pseudo_likelihood.rare_id(w)])) for w, n in rest.items())
-
-    ids = pseudo_likelihood.encoded(docs, known)
-    network = pseudo_likelihood.fit(ids, size=pseudo_likelihood.ids_used(known))
-    near = np.zeros((4, pseudo_likelihood.ids_used(known)), dtype=np.int64)
-    each = np.exp(network.log_probability(near, np.arange(near.shape[1])))
-    assert each.sum() <= 1 + 1e-4 and len(set(each.tolist())) > 1100
-    of = {i: network.log_probability(near[:, :1], np.array([pseudo_likelihood.rare_id(w)]))[0] + got[w] for i, w in ((1001, "once"), (1002, "z" * 40))}
+    known = pseudo_likelihood.vocabulary(counts, common=10, groups=7, held=held)
+    n = Counter(w for _, t in rows for w in t.lower().split())
+    assert {r["word"]: r["n"] for r in counts.collect()} == n
+    assert len(known.place) == min(held, len(n) - 1) and "z" * 300 not in known.place
+    own = {w for w, k in known.place.items() if k < 10}
+    assert own == set(sorted(n, key=lambda w: (-n[w], w))[:10])
+    totals = Counter()
+    for w in n.keys() - own:
+        totals[zlib.crc32(w.encode()) % 7] += n[w]
+    for w in n:
+        (i,), share, rest = pseudo_likelihood.token_ids(w, known)
+        share += sum(k * np.log(n[x]) for x, k in rest.items())
+        assert share == pytest.approx(0 if w in own else np.log(n[w] / totals[i - 11]))
+    assert len({int(pseudo_likelihood.token_ids(w, known)[0][0]) for w in own}) == 10
+
+    network = pseudo_likelihood.Network.new()
+    monkeypatch.setattr(pseudo_likelihood, "fit", lambda ids, rounds: network)
+    monkeypatch.setattr(pseudo_likelihood, "vocabulary", lambda counts: known)
     scores = {r["doc_id"]: r["log_likelihood"] for r in pseudo_likelihood.score(docs).collect()}
-    assert len(scores) == 205 and all(scores[i] == pytest.approx(of[i], abs=0.1) for i in of)
+    assert len(scores) == len(rows)
+    for i, t in rows:
+        ids, share, rest = pseudo_likelihood.token_ids(t, known)
+        line = np.concatenate([[0, 0], ids, [0, 0]]).astype(np.int64)
+        at = np.arange(2, len(line) - 2)
+        plain = network.log_probability(pseudo_likelihood._near(line, at), line[at]).sum()
+        assert scores[i] == pytest.approx(plain + share + sum(k * np.log(n[x]) for x, k in rest.items()), rel=1e-4)
+
+
+def test_probabilities_of_all_ids_sum_to_one():
+    rng = np.random.default_rng(2)
+    network = pseudo_likelihood.Network.new()
+    network = network.with_vector(network.vector() + rng.standard_normal(network.vector().size) / 5)
+    near = np.repeat(rng.integers(0, pseudo_likelihood.SIZE, (4, 1)), pseudo_likelihood.SIZE, axis=1)
+    each = np.exp(network.log_probability(near, np.arange(pseudo_likelihood.SIZE)).astype(np.float64))
+    assert each.sum() == pytest.approx(1, abs=1e-4)
 
 
-def test_more_digits_learn_along_the_gradient():
+def test_the_network_learns_along_the_gradient():
     rng = np.random.default_rng(1)
-    network = pseudo_likelihood.Network.new(pseudo_likelihood.SIDE**2 + 900)
-    network = network.with_vector(network.vector())
-    token = np.concatenate([rng.integers(0, pseudo_likelihood.SIDE**2 + 900, 60), [970, 1000, 1024, 1923]])
-    near = rng.integers(0, pseudo_likelihood.SIDE**2 + 900, (4, len(token)))
+    network = pseudo_likelihood.Network.new()
+    token = rng.integers(0, pseudo_likelihood.SIZE, 64)
+    near = rng.integers(0, pseudo_likelihood.SIZE, (4, len(token)))
     for name, rows, g in list(network.gradient(near, token)):
         w = getattr(network, name)
         w = w.reshape(-1, w.shape[-1]) if rows is not None else w
@@ -324,7 +339,7 @@ def test_more_digits_learn_along_the_gradient():
 def test_every_position_is_trained_on_once(spark, monkeypatch):
     seen = []
     docs = documents(spark)
-    ids = pseudo_likelihood.encoded(docs, pseudo_likelihood.vocabulary(docs))
+    ids = pseudo_likelihood.encoded(docs, pseudo_likelihood.vocabulary(pseudo_likelihood.word_counts(docs)))
     inner = pseudo_likelihood._trained
 
     def noted(ids, start, *args):
@@ -344,7 +359,8 @@ def test_every_position_is_trained_on_once(spark, monkeypatch):
 def test_a_text_of_one_word_is_learnt_wherever_it_lies(spark):
     def first_biases(texts):
         docs = documents(spark, list(enumerate(texts))).coalesce(1)
-        return pseudo_likelihood.fit(pseudo_likelihood.encoded(docs, {"alone": 1}), rounds=1).first_bias
+        known = pseudo_likelihood.vocabulary(pseudo_likelihood.word_counts(docs))
+        return pseudo_likelihood.fit(pseudo_likelihood.encoded(docs, known), rounds=1).first_bias
 
     untrained = pseudo_likelihood.Network.new().first_bias
     assert not np.allclose(first_biases([""] * 3 + ["alone"]), untrained)
