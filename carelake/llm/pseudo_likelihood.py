@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -16,13 +17,15 @@ from pyspark.sql import functions as F
 from carelake.llm.common import keep
 
 #: Token ids are pairs (a, b) of digits below SIDE, so that a softmax has SIDE outputs, twice.
-SIDE = 48
+SIDE = 32
 SIZE = SIDE * SIDE
 #: Id 0 stands outside a text, the next COMMON ids are the most frequent words; all others share the last RARE ids by a hash.
-RARE = 1024
+RARE = 256
 COMMON = SIZE - 1 - RARE
-#: The most frequent words, of at most LONGEST characters, whose counts every task holds. Other words' counts are joined.
-KNOWN, LONGEST = 65_536, 256
+#: At most so many of the most frequent words, of at most LONGEST characters, have their counts in every task. Others' counts are joined.
+KNOWN, LONGEST = 131_072, 256
+#: Outputs within these need no shift before their exponential.
+SAFE = 60.0
 WIDTH = 16
 #: Positions on either side that the network sees.
 OFFSETS = (-2, -1, 1, 2)
@@ -57,41 +60,49 @@ class Vocabulary:
     """The words that every task holds, at most KNOWN, and how many tokens each group of words has."""
 
     place: dict[str, int]
-    ids: np.ndarray
+    ids: np.ndarray  # by place; one more entry, 0, stands for all other words, here and in log_share
     log_share: np.ndarray  # of the tokens of a word's id, how many are this word
     log_total: np.ndarray  # tokens of each group
     common: int
 
-    def group(self, word: str) -> int:
-        return zlib.crc32(word.encode()) % len(self.log_total)
-
 
 def vocabulary(counts: DataFrame, common: int = COMMON, groups: int = RARE, held: int = KNOWN) -> Vocabulary:
-    """From the counts of all words: `common` words with ids of their own, `groups` for all others, `held` words at hand."""
-    top = counts.filter(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(held).collect()
+    """From the counts of all words: `common` words with ids of their own, `groups` for all others, at most `held` words at hand.
+
+    Words are held down to the least count, in steps of 1/64 of a power of two, that at most
+    `held` words reach, so the driver takes no more than these from all partitions together.
+    """
+    short, step = counts.filter(F.length("word") <= LONGEST), F.floor(F.log2("n") * 64)
+    sizes = sorted(((r["step"], r["size"]) for r in short.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("size")).collect()), reverse=True)
+    fit = [k for (k, _), size in zip(sizes, np.cumsum([size for _, size in sizes])) if size <= held]
+    held_rows = short.filter(step >= fit[-1] if fit else F.lit(False)).select("word", "n").toArrow().to_pydict()
+    top = sorted(zip(held_rows["word"], held_rows["n"]), key=lambda x: (-x[1], x[0]))
     sums = counts.groupBy((F.crc32(F.col("word").cast("binary")) % groups).alias("group")).agg(F.sum("n").alias("n")).collect()
     total = np.zeros(groups)
     for r in sums:
         total[r["group"]] = r["n"]
-    group = np.array([zlib.crc32(r["word"].encode()) % groups for r in top], dtype=np.int64)
-    n = np.array([r["n"] for r in top], dtype=np.float64)
+    group = np.array([zlib.crc32(w.encode()) % groups for w, _ in top], dtype=np.int64)
+    n = np.array([k for _, k in top], dtype=np.float64)
     np.subtract.at(total, group[:common], n[:common])
     log_total = np.log(np.maximum(total, 1.0))
     ids, share = common + 1 + group, np.log(n) - log_total[group]
     ids[:common], share[:common] = np.arange(1, len(ids[:common]) + 1), 0.0
-    return Vocabulary({r["word"]: k for k, r in enumerate(top)}, ids.astype(np.uint16), share, log_total, common)
+    return Vocabulary({w: k for k, (w, _) in enumerate(top)}, np.append(ids, 0).astype(np.uint16), np.append(share, 0.0), log_total, common)
 
 
 def token_ids(text: str | None, known: Vocabulary) -> tuple[np.ndarray, float, Counter[str]]:
     """Ids of the words, the sum of their log shares as far as `known` tells, and the words whose log count is still to be added."""
     found = words(text)
-    place = np.array([known.place.get(w, -1) for w in found], dtype=np.int64)
-    ids, others = np.zeros(len(found), dtype=np.uint16), np.flatnonzero(place < 0)
-    inside = place[place >= 0]
-    ids[place >= 0] = known.ids[inside]
-    groups = np.array([known.group(found[k]) for k in others], dtype=np.int64)
-    ids[others] = known.common + 1 + groups
-    return ids, float(known.log_share[inside].sum() - known.log_total[groups].sum()), Counter(found[k] for k in others)
+    place = np.fromiter(map(known.place.get, found, repeat(-1)), dtype=np.int64, count=len(found))
+    ids = known.ids[place]  # the last entry is that of words that are not held
+    share = known.log_share[place].sum()
+    others = np.flatnonzero(place < 0).tolist()
+    rest = [found[k] for k in others]
+    if rest:
+        groups = np.array([zlib.crc32(w.encode()) for w in rest]) % len(known.log_total)
+        ids[others] = known.common + 1 + groups
+        share -= known.log_total[groups].sum()
+    return ids, float(share), Counter(rest)
 
 
 def encoded(documents: DataFrame, known: Vocabulary) -> DataFrame:
@@ -189,7 +200,7 @@ class Network:
         d_hidden = (dx @ self.first.T + d_inner) * (1 - hidden**2)
         yield "bias", None, d_hidden.sum(0)
         rows = near + np.arange(len(OFFSETS))[:, None] * SIZE
-        yield "context", *_summed(rows.ravel(), np.tile(d_hidden, (len(OFFSETS), 1)))
+        yield "context", *_summed(rows.ravel(), d_hidden)
 
     def learn(self, near: np.ndarray, token: np.ndarray, state: dict[str, np.ndarray], rate: float) -> None:
         """One Adagrad step; `state` holds the sums of squares."""
@@ -206,25 +217,30 @@ class Network:
 
 
 def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each of `rows` (below 65,536, which sort fast) once, with the sum of its values."""
+    """Each of `rows` (below 65,536, which sort fast) once, with the sum of its values; `values` may be repeated for more rows."""
     order = np.argsort(rows.astype(np.uint16), kind="stable")
     ordered = rows[order]
     firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ordered[firsts], np.add.reduceat(values[order], firsts, axis=0)
+    return ordered[firsts], np.add.reduceat(values.take(order % len(values), axis=0), firsts, axis=0)
+
+
+def _shifted(x: np.ndarray) -> np.ndarray:
+    """`x`, each row less its largest where an output is not SAFE: the softmax is the same, and exp(x) is finite."""
+    if x.size and not (x.max() < SAFE and x.min() > -SAFE):
+        x -= x.max(axis=1, keepdims=True)
+    return x
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log-probability of the output `at` in each row; `x` is overwritten."""
-    x -= x.max(axis=1, keepdims=True)
-    own = x[np.arange(len(at)), at]
-    return own - np.log(np.exp(x, out=x).sum(axis=1))
+    own = _shifted(x)[np.arange(len(at)), at]
+    return own - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
 
 
 def _softmax_gradient(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Of the mean negative log-probability of the outputs `at`; `x` is overwritten."""
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x *= 1 / (len(at) * x.sum(axis=1, keepdims=True))
+    total = np.exp(_shifted(x), out=x) @ np.ones(x.shape[1], x.dtype)
+    x *= (1 / (len(at) * total))[:, None]
     x[np.arange(len(at)), at] -= 1 / len(at)
     return x
 
@@ -252,8 +268,8 @@ def _positions(begins: np.ndarray, sizes: np.ndarray, turn: int, rounds: int) ->
 def _trained(ids: DataFrame, start: Network, turn: int, rounds: int, rate: float) -> Network:
     """One round: each task learns on its rows from the same start; the mean, by positions, goes on.
 
-    Means are taken of about TOGETHER networks at a time, until no more are left, so
-    neither a task nor the driver holds many.
+    Means are taken of about TOGETHER networks at a time, until one is left, so no
+    task holds many and the driver takes one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +296,7 @@ def _trained(ids: DataFrame, start: Network, turn: int, rounds: int, rate: float
 
     ids = ids.select("ids")
     means, left = ids.mapInArrow(run, "weights binary, n long"), ids.rdd.getNumPartitions()
-    while left > TOGETHER:
+    while left > 1:
         left = math.ceil(left / TOGETHER)
         dealt = means.withColumn("part", F.pmod(F.xxhash64("weights"), F.lit(left)))
         means = dealt.groupBy("part").applyInArrow(mean, "weights binary, n long")
@@ -342,7 +358,8 @@ def score(documents: DataFrame, rounds: int = 3) -> DataFrame:
                 [batch.column("doc_id"), batch.column("row"), pa.array(n), pa.array(total + share)], names=["doc_id", "row", "n_tokens", "known"])
 
     scored = ids.select("doc_id", "row", "ids", "share").mapInArrow(run, f"doc_id {kind}, row long, n_tokens long, known double")
-    rest = ids.select("row", F.inline("rest")).join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("rest"))
+    more = counts.filter(F.col("n") > 1)  # log 1 adds nothing
+    rest = ids.select("row", F.inline("rest")).join(more, "word").groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("rest"))
     both = scored.join(rest, "row", "left").select(
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("rest", F.lit(0.0))).alias("log_likelihood"))
     return both.withColumn("per_token", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
