@@ -9,6 +9,8 @@ change is inserted. Anything else, a null time included, changes nothing.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,14 +37,17 @@ def latest_per_key(changes: DataFrame, key: str = KEY, time: str = TIME, op: str
     return newest.unionByName(changes.filter(F.col(key).isNull()))
 
 
-def _newest(changes: DataFrame, key: str, time: str, op: str) -> DataFrame:
+def _version(columns: list[str], key: str, time: str, op: str) -> Column:
+    """A row but for its key, which is greater the newer it is."""
     rank = (
         F.when(F.col(op) == "d", 3).when((F.col(op) == "u") | F.col(op).isNull(), 2)
         .when(F.col(op) == "c", 1).otherwise(0)
     )
-    rest = [c for c in changes.columns if c not in (key, time)]
-    version = F.struct(F.col(time), rank.alias("_rank"), *[F.col(c) for c in rest])
-    return changes.groupBy(key).agg(F.max(version).alias("_newest")).select(
+    return F.struct(F.col(time), rank.alias("_rank"), *[F.col(c) for c in columns if c not in (key, time)])
+
+
+def _newest(changes: DataFrame, key: str, time: str, op: str) -> DataFrame:
+    return changes.groupBy(key).agg(F.max(_version(changes.columns, key, time, op)).alias("_newest")).select(
         *[F.col(c) if c == key else F.col(f"_newest.{c}").alias(c) for c in changes.columns]
     )
 
@@ -88,15 +93,9 @@ def _inserts(op: Column) -> Column:
     return op.isin("c", "u") | op.isNull()
 
 
-def _merge_keyed(
-    target: DataFrame, source: DataFrame, key: str, time: str, op: str, tombstones: bool
-) -> DataFrame:
-    columns = target.columns
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in columns], F.lit(True).alias("in_t"))
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in columns], F.lit(True).alias("in_s"))
-    s_op, t_op = F.col(f"s_{op}"), F.col(f"t_{op}")
-    both = F.col("in_t") & F.col("in_s")
-    newer = both & (F.col(f"s_{time}") > F.col(f"t_{time}"))
+def _takes(in_t: Column, in_s: Column, t_time: Column, s_time: Column, t_op: Column, s_op: Column, tombstones: bool) -> Column:
+    """True takes the change, false keeps the row, null leaves the key out."""
+    newer = in_t & in_s & (s_time > t_time)
     updates = (s_op == "u") | s_op.isNull()
     deletes = s_op == "d"
     if tombstones:
@@ -106,9 +105,18 @@ def _merge_keyed(
     else:
         takes = F.when(newer & deletes, F.lit(None)).when(newer & updates, True)
         inserts = _inserts(s_op)
-    # True takes the change, false keeps the row, null leaves the key out.
-    takes = takes.when(F.col("in_t"), False).when(inserts, True)
+    return takes.when(in_t, False).when(inserts, True)
+
+
+def _merge_keyed(
+    target: DataFrame, source: DataFrame, key: str, time: str, op: str, tombstones: bool
+) -> DataFrame:
+    columns = target.columns
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in columns], F.lit(True).alias("in_t"))
+    s = source.select(*[F.col(c).alias(f"s_{c}") for c in columns], F.lit(True).alias("in_s"))
     joined = t.join(s, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer")
+    takes = _takes(
+        F.col("in_t"), F.col("in_s"), F.col(f"t_{time}"), F.col(f"s_{time}"), F.col(f"t_{op}"), F.col(f"s_{op}"), tombstones)
     chosen = joined.withColumn("takes", takes).filter(F.col("takes").isNotNull())
     return chosen.select(*[
         F.when(F.col("takes"), F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in columns
@@ -153,35 +161,63 @@ def merge_snapshot(
 
 @dataclass(frozen=True)
 class Staged:
-    """A merge that is staged: the table's touched parts before and after, and the keys of the batch."""
+    """A merge that is staged: the table's touched parts after it, with the marks of what it did."""
 
-    before: DataFrame
     after: DataFrame
-    keys: DataFrame
 
     def moved(self, key: str, columns: list[str], op: str = OP) -> tuple[DataFrame, DataFrame]:
-        """Live rows that go out and that come in, in `columns`; rows that the merge left as they were are in neither."""
-        old, new = (
-            live_rows(side, op).join(self.keys, key, "left_semi").select(*columns) for side in (self.before, self.after)
-        )
-        return old.exceptAll(new), new.exceptAll(old)
+        """Live rows that go out and that come in, in `columns`; rows that the merge left as they were are in neither.
+
+        Read from the staged rows, so nothing is shuffled. What a merge without tombstones deletes is not marked.
+        """
+        new, old = ({c: F.col(f"{side}{c}") for c in {*columns, op, key}} for side in ("", f"{hash_parts.OLD}."))
+        old[key] = F.col(key)  # the same in both
+        lives = [F.coalesce(side[op] != "d", F.lit(True)) for side in (new, old)]
+        replaces = F.col(hash_parts.OLD).isNotNull()
+        same = reduce(and_, [replaces, *lives, *[new[c].eqNullSafe(old[c]) for c in columns]])
+        taken = self.after.filter(F.col(hash_parts.TAKEN) & ~same)
+        out = taken.filter(replaces & lives[1]).select(*[old[c].alias(c) for c in columns])
+        return out, taken.filter(lives[0]).select(*columns)
 
 
 def stage_merge(
     spark: SparkSession, path: str, changes: DataFrame, key: str = KEY, time: str = TIME, op: str = OP,
-    parts: int = hash_parts.PARTS, **options: object,
+    parts: int = hash_parts.PARTS, tombstones: bool = False, null_keys: str = "error", dedupe: bool = True,
 ) -> Staged:
-    """Merge `changes` into the hash parts of their keys and stage these; see `sources.parts`.
+    """Merge `changes` into the hash parts of their keys and stage these; see `sources.parts` and `merge_frames`.
 
-    Reads and writes the parts that the batch has keys of, and no other.
+    Reads and writes the parts that the batch has keys of, and no other. Rows and changes are
+    shuffled once, into the ranges of part and key that are written; there the versions of a key
+    lie side by side, and are reduced one by one. Without `dedupe` the batch's keys are unique
+    anyway, and its newest version of a key is its only one.
     """
+    if null_keys != "error":
+        raise ValueError("stage_merge: null keys have no part")
     touched = hash_parts.touched_parts(changes, key, parts)
     before = hash_parts.read_parts(spark, path, key, touched)
     if before is None:
         before = spark.createDataFrame([], changes.schema)
-    merged = merge_frames(before, changes, key, time, op, **options)
-    after = hash_parts.stage(merged, path, key, touched, parts)
-    return Staged(before, after, changes.select(key).distinct())
+    require_columns(before, [key, time, op], "stage_merge target")
+    require_columns(changes, before.columns, "stage_merge changes")
+    columns = before.columns
+    source = changes.select(*[F.col(c).cast(before.schema[c].dataType).alias(c) for c in columns]).withColumn(key, _checked_key(key))
+    both = before.withColumn("_change", F.lit(False)).unionByName(source.withColumn("_change", F.lit(True)))
+    version, change = _version(columns, key, time, op), F.col("_change")
+    # a row without a key marks its part, and is no change
+    found = hash_parts.spread(both, path, key, touched, parts).groupBy(hash_parts.PART, key).agg(
+        F.max(F.when(~change, version)).alias("t"), F.max(F.when(change, version)).alias("s"))
+    takes = _takes(
+        F.col("t").isNotNull(), F.col("s").isNotNull(), F.col(f"t.{time}"), F.col(f"s.{time}"), F.col(f"t.{op}"), F.col(f"s.{op}"),
+        tombstones)
+    chosen = found.withColumn(hash_parts.TAKEN, F.when(F.col(key).isNull(), False).otherwise(takes)).filter(
+        F.col(hash_parts.TAKEN).isNotNull())
+    rest = [c for c in columns if c != key]
+    kept = F.when(F.col(hash_parts.TAKEN), F.col("s")).otherwise(F.col("t"))
+    old = F.when(F.col(hash_parts.TAKEN) & F.col("t").isNotNull(), F.struct(*[F.col(f"t.{c}").alias(c) for c in rest]))
+    merged = chosen.select(
+        *[F.col(key) if c == key else kept[c].alias(c) for c in columns], hash_parts.TAKEN, old.alias(hash_parts.OLD),
+        hash_parts.PART)
+    return Staged(hash_parts.stage_spread(merged, path, key))
 
 
 def merge_parts(

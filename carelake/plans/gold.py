@@ -22,7 +22,7 @@ from carelake.operators.merge import KEY, Staged
 from carelake.plans import marts
 from carelake.schemas import MEASUREMENT
 from carelake.session import materialize
-from carelake.sources.parts import PARTS, read_parts, stage, together, touched_parts
+from carelake.sources.parts import PART, PARTS, part_of, read_parts, spread, stage, stage_spread, together, touched_parts
 
 PERSON, SOURCE = "person_id", "source_person"
 PERSONS = "persons"
@@ -34,12 +34,15 @@ MEASUREMENT_COLUMNS = [MEASUREMENT_KEY, PERSON, "measurement_concept_id", "measu
 
 #: Marts of the conditions alone.
 CONDITION_MARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "readmissions_30_day": lambda conditions: marts.readmission_30d(conditions, unique_ids=True),
+    # a person's rows lie side by side in the copies and stay so in this shuffle, the only one, so names pack well
+    "readmissions_30_day": lambda conditions: marts.readmission_30d(conditions.repartition(PERSON), unique_ids=True),
     # a row per stay and day: one per pair of stays grows with the square of a person's stays
     "readmission_days": lambda conditions: marts.readmission_pairs(conditions, per_day=True),
     "admission_count": marts.admission_count,
 }
 HEDIS = "hedis"
+#: So many persons are sent to every task; the marts of more are built with those of their whole parts.
+FEW_PERSONS = 50_000
 
 
 def gold(root: str, name: str) -> str:
@@ -51,53 +54,66 @@ def by_person(root: str, table: str) -> str:
 
 
 def linked(spark: SparkSession, root: str, rows: DataFrame, parts: int) -> DataFrame:
-    """`rows` with the linked person as `person_id`, and the person that the source names as `source_person`.
+    """`rows` with the linked person as `person_id`, and as `source_person` the one that the source names where it is another.
 
     A source person that no batch of person records has named stands for itself.
     """
-    renamed = rows.withColumn(SOURCE, F.col(PERSON))
     names = read_parts(spark, f"{root}/{PERSONS}/{growing.BY_ID}", "id", touched_parts(rows, PERSON, parts))
     if names is None:
-        return renamed
-    names = names.select(F.col("id").cast("string").alias(SOURCE), F.col("cluster_id").cast("string").alias("_linked"))
-    found = renamed.join(names, SOURCE, "left").withColumn(PERSON, F.coalesce("_linked", PERSON))
-    return found.select(*rows.columns, SOURCE)
+        return rows.withColumn(SOURCE, F.lit(None).cast(rows.schema[PERSON].dataType))
+    names = names.select(F.col("id").cast("string").alias("_id"), F.col("cluster_id").cast("string").alias("_linked")).filter(
+        "_id <> _linked")
+    found = rows.join(names, F.col(PERSON) == F.col("_id"), "left")
+    person = F.coalesce("_linked", PERSON)
+    return materialize(
+        found.withColumns({PERSON: person, SOURCE: F.when(F.col("_linked").isNotNull(), F.col(PERSON))}).select(*rows.columns, SOURCE),
+        "linked")
 
 
 class Moved:
     """Rows that go out and that come in, `delta`, as a change of a table's copy by person.
 
-    `delta` has the copy's columns and `comes`; `persons` are those whose marts are built anew.
+    `delta` has the copy's columns and `comes`. The marts of `persons`, by default its own, are built anew:
+    from their rows alone where these are few, and else for all persons of their parts, which are rewritten anyhow.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, table: str, delta: DataFrame, persons: DataFrame, key: str, columns: list[str], parts: int
+        self, spark: SparkSession, root: str, table: str, delta: DataFrame, key: str, columns: list[str], parts: int,
+        persons: DataFrame | None = None,
     ):
-        self.persons = persons
-        self.touched = touched_parts(persons, PERSON, parts)
+        known = delta.filter(F.col(PERSON).isNotNull())
+        named = (known if persons is None else persons).select(PERSON)
+        counts = named.groupBy(part_of(PERSON, parts).alias(PART)).agg(F.approx_count_distinct(PERSON).alias("n")).collect()
+        self.touched = sorted(r[PART] for r in counts)
+        few = sum(r["n"] for r in counts) <= FEW_PERSONS
+        self.persons = materialize(named.distinct(), f"moved-{table}") if few else None
         self.path = by_person(root, table)
-        coming = delta.filter("comes").select(*columns, SOURCE)
         held = read_parts(spark, self.path, PERSON, self.touched)
-        if held is not None:
-            gone = delta.filter("not comes").select(key)
-            coming = held.join(gone, key, "left_anti").unionByName(coming)
-        self.rows = stage(coming.filter(F.col(PERSON).isNotNull()), self.path, PERSON, self.touched, parts)
+        own = known.select(*columns, SOURCE, "comes")
+        whole = own if held is None else held.select(*columns, SOURCE).withColumn("comes", F.lit(None).cast("boolean")).unionByName(own)
+        place, rest = [PART, PERSON, key], [c for c in (*columns, SOURCE) if c not in (PERSON, key)]
+        row, comes = F.struct(*rest), F.col("comes")
+        # the copy's row, null `comes`, stays unless one goes out or another comes in
+        found = spread(whole, self.path, PERSON, self.touched, parts, [key]).groupBy(*place).agg(
+            F.max(F.when(comes, row)).alias("new"), F.max(F.when(comes.isNull(), row)).alias("held"),
+            F.count_if(~comes).alias("gone"))
+        kept = F.coalesce("new", F.when(F.col("gone") == 0, F.col("held")))
+        rows = found.withColumn("kept", kept).filter(F.col("kept").isNotNull())
+        self.rows = stage_spread(rows.select(*[F.col(f"kept.{c}") if c in rest else c for c in (*columns, SOURCE)], PART), self.path, PERSON)
 
     @classmethod
     def by_merge(cls, spark: SparkSession, root: str, table: str, staged: Staged, key: str, columns: list[str], parts: int) -> Moved:
         out, new = staged.moved(key, columns)
-        both = materialize(
-            out.withColumn("comes", F.lit(False)).unionByName(new.withColumn("comes", F.lit(True))), f"merged-{table}")
-        delta = materialize(linked(spark, root, both, parts), f"moved-{table}")
-        return cls(spark, root, table, delta, _persons(delta), key, columns, parts)
+        both = out.withColumn("comes", F.lit(False)).unionByName(new.withColumn("comes", F.lit(True)))
+        return cls(spark, root, table, linked(spark, root, both, parts), key, columns, parts)
 
     def mine(self, rows: DataFrame) -> DataFrame:
-        """The rows of the persons whose marts are built anew."""
-        return rows.join(self.persons, PERSON, "left_semi")
+        """The rows of the persons whose marts are built anew, of rows in their parts."""
+        return rows if self.persons is None else rows.join(F.broadcast(self.persons), PERSON, "left_semi")
 
-
-def _persons(delta: DataFrame) -> DataFrame:
-    return delta.select(PERSON).filter(F.col(PERSON).isNotNull()).distinct()
+    def others(self, rows: DataFrame) -> DataFrame | None:
+        """The other persons' rows of a mart, None where there are none."""
+        return None if self.persons is None else rows.join(F.broadcast(self.persons), PERSON, "left_anti")
 
 
 def _no_tests(spark: SparkSession) -> DataFrame:
@@ -107,8 +123,8 @@ def _no_tests(spark: SparkSession) -> DataFrame:
 def _stage_mart(spark: SparkSession, root: str, name: str, mart: DataFrame, moved: Moved, parts: int) -> str:
     path = gold(root, name)
     held = read_parts(spark, path, PERSON, moved.touched)
-    whole = mart if held is None else held.join(moved.persons, PERSON, "left_anti").unionByName(mart)
-    stage(whole, path, PERSON, moved.touched, parts)
+    others = None if held is None else moved.others(held)
+    stage(mart if others is None else others.unionByName(mart), path, PERSON, moved.touched, parts)
     return path
 
 
@@ -155,18 +171,21 @@ def stage_measurements(spark: SparkSession, root: str, merged: Staged, parts: in
 
 def stage_links(spark: SparkSession, root: str, renamed: DataFrame, parts: int = PARTS) -> list[str]:
     """Stage what other linked persons, `renamed` (source_person, old, new), change in Gold; the paths to commit."""
-    both = renamed.select(F.col("old").alias(PERSON)).union(renamed.select("new"))
-    persons = materialize(both.distinct(), "renamed-persons")
+    persons = renamed.select(F.col("old").alias(PERSON)).union(renamed.select("new"))
     touched = touched_parts(renamed, "old", parts)
     moved = {}
     for table, key, columns in ((SILVER, KEY, CONDITION_COLUMNS), (MEASUREMENTS, MEASUREMENT_KEY, MEASUREMENT_COLUMNS)):
         held = read_parts(spark, by_person(root, table), PERSON, touched)
         if held is None or not touched:
             continue
-        leaving = held.join(renamed.select(SOURCE, "new"), SOURCE)
+        source = F.coalesce(SOURCE, PERSON)
+        leaving = materialize(
+            held.join(renamed.select(F.col(SOURCE).alias("_source"), "new"), source == F.col("_source")).drop("_source"),
+            f"renamed-{table}")
         out = leaving.withColumn("comes", F.lit(False)).drop("new")
-        delta = out.unionByName(leaving.withColumns({PERSON: F.col("new"), "comes": F.lit(True)}).drop("new"))
-        moved[table] = Moved(spark, root, table, materialize(delta, f"renamed-{table}"), persons, key, columns, parts)
+        other = F.when(source != F.col("new"), source)
+        delta = out.unionByName(leaving.withColumns({SOURCE: other, PERSON: F.col("new"), "comes": F.lit(True)}).drop("new"))
+        moved[table] = Moved(spark, root, table, delta, key, columns, parts, persons)
     if SILVER not in moved:
         return [m.path for m in moved.values()]
     conditions = moved[SILVER]

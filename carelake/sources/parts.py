@@ -1,9 +1,12 @@
 """Tables kept in hash parts of a key, of which a change rewrites those it touches.
 
 A change is first staged beside the table, then declared in the lake's journal, and then
-laid over the touched parts by a dynamic overwrite. A run that dies before the declaration
-changed nothing; one that dies after it is finished by `settle`, as often as it takes.
-Several tables change under one declaration. One writer at a time.
+the staged parts take the place of the old ones by renaming, so rows are written once. A run
+that dies before the declaration changed nothing; one that dies after it is finished by
+`settle`, as often as it takes. Several tables change under one declaration. One writer at a time.
+
+Rows lie in the order of part and key, in ranges that the shuffle makes: a range holds few
+parts, a large part has several ranges, and equal keys lie side by side and pack well.
 """
 
 from __future__ import annotations
@@ -23,6 +26,9 @@ T = TypeVar("T")
 PART = "part"
 #: Parts of a table: its bytes divided by about a gigabyte, and the same as long as the table lives.
 PARTS = 64
+#: What the last merge did to a row of a table: whether it came in then, and what it took the place of.
+TAKEN, OLD = "_taken", "_old"
+MARKS = (TAKEN, OLD)
 
 
 def part_of(key: str, parts: int = PARTS) -> Column:
@@ -45,7 +51,7 @@ def read_parts(spark: SparkSession, path: str, key: str, touched: Sequence[int]
         return None
     rows = table if touched is None else table.filter(F.col(PART).isin(list(touched)))
     # a touched part that lost all its rows holds one without a key
-    return rows.filter(F.col(key).isNotNull()).drop(PART)
+    return rows.filter(F.col(key).isNotNull()).drop(PART, *MARKS)
 
 
 def touched_parts(rows: DataFrame, key: str, parts: int = PARTS) -> list[int]:
@@ -58,21 +64,29 @@ def _staged(path: str) -> str:
     return f"{path}.staged"
 
 
-def stage(rows: DataFrame, path: str, key: str, touched: Sequence[int], parts: int = PARTS) -> DataFrame:
-    """Write all rows that the `touched` parts of the table at `path` are to hold beside it; the rows read back.
+def spread(rows: DataFrame, path: str, key: str, touched: Sequence[int], parts: int = PARTS, within: Sequence[str] = ()) -> DataFrame:
+    """`rows` with their part, shuffled once into ranges of part, key and `within`, and a row without a key for each touched part.
 
     A row of any other part is an error, since its part would lose its other rows.
     """
-    spark = rows.sparkSession
     part = part_of(key, parts)
     message = F.concat(F.lit(f"stage {path}: a row of an untouched part: "), F.col(key).cast("string"))
     checked = F.when(part.isin(list(touched)) if touched else F.lit(False), part).otherwise(F.raise_error(message).cast("int"))
-    empty = spark.createDataFrame([(p,) for p in touched], f"{PART} int").select(
+    empty = rows.sparkSession.createDataFrame([(p,) for p in touched], f"{PART} int").coalesce(1).select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema], PART)
-    # a part's rows come together, a large part is parted and small ones share a task
-    whole = rows.withColumn(PART, checked).unionByName(empty).hint("rebalance", PART)
-    whole.write.mode("overwrite").parquet(_staged(path))
-    return spark.read.schema(whole.schema).parquet(_staged(path)).filter(F.col(key).isNotNull()).drop(PART)
+    return rows.withColumn(PART, checked).unionByName(empty).repartitionByRange(PART, key, *within)
+
+
+def stage(rows: DataFrame, path: str, key: str, touched: Sequence[int], parts: int = PARTS) -> DataFrame:
+    """Write all rows that the `touched` parts of the table at `path` are to hold beside it; the rows read back."""
+    return stage_spread(spread(rows, path, key, touched, parts).sortWithinPartitions(PART, key), path, key)
+
+
+def stage_spread(rows: DataFrame, path: str, key: str) -> DataFrame:
+    """The same of rows that `spread` has brought together, in the order of their part."""
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy(PART).parquet(_staged(path))
+    staged = rows.sparkSession.read.schema(rows.schema).parquet(_staged(path))
+    return staged.filter(F.col(key).isNotNull()).drop(PART)
 
 
 def commit(spark: SparkSession, root: str, paths: Sequence[str]) -> None:
@@ -89,9 +103,17 @@ def settle(spark: SparkSession, root: str) -> None:
         return
 
     def lay(path: str) -> None:
-        staged = _opened(spark, _staged(path))
-        if staged is not None:  # else no part was touched
-            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+        # a part that has moved is not found again, so a run that dies here goes on where it was
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        files = folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(folder(path))
+        for status in files.listStatus(folder(_staged(path))):
+            name = status.getPath().getName()
+            if name.startswith(f"{PART}="):
+                place = folder(path, name)
+                files.delete(place, True)
+                if not files.rename(status.getPath(), place):
+                    raise OSError(f"settle: {place} could not be put in place")
 
     together([partial(lay, path) for path in declared])
     spark.createDataFrame([], "path string").coalesce(1).write.mode("overwrite").parquet(f"{root}/journal")
