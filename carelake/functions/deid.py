@@ -36,6 +36,20 @@ def token(value: Column, salt: str, hex_digits: int = TOKEN_HEX_DIGITS) -> Colum
     return F.concat(F.lit(TOKEN_PREFIX), F.substring(_sha256_hex(value, salt), 1, hex_digits))
 
 
+def packed(value: Column) -> Column:
+    """Text as bytes for a shuffle: a whole token as its 32-byte digest, any other text as it is; see `unpacked`."""
+    whole = value.rlike(rf"\A{TOKEN_PREFIX}[0-9a-f]{{64}}\z")
+    digest = F.concat(F.lit(b"\x01"), F.unhex(F.substring(value, len(TOKEN_PREFIX) + 1, 64)))
+    return F.when(whole, digest).otherwise(F.concat(F.lit(b"\x00"), value.cast("binary")))
+
+
+def unpacked(value: Column) -> Column:
+    """The text that `packed` was given."""
+    rest = F.substring(value, 2, 2**31 - 1)
+    token_of = F.concat(F.lit(TOKEN_PREFIX), F.lower(F.hex(rest)))
+    return F.when(F.substring(value, 1, 1) == F.lit(b"\x01"), token_of).otherwise(rest.cast("string"))
+
+
 def shift_days(person: Column, salt: str = "") -> Column:
     """Stable shift between -30 and +30 days of a person; null without a person.
 

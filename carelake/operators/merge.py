@@ -15,6 +15,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.functions.deid import unpacked
 from carelake.schemas import require_columns
 from carelake.sources import parts as hash_parts
 from carelake.sources.snapshots import read_snapshot, write_snapshot
@@ -203,8 +204,10 @@ def stage_merge(
     source = changes.select(*[F.col(c).cast(before.schema[c].dataType).alias(c) for c in columns]).withColumn(key, _checked_key(key))
     both = before.withColumn("_change", F.lit(False)).unionByName(source.withColumn("_change", F.lit(True)))
     version, change = _version(columns, key, time, op), F.col("_change")
+    texts = [c for c in hash_parts.texts(both) if c != key]
+    near = hash_parts.spread(both, path, key, touched, parts, pack=texts).withColumns({c: unpacked(F.col(c)) for c in texts})
     # a row without a key marks its part, and is no change
-    found = hash_parts.spread(both, path, key, touched, parts).groupBy(hash_parts.PART, key).agg(
+    found = near.groupBy(hash_parts.PART, key).agg(
         F.max(F.when(~change, version)).alias("t"), F.max(F.when(change, version)).alias("s"))
     takes = _takes(
         F.col("t").isNotNull(), F.col("s").isNotNull(), F.col(f"t.{time}"), F.col(f"s.{time}"), F.col(f"t.{op}"), F.col(f"s.{op}"),

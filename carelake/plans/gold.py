@@ -17,12 +17,13 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.functions.deid import packed, unpacked
 from carelake.operators import growing
 from carelake.operators.merge import KEY, Staged
 from carelake.plans import marts
 from carelake.schemas import MEASUREMENT
 from carelake.session import materialize
-from carelake.sources.parts import PART, PARTS, part_of, read_parts, spread, stage, stage_spread, together, touched_parts
+from carelake.sources.parts import PART, PARTS, part_of, read_parts, spread, stage, stage_spread, texts, together, touched_parts
 
 PERSON, SOURCE = "person_id", "source_person"
 PERSONS = "persons"
@@ -61,13 +62,11 @@ def linked(spark: SparkSession, root: str, rows: DataFrame, parts: int) -> DataF
     names = read_parts(spark, f"{root}/{PERSONS}/{growing.BY_ID}", "id", touched_parts(rows, PERSON, parts))
     if names is None:
         return rows.withColumn(SOURCE, F.lit(None).cast(rows.schema[PERSON].dataType))
-    names = names.select(F.col("id").cast("string").alias("_id"), F.col("cluster_id").cast("string").alias("_linked")).filter(
-        "_id <> _linked")
-    found = rows.join(names, F.col(PERSON) == F.col("_id"), "left")
-    person = F.coalesce("_linked", PERSON)
-    return materialize(
-        found.withColumns({PERSON: person, SOURCE: F.when(F.col("_linked").isNotNull(), F.col(PERSON))}).select(*rows.columns, SOURCE),
-        "linked")
+    source, other = F.col("id").cast("string"), F.col("cluster_id").cast("string")
+    names = names.filter(source != other).select(packed(source).alias("_id"), packed(other).alias("_linked"))
+    found = rows.withColumn(PERSON, packed(F.col(PERSON))).join(names, F.col(PERSON) == F.col("_id"), "left")
+    named = {PERSON: unpacked(F.coalesce("_linked", PERSON)), SOURCE: F.when(F.col("_linked").isNotNull(), unpacked(F.col(PERSON)))}
+    return materialize(found.withColumns(named).select(*rows.columns, SOURCE), "linked")
 
 
 class Moved:
@@ -94,12 +93,14 @@ class Moved:
         place, rest = [PART, PERSON, key], [c for c in (*columns, SOURCE) if c not in (PERSON, key)]
         row, comes = F.struct(*rest), F.col("comes")
         # the copy's row, null `comes`, stays unless one goes out or another comes in
-        found = spread(whole, self.path, PERSON, self.touched, parts, [key]).groupBy(*place).agg(
+        packs = [c for c in texts(whole) if c in (PERSON, SOURCE)]
+        found = spread(whole, self.path, PERSON, self.touched, parts, [key], packs).groupBy(*place).agg(
             F.max(F.when(comes, row)).alias("new"), F.max(F.when(comes.isNull(), row)).alias("held"),
             F.count_if(~comes).alias("gone"))
         kept = F.coalesce("new", F.when(F.col("gone") == 0, F.col("held")))
         rows = found.withColumn("kept", kept).filter(F.col("kept").isNotNull())
-        self.rows = stage_spread(rows.select(*[F.col(f"kept.{c}") if c in rest else c for c in (*columns, SOURCE)], PART), self.path, PERSON)
+        plain = rows.select(*[F.col(f"kept.{c}") if c in rest else c for c in (*columns, SOURCE)], PART)
+        self.rows = stage_spread(plain.withColumns({c: unpacked(F.col(c)) for c in packs}), self.path, PERSON)
 
     @classmethod
     def by_merge(cls, spark: SparkSession, root: str, table: str, staged: Staged, key: str, columns: list[str], parts: int) -> Moved:
@@ -120,6 +121,12 @@ def _no_tests(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], MEASUREMENT)
 
 
+def _built(build: Callable[..., DataFrame], *tables: DataFrame) -> DataFrame:
+    """A mart of `tables`, whose persons are packed while rows are shuffled."""
+    mart = build(*[t.withColumn(PERSON, packed(F.col(PERSON))) for t in tables])
+    return mart.withColumn(PERSON, unpacked(F.col(PERSON)))
+
+
 def _stage_mart(spark: SparkSession, root: str, name: str, mart: DataFrame, moved: Moved, parts: int) -> str:
     path = gold(root, name)
     held = read_parts(spark, path, PERSON, moved.touched)
@@ -140,10 +147,10 @@ def stage_conditions(
     if not moved.touched and measurements is None:
         return []
     mine = moved.mine(moved.rows)
-    built = {name: build(mine) for name, build in CONDITION_MARTS.items()}
+    built = {name: _built(build, mine) for name, build in CONDITION_MARTS.items()}
     tests = read_parts(spark, by_person(root, MEASUREMENTS), PERSON, moved.touched)
     if measurements is None:
-        built[HEDIS] = marts.hedis(mine, _no_tests(spark) if tests is None else moved.mine(tests))
+        built[HEDIS] = _built(marts.hedis, mine, _no_tests(spark) if tests is None else moved.mine(tests))
     jobs = [partial(_stage_mart, spark, root, name, mart, moved, parts) for name, mart in built.items()]
     if measurements is not None:
         others = read_parts(spark, moved.path, PERSON, [p for p in range(parts) if p not in moved.touched])
@@ -165,7 +172,7 @@ def stage_measurements(spark: SparkSession, root: str, merged: Staged, parts: in
     conditions = read_parts(spark, by_person(root, SILVER), PERSON, moved.touched)
     if conditions is None:  # the tests wait for their persons' conditions
         return [moved.path]
-    mart = marts.hedis(moved.mine(conditions), moved.mine(moved.rows))
+    mart = _built(marts.hedis, moved.mine(conditions), moved.mine(moved.rows))
     return [moved.path, _stage_mart(spark, root, HEDIS, mart, moved, parts)]
 
 
@@ -190,8 +197,8 @@ def stage_links(spark: SparkSession, root: str, renamed: DataFrame, parts: int =
         return [m.path for m in moved.values()]
     conditions = moved[SILVER]
     mine = conditions.mine(conditions.rows)
-    built = {name: build(mine) for name, build in CONDITION_MARTS.items()}
+    built = {name: _built(build, mine) for name, build in CONDITION_MARTS.items()}
     tests = moved[MEASUREMENTS].rows if MEASUREMENTS in moved else _no_tests(spark)
-    built[HEDIS] = marts.hedis(mine, conditions.mine(tests))
+    built[HEDIS] = _built(marts.hedis, mine, conditions.mine(tests))
     jobs = [partial(_stage_mart, spark, root, name, mart, conditions, parts) for name, mart in built.items()]
     return [*[m.path for m in moved.values()], *together(jobs)]

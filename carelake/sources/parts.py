@@ -20,6 +20,9 @@ from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from carelake.functions.deid import packed, unpacked
 
 T = TypeVar("T")
 
@@ -64,22 +67,33 @@ def _staged(path: str) -> str:
     return f"{path}.staged"
 
 
-def spread(rows: DataFrame, path: str, key: str, touched: Sequence[int], parts: int = PARTS, within: Sequence[str] = ()) -> DataFrame:
+def spread(
+    rows: DataFrame, path: str, key: str, touched: Sequence[int], parts: int = PARTS, within: Sequence[str] = (),
+    pack: Sequence[str] = (),
+) -> DataFrame:
     """`rows` with their part, shuffled once into ranges of part, key and `within`, and a row without a key for each touched part.
 
-    A row of any other part is an error, since its part would lose its other rows.
+    The columns `pack` come as `deid.packed` has them. A row of any other part is an error, since its part would lose its other rows.
     """
     part = part_of(key, parts)
     message = F.concat(F.lit(f"stage {path}: a row of an untouched part: "), F.col(key).cast("string"))
     checked = F.when(part.isin(list(touched)) if touched else F.lit(False), part).otherwise(F.raise_error(message).cast("int"))
     empty = rows.sparkSession.createDataFrame([(p,) for p in touched], f"{PART} int").coalesce(1).select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema], PART)
-    return rows.withColumn(PART, checked).unionByName(empty).repartitionByRange(PART, key, *within)
+    whole = rows.withColumn(PART, checked).unionByName(empty)
+    return whole.withColumns({c: packed(F.col(c)) for c in pack}).repartitionByRange(PART, key, *within)
+
+
+def texts(rows: DataFrame) -> list[str]:
+    """The columns of `rows` that may be packed."""
+    return [f.name for f in rows.schema if isinstance(f.dataType, StringType)]
 
 
 def stage(rows: DataFrame, path: str, key: str, touched: Sequence[int], parts: int = PARTS) -> DataFrame:
     """Write all rows that the `touched` parts of the table at `path` are to hold beside it; the rows read back."""
-    return stage_spread(spread(rows, path, key, touched, parts).sortWithinPartitions(PART, key), path, key)
+    packs = texts(rows)
+    near = spread(rows, path, key, touched, parts, pack=packs).sortWithinPartitions(PART, key)
+    return stage_spread(near.withColumns({c: unpacked(F.col(c)) for c in packs}), path, key)
 
 
 def stage_spread(rows: DataFrame, path: str, key: str) -> DataFrame:

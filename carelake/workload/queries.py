@@ -440,11 +440,17 @@ def pipeline_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mart(spark, _corrected_lake(spark, sf_dir), "readmissions_30_day")
 
 
+def _vocabulary(rows: DataFrame) -> DataFrame:
+    """A vocabulary as a table, of which the planner knows the size: that of the rows it is taken from says nothing."""
+    return materialize(rows, "vocabulary")
+
+
 def stay_lake(spark: SparkSession, sf_dir: str) -> str:
     """A lake after three days of stays and tests, with deletes, moved dates and another patient's stays."""
     lake = workspace(spark, "stay-lake")
     stays, labs = stay_settings(SALT), lab_settings(SALT)
-    diagnoses, tests = inputs.diagnosis_vocabulary(spark, sf_dir), inputs.lab_vocabulary(spark, sf_dir)
+    diagnoses, tests = (
+        _vocabulary(v(spark, sf_dir)) for v in (inputs.diagnosis_vocabulary, inputs.lab_vocabulary))
     for day in (1, 2, 3):
         bronze.land(inputs.stay_payloads(spark, sf_dir, day), lake, "stays", 0)
         run_day(spark, lake, "stays", date(2024, 1, day), stays, diagnoses, parts=LAKE_PARTS)
@@ -479,7 +485,7 @@ def pipeline_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = workspace(spark, "linked-lake")
     people = inputs.person_records(spark, sf_dir)
     late = F.col("customer") % 6 == 5
-    diagnoses = inputs.diagnosis_vocabulary(spark, sf_dir)
+    diagnoses = _vocabulary(inputs.diagnosis_vocabulary(spark, sf_dir))
 
     def persons(batch: DataFrame) -> None:
         run_persons(spark, lake, batch, inputs.LINKED, inputs.LINKED_MODEL, parts=LAKE_PARTS)

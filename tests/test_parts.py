@@ -129,3 +129,60 @@ def test_marts_equal_a_full_rebuild(spark, tmp_path):
     before = files(gold.gold(lake, "hedis"))
     run_day(spark, lake, "stays", DAY(3).date(), stay_settings("s"), codes, parts=4)
     assert files(gold.gold(lake, "hedis")) == before
+
+
+def test_a_merge_shuffles_rows_once_and_commits_by_renaming(spark, tmp_path, monkeypatch):
+    """One exchange holds all rows and changes of a merge, and the staged files become the table's."""
+    lake, table = str(tmp_path), f"{tmp_path}/table"
+    plans, write = [], parts.stage_spread
+
+    def watched(rows, path, key):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(rows, path, key)
+
+    monkeypatch.setattr(parts, "stage_spread", watched)
+    m.merge_parts(spark, lake, table, frame(spark, [(str(i), f"p{i}", DAY(1), "c") for i in range(50)]), parts=4)
+    staged = m.stage_merge(spark, table, frame(spark, [("1", "q", DAY(2), "u"), ("2", None, DAY(2), "d"), ("x", "r", DAY(2), "c")]), parts=4, tombstones=True)
+    assert [p.count("Exchange ") for p in plans] == [1, 1]
+    out, new = staged.moved(m.KEY, [m.KEY, "person_id"])
+    assert rows(out) == [("1", "p1"), ("2", "p2")] and rows(new) == [("1", "q"), ("x", "r")]
+    written = files(f"{table}.staged")
+    parts.commit(spark, lake, [table])
+    assert {p: files(table)[p] for p in written} == written and files(f"{table}.staged") == {}
+    assert rows(parts.read_parts(spark, table, m.KEY).filter("condition_occurrence_id in ('1', 'x')"), "person_id") == [("q",), ("r",)]
+
+
+def test_packed_text_comes_back(spark):
+    from pyspark.sql import functions as F
+
+    from carelake.functions import deid
+
+    whole = "DEID-" + "0a" * 32
+    texts = [whole, whole.upper(), whole + "\n", whole[:-2], "", None, "\x01abc", "x\x00é"]
+    found = spark.createDataFrame([(t,) for t in texts], "v string").select("v", deid.packed(F.col("v")).alias("p"))
+    assert found.filter(~deid.unpacked(F.col("p")).eqNullSafe(F.col("v"))).count() == 0
+    assert found.filter(F.length("p") == 33).count() == 1
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_marts_of_few_and_of_many_persons(spark, tmp_path, monkeypatch, few):
+    """Marts are the same whether the moved persons' rows or their whole parts are read, with linked persons too."""
+    monkeypatch.setattr(gold, "FEW_PERSONS", few)
+    lake = str(tmp_path)
+    schema = "condition_occurrence_id string, person_id string, condition_concept_id int, condition_start_date date, condition_end_date date, updated_at timestamp, cdc_op string"
+    day = lambda n: dt.date(2023, 1, n)
+    batches = [
+        [(str(i), f"p{i % 5}", marts.INPATIENT_VISIT, day(1 + i), day(2 + i), DAY(1), "c") for i in range(15)],
+        [("3", "p1", marts.INPATIENT_VISIT, day(20), day(21), DAY(2), "u"), ("4", None, None, None, None, DAY(2), "d"), ("99", "q", 0, day(9), day(9), DAY(2), "c")],
+    ]
+    for batch in batches:
+        merged = m.stage_merge(spark, f"{lake}/{gold.SILVER}", spark.createDataFrame(batch, schema), parts=2, tombstones=True)
+        parts.commit(spark, lake, [f"{lake}/{gold.SILVER}", *gold.stage_conditions(spark, lake, merged, parts=2)])
+    renamed = spark.createDataFrame([("p1", "p1", "p0"), ("q", "q", "p0")], "source_person string, old string, new string")
+    parts.commit(spark, lake, gold.stage_links(spark, lake, renamed, parts=2))
+    person = {"p1": "p0", "q": "p0"}
+    live = m.live_rows(read_silver(spark, lake)).replace(person, subset=["person_id"])
+    for name, build in gold.CONDITION_MARTS.items():
+        assert rows(read_mart(spark, lake, name)) == rows(build(live)), name
+    copied = parts.read_parts(spark, gold.by_person(lake, gold.SILVER), gold.PERSON)
+    assert rows(copied.filter("source_person is not null").select("source_person").distinct()) == [("p1",), ("q",)]
