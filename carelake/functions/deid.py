@@ -33,14 +33,17 @@ def token(value: Column, salt: str, hex_digits: int = TOKEN_HEX_DIGITS) -> Colum
         raise ValueError("token: a salt is required")
     if not 1 <= hex_digits <= 64:
         raise ValueError("token: hex_digits must be between 1 and 64")
-    return F.concat(F.lit(TOKEN_PREFIX), F.substring(_sha256_hex(value, salt), 1, hex_digits))
+    digest = _sha256_hex(value, salt)
+    return F.concat(F.lit(TOKEN_PREFIX), digest if hex_digits == TOKEN_HEX_DIGITS else F.substring(digest, 1, hex_digits))
 
 
 def packed(value: Column) -> Column:
     """Text as bytes for a shuffle: a whole token as its 32-byte digest, any other text as it is; see `unpacked`."""
-    whole = value.rlike(rf"\A{TOKEN_PREFIX}[0-9a-f]{{64}}\z")
-    digest = F.concat(F.lit(b"\x01"), F.unhex(F.substring(value, len(TOKEN_PREFIX) + 1, 64)))
-    return F.when(whole, digest).otherwise(F.concat(F.lit(b"\x00"), value.cast("binary")))
+    # bytes are cut, as a cut of text looks at every character; and no pattern, since each shuffled row is looked at
+    digits = F.substring(value.cast("binary"), len(TOKEN_PREFIX) + 1, 64).cast("string")
+    shape = (F.octet_length(value) == len(TOKEN_PREFIX) + 64) & value.startswith(TOKEN_PREFIX) & (F.lower(digits) == digits)
+    digest = F.when(shape, F.unhex(digits))  # null for what is no digit
+    return F.coalesce(F.concat(F.lit(b"\x01"), digest), F.concat(F.lit(b"\x00"), value.cast("binary")))
 
 
 def unpacked(value: Column) -> Column:
@@ -63,7 +66,8 @@ def shift_days(person: Column, salt: str = "") -> Column:
     for start in range(0, 64, word_digits):
         digits = min(word_digits, 64 - start)
         weight = pow(16, 64 - start - digits, SHIFT_SPAN_DAYS)
-        parts.append(F.conv(F.substring(digest, start + 1, digits), 16, 10).cast("bigint") * weight)
+        word = F.substring(digest.cast("binary"), start + 1, digits).cast("string")  # bytes are cut faster than text
+        parts.append(F.conv(word, 16, 10).cast("bigint") * weight)
     return (reduce(add, parts) % SHIFT_SPAN_DAYS + SHIFT_MIN_DAYS).cast("int")
 
 

@@ -8,6 +8,7 @@ change is inserted. Anything else, a null time included, changes nothing.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -171,14 +172,27 @@ class Staged:
 
         Read from the staged rows, so nothing is shuffled. What a merge without tombstones deletes is not marked.
         """
+        both = self.delta(key, columns, (), op)
+        return both.filter(~F.col("comes")).drop("comes"), both.filter("comes").drop("comes")
+
+    def delta(self, key: str, columns: list[str], within: Sequence[str], op: str = OP) -> DataFrame:
+        """The same in one scan: rows in `columns` that go out, with false as `comes`, and that come in, with true.
+
+        With `within` a row does not go out if one comes in that is alike in these columns, since that one takes its place.
+        """
         new, old = ({c: F.col(f"{side}{c}") for c in {*columns, op, key}} for side in ("", f"{hash_parts.OLD}."))
         old[key] = F.col(key)  # the same in both
         lives = [F.coalesce(side[op] != "d", F.lit(True)) for side in (new, old)]
         replaces = F.col(hash_parts.OLD).isNotNull()
         same = reduce(and_, [replaces, *lives, *[new[c].eqNullSafe(old[c]) for c in columns]])
+        goes = replaces & lives[1]
+        if within:
+            goes &= ~reduce(and_, [lives[0], *[new[c].eqNullSafe(old[c]) for c in within]])
+        sides = [
+            F.when(met, F.struct(*[side[c].alias(c) for c in columns], F.lit(comes).alias("comes")))
+            for met, side, comes in ((goes, old, False), (lives[0], new, True))]
         taken = self.after.filter(F.col(hash_parts.TAKEN) & ~same)
-        out = taken.filter(replaces & lives[1]).select(*[old[c].alias(c) for c in columns])
-        return out, taken.filter(lives[0]).select(*columns)
+        return taken.select(F.inline(F.array(*sides))).filter("comes is not null")
 
 
 def stage_merge(
@@ -188,13 +202,14 @@ def stage_merge(
     """Merge `changes` into the hash parts of their keys and stage these; see `sources.parts` and `merge_frames`.
 
     Reads and writes the parts that the batch has keys of, and no other. Rows and changes are
-    shuffled once, into the ranges of part and key that are written; there the versions of a key
+    shuffled once, into the slices of part and key that are written; there the versions of a key
     lie side by side, and are reduced one by one. Without `dedupe` the batch's keys are unique
     anyway, and its newest version of a key is its only one.
     """
     if null_keys != "error":
         raise ValueError("stage_merge: null keys have no part")
-    touched = hash_parts.touched_parts(changes, key, parts)
+    counts = hash_parts.part_counts(changes, key, parts)
+    touched = sorted(counts)
     before = hash_parts.read_parts(spark, path, key, touched)
     if before is None:
         before = spark.createDataFrame([], changes.schema)
@@ -204,10 +219,12 @@ def stage_merge(
     source = changes.select(*[F.col(c).cast(before.schema[c].dataType).alias(c) for c in columns]).withColumn(key, _checked_key(key))
     both = before.withColumn("_change", F.lit(False)).unionByName(source.withColumn("_change", F.lit(True)))
     version, change = _version(columns, key, time, op), F.col("_change")
-    texts = [c for c in hash_parts.texts(both) if c != key]
-    near = hash_parts.spread(both, path, key, touched, parts, pack=texts).withColumns({c: unpacked(F.col(c)) for c in texts})
+    tokens = [c for c in hash_parts.texts(both) if c == hash_parts.PERSON != key]
+    slices = hash_parts.Slices.even(spark, touched, parts, sum(counts.values()) + before.count())
+    near = hash_parts.spread(both, path, key, touched, parts, pack=tokens, slices=slices).withColumns(
+        {c: unpacked(F.col(c)) for c in tokens})
     # a row without a key marks its part, and is no change
-    found = near.groupBy(hash_parts.PART, key).agg(
+    found = near.groupBy(hash_parts.PART, key, hash_parts.SLICE).agg(
         F.max(F.when(~change, version)).alias("t"), F.max(F.when(change, version)).alias("s"))
     takes = _takes(
         F.col("t").isNotNull(), F.col("s").isNotNull(), F.col(f"t.{time}"), F.col(f"s.{time}"), F.col(f"t.{op}"), F.col(f"s.{op}"),

@@ -23,9 +23,11 @@ from carelake.operators.merge import KEY, Staged
 from carelake.plans import marts
 from carelake.schemas import MEASUREMENT
 from carelake.session import materialize
-from carelake.sources.parts import PART, PARTS, part_of, read_parts, spread, stage, stage_spread, texts, together, touched_parts
+from carelake.sources.parts import (
+    PART, PARTS, PERSON, SLICE, Slices, part_of, read_parts, spread, stage, stage_spread, texts, together, touched_parts,
+)
 
-PERSON, SOURCE = "person_id", "source_person"
+SOURCE = "source_person"
 PERSONS = "persons"
 MEASUREMENT_KEY = "measurement_id"
 SILVER, MEASUREMENTS = "condition_occurrence", "measurement"
@@ -59,9 +61,10 @@ def linked(spark: SparkSession, root: str, rows: DataFrame, parts: int) -> DataF
 
     A source person that no batch of person records has named stands for itself.
     """
-    names = read_parts(spark, f"{root}/{PERSONS}/{growing.BY_ID}", "id", touched_parts(rows, PERSON, parts))
-    if names is None:
+    path = f"{root}/{PERSONS}/{growing.BY_ID}"
+    if read_parts(spark, path, "id") is None:
         return rows.withColumn(SOURCE, F.lit(None).cast(rows.schema[PERSON].dataType))
+    names = read_parts(spark, path, "id", touched_parts(rows, PERSON, parts))
     source, other = F.col("id").cast("string"), F.col("cluster_id").cast("string")
     names = names.filter(source != other).select(packed(source).alias("_id"), packed(other).alias("_linked"))
     found = rows.withColumn(PERSON, packed(F.col(PERSON))).join(names, F.col(PERSON) == F.col("_id"), "left")
@@ -90,11 +93,13 @@ class Moved:
         held = read_parts(spark, self.path, PERSON, self.touched)
         own = known.select(*columns, SOURCE, "comes")
         whole = own if held is None else held.select(*columns, SOURCE).withColumn("comes", F.lit(None).cast("boolean")).unionByName(own)
-        place, rest = [PART, PERSON, key], [c for c in (*columns, SOURCE) if c not in (PERSON, key)]
+        # a person may hold a large share of all rows: its rows are then dealt out by their key
+        self.slices = Slices.counted(whole, PERSON, self.touched, parts)
+        place, rest = [PART, PERSON, key, SLICE], [c for c in (*columns, SOURCE) if c not in (PERSON, key)]
         row, comes = F.struct(*rest), F.col("comes")
         # the copy's row, null `comes`, stays unless one goes out or another comes in
         packs = [c for c in texts(whole) if c in (PERSON, SOURCE)]
-        found = spread(whole, self.path, PERSON, self.touched, parts, [key], packs).groupBy(*place).agg(
+        found = spread(whole, self.path, PERSON, self.touched, parts, [key], packs, self.slices).groupBy(*place).agg(
             F.max(F.when(comes, row)).alias("new"), F.max(F.when(comes.isNull(), row)).alias("held"),
             F.count_if(~comes).alias("gone"))
         kept = F.coalesce("new", F.when(F.col("gone") == 0, F.col("held")))
@@ -104,9 +109,8 @@ class Moved:
 
     @classmethod
     def by_merge(cls, spark: SparkSession, root: str, table: str, staged: Staged, key: str, columns: list[str], parts: int) -> Moved:
-        out, new = staged.moved(key, columns)
-        both = out.withColumn("comes", F.lit(False)).unionByName(new.withColumn("comes", F.lit(True)))
-        return cls(spark, root, table, linked(spark, root, both, parts), key, columns, parts)
+        # a row that comes in takes the place of its person's earlier one
+        return cls(spark, root, table, linked(spark, root, staged.delta(key, columns, [PERSON]), parts), key, columns, parts)
 
     def mine(self, rows: DataFrame) -> DataFrame:
         """The rows of the persons whose marts are built anew, of rows in their parts."""
@@ -131,7 +135,7 @@ def _stage_mart(spark: SparkSession, root: str, name: str, mart: DataFrame, move
     path = gold(root, name)
     held = read_parts(spark, path, PERSON, moved.touched)
     others = None if held is None else moved.others(held)
-    stage(mart if others is None else others.unionByName(mart), path, PERSON, moved.touched, parts)
+    stage(mart if others is None else others.unionByName(mart), path, PERSON, moved.touched, parts, moved.slices)
     return path
 
 

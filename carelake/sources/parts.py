@@ -5,14 +5,15 @@ the staged parts take the place of the old ones by renaming, so rows are written
 that dies before the declaration changed nothing; one that dies after it is finished by
 `settle`, as often as it takes. Several tables change under one declaration. One writer at a time.
 
-Rows lie in the order of part and key, in ranges that the shuffle makes: a range holds few
-parts, a large part has several ranges, and equal keys lie side by side and pack well.
+Rows lie in the order of part and key, in slices that the shuffle makes: a slice holds few
+parts, a large part has several slices, and equal keys lie side by side and pack well.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import partial
 from typing import TypeVar
 
@@ -27,11 +28,17 @@ from carelake.functions.deid import packed, unpacked
 T = TypeVar("T")
 
 PART = "part"
+#: The column of tokens that are worth packing in a merge; other texts are short.
+PERSON = "person_id"
 #: Parts of a table: its bytes divided by about a gigabyte, and the same as long as the table lives.
 PARTS = 64
 #: What the last merge did to a row of a table: whether it came in then, and what it took the place of.
 TAKEN, OLD = "_taken", "_old"
 MARKS = (TAKEN, OLD)
+#: The slice that a row is shuffled into.
+SLICE = "_slice"
+#: Rows of a slice: fewer are not worth a task of their own, and more are too many for one, about.
+LEAST_ROWS, MOST_ROWS = 20_000, 1_000_000
 
 
 def part_of(key: str, parts: int = PARTS) -> Column:
@@ -59,8 +66,91 @@ def read_parts(spark: SparkSession, path: str, key: str, touched: Sequence[int]
 
 def touched_parts(rows: DataFrame, key: str, parts: int = PARTS) -> list[int]:
     """The parts that the keys of `rows` fall into: at most `parts` numbers reach the driver."""
-    found = rows.filter(F.col(key).isNotNull()).select(part_of(key, parts).alias(PART)).distinct()
-    return sorted(r[PART] for r in found.collect())
+    return sorted(part_counts(rows, key, parts))
+
+
+def part_counts(rows: DataFrame, key: str, parts: int = PARTS) -> dict[int, int]:
+    """How many of `rows` fall into each part: at most `parts` rows reach the driver."""
+    found = rows.filter(F.col(key).isNotNull()).groupBy(part_of(key, parts).alias(PART)).count()
+    return {r[PART]: r["count"] for r in found.collect()}
+
+
+@dataclass(frozen=True)
+class Slices:
+    """Which slice a row of the touched parts goes to, by a hash of its key, so that no sample of the rows is needed.
+
+    Every touched part has `fine` buckets. A slice holds buckets that follow each other, or a
+    bucket with very many rows has several slices, of which a hash of other columns names one.
+    """
+
+    touched: tuple[int, ...]
+    parts: int
+    fine: int
+    first: tuple[int, ...]
+    several: tuple[int, ...]
+
+    @classmethod
+    def even(cls, spark: SparkSession, touched: Sequence[int], parts: int, rows: int) -> Slices:
+        """Of about `rows` rows whose keys repeat little."""
+        fine = _fine(spark, touched)
+        return cls._cut(spark, touched, parts, fine, [rows / max(1, len(touched) * fine)] * (len(touched) * fine), False)
+
+    @classmethod
+    def counted(cls, rows: DataFrame, key: str, touched: Sequence[int], parts: int) -> Slices:
+        """Of `rows`, whose keys may repeat very often: their buckets are counted, which reads the keys only."""
+        spark = rows.sparkSession
+        fine = _fine(spark, touched)
+        empty = cls(tuple(touched), parts, fine, (), ())
+        counts = [0] * (len(touched) * fine)
+        for r in rows.groupBy(empty._bucket(key).alias("bucket")).count().collect():
+            if r["bucket"] is not None:
+                counts[r["bucket"]] = r["count"]
+        return cls._cut(spark, touched, parts, fine, counts, True)
+
+    @classmethod
+    def _cut(cls, spark: SparkSession, touched: Sequence[int], parts: int, fine: int, counts: Sequence[float], parted: bool) -> Slices:
+        total = sum(counts)
+        n = max(min(_partitions(spark), total // LEAST_ROWS + 1), total // MOST_ROWS + 1)
+        size, at, held = max(1.0, total / n), 0, 0.0
+        first, several = [], []
+        for count in counts:
+            pieces = int(-(-count // size)) if parted and count >= 2 * size else 1
+            if held and (held + count / 2 > size or pieces > 1):
+                at, held = at + 1, 0.0
+            first.append(at)
+            several.append(pieces)
+            held += count
+            if pieces > 1:
+                at, held = at + pieces, 0.0
+        return cls(tuple(touched), parts, fine, tuple(first), tuple(several))
+
+    def _bucket(self, key: str) -> Column:
+        """The bucket of a row; null for one of an untouched part or without a key."""
+        place = {p: i * self.fine for i, p in enumerate(self.touched)}
+        start = F.element_at(F.array(*[F.lit(place.get(p)).cast("int") for p in range(self.parts)]), part_of(key, self.parts) + 1)
+        return start + F.pmod(F.shiftright(F.xxhash64(F.col(key).cast("string")), 32), F.lit(self.fine)).cast("int")
+
+    def dealt(self, rows: DataFrame, key: str, within: Sequence[str]) -> tuple[int, DataFrame]:
+        """The number of slices, and `rows` with theirs as SLICE; a row without a key goes to the first of its part."""
+        if not self.first:
+            return 1, rows.withColumn(SLICE, F.lit(0))
+        starts = {p: i * self.fine for i, p in enumerate(self.touched)}
+        unkeyed = F.element_at(F.array(*[F.lit(starts.get(p, 0)) for p in range(self.parts)]), F.col(PART) + 1)
+        bucket = F.coalesce(self._bucket(key), unkeyed) + 1
+        place = F.element_at(F.array(*[F.lit(x) for x in self.first]), bucket)
+        if max(self.several) > 1:
+            pieces = F.element_at(F.array(*[F.lit(x) for x in self.several]), bucket)
+            place += F.pmod(F.xxhash64(*(within or rows.columns)), pieces).cast("int")
+        return max(a + b for a, b in zip(self.first, self.several)), rows.withColumn(SLICE, place)
+
+
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _fine(spark: SparkSession, touched: Sequence[int]) -> int:
+    """Buckets of a part: a few for each partition of the session."""
+    return -(-4 * _partitions(spark) // max(1, len(touched)))
 
 
 def _staged(path: str) -> str:
@@ -69,11 +159,13 @@ def _staged(path: str) -> str:
 
 def spread(
     rows: DataFrame, path: str, key: str, touched: Sequence[int], parts: int = PARTS, within: Sequence[str] = (),
-    pack: Sequence[str] = (),
+    pack: Sequence[str] = (), slices: Slices | None = None,
 ) -> DataFrame:
-    """`rows` with their part, shuffled once into ranges of part, key and `within`, and a row without a key for each touched part.
+    """`rows` with their part, shuffled once into slices of part and key, and a row without a key for each touched part.
 
-    The columns `pack` come as `deid.packed` has them. A row of any other part is an error, since its part would lose its other rows.
+    Rows of one part, key and `within` share a slice, which is the column SLICE. Without `slices` these are ranges, found
+    by a sample, for which `rows` are computed once more. The columns `pack` come as `deid.packed` has them.
+    A row of any other part is an error, since its part would lose its other rows.
     """
     part = part_of(key, parts)
     message = F.concat(F.lit(f"stage {path}: a row of an untouched part: "), F.col(key).cast("string"))
@@ -81,7 +173,9 @@ def spread(
     empty = rows.sparkSession.createDataFrame([(p,) for p in touched], f"{PART} int").coalesce(1).select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema], PART)
     whole = rows.withColumn(PART, checked).unionByName(empty)
-    return whole.withColumns({c: packed(F.col(c)) for c in pack}).repartitionByRange(PART, key, *within)
+    n, dealt = (0, whole.withColumn(SLICE, F.lit(0))) if slices is None else slices.dealt(whole, key, within)
+    near = dealt.withColumns({c: packed(F.col(c)) for c in pack})
+    return near.repartitionById(n, SLICE) if n else near.repartitionByRange(PART, key, *within)
 
 
 def texts(rows: DataFrame) -> list[str]:
@@ -89,10 +183,12 @@ def texts(rows: DataFrame) -> list[str]:
     return [f.name for f in rows.schema if isinstance(f.dataType, StringType)]
 
 
-def stage(rows: DataFrame, path: str, key: str, touched: Sequence[int], parts: int = PARTS) -> DataFrame:
+def stage(
+    rows: DataFrame, path: str, key: str, touched: Sequence[int], parts: int = PARTS, slices: Slices | None = None
+) -> DataFrame:
     """Write all rows that the `touched` parts of the table at `path` are to hold beside it; the rows read back."""
     packs = texts(rows)
-    near = spread(rows, path, key, touched, parts, pack=packs).sortWithinPartitions(PART, key)
+    near = spread(rows, path, key, touched, parts, pack=packs, slices=slices).sortWithinPartitions(PART, key).drop(SLICE)
     return stage_spread(near.withColumns({c: unpacked(F.col(c)) for c in packs}), path, key)
 
 

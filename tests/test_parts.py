@@ -186,3 +186,53 @@ def test_marts_of_few_and_of_many_persons(spark, tmp_path, monkeypatch, few):
         assert rows(read_mart(spark, lake, name)) == rows(build(live)), name
     copied = parts.read_parts(spark, gold.by_person(lake, gold.SILVER), gold.PERSON)
     assert rows(copied.filter("source_person is not null").select("source_person").distinct()) == [("p1",), ("q",)]
+
+
+def test_rows_are_dealt_out_without_a_sample(spark, tmp_path, monkeypatch):
+    """No range is sought for the rows of a merge, of the copy by person and of the marts, as that computes them twice."""
+    plans, write = [], parts.stage_spread
+
+    def watched(found, path, key):
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return write(found, path, key)
+
+    for module in (parts, gold):
+        monkeypatch.setattr(module, "stage_spread", watched)
+    schema = "condition_occurrence_id string, person_id string, condition_concept_id int, condition_start_date date, condition_end_date date, updated_at timestamp, cdc_op string"
+    day = dt.date(2023, 1, 1)
+    first = spark.createDataFrame([(str(i), f"p{i % 5}", marts.DIABETES, day, day, DAY(1), "c") for i in range(15)], schema)
+    merged = m.stage_merge(spark, f"{tmp_path}/{gold.SILVER}", first, parts=2, tombstones=True)
+    gold.stage_conditions(spark, str(tmp_path), merged, parts=2)
+    assert len(plans) == 2 + len(gold.CONDITION_MARTS) + 1
+    assert not any("rangepartitioning" in p for p in plans)
+
+
+def test_a_person_with_most_rows_has_several_slices(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(parts, "LEAST_ROWS", 100)
+    data = spark.range(4000).select(
+        F.col("id").cast("string").alias("key"), F.when(F.col("id") % 4 == 0, F.col("id").cast("string")).otherwise("hot").alias("person"))
+    known = data.union(data.limit(200))
+    touched = parts.touched_parts(known, "person", 8)
+    slices = parts.Slices.counted(known, "person", touched, 8)
+    near = parts.spread(known, "table", "person", touched, 8, ["key"], slices=slices)
+    held = near.withColumn("at", F.spark_partition_id()).cache()
+    assert rows(held.filter("person is not null").select("key", "person")) == rows(known)
+    assert held.filter("person is null").count() == len(touched)
+    together = held.filter("person is not null").groupBy("part", "person", "key").agg(F.count_distinct("at").alias("n"))
+    assert together.filter("n > 1").count() == 0
+    assert held.filter("person = 'hot'").select("at").distinct().count() > 1
+    largest = held.groupBy("at").count().agg(F.max("count")).first()[0]
+    assert largest < 2000
+    ordered = held.groupBy("at").agg(F.min("part").alias("low"), F.max("part").alias("high")).orderBy("at").collect()
+    assert all(a["high"] <= b["low"] for a, b in zip(ordered, ordered[1:]))
+
+
+def test_a_row_that_another_replaces_does_not_go_out(spark, tmp_path):
+    table = f"{tmp_path}/table"
+    m.merge_parts(spark, str(tmp_path), table, frame(spark, [(k, "p", DAY(1), "c") for k in "abcd"]), parts=2)
+    changes = frame(spark, [("a", "p", DAY(2), "u"), ("b", "q", DAY(2), "u"), ("c", None, DAY(2), "d"), ("e", "r", DAY(2), "c")])
+    delta = m.stage_merge(spark, table, changes, parts=2, tombstones=True).delta(m.KEY, [m.KEY, "person_id", m.TIME], ["person_id"])
+    assert rows(delta, m.KEY, "person_id", "comes") == [
+        ("a", "p", True), ("b", "p", False), ("b", "q", True), ("c", "p", False), ("e", "r", True)]
