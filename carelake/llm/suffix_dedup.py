@@ -29,6 +29,10 @@ PARTITION = 128 << 20
 LARGE = 20_000
 #: Contexts that are sorted together.
 AT_ONCE = 8_192
+#: Bytes of texts that are looked at together, about: what is made of them stays in a core's cache.
+TOGETHER = 128 << 10
+#: Texts that one number of _BITS bits tells apart.
+_BITS = 14
 
 
 def _rows(documents: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
@@ -54,7 +58,7 @@ def _packed(rows: DataFrame) -> DataFrame:
 
 
 def _frequent(rows: DataFrame, documents: int, length: int) -> np.ndarray:
-    """Hashes of grams that many documents of a sample have.
+    """Hashes of grams that many documents of a sample have, sorted.
 
     They are known to repeat, so their places need not be sought. A gram is one of them in
     FREQUENT of the documents or in HOT of them, so other buckets stay near ANCHORS at any
@@ -74,12 +78,68 @@ def _frequent(rows: DataFrame, documents: int, length: int) -> np.ndarray:
 
     counts = some.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     least = max(SEEN, int(min(FREQUENT * documents, HOT) / share))
-    return np.array([r["gram"] for r in counts.filter(F.col("n") >= least).select("gram").collect()], dtype=np.int64).view(np.uint64)
+    found = [r["gram"] for r in counts.filter(F.col("n") >= least).select("gram").collect()]
+    return np.sort(np.array(found, dtype=np.int64).view(np.uint64))
 
 
 def _dealt(gram: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The bucket of each gram hash, and the 32 bits that name it there."""
-    return ((gram >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), gram.astype(np.uint32)
+    return (gram >> np.uint64(32)) % np.uint64(buckets), gram & np.uint64(0xFFFFFFFF)
+
+
+def _held(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of `values` the sorted `known` holds; many of either cost little."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of so few texts that _BITS bits number them."""
+    for batch in batches:
+        for k in range(0, len(batch), 1 << _BITS):
+            yield batch.slice(k, 1 << _BITS)
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of binary values one after the other, and where each begins and the last ends."""
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    _, cuts, data = column.buffers()
+    own = np.frombuffer(cuts, dtype=kind)[column.offset:column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1, np.int64)
+    return np.frombuffer(data or b"", dtype=np.uint8), own
+
+
+def _together(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Texts from one number up to another, of TOGETHER bytes about or a single one."""
+    ends = np.cumsum(sizes)
+    low = 0
+    while low < len(ends):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + TOGETHER, side="right")))
+        yield low, high
+        low = high
+
+
+def _plain(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Texts that follow each other: the first one's number, their bytes, and where each begins and the last ends."""
+    data, cuts = _bytes(column)
+    for low, high in _together(np.diff(cuts)):
+        yield low, data[cuts[low]:cuts[high]], cuts[low:high + 1] - cuts[low]
+
+
+def _expanded(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The same of compressed texts."""
+    expand = zstandard.ZstdDecompressor()
+    values = [d.as_buffer() for d in column]
+    sizes = np.array([zstandard.frame_content_size(v) for v in values], dtype=np.int64)
+    for low, high in _together(sizes):
+        data = b"".join([expand.decompress(v) for v in values[low:high]])
+        yield low, np.frombuffer(data, dtype=np.uint8), np.concatenate([[0], np.cumsum(sizes[low:high])])
+
+
+def _counted(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of `lengths`."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
 def _repeated(rows: DataFrame, buckets: int, frequent: np.ndarray, length: int) -> DataFrame:
@@ -91,24 +151,26 @@ def _repeated(rows: DataFrame, buckets: int, frequent: np.ndarray, length: int)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length, GRAM)
-        for batch in batches:
-            grams, row = [], []
-            for i, d in enumerate(batch.column("data")):
-                own = np.unique(anchors(d.as_py())[0])
-                own = own[~np.isin(own, frequent)]
-                grams.append(own)
-                row.append(np.full(len(own), i, dtype=np.int64))
-            bucket, name = _dealt(np.concatenate([*grams, np.zeros(0, dtype=np.uint64)]), buckets)
-            at = np.concatenate([*row, np.zeros(0, dtype=np.int64)])
-            order = np.argsort(bucket, kind="stable")
-            ids, same = batch.column("doc_id").to_numpy(), batch.column("same").to_numpy()
-            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for batch in _few(batches):
+            found = [np.zeros(0, dtype=np.uint64)]
+            for low, data, cuts in _plain(batch.column("data")):
+                doc, gram, *_ = anchors.of_texts(data, cuts)
+                bucket, name = _dealt(gram, buckets)
+                keys = (bucket << np.uint64(32 + _BITS)) | ((doc + low).astype(np.uint64) << np.uint64(32)) | name
+                found.append(keys[~_held(gram, frequent)])
+            keys = np.sort(np.concatenate(found))  # by bucket, document and name
+            keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys  # np.unique is far slower
+            names, held = keys.astype(np.uint32), keys >> np.uint64(32)
+            first = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]])) if len(held) else np.zeros(0, dtype=np.int64)
+            n = np.diff(np.append(first, len(held)))
+            docs = (held[first] & np.uint64((1 << _BITS) - 1)).astype(np.int64)
+            ids, same = batch.column("doc_id").to_numpy()[docs], batch.column("same").to_numpy()[docs]
+            ends = np.searchsorted(held[first] >> np.uint64(_BITS), np.arange(buckets + 1, dtype=np.uint64))
+            places = np.append(first, len(held))[ends]
             out = []
-            for b in range(buckets):
-                own = order[ends[b]:ends[b + 1]]
-                if len(own):
-                    docs, n = np.unique(at[own], return_counts=True)
-                    out.append((b, ids[docs].tobytes(), same[docs].tobytes(), n.astype(np.uint32).tobytes(), name[own].tobytes()))
+            for b in np.flatnonzero(np.diff(ends)).tolist():
+                own = slice(ends[b], ends[b + 1])
+                out.append((b, ids[own].tobytes(), same[own].tobytes(), n[own].astype(np.uint32).tobytes(), names[places[b]:places[b + 1]].tobytes()))
             columns = list(zip(*out)) or [[], [], [], [], []]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], type=pa.int64())] + [pa.array(c, type=pa.binary()) for c in columns[1:]],
@@ -124,12 +186,12 @@ def _repeated(rows: DataFrame, buckets: int, frequent: np.ndarray, length: int)
 
                 ids, same, n, names = line("ids", np.int64), line("same", np.int64), line("n", np.uint32), line("names", np.uint32)
                 doc = np.repeat(np.arange(len(ids), dtype=np.int64), n)
-                order = np.argsort(names, kind="stable")
-                starts = np.concatenate([[0], np.flatnonzero(np.diff(names[order])) + 1])
+                keys = np.sort((names.astype(np.uint64) << np.uint64(32)) | np.arange(len(names), dtype=np.uint64))
+                order, name = (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), keys >> np.uint64(32)
+                starts = np.concatenate([[0], np.flatnonzero(name[1:] != name[:-1]) + 1])
                 held = ids[doc[order]]
                 twice = np.minimum.reduceat(held, starts) < np.maximum.reduceat(held, starts)
-                found = order[np.repeat(twice, np.diff(np.concatenate([starts, [len(order)]])))]
-                found = found[np.argsort(doc[found], kind="stable")]
+                found = np.sort(order[np.repeat(twice, np.diff(np.concatenate([starts, [len(order)]])))])  # by document
                 docs, first = np.unique(doc[found], return_index=True)
                 parts = [x.tobytes() for x in np.split(names[found], first[1:])] if len(docs) else []
                 for k in range(0, len(docs), 10_000):
@@ -145,6 +207,19 @@ def _repeated(rows: DataFrame, buckets: int, frequent: np.ndarray, length: int)
     return found.groupBy("doc_id", "same").agg(F.collect_list(F.struct("bucket", "names")).alias("grams"))
 
 
+def _wanted(grams: pa.ListArray) -> np.ndarray:
+    """What _repeated found for each text of a batch, as sorted numbers of text, bucket and name."""
+    entries = grams.values
+    data, cuts = _bytes(entries.field("names"))
+    ends = grams.offsets.to_numpy().astype(np.int64)
+    entry = np.repeat(ends[:-1], np.diff(ends)) + _counted(np.diff(ends))
+    n = (cuts[entry + 1] - cuts[entry]) // 4
+    text = np.repeat(np.repeat(np.arange(len(grams)), np.diff(ends)), n).astype(np.uint64)
+    bucket = np.repeat(entries.field("bucket").to_numpy(zero_copy_only=False)[entry], n).astype(np.uint64)
+    name = np.frombuffer(data, dtype=np.uint32, count=len(data) // 4)[np.repeat(cuts[entry] // 4, n) + _counted(n)]
+    return np.sort((text << np.uint64(64 - _BITS)) | (bucket << np.uint64(32)) | name)
+
+
 def _members(texts: DataFrame, repeated: DataFrame, buckets: int, frequent: np.ndarray, salts: int, length: int) -> DataFrame:
     """doc_id, same, whole and open: each document's repeated anchors, after they have met.
 
@@ -158,49 +233,44 @@ def _members(texts: DataFrame, repeated: DataFrame, buckets: int, frequent: np.n
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, expand = Anchors(length, GRAM), zstandard.ZstdDecompressor()
-        for batch in batches:
-            found: list[tuple] = []
+        anchors = Anchors(length, GRAM)
+        for batch in _few(batches):
             ids, same = batch.column("doc_id").to_numpy(), batch.column("same").to_numpy()
-            for i, (d, grams) in enumerate(zip(batch.column("data"), batch.column("grams").to_pylist())):
-                data = expand.decompress(d.as_buffer())
-                gram, at, start, n = anchors(data)
-                if not len(gram):
-                    continue
+            wanted = _wanted(batch.column("grams"))
+            firsts = np.searchsorted(wanted, np.arange(len(batch) + 1, dtype=np.uint64) << np.uint64(64 - _BITS))
+            found: list[tuple] = []
+            for low, data, cuts in _expanded(batch.column("data")):
+                doc, gram, at, start, n = anchors.of_texts(data, cuts)
                 bucket, name = _dealt(gram, buckets)
-                wanted = [np.zeros(0, dtype=np.uint64)] + [
-                    (np.frombuffer(g["names"], dtype=np.uint32).astype(np.uint64) | (np.uint64(g["bucket"]) << np.uint64(32)))
-                    for g in grams or ()
-                ]
-                often = np.isin(gram, frequent)
-                chosen = np.flatnonzero(often | np.isin(
-                    name.astype(np.uint64) | (bucket.astype(np.uint64) << np.uint64(32)), np.concatenate(wanted)))
+                often = _held(gram, frequent)
+                keys = ((doc + low).astype(np.uint64) << np.uint64(64 - _BITS)) | (bucket << np.uint64(32)) | name
+                own = wanted[firsts[low]:firsts[low + len(cuts) - 1]]
+                chosen = np.flatnonzero(often | _held(keys, own))
                 if not len(chosen):
                     continue
-                gram, at, start, n, often = gram[chosen], at[chosen], start[chosen], n[chosen], often[chosen]
+                doc, at, start, n, often = doc[chosen], at[chosen], start[chosen], n[chosen], often[chosen]
                 context = anchors.context_ids(data, at, start, n)
-                salted = mixed(context.view(np.uint64) + np.uint64(int(ids[i]) % salts))
+                salted = mixed(context.view(np.uint64) + (ids[doc + low] % salts).astype(np.uint64))
                 bucket = np.where(often, (salted >> np.uint64(32)) % np.uint64(buckets), bucket[chosen]).astype(np.int64)
                 found.append((
-                    bucket, np.full(len(chosen), i), name[chosen], context,
-                    start.astype(np.uint32), n.astype(np.uint8), (at - start).astype(np.uint8)))
+                    bucket, doc + low, name[chosen].astype(np.uint32), context,
+                    (start - cuts[doc]).astype(np.uint32), n.astype(np.uint8), (at - start).astype(np.uint8)))
             if not found:
                 continue
             bucket, doc, *rest = (np.concatenate(x) for x in zip(*found))
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
             out = []
-            for b in range(buckets):
+            for b in np.flatnonzero(np.diff(ends)).tolist():
                 own = order[ends[b]:ends[b + 1]]
-                if len(own):
-                    docs, count = np.unique(doc[own], return_counts=True)
-                    out.append((b, ids[docs].tobytes(), same[docs].tobytes(), count.astype(np.uint32).tobytes(),
-                                *[x[own].tobytes() for x in rest]))
+                docs, count = np.unique(doc[own], return_counts=True)
+                out.append((b, ids[docs].tobytes(), same[docs].tobytes(), count.astype(np.uint32).tobytes(),
+                            *[x[own].tobytes() for x in rest]))
             columns = list(zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], type=pa.int64())] + [pa.array(c, type=pa.binary()) for c in columns[1:]], names=names)
 
-    known = frequent.astype(np.uint32)
+    known = np.unique(frequent.astype(np.uint32))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["bucket"], 1):
@@ -214,9 +284,9 @@ def _members(texts: DataFrame, repeated: DataFrame, buckets: int, frequent: np.n
                 name, context = line("names", np.uint32), line("contexts", np.int64)
                 start, n, offset = line("starts", np.uint32), line("strings", np.uint8), line("offsets", np.uint8)
                 doc = np.repeat(np.arange(len(ids), dtype=np.int64), count)
-                order = np.lexsort((ids[doc], context, name))
+                order = np.lexsort((context, name))
                 first = np.concatenate([[True], (np.diff(name[order]) != 0) | (np.diff(context[order]) != 0)])
-                low = ids[doc[order]][np.flatnonzero(first)]  # the first document of each context
+                low = np.minimum.reduceat(ids[doc[order]], np.flatnonzero(first))  # the first document of each context
                 lowest = np.empty(len(order), dtype=np.int64)
                 lowest[order] = low[np.cumsum(first) - 1]
                 whole = ids[doc] > lowest
@@ -225,7 +295,7 @@ def _members(texts: DataFrame, repeated: DataFrame, buckets: int, frequent: np.n
                 alone = np.repeat(~several, np.diff(np.concatenate([begin, [len(low)]])))  # of each context
                 useless = np.empty(len(order), dtype=bool)
                 useless[order] = alone[np.cumsum(first) - 1]
-                useless &= ~np.isin(name, known)  # of frequent grams nothing is known here
+                useless &= ~_held(name, known)  # of frequent grams nothing is known here
                 for k in range(0, len(ids), 20_000):
                     a, z = np.searchsorted(doc, [k, k + 20_000])
                     parts = []
@@ -251,36 +321,39 @@ _WHOLE = (np.uint32, np.uint8)
 _OPEN = (np.uint32, np.uint8, np.uint8, np.int64)
 
 
-def _unpacked(parts: list[bytes] | None, kinds: tuple[type, ...]) -> list[np.ndarray]:
-    """The columns of `kinds` that _members packed one after the other into each of `parts`."""
-    width = sum(np.dtype(k).itemsize for k in kinds)
-    columns: list[list[np.ndarray]] = [[np.zeros(0, dtype=k)] for k in kinds]
-    for part in parts or ():
-        n, at = len(part) // width, 0
-        for column, kind in zip(columns, kinds):
-            column.append(np.frombuffer(part, dtype=kind, count=n, offset=at))
-            at += n * np.dtype(kind).itemsize
-    return [np.concatenate(c).astype(np.int64) for c in columns]
+def _unpacked(column: pa.ListArray, kinds: tuple[type, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The number of the list, and the columns of `kinds` that _members packed one after the other into each of its values."""
+    data, cuts = _bytes(column.values)
+    ends = column.offsets.to_numpy().astype(np.int64)
+    value = np.repeat(ends[:-1], np.diff(ends)) + _counted(np.diff(ends))
+    n = (cuts[value + 1] - cuts[value]) // sum(np.dtype(k).itemsize for k in kinds)
+    begin, place = cuts[value], _counted(n)
+    columns = []
+    for kind in kinds:
+        size = np.dtype(kind).itemsize
+        at = np.repeat(begin, n) + place * size
+        columns.append(data[at[:, None] + np.arange(size)].view(kind)[:, 0].astype(np.int64))
+        begin = begin + n * size
+    return np.repeat(np.repeat(np.arange(len(column)), np.diff(ends)), n), columns
 
 
 def _contexts(texts: DataFrame, members: DataFrame, length: int) -> DataFrame:
     """doc_id, same, start, n, context_id, context, offset: the open contexts with their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand = zstandard.ZstdDecompressor()
         for batch in batches:
-            columns: list[list] = [[] for _ in range(7)]
-            for doc, same, d, packed in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "same", "data", "open"))):
-                start, n, offset, context = (x.tolist() for x in _unpacked(packed, _OPEN))
-                if not start:
-                    continue
-                data = expand.decompress(d)
-                texts_of = [data[s:s + k - 1 + length] for s, k in zip(start, n)]
-                for column, values in zip(columns, ([doc] * len(start), [same] * len(start), start, n, context, texts_of, offset)):
-                    column.extend(values)
+            row, (start, n, offset, context) = _unpacked(batch.column("open"), _OPEN)
+            firsts = np.searchsorted(row, np.arange(len(batch) + 1))
+            contexts: list[bytes] = []
+            for low, data, cuts in _expanded(batch.column("data")):
+                own = slice(firsts[low], firsts[low + len(cuts) - 1])
+                begin = cuts[row[own] - low] + start[own]
+                held = data.tobytes()
+                contexts += [held[a:z] for a, z in zip(begin.tolist(), (begin + n[own] - 1 + length).tolist())]
+            doc, same = (batch.column(c).to_numpy()[row] for c in ("doc_id", "same"))
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(columns, kinds)],
+                [pa.array(c, type=t) for c, t in zip((doc, same, start, n, context, contexts, offset), kinds)],
                 names=["doc_id", "same", "start", "n", "context_id", "context", "offset"])
 
     return texts.join(members.select("doc_id", "same", "open"), ["doc_id", "same"]).select(
@@ -346,19 +419,19 @@ def _earlier(distinct: DataFrame, length: int) -> DataFrame:
         for table in whole_groups(batches, ["group"], AT_ONCE):
             low, high = table["low"].to_numpy(), table["high"].to_numpy()
             offset, n, doc = (table[c].to_numpy().astype(np.int64) for c in ("offset", "n", "doc"))
-            data = table["context"].to_pylist()
-            begin = np.cumsum([0, *[len(d) for d in data[:-1]]])
+            data, cuts = _bytes(table["context"].combine_chunks())
+            begin = cuts[:-1]
             first, last = np.maximum(0, offset - high), np.minimum(n - 1, offset - low)
             count = np.maximum(0, last - first + 1)
-            row = np.repeat(np.arange(len(data)), count)
-            string = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
-            keys = words(np.frombuffer(b"".join(data), dtype=np.uint8), begin[row] + string, length)
+            row = np.repeat(np.arange(len(begin)), count)
+            string = _counted(count) + np.repeat(first, count)
+            keys = words(data, begin[row] + string, length)
             order = multikey_order(keys)
             keys, row, string = keys[order], row[order], string[order]
             starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1])
             least = np.repeat(np.minimum.reduceat(doc[row], starts), np.diff(np.concatenate([starts, [len(row)]])))
             later = least < doc[row]
-            mask = np.bincount(row[later], weights=2.0 ** string[later], minlength=len(data)).astype(np.int64)
+            mask = np.bincount(row[later], weights=2.0 ** string[later], minlength=len(begin)).astype(np.int64)
             found = np.flatnonzero(mask)
             names = [pa.array(table[c].to_numpy()[found]) for c in ("context_id", "check")]
             yield pa.RecordBatch.from_arrays([*names, pa.array(mask[found])], names=["context_id", "check", "mask"])
@@ -419,27 +492,40 @@ def deduplicated(documents: DataFrame, length: int = 50, texts: bool = False, co
         members.select("doc_id", "same", "whole"), ["doc_id", "same"], "full")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            spans, whole, rest = batch.column("spans"), batch.column("whole"), batch.column("rest")
+            rest, spans = batch.column("rest"), batch.column("spans")
             absent = rest.field("_null").to_pylist()
-            for i, d in enumerate(batch.column("data")):
-                data = np.frombuffer(expand.decompress(d.as_buffer()), dtype=np.uint8)
-                covered = np.zeros(len(data) + 1, dtype=np.int64)
-                start, n = _unpacked(whole[i].as_py(), _WHOLE)
-                np.add.at(covered, start, 1)
-                np.add.at(covered, start + n - 1 + length, -1)
-                own = spans[i].values
-                if own is not None and len(own):
-                    start, mask = own.field("start").to_numpy(), own.field("mask").to_numpy()
-                    row, bit = np.nonzero((mask[:, None] >> np.arange(length - GRAM + 1)) & 1)
-                    np.add.at(covered, start[row] + bit, 1)
-                    np.add.at(covered, start[row] + bit + length, -1)
+            # where covered runs of strings begin and where they end, by row
+            row, (start, n) = _unpacked(batch.column("whole"), _WHOLE)
+            ends = spans.offsets.to_numpy().astype(np.int64)
+            entry = np.repeat(ends[:-1], np.diff(ends)) + _counted(np.diff(ends))
+            first, mask = (spans.values.field(c).to_numpy(zero_copy_only=False)[entry].astype(np.int64) for c in ("start", "mask"))
+            held, bit = np.nonzero((mask[:, None] >> np.arange(length - GRAM + 1)) & 1)
+            rows = np.concatenate([row, np.repeat(np.arange(len(batch)), np.diff(ends))[held]])
+            order = np.argsort(rows, kind="stable")
+            begin = np.concatenate([start, first[held] + bit])[order]
+            end = np.concatenate([start + n - 1, first[held] + bit])[order] + length
+            rows = rows[order]
+            firsts = np.searchsorted(rows, np.arange(len(batch) + 1))
+            for low, data, cuts in _expanded(batch.column("data")):
+                own = slice(firsts[low], firsts[low + len(cuts) - 1])
+                covered = np.bincount(cuts[rows[own] - low] + begin[own], minlength=len(data) + 1)
+                covered -= np.bincount(cuts[rows[own] - low] + end[own], minlength=len(data) + 1)
                 gone = np.cumsum(covered[:-1]) > 0
-                starts = int((np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1).sum())
-                text = _whole_characters(data, gone) if texts and not absent[i] else None
-                out.append((len(data), int(gone.sum()), starts, hashlib.sha256(data[~gone].tobytes()).hexdigest(), text))
+                new = gone.copy()
+                new[1:] &= ~gone[:-1]
+                edge = cuts[:-1][cuts[:-1] < len(data)]
+                new[edge] = gone[edge]
+                n_gone, n_new = (np.concatenate([[0], np.cumsum(x)])[cuts] for x in (gone, new))
+                kept, left = data[~gone].tobytes(), cuts - n_gone
+                for i in range(len(cuts) - 1):
+                    removed, rest_of = int(n_gone[i + 1] - n_gone[i]), kept[left[i]:left[i + 1]]
+                    text = None
+                    if texts and not absent[low + i]:
+                        places = slice(cuts[i], cuts[i + 1])
+                        text = _whole_characters(data[places], gone[places]) if removed else rest_of.decode("utf-8")
+                    out.append((int(cuts[i + 1] - cuts[i]), removed, int(n_new[i + 1] - n_new[i]), hashlib.sha256(rest_of).hexdigest(), text))
             found = list(zip(*out)) or [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             arrays = [pa.array(c, type=t) for c, t in zip(found, kinds)][: len(names) - 1]

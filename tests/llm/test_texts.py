@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from public_tokenizers import path as vocabulary_path
 from samples import documents, prose, texts
@@ -89,6 +90,46 @@ def test_remaining_text_keeps_whole_characters(spark):
     assert {r["slot"] for r in got} == {"l"}
 
 
+def test_anchors_of_texts_that_follow_each_other():
+    """They are those of each text alone, and no string spans two texts."""
+    rng = random.Random(4)
+    texts = [prose(rng, rng.choice([0, 1, 9, 40, 200])).encode() for _ in range(60)]
+    texts += [b"a" * 300, b"", b"\x00\xff" * 40, texts[3], texts[-1][:49], b"x" * 50]
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    cuts = np.cumsum([0, *map(len, texts)])
+    anchors = suffixes.Anchors(50, 20)
+    text, gram, at, start, n = anchors.of_texts(data, cuts)
+    contexts = anchors.context_ids(data, at, start, n)
+    strings = {}
+    for i, d in enumerate(texts):
+        own = text == i
+        alone = anchors(d)
+        for together, one in zip((gram[own], at[own] - cuts[i], start[own] - cuts[i], n[own]), alone):
+            assert (together == one).all()
+        assert (contexts[own] == anchors.context_ids(d, *alone[1:])).all()
+        assert alone[3].sum() == max(0, len(d) - 49)
+        for g, a, s, k in zip(*(x.tolist() for x in alone)):
+            for j in range(s, s + k):  # equal strings have one anchor at one place
+                assert strings.setdefault(d[j:j + 50], (g, a - j)) == (g, a - j) and 0 <= a - j <= 30
+
+
+def test_batches_are_cut_into_texts_that_bits_can_number():
+    batch = pa.RecordBatch.from_arrays([pa.array([b"%d" % i for i in range(40_000)])], names=["data"])
+    cut = list(suffix_dedup._few([batch]))
+    assert [len(b) for b in cut] == [16_384, 16_384, 7_232]
+    found = [(low, bytes(d), c.tolist()) for b in cut for low, d, c in suffix_dedup._plain(b.column("data"))]
+    assert b"".join(d for _, d, _ in found) == b"".join(b"%d" % i for i in range(40_000))
+    assert sum(len(c) - 1 for _, _, c in found) == 40_000 and all(c[0] == 0 and c[-1] == len(d) for _, d, c in found)
+    assert max(len(d) for _, d, _ in found) <= suffix_dedup.TOGETHER
+
+
+def test_values_are_sought_in_sorted_ones():
+    known = np.array([3, 7, 7, 2**64 - 1], dtype=np.uint64)
+    values = np.array([0, 3, 4, 7, 8, 2**64 - 1], dtype=np.uint64)
+    assert suffix_dedup._held(values, known).tolist() == [False, True, False, True, False, True]
+    assert not suffix_dedup._held(values, known[:0]).any()
+
+
 def test_multikey_order_sorts():
     rng = np.random.default_rng(2)
     rows = rng.integers(0, 3, (5000, 7)).astype(np.uint64)
