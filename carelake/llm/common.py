@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +36,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def let_go(df: DataFrame) -> None:
+    """Have Spark remove the shuffle files of jobs that have ended.
+
+    It does so once the driver's garbage is collected, and a driver that waits for its
+    executors hardly makes any (see spark.cleaner.periodicGC.interval).
+    """
+    for _ in range(3):  # what is found once may have held more
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def text_bytes(text: str = "text") -> Column:
     """Bytes of the text in UTF-8; null has none."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import checkpointed, keep, whole_groups
+from carelake.llm.common import checkpointed, keep, let_go, whole_groups
 from carelake.llm.shingles import mixed
 from carelake.llm.suffixes import Anchors, multikey_order, words
 
@@ -47,7 +47,7 @@ def _packed(rows: DataFrame) -> DataFrame:
     """`rows` with compressed data, for a shuffle of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             data = [press.compress(d.as_buffer()) for d in batch.column("data")]
             yield pa.RecordBatch.from_arrays(
@@ -137,6 +137,23 @@ def _expanded(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield low, np.frombuffer(data, dtype=np.uint8), np.concatenate([[0], np.cumsum(sizes[low:high])])
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of numbers, first the lowest of all of them: the high ones, mostly alike, then take little of a shuffle."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _numbers(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The numbers of values that _planes made."""
+    size = np.dtype(kind).itemsize
+    parts = [np.frombuffer(p, dtype=np.uint8).reshape(size, len(p) // size).T.reshape(-1).view(kind) for p in column.to_pylist()]
+    return np.concatenate([np.zeros(0, dtype=kind), *parts])
+
+
+def _line(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The numbers of values that hold their bytes as they are."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
+
+
 def _counted(lengths: np.ndarray) -> np.ndarray:
     """0, 1, ... for each of `lengths`."""
     return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -170,7 +187,7 @@ def _repeated(rows: DataFrame, buckets: int, frequent: np.ndarray, length: int)
             out = []
             for b in np.flatnonzero(np.diff(ends)).tolist():
                 own = slice(ends[b], ends[b + 1])
-                out.append((b, ids[own].tobytes(), same[own].tobytes(), n[own].astype(np.uint32).tobytes(), names[places[b]:places[b + 1]].tobytes()))
+                out.append((b, _planes(ids[own]), same[own].tobytes(), _planes(n[own].astype(np.uint32)), names[places[b]:places[b + 1]].tobytes()))
             columns = list(zip(*out)) or [[], [], [], [], []]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], type=pa.int64())] + [pa.array(c, type=pa.binary()) for c in columns[1:]],
@@ -180,18 +197,19 @@ def _repeated(rows: DataFrame, buckets: int, frequent: np.ndarray, length: int)
         for table in whole_groups(batches, ["bucket"], 1):
             for bucket in np.unique(table["bucket"].to_numpy()):
                 own = table.filter(pa.array(table["bucket"].to_numpy() == bucket))
-
-                def line(column: str, kind: type, own: pa.Table = own) -> np.ndarray:
-                    return np.frombuffer(b"".join(own[column].to_pylist()), dtype=kind)
-
-                ids, same, n, names = line("ids", np.int64), line("same", np.int64), line("n", np.uint32), line("names", np.uint32)
-                doc = np.repeat(np.arange(len(ids), dtype=np.int64), n)
-                keys = np.sort((names.astype(np.uint64) << np.uint64(32)) | np.arange(len(names), dtype=np.uint64))
-                order, name = (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), keys >> np.uint64(32)
-                starts = np.concatenate([[0], np.flatnonzero(name[1:] != name[:-1]) + 1])
+                ids, same = _numbers(own["ids"], np.int64), _line(own["same"], np.int64)
+                n, names = _numbers(own["n"], np.uint32), _line(own["names"], np.uint32)
+                doc = np.repeat(np.arange(len(ids), dtype=np.int32), n)
+                keys = (names.astype(np.uint64) << np.uint64(32)) | np.arange(len(names), dtype=np.uint32)
+                keys.sort()
+                order, keys = keys.astype(np.uint32), (keys >> np.uint64(32)).astype(np.uint32)
+                starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
+                del keys
                 held = ids[doc[order]]
                 twice = np.minimum.reduceat(held, starts) < np.maximum.reduceat(held, starts)
+                del held
                 found = np.sort(order[np.repeat(twice, np.diff(np.concatenate([starts, [len(order)]])))])  # by document
+                del order
                 docs, first = np.unique(doc[found], return_index=True)
                 parts = [x.tobytes() for x in np.split(names[found], first[1:])] if len(docs) else []
                 for k in range(0, len(docs), 10_000):
@@ -264,8 +282,9 @@ def _members(texts: DataFrame, repeated: DataFrame, buckets: int, frequent: np.n
             for b in np.flatnonzero(np.diff(ends)).tolist():
                 own = order[ends[b]:ends[b + 1]]
                 docs, count = np.unique(doc[own], return_counts=True)
-                out.append((b, ids[docs].tobytes(), same[docs].tobytes(), count.astype(np.uint32).tobytes(),
-                            *[x[own].tobytes() for x in rest]))
+                name, context, *others = (x[own] for x in rest)
+                out.append((b, _planes(ids[docs]), same[docs].tobytes(), _planes(count.astype(np.uint32)), name.tobytes(),
+                            context.tobytes(), *[_planes(x) for x in others]))
             columns = list(zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], type=pa.int64())] + [pa.array(c, type=pa.binary()) for c in columns[1:]], names=names)
@@ -276,14 +295,10 @@ def _members(texts: DataFrame, repeated: DataFrame, buckets: int, frequent: np.n
         for table in whole_groups(batches, ["bucket"], 1):
             for b in np.unique(table["bucket"].to_numpy()):
                 own = table.filter(pa.array(table["bucket"].to_numpy() == b))
-
-                def line(column: str, kind: type, own: pa.Table = own) -> np.ndarray:
-                    return np.frombuffer(b"".join(own[column].to_pylist()), dtype=kind)
-
-                ids, same, count = line("ids", np.int64), line("same", np.int64), line("n", np.uint32)
-                name, context = line("names", np.uint32), line("contexts", np.int64)
-                start, n, offset = line("starts", np.uint32), line("strings", np.uint8), line("offsets", np.uint8)
-                doc = np.repeat(np.arange(len(ids), dtype=np.int64), count)
+                ids, same, count = _numbers(own["ids"], np.int64), _line(own["same"], np.int64), _numbers(own["n"], np.uint32)
+                name, context = _line(own["names"], np.uint32), _line(own["contexts"], np.int64)
+                start, n, offset = _numbers(own["starts"], np.uint32), _line(own["strings"], np.uint8), _line(own["offsets"], np.uint8)
+                doc = np.repeat(np.arange(len(ids), dtype=np.int32), count)
                 order = np.lexsort((context, name))
                 first = np.concatenate([[True], (np.diff(name[order]) != 0) | (np.diff(context[order]) != 0)])
                 low = np.minimum.reduceat(ids[doc[order]], np.flatnonzero(first))  # the first document of each context
@@ -376,6 +391,13 @@ def _core(low: str, high: str, length: int) -> F.Column:
     return F.expr(f"substring(context, offset - {low} + 1, {length} - {high} + {low})")
 
 
+def _shared(group: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which rows are of a group, whose rows follow each other, that two documents have."""
+    first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    several = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
+    return np.repeat(several, np.diff(np.append(first, len(group))))
+
+
 def _earlier(distinct: DataFrame, length: int) -> DataFrame:
     """context_id, check and mask: which strings of a distinct context another context of an earlier document holds too.
 
@@ -387,14 +409,15 @@ def _earlier(distinct: DataFrame, length: int) -> DataFrame:
     parts = []
     rows = distinct.withColumns({"low": F.lit(0), "high": F.lit(length - GRAM)}).withColumn("core", _core("low", "high", length))
     while True:
-        sizes = keep(rows.groupBy("core", "low", "high").agg(
+        # small groups are weighed where they are sorted, so that their rows cross one shuffle only
+        large = keep(rows.groupBy("core", "low", "high").agg(
             F.count(F.lit(1)).alias("_n"), F.min("doc").alias("_first"), F.max("doc").alias("_last"),
-        ).filter((F.col("_n") > 1) & (F.col("_first") < F.col("_last"))), "suffix-groups")
-        large = F.col("_n") > LARGE
-        parts.append(rows.join(sizes.filter(~large).select("core", "low", "high"), ["core", "low", "high"]))
-        if not sizes.filter(large).take(1):
+        ).filter(F.col("_n") > LARGE), "suffix-groups")
+        if not large.take(1):
+            parts.append(rows)
             break
-        split = rows.join(sizes.filter(large), ["core", "low", "high"])
+        parts.append(rows.join(large, ["core", "low", "high"], "left_anti"))
+        split = rows.join(large.filter("_first < _last"), ["core", "low", "high"])
         # strings that start alike are one string: only the earliest document matters
         alike = split.filter((F.col("low") == F.col("high")) & (F.col("_first") < F.col("doc")))
         parts.append(alike.drop("_n", "_first", "_last"))
@@ -417,6 +440,9 @@ def _earlier(distinct: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["group"], AT_ONCE):
+            table = table.filter(pa.array(_shared(table["group"].to_numpy(), table["doc"].to_numpy()))).combine_chunks()
+            if not len(table):
+                continue
             low, high = table["low"].to_numpy(), table["high"].to_numpy()
             offset, n, doc = (table[c].to_numpy().astype(np.int64) for c in ("offset", "n", "doc"))
             data, cuts = _bytes(table["context"].combine_chunks())
@@ -477,12 +503,16 @@ def deduplicated(documents: DataFrame, length: int = 50, texts: bool = False, co
     repeated = _repeated(rows, buckets, frequent, length)
     # all later steps join on this partitioning, so the texts are shuffled once
     packed = checkpointed(_packed(rows).repartition(count, "doc_id", "same"))
+    let_go(rows)  # of the shuffle that the checkpoint was made from, and so below
     known_texts = packed.filter(F.col("doc_id").isNotNull())
     salts = max(LEAST_BUCKETS, total["rows"] // 1_000_000)
     members = keep(_members(known_texts, repeated, buckets, frequent, salts, length), "suffix-members")
+    let_go(rows)
     contexts = keep(_contexts(known_texts, members, length), "suffix-contexts")
     distinct = keep(_distinct(contexts), "suffix-distinct")
+    let_go(rows)
     masks = keep(_earlier(distinct, length), "suffix-masks")
+    let_go(rows)
     known = distinct.select("context_id", _check(), "doc").join(masks, ["context_id", "check"], "left")
     every = F.expr("shiftleft(1L, n) - 1")
     held = contexts.select("doc_id", "same", "start", "n", "context_id", _check()).join(known, ["context_id", "check"]).select(

@@ -123,6 +123,19 @@ def test_batches_are_cut_into_texts_that_bits_can_number():
     assert max(len(d) for _, d, _ in found) <= suffix_dedup.TOGETHER
 
 
+def test_numbers_come_back_from_their_planes():
+    for kind in (np.int64, np.uint32, np.uint8):
+        values = [np.array(v, dtype=kind) for v in ([1, 200, 3], [], [7])]
+        column = pa.chunked_array([pa.array([suffix_dedup._planes(v) for v in values], type=pa.binary())])
+        assert suffix_dedup._numbers(column, kind).tolist() == [1, 200, 3, 7]
+    assert suffix_dedup._numbers(pa.chunked_array([], type=pa.binary()), np.int64).tolist() == []
+
+
+def test_groups_of_one_document_are_not_sorted():
+    group, doc = np.array([5, 5, 9, 9, 9, -1]), np.array([1, 1, 4, 2, 4, 3])
+    assert suffix_dedup._shared(group, doc).tolist() == [False, False, True, True, True, False]
+
+
 def test_values_are_sought_in_sorted_ones():
     known = np.array([3, 7, 7, 2**64 - 1], dtype=np.uint64)
     values = np.array([0, 3, 4, 7, 8, 2**64 - 1], dtype=np.uint64)
